@@ -59,7 +59,8 @@ def user_profiles(inter: DataFrame, unit: DataFrame, train_end: int, cfg: Config
     pairs = pos.groupBy(c.user_id, c.item_id).agg(F.count(F.lit(1)).alias("votes"))
     vecs = bounded_broadcast(unit, cfg.scale.broadcast_max_vector_cells // max(dim, 1))
     j = pairs.join(vecs, c.item_id, "inner")
-    sums = [F.sum(F.col("votes") * F.col(VEC)[i]).alias(f"s{i}") for i in range(dim)]
+    sums = [F.sum(F.col("votes") * F.try_element_at(VEC, F.lit(i + 1))).alias(f"s{i}")
+            for i in range(dim)]
     agg = j.groupBy(c.user_id).agg(F.sum("votes").alias("n_votes"), *sums)
     mean = F.array(*[F.col(f"s{i}") / F.col("n_votes") for i in range(dim)])
     return agg.select(c.user_id, "n_votes", fv.l2_normalize(mean).alias(PROFILE))

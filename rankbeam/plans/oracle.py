@@ -7,7 +7,7 @@ so every oracle starts from the same adapter projection as the Spark side.
 
 from __future__ import annotations
 
-from .testdata import TD_CFG
+from .testdata import HEAD_ROWS, METRIC_K, TD_CFG
 
 _C = TD_CFG.cleaning
 _L = TD_CFG.label
@@ -78,9 +78,9 @@ bounds AS (
          max(CASE WHEN rk = CAST(floor((n - 1) * CAST({_Q_VAL} AS DOUBLE) + 0.5) AS BIGINT) THEN event_order END) AS val_end
   FROM ranked_eo),
 splitted AS (
-  SELECT i.*, CASE WHEN i.event_order < b.train_end THEN 'train'
-                   WHEN i.event_order < b.val_end THEN 'val' ELSE 'test' END AS split
-  FROM inter i CROSS JOIN bounds b),
+  SELECT i.*, CASE WHEN i.event_order < (SELECT train_end FROM bounds) THEN 'train'
+                   WHEN i.event_order < (SELECT val_end FROM bounds) THEN 'val' ELSE 'test' END AS split
+  FROM inter i),
 train AS (SELECT * FROM splitted WHERE split = 'train')
 """
 
@@ -118,20 +118,233 @@ ua_f AS (
 """
 
 
+EMB = f"""
+vec_raw AS (
+  SELECT vec_id AS item_id, embedding FROM embeddings
+  WHERE label <> 0 AND embedding IS NOT NULL AND vec_id IN (SELECT item_id FROM inter)),
+vec_dedup AS (SELECT item_id, min(embedding) AS embedding FROM vec_raw GROUP BY item_id),
+vec_el AS (
+  SELECT item_id, i, CAST(embedding[i] AS DOUBLE) AS x
+  FROM vec_dedup, range(1, {_DIM} + 1) r(i) WHERE i <= len(embedding)),
+vec_norm AS (SELECT item_id, greatest(sqrt(sum(x * x)), 1e-12) AS nrm FROM vec_el GROUP BY item_id),
+unit AS (SELECT e.item_id, e.i, e.x / n.nrm AS x FROM vec_el e JOIN vec_norm n ON e.item_id = n.item_id),
+pos_pairs AS (
+  SELECT user_id, item_id, count(*) AS votes FROM inter
+  WHERE event_order < (SELECT train_end FROM bounds) AND label >= CAST({TD_CFG.features.profile_pos_label} AS FLOAT)
+  GROUP BY user_id, item_id),
+pvotes AS (
+  SELECT user_id, sum(votes) AS n_votes FROM pos_pairs
+  WHERE item_id IN (SELECT item_id FROM vec_dedup) GROUP BY user_id),
+psum AS (
+  SELECT p.user_id, u.i, sum(p.votes * u.x) AS s
+  FROM pos_pairs p JOIN unit u ON p.item_id = u.item_id GROUP BY p.user_id, u.i),
+pmean AS (SELECT s.user_id, s.i, s.s / v.n_votes AS m FROM psum s JOIN pvotes v ON s.user_id = v.user_id),
+pnorm AS (SELECT user_id, greatest(sqrt(sum(m * m)), 1e-12) AS nrm FROM pmean GROUP BY user_id),
+profile AS (SELECT m.user_id, m.i, m.m / n.nrm AS x FROM pmean m JOIN pnorm n ON m.user_id = n.user_id),
+cos AS (
+  SELECT e.event_order, CAST(sum(p.x * u.x) AS FLOAT) AS c
+  FROM inter e JOIN profile p ON e.user_id = p.user_id
+               JOIN unit u ON e.item_id = u.item_id AND p.i = u.i
+  GROUP BY e.event_order)
+"""
+
+NUM_FEATURES = (
+    ["age", "user_n_events", "user_mean_watch_ratio", "user_mean_timespent",
+     "user_mean_duration", "user_n_authors"] + [f"user_{f}_rate" for f in FLAGS]
+    + ["duration", "item_n_views", "item_mean_watch_ratio", "item_mean_label"]
+    + [f"item_{f}_rate" for f in FLAGS]
+    + ["author_n_views", "author_n_items", "author_mean_watch_ratio"]
+    + [f"author_{f}_rate" for f in FLAGS]
+    + ["ua_n_events", "ua_mean_watch_ratio", "ua_mean_label", "dur_diff", "emb_cos"])
+CAT_FEATURES = ["gender", "geo", "place", "platform", "agent"]
+
+DATASET = """
+joined AS (
+  SELECT s.*, uf.* EXCLUDE (user_id), itf.* EXCLUDE (item_id), af.* EXCLUDE (author_id),
+         ua.* EXCLUDE (user_id, author_id), c.c AS emb_cos,
+         CAST(abs(CAST(s.duration AS DOUBLE) - uf.user_mean_duration) AS FLOAT) AS dur_diff
+  FROM splitted s
+  LEFT JOIN user_f uf ON s.user_id = uf.user_id
+  LEFT JOIN item_f itf ON s.item_id = itf.item_id
+  LEFT JOIN author_f af ON s.author_id = af.author_id
+  LEFT JOIN ua_f ua ON s.user_id = ua.user_id AND s.author_id = ua.author_id
+  LEFT JOIN cos c ON s.event_order = c.event_order),
+dataset AS (
+  SELECT user_id, item_id, event_order, label,
+         """ + ", ".join(f"TRY_CAST({c} AS FLOAT) AS {c}" for c in NUM_FEATURES) + """,
+         """ + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), 'unknown') AS {c}" for c in CAT_FEATURES) + """,
+         split
+  FROM joined)
+"""
+
+
+def scored_sql(splits=("val",)) -> str:
+    lst = ", ".join(f"'{x}'" for x in splits)
+    return f"""
+scored AS (
+  SELECT s.user_id, s.event_order, s.split, CAST(s.label AS DOUBLE) AS y,
+         CAST(CAST(f.item_mean_label AS FLOAT) AS DOUBLE) AS score
+  FROM splitted s LEFT JOIN item_f f ON s.item_id = f.item_id
+  WHERE s.split IN ({lst})),
+ranked AS (
+  SELECT *, CASE WHEN y >= {float(_E.binary_threshold)} THEN 1 ELSE 0 END AS hit,
+         row_number() OVER (PARTITION BY split, user_id ORDER BY score DESC NULLS LAST, event_order) - 1 AS pos,
+         row_number() OVER (PARTITION BY split, user_id ORDER BY y DESC, event_order) - 1 AS ipos,
+         sum(CASE WHEN y >= {float(_E.binary_threshold)} THEN 1 ELSE 0 END) OVER (
+             PARTITION BY split, user_id ORDER BY score DESC NULLS LAST, event_order
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_hits
+  FROM scored)
+"""
+
+
+def group_sql(ks, gain="exp") -> str:
+    g = (lambda v: f"(pow(2.0, {v}) - 1.0)") if gain == "exp" else (lambda v: v)
+    cols = []
+    for k in ks:
+        cols += [
+            f"sum(CASE WHEN pos < {k} THEN {g('y')} / log2(pos + 2.0) ELSE 0 END) AS dcg_{k}",
+            f"sum(CASE WHEN ipos < {k} THEN {g('y')} / log2(ipos + 2.0) ELSE 0 END) AS idcg_{k}",
+            f"sum(CASE WHEN pos < {k} AND hit = 1 THEN 1 ELSE 0 END) AS hits_{k}",
+            f"min(CASE WHEN pos < {k} AND hit = 1 THEN pos END) AS fh_{k}",
+            f"sum(CASE WHEN pos < {k} AND hit = 1 THEN cum_hits / (pos + 1.0) ELSE 0 END) AS ap_{k}",
+        ]
+    return f"""
+grp AS (
+  SELECT split, user_id, count(*) AS size, sum(hit) AS n_pos,
+         sum(CASE WHEN hit = 1 THEN pos ELSE 0 END) AS sum_pos, {", ".join(cols)}
+  FROM ranked GROUP BY split, user_id)
+"""
+
+
+def metric_exprs(k: int) -> dict[str, str]:
+    return {
+        f"ndcg_at_{k}": f"coalesce(avg(CASE WHEN idcg_{k} > 0 THEN dcg_{k} / idcg_{k} END), 0.0)",
+        f"map_at_{k}": f"coalesce(avg(CASE WHEN n_pos > 0 THEN ap_{k} / least(n_pos, {k}) END), 0.0)",
+        f"mrr_at_{k}": f"coalesce(avg(CASE WHEN n_pos > 0 THEN coalesce(1.0 / (fh_{k} + 1), 0.0) END), 0.0)",
+        f"hitrate_at_{k}": f"coalesce(avg(CASE WHEN n_pos > 0 THEN CASE WHEN hits_{k} > 0 THEN 1.0 ELSE 0.0 END END), 0.0)",
+        f"recall_at_{k}": f"coalesce(avg(CASE WHEN n_pos > 0 THEN hits_{k} / n_pos END), 0.0)",
+        f"precision_at_{k}": f"coalesce(avg(CASE WHEN n_pos > 0 THEN hits_{k} / {float(k)} END), 0.0)",
+    }
+
+
+GAUC = ("coalesce(avg(CASE WHEN n_pos > 0 AND size > n_pos THEN "
+        "((n_pos * size - sum_pos) - n_pos * (n_pos + 1) / 2.0) / (n_pos * (size - n_pos)) END), 0.0)")
+
+
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
 
 
 def r6(expr: str, alias: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+    """Computed doubles are compared at float32 precision (no decimal ties)."""
+    return f"CAST({expr} AS FLOAT) AS {alias}"
+
+
+def _feat_select(table: str, keys: list[str], cols: list[str]) -> str:
+    return f"SELECT {', '.join(keys)}, " + ", ".join(
+        c if c.endswith(("_n_events", "_n_views", "_n_authors", "_n_items")) else r6(c, c) for c in cols
+    ) + f" FROM {table}"
+
+
+def _rate_names(prefix):
+    return [f"{prefix}_{f}_rate" for f in FLAGS]
 
 
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["stage_stats"] = with_(BASE) + f"""
+    base = with_(BASE)
+    feats = with_(BASE, FEATS)
+    q["feedback_normalise"] = base + f"SELECT event_order, user_id, item_id, {QFLAGS} FROM norm"
+    q["enrich_events"] = base + ("SELECT event_order, user_id, item_id, duration, author_id, age, gender, geo "
+                                 "FROM enriched")
+    q["clean_events"] = base + "SELECT event_order, user_id, item_id, timespent, duration FROM cleaned"
+    q["watch_ratio"] = base + "SELECT event_order, watch_ratio FROM cleaned"
+    q["min_activity"] = base + "SELECT event_order, user_id, item_id FROM inter"
+    q["graded_label"] = base + "SELECT event_order, label, watch_ratio, dislike FROM inter"
+    q["user_sample"] = base + (
+        "SELECT event_order, user_id FROM enriched WHERE "
+        "CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|42'), 1, 8) AS BIGINT) % 10000 < 3000")
+    q["stage_stats"] = base + f"""
 SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items,
        {r6('avg(CAST(label AS DOUBLE))', 'label_mean')},
        {r6('avg(CAST(label >= CAST(1.0 AS FLOAT) AS DOUBLE))', 'label_pos_share')},
        {r6('avg(CAST(watch_ratio AS DOUBLE))', 'watch_ratio_mean')}
 FROM inter"""
+    q["split_bounds"] = base + "SELECT train_end, val_end FROM bounds"
+    q["temporal_split"] = base + "SELECT event_order, split FROM splitted"
+    q["split_sizes"] = base + "SELECT split, count(*) AS n_rows FROM splitted GROUP BY split"
+    q["user_features"] = feats + _feat_select(
+        "user_f", ["user_id"], ["user_n_events", "user_mean_watch_ratio", "user_mean_timespent",
+                                "user_mean_duration", "user_n_authors"] + _rate_names("user"))
+    q["item_features"] = feats + _feat_select(
+        "item_f", ["item_id"], ["item_n_views", "item_mean_watch_ratio", "item_mean_label"]
+        + _rate_names("item"))
+    q["author_features"] = feats + _feat_select(
+        "author_f", ["author_id"], ["author_n_views", "author_n_items", "author_mean_watch_ratio"]
+        + _rate_names("author"))
+    q["user_author_features"] = feats + _feat_select(
+        "ua_f", ["user_id", "author_id"], ["ua_n_events", "ua_mean_watch_ratio", "ua_mean_label"])
+    emb = with_(BASE, EMB)
+    q["embedding_normalise"] = emb + (
+        "SELECT item_id, count(*) AS n_dims, CAST(sqrt(sum(x * x)) AS FLOAT) AS l2_norm, "
+        "CAST(max(CASE WHEN i = 1 THEN x END) AS FLOAT) AS e_first FROM unit GROUP BY item_id")
+    q["user_profile"] = emb + (
+        "SELECT p.user_id, v.n_votes, CAST(max(CASE WHEN p.i = 1 THEN p.x END) AS FLOAT) AS p_first, "
+        "CAST(sqrt(sum(p.x * p.x)) AS FLOAT) AS p_norm "
+        "FROM profile p JOIN pvotes v ON p.user_id = v.user_id GROUP BY p.user_id, v.n_votes")
+    q["emb_cos"] = emb + (
+        "SELECT e.event_order, CAST(CAST(c.c AS DOUBLE) AS FLOAT) AS emb_cos "
+        "FROM inter e LEFT JOIN cos c ON e.event_order = c.event_order")
+    q["profile_coverage"] = emb + (
+        "SELECT count(p.user_id) AS n_with_profile, count(*) AS n_users "
+        "FROM (SELECT DISTINCT user_id FROM inter) u LEFT JOIN pvotes p ON u.user_id = p.user_id")
+    q["id_lookup"] = base + (
+        "SELECT q.item_id, COALESCE(v.idx, -1) AS idx "
+        "FROM (SELECT DISTINCT item_id FROM norm) q LEFT JOIN "
+        "(SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM "
+        "(SELECT DISTINCT vec_id AS item_id FROM embeddings WHERE label <> 0)) v ON q.item_id = v.item_id")
+    ds = with_(BASE, FEATS, EMB, DATASET)
+    num_sel = ", ".join(r6(c, c) for c in NUM_FEATURES)
+    q["assemble_features"] = ds + (
+        f"SELECT user_id, item_id, event_order, {r6('label', 'label')}, {num_sel}, {', '.join(CAT_FEATURES)}, split FROM dataset")
+    q["dur_diff"] = ds + f"SELECT event_order, {r6('dur_diff', 'dur_diff')} FROM dataset"
+    q["categorical_normalise"] = ds + f"SELECT event_order, {', '.join(CAT_FEATURES)} FROM dataset"
+    q["grouped_split"] = base + (
+        "SELECT split, count(*) AS n_rows, CAST(0 AS BIGINT) AS broken_runs, "
+        "CAST(0 AS BIGINT) AS order_breaks FROM splitted GROUP BY split")
+    q["head_whole_groups"] = ds + f"""
+, head AS (SELECT user_id, event_order, label FROM dataset WHERE split = 'train'
+           ORDER BY user_id, event_order LIMIT {HEAD_ROWS})
+SELECT user_id, event_order, label FROM head
+WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(user_id) FROM head)"""
+    sc = with_(BASE, FEATS, scored_sql())
+    q["rank_in_group"] = sc + "SELECT user_id, event_order, pos FROM ranked"
+    q["running_hits"] = sc + "SELECT user_id, event_order, pos, cum_hits FROM ranked"
+    q["ideal_rank"] = sc + "SELECT user_id, event_order, ipos AS ideal_pos FROM ranked"
+    k = METRIC_K
+    g1 = with_(BASE, FEATS, scored_sql(), group_sql((k,)))
+    gl = with_(BASE, FEATS, scored_sql(), group_sql((k,), gain="linear"))
+    me = metric_exprs(k)
+    for m in ("ndcg", "map", "mrr", "hitrate", "recall", "precision"):
+        q[f"{m}_at_k"] = g1 + f"SELECT CAST({me[f'{m}_at_{k}']} AS FLOAT) AS {m}_at_{k} FROM grp"
+    q["ndcg_linear_at_k"] = gl + f"SELECT CAST({me[f'ndcg_at_{k}']} AS FLOAT) AS ndcg_linear_at_{k} FROM grp"
+    q["gauc"] = g1 + f"SELECT CAST({GAUC} AS FLOAT) AS gauc FROM grp"
+    ks = tuple(_E.ks)
+    allm = {}
+    for kk in ks:
+        allm.update(metric_exprs(kk))
+    sel = ", ".join(f"CAST({v} AS FLOAT) AS {n}" for n, v in allm.items())
+    gall = with_(BASE, FEATS, scored_sql(), group_sql(ks))
+    q["ranking_metrics"] = gall + f"SELECT {sel}, CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp"
+    gby = with_(BASE, FEATS, scored_sql(("val", "test")), group_sql(ks))
+    q["metrics_by_split"] = gby + (
+        f"SELECT split, {sel}, CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp GROUP BY split")
+    rnd = scored_sql().replace(
+        "CAST(CAST(f.item_mean_label AS FLOAT) AS DOUBLE) AS score",
+        "CAST(CAST('0x' || substr(md5(CAST(s.event_order AS VARCHAR) || '|42'), 1, 8) AS BIGINT) "
+        "% 1000003 AS DOUBLE) AS score")
+    grnd = with_(BASE, FEATS, rnd, group_sql((k,)))
+    q["random_baseline"] = grnd + (
+        f"SELECT CAST({me[f'ndcg_at_{k}']} AS FLOAT) AS ndcg_at_{k}, CAST({me[f'map_at_{k}']} AS FLOAT) AS map_at_{k}, "
+        f"CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp")
     return q

@@ -1,27 +1,73 @@
 """Registered queries over the provided test tables (adapter A).
 
 Every query reads the given tables through ``sources.adapters`` and runs the
-library's own operators on the whole tables. Doubles are rounded to 6 digits
-in the final projection only, so the DuckDB oracle can compare values.
+library's own operators on the whole tables. Computed doubles are cast to
+float32 in the final projection only, so the DuckDB oracle can compare values
+without decimal rounding ties.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Config
+from ..config import EVENT_ORDER, LABEL, SPLIT, WATCH_RATIO, Config
+from ..functions import columns as fc
+from ..functions import vectors as fv
 from ..operators import clean as cl
+from ..operators import dataset as ds
+from ..operators import features as ft
+from ..operators import ranking as rk
+from ..operators import vectors as vx
 from ..sources import adapters as ad
 
 # Thresholds that bite on the provided tables (see FIXTURES.md).
 TD_CFG = Config().with_cleaning(
     max_timespent_sec=200.0, min_user_interactions=60, min_item_interactions=95,
 )
+SAMPLE_FRACTION = 0.3
+METRIC_K = 10
+HEAD_ROWS = 1000
+RANDOM_SEED = 42
+
+FLAGS = list(TD_CFG.columns.feedback)
+
+
+def f32(c):
+    """Computed doubles are compared at float32 precision (no decimal ties)."""
+    return c.cast("float")
 
 
 def r6(name: str, alias: str | None = None):
-    return F.round(F.col(name).cast("double"), 6).alias(alias or name)
+    return f32(F.col(name)).alias(alias or name)
+
+
+def _f32_doubles(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    out = []
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("double", "float") and f.name not in keep:
+            out.append(r6(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+# ---------------------------------------------------------------------------
+# Shared building blocks
+# ---------------------------------------------------------------------------
+
+def norm_log(spark, sf_dir, cfg=TD_CFG):
+    return cl.normalise_feedback(ad.events_log(spark, sf_dir), cfg)
+
+
+def enriched(spark, sf_dir, cfg=TD_CFG):
+    return cl.enrich(norm_log(spark, sf_dir, cfg), ad.item_meta(spark, sf_dir),
+                     ad.user_meta(spark, sf_dir), cfg)
+
+
+def cleaned(spark, sf_dir, cfg=TD_CFG):
+    return cl.add_watch_ratio(cl.clean(enriched(spark, sf_dir, cfg), cfg), cfg)
 
 
 def interactions(spark: SparkSession, sf_dir: str, cfg: Config = TD_CFG) -> DataFrame:
@@ -32,12 +78,288 @@ def interactions(spark: SparkSession, sf_dir: str, cfg: Config = TD_CFG) -> Data
     )
 
 
+class Stage:
+    """Interactions (persisted once), bounds and feature tables of one run."""
+
+    def __init__(self, spark, sf_dir, cfg=TD_CFG):
+        self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
+        self.inter = interactions(spark, sf_dir, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        self.bounds = ft.split_bounds(self.inter, cfg)
+        self.feats = ft.build_aggregates(self.inter, self.bounds, cfg)
+
+    def split(self) -> DataFrame:
+        return ft.temporal_split(self.inter, self.bounds)
+
+    def vectors(self) -> DataFrame:
+        return ad.item_vectors(self.spark, self.sf_dir)
+
+    def unit(self) -> DataFrame:
+        return vx.unit_vectors(self.vectors(), self.cfg, self.inter)
+
+    def dim(self) -> int:
+        return vx.vector_width(self.vectors(), self.cfg)
+
+    def profiles(self) -> DataFrame:
+        return vx.user_profiles(self.inter, self.unit(), self.bounds.train_end, self.cfg, self.dim())
+
+    def scored(self, split: str | tuple[str, ...] = "val") -> DataFrame:
+        """Events of a split scored by the train-window item mean label."""
+        splits = (split,) if isinstance(split, str) else tuple(split)
+        ev = self.split().where(F.col(SPLIT).isin(*splits))
+        score = self.feats.item.select(self.cfg.columns.item_id,
+                                       F.col("item_mean_label").cast("float").cast("double").alias("score"))
+        return ev.join(score, self.cfg.columns.item_id, "left")
+
+
+# ---------------------------------------------------------------------------
+# Preprocess stage
+# ---------------------------------------------------------------------------
+
+def q_feedback_normalise(spark, sf_dir):
+    return norm_log(spark, sf_dir).select(EVENT_ORDER, "user_id", "item_id", *FLAGS)
+
+
+def q_enrich_events(spark, sf_dir):
+    return enriched(spark, sf_dir).select(EVENT_ORDER, "user_id", "item_id", "duration",
+                                          "author_id", "age", "gender", "geo")
+
+
+def q_clean_events(spark, sf_dir):
+    return cl.clean(enriched(spark, sf_dir), TD_CFG).select(
+        EVENT_ORDER, "user_id", "item_id", "timespent", "duration")
+
+
+def q_watch_ratio(spark, sf_dir):
+    return cleaned(spark, sf_dir).select(EVENT_ORDER, WATCH_RATIO)
+
+
+def q_min_activity(spark, sf_dir):
+    return cl.activity_filter(cleaned(spark, sf_dir), TD_CFG).select(EVENT_ORDER, "user_id", "item_id")
+
+
+def q_graded_label(spark, sf_dir):
+    return interactions(spark, sf_dir).select(EVENT_ORDER, LABEL, WATCH_RATIO, "dislike")
+
+
+def q_user_sample(spark, sf_dir):
+    cfg = TD_CFG.with_sample(user_fraction=SAMPLE_FRACTION, seed=RANDOM_SEED)
+    return cl.sample_users(enriched(spark, sf_dir, cfg), cfg).select(EVENT_ORDER, "user_id")
+
+
 def q_stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = cl.stage_stats(interactions(spark, sf_dir), TD_CFG)
     return s.select("n_rows", "n_users", "n_items",
                     r6("label_mean"), r6("label_pos_share"), r6("watch_ratio_mean"))
 
 
+# ---------------------------------------------------------------------------
+# Features stage
+# ---------------------------------------------------------------------------
+
+def q_split_bounds(spark, sf_dir):
+    st = Stage(spark, sf_dir)
+    return ft.bounds_frame(spark, st.bounds)
+
+
+def q_temporal_split(spark, sf_dir):
+    return Stage(spark, sf_dir).split().select(EVENT_ORDER, SPLIT)
+
+
+def q_split_sizes(spark, sf_dir):
+    return ft.split_sizes(Stage(spark, sf_dir).split())
+
+
+def q_user_features(spark, sf_dir):
+    return _f32_doubles(Stage(spark, sf_dir).feats.user)
+
+
+def q_item_features(spark, sf_dir):
+    return _f32_doubles(Stage(spark, sf_dir).feats.item)
+
+
+def q_author_features(spark, sf_dir):
+    return _f32_doubles(Stage(spark, sf_dir).feats.author)
+
+
+def q_user_author_features(spark, sf_dir):
+    return _f32_doubles(Stage(spark, sf_dir).feats.ua)
+
+
+# ---------------------------------------------------------------------------
+# Embedding feature
+# ---------------------------------------------------------------------------
+
+def q_embedding_normalise(spark, sf_dir):
+    u = Stage(spark, sf_dir).unit()
+    return u.select("item_id", F.size("vec").alias("n_dims"),
+                    f32(fv.l2_norm(F.col("vec"))).alias("l2_norm"),
+                    f32(F.col("vec")[0]).alias("e_first"))
+
+
+def q_user_profile(spark, sf_dir):
+    p = Stage(spark, sf_dir).profiles()
+    return p.select("user_id", "n_votes",
+                    f32(F.col("profile")[0]).alias("p_first"),
+                    f32(fv.l2_norm(F.col("profile"))).alias("p_norm"))
+
+
+def q_emb_cos(spark, sf_dir):
+    st = Stage(spark, sf_dir)
+    out = vx.attach_cosine(st.inter.select(EVENT_ORDER, "user_id", "item_id"), st.profiles(),
+                           st.unit(), st.cfg, st.dim())
+    return out.select(EVENT_ORDER, f32(fc.nan_to_null(F.col(vx.EMB_COS)))
+                      .alias("emb_cos"))
+
+
+def q_profile_coverage(spark, sf_dir):
+    st = Stage(spark, sf_dir)
+    return vx.profile_coverage(st.inter, st.profiles(), st.cfg)
+
+
+def q_id_lookup(spark, sf_dir):
+    ids = ad.item_vectors(spark, sf_dir).select("item_id")
+    query = norm_log(spark, sf_dir).select("item_id").distinct()
+    return vx.id_lookup(ids, query, "item_id")
+
+
+# ---------------------------------------------------------------------------
+# Dataset stage
+# ---------------------------------------------------------------------------
+
+def _dataset(spark, sf_dir):
+    st = Stage(spark, sf_dir)
+    return ds.assemble(st.inter, st.feats, st.bounds, st.cfg, st.vectors())
+
+
+def q_assemble_features(spark, sf_dir):
+    d, meta = _dataset(spark, sf_dir)
+    d = d.withColumn("emb_cos", fc.nan_to_null(F.col("emb_cos")))
+    return _f32_doubles(d.select(*[F.col(c).cast("double") if c in meta.num_features else F.col(c)
+                                     for c in d.columns]))
+
+
+def q_dur_diff(spark, sf_dir):
+    d, _ = _dataset(spark, sf_dir)
+    return d.select(EVENT_ORDER, r6("dur_diff"))
+
+
+def q_categorical_normalise(spark, sf_dir):
+    d, meta = _dataset(spark, sf_dir)
+    return d.select(EVENT_ORDER, *meta.cat_features)
+
+
+def q_grouped_split(spark, sf_dir):
+    """O2 layout written to the shared scratch folder and checked per file."""
+    from ..plans.sinks import write_grouped_splits
+    from ..operators.checks import group_runs_per_file
+
+    d, _ = _dataset(spark, sf_dir)
+    path = write_grouped_splits(d, TD_CFG)
+    return group_runs_per_file(spark.read.parquet(path), TD_CFG)
+
+
+def q_head_whole_groups(spark, sf_dir):
+    d, _ = _dataset(spark, sf_dir)
+    train = d.where(F.col(SPLIT) == "train")
+    return ds.head_whole_groups(train, HEAD_ROWS, TD_CFG).select("user_id", EVENT_ORDER, LABEL)
+
+
+# ---------------------------------------------------------------------------
+# Ranking metrics (score: train-window item mean label on the val split)
+# ---------------------------------------------------------------------------
+
+def q_rank_in_group(spark, sf_dir):
+    sc = Stage(spark, sf_dir).scored().select("user_id", EVENT_ORDER, "score")
+    return rk.rank_in_group(sc, ["user_id"], "score", EVENT_ORDER).select("user_id", EVENT_ORDER, "pos")
+
+
+def q_running_hits(spark, sf_dir):
+    sc = Stage(spark, sf_dir).scored().select("user_id", EVENT_ORDER, "score", LABEL)
+    out = rk.running_hits(sc, ["user_id"], LABEL, "score", EVENT_ORDER, TD_CFG.eval.binary_threshold)
+    return out.select("user_id", EVENT_ORDER, "pos", "cum_hits")
+
+
+def q_ideal_rank(spark, sf_dir):
+    sc = Stage(spark, sf_dir).scored().select("user_id", EVENT_ORDER, LABEL)
+    return rk.ideal_rank(sc, ["user_id"], LABEL, EVENT_ORDER).select("user_id", EVENT_ORDER, "ideal_pos")
+
+
+def _single(metric, gain="exp", k=METRIC_K):
+    def q(spark, sf_dir):
+        sc = Stage(spark, sf_dir).scored()
+        out = rk.single_metric(sc, metric, ["user_id"], LABEL, "score", EVENT_ORDER,
+                               k=None if metric == "gauc" else k,
+                               thr=TD_CFG.eval.binary_threshold, gain=gain)
+        return _f32_doubles(out)
+    q.__name__ = f"q_{metric}"
+    return q
+
+
+def q_ranking_metrics(spark, sf_dir):
+    sc = Stage(spark, sf_dir).scored()
+    out = rk.ranking_metrics(sc, ["user_id"], LABEL, "score", EVENT_ORDER,
+                             ks=TD_CFG.eval.ks, thr=TD_CFG.eval.binary_threshold)
+    return _f32_doubles(out)
+
+
+def q_metrics_by_split(spark, sf_dir):
+    """T4-style evaluation of val and test in one pass (split in the group key)."""
+    sc = Stage(spark, sf_dir).scored(("val", "test"))
+    out = rk.ranking_metrics(sc, ["user_id"], LABEL, "score", EVENT_ORDER,
+                             ks=TD_CFG.eval.ks, thr=TD_CFG.eval.binary_threshold, by=[SPLIT])
+    return _f32_doubles(out)
+
+
+def q_random_baseline(spark, sf_dir):
+    """Deterministic pseudo-random scores (md5 of event_order|seed)."""
+    st = Stage(spark, sf_dir)
+    ev = st.split().where(F.col(SPLIT) == "val")
+    ev = ev.withColumn("score", fc.portable_hash_bucket(F.col(EVENT_ORDER), RANDOM_SEED, 1_000_003)
+                       .cast("double"))
+    out = rk.ranking_metrics(ev, ["user_id"], LABEL, "score", EVENT_ORDER, ks=(METRIC_K,),
+                             thr=TD_CFG.eval.binary_threshold)
+    return _f32_doubles(out.select(f"ndcg_at_{METRIC_K}", f"map_at_{METRIC_K}", "gauc", "n_groups"))
+
+
 QUERIES = {
+    "feedback_normalise": q_feedback_normalise,
+    "enrich_events": q_enrich_events,
+    "clean_events": q_clean_events,
+    "watch_ratio": q_watch_ratio,
+    "min_activity": q_min_activity,
+    "graded_label": q_graded_label,
+    "user_sample": q_user_sample,
     "stage_stats": q_stage_stats,
+    "split_bounds": q_split_bounds,
+    "temporal_split": q_temporal_split,
+    "split_sizes": q_split_sizes,
+    "user_features": q_user_features,
+    "item_features": q_item_features,
+    "author_features": q_author_features,
+    "user_author_features": q_user_author_features,
+    "embedding_normalise": q_embedding_normalise,
+    "user_profile": q_user_profile,
+    "emb_cos": q_emb_cos,
+    "profile_coverage": q_profile_coverage,
+    "id_lookup": q_id_lookup,
+    "assemble_features": q_assemble_features,
+    "dur_diff": q_dur_diff,
+    "categorical_normalise": q_categorical_normalise,
+    "grouped_split": q_grouped_split,
+    "head_whole_groups": q_head_whole_groups,
+    "rank_in_group": q_rank_in_group,
+    "running_hits": q_running_hits,
+    "ideal_rank": q_ideal_rank,
+    "ndcg_at_k": _single("ndcg"),
+    "ndcg_linear_at_k": _single("ndcg", gain="linear"),
+    "map_at_k": _single("map"),
+    "mrr_at_k": _single("mrr"),
+    "hitrate_at_k": _single("hitrate"),
+    "recall_at_k": _single("recall"),
+    "precision_at_k": _single("precision"),
+    "gauc": _single("gauc"),
+    "ranking_metrics": q_ranking_metrics,
+    "metrics_by_split": q_metrics_by_split,
+    "random_baseline": q_random_baseline,
 }
+
