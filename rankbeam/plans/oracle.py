@@ -347,4 +347,27 @@ WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(
     q["random_baseline"] = grnd + (
         f"SELECT CAST({me[f'ndcg_at_{k}']} AS FLOAT) AS ndcg_at_{k}, CAST({me[f'map_at_{k}']} AS FLOAT) AS map_at_{k}, "
         f"CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp")
+    q["event_order"] = (
+        "SELECT event_id AS event_order, user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) "
+        "AS item_id, value AS timespent FROM events")
+    q["meta_scan"] = base + "SELECT user_id, age, gender, geo FROM users"
+    q["npz_embeddings"] = ("SELECT vec_id AS item_id, CAST(len(embedding) AS BIGINT) AS n_dims, "
+                           "CAST(embedding[1] AS FLOAT) AS e_first FROM embeddings WHERE label <> 0")
+    q["shard_stage_stats"] = q["stage_stats"]
+    q["source_catalog"] = """
+WITH t0 AS (SELECT min(epoch_us(ts)) AS us FROM events),
+wk AS (SELECT DISTINCT CAST(floor((epoch_us(ts) - (SELECT us FROM t0)) / 604800000000) AS INTEGER) AS w
+       FROM events),
+rk AS (SELECT w, dense_rank() OVER (ORDER BY w DESC) AS back FROM wk),
+sh AS (
+  SELECT 'interactions' AS category,
+         CASE WHEN back = 1 THEN 'test' WHEN back = 2 THEN 'validation' ELSE 'train' END
+           || '/week_' || lpad(CAST(w AS VARCHAR), 2, '0') || '.parquet' AS shard,
+         w AS week FROM rk
+  UNION ALL SELECT 'users', 'metadata/users_metadata.parquet', 1000000000
+  UNION ALL SELECT 'items', 'metadata/items_metadata.parquet', 1000000000
+  UNION ALL SELECT 'embeddings', 'metadata/item_embeddings', 1000000000)
+SELECT category, shard, week,
+       CAST(dense_rank() OVER (PARTITION BY category ORDER BY week, shard) AS BIGINT) AS shard_ord
+FROM sh"""
     return q

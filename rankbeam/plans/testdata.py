@@ -9,7 +9,7 @@ without decimal rounding ties.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, SPLIT, WATCH_RATIO, Config
@@ -21,6 +21,10 @@ from ..operators import features as ft
 from ..operators import ranking as rk
 from ..operators import vectors as vx
 from ..sources import adapters as ad
+from ..sources import catalog as cat
+from ..sources import embeddings as emb
+from ..sources import shard_tree
+from ..sources import shards as sh
 
 # Thresholds that bite on the provided tables (see FIXTURES.md).
 TD_CFG = Config().with_cleaning(
@@ -321,6 +325,118 @@ def q_random_baseline(spark, sf_dir):
     return _f32_doubles(out.select(f"ndcg_at_{METRIC_K}", f"map_at_{METRIC_K}", "gauc", "n_groups"))
 
 
+# ---------------------------------------------------------------------------
+# Sources: the raw folder layout written from adapter A, ingested by the job
+# ---------------------------------------------------------------------------
+
+def _manifest(spark, sf_dir):
+    root = shard_tree.cached_tree(spark, sf_dir)
+    return root, cat.manifest(cat.list_files(spark, root))
+
+
+def q_source_catalog(spark, sf_dir):
+    """Categories, shard folders, week numbers and their order."""
+    _, man = _manifest(spark, sf_dir)
+    out = man.select("category", "shard", "week").distinct()
+    w = Window.partitionBy("category").orderBy("week", "shard")
+    return out.withColumn("shard_ord", F.dense_rank().over(w).cast("bigint"))
+
+
+def q_event_order(spark, sf_dir):
+    """S6 + S7: global row index over shards in week order (file offsets)."""
+    root, man = _manifest(spark, sf_dir)
+    log = sh.with_row_index(sh.scan(spark, cat.paths(man, "interactions")), root)
+    return log.select(EVENT_ORDER, "user_id", "item_id", "timespent")
+
+
+def q_meta_scan(spark, sf_dir):
+    """Tolerant metadata projection (a wanted column that does not exist is skipped)."""
+    _, man = _manifest(spark, sf_dir)
+    return sh.scan_meta(spark, cat.paths(man, "users"), ["user_id", "age", "gender", "geo", "region"])
+
+
+def q_npz_embeddings(spark, sf_dir):
+    """NPZ archives decoded on the executors."""
+    _, man = _manifest(spark, sf_dir)
+    v = emb.load_vectors(spark, cat.paths(man, "embeddings"), cat.paths(man, "items"))
+    return v.select("item_id", F.size("embedding").cast("bigint").alias("n_dims"),
+                    f32(F.col("embedding")[0]).alias("e_first"))
+
+
+def q_shard_stage_stats(spark, sf_dir):
+    """Preprocess from the raw folder (S1-S9 -> P1-P6, J1-J3, A1, A2)."""
+    from .job import load_inputs
+
+    root, man = _manifest(spark, sf_dir)
+    inp = load_inputs(spark, root, man, TD_CFG)
+    inter = cl.preprocess(inp.log, inp.items, inp.users, TD_CFG)
+    s = cl.stage_stats(inter, TD_CFG)
+    return s.select("n_rows", "n_users", "n_items",
+                    r6("label_mean"), r6("label_pos_share"), r6("watch_ratio_mean"))
+
+
+# ---------------------------------------------------------------------------
+# Ranker (MLlib): rows-only checks, no SQL oracle
+# ---------------------------------------------------------------------------
+
+_FITS: dict = {}
+
+
+def _fit(spark, sf_dir):
+    from ..operators import ranker as rkr
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        d, meta = _dataset(spark, sf_dir)
+        d = d.persist(StorageLevel.MEMORY_AND_DISK)
+        res = rkr.fit_and_evaluate(d, meta, TD_CFG, curve=True)
+        _FITS[key] = (d, meta, res)
+    return _FITS[key]
+
+
+def q_ranker_metrics(spark, sf_dir):
+    """Fit on train, score val and test, grouped metrics per split."""
+    from ..operators import ranker as rkr
+
+    d, meta, res = _fit(spark, sf_dir)
+    held = rkr.score(res.model, d.where(F.col(SPLIT).isin("val", "test")), meta, TD_CFG)
+    return rkr.evaluate(held, meta, TD_CFG)
+
+
+def q_training_curve(spark, sf_dir):
+    """T5: staged NDCG@10 / GAUC on val every metric_period trees."""
+    _, _, res = _fit(spark, sf_dir)
+    return spark.createDataFrame([(r["iteration"], r["ndcg_at_10"], r["gauc"]) for r in res.curve],
+                                 "iteration int, ndcg_at_10 double, gauc double")
+
+
+def q_feature_importance(spark, sf_dir):
+    """One row per feature."""
+    return _fit(spark, sf_dir)[2].importances
+
+
+def q_top_importances(spark, sf_dir):
+    """The ten most important features (the limit is the report)."""
+    return _fit(spark, sf_dir)[2].importances.orderBy(F.desc("importance"), "feature").limit(10)
+
+
+def q_model_roundtrip(spark, sf_dir):
+    """Save, load, rescore; counts rows whose prediction changed."""
+    from ..operators import ranker as rkr
+    from ..session import scratch_path
+
+    d, meta, res = _fit(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    rkr.save(res.model, path)
+    back = rkr.load(path)
+    val = d.where(F.col(SPLIT) == "val")
+    a = rkr.score(res.model, val, meta, TD_CFG).select(EVENT_ORDER, F.col("prediction").alias("p1"))
+    b = rkr.score(back, val, meta, TD_CFG).select(EVENT_ORDER, F.col("prediction").alias("p2"))
+    j = a.join(b, EVENT_ORDER)
+    return j.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.sum((F.abs(F.col("p1") - F.col("p2")) > 1e-12).cast("long")).alias("n_changed"))
+
+
 QUERIES = {
     "feedback_normalise": q_feedback_normalise,
     "enrich_events": q_enrich_events,
@@ -361,5 +477,15 @@ QUERIES = {
     "ranking_metrics": q_ranking_metrics,
     "metrics_by_split": q_metrics_by_split,
     "random_baseline": q_random_baseline,
+    "source_catalog": q_source_catalog,
+    "event_order": q_event_order,
+    "meta_scan": q_meta_scan,
+    "npz_embeddings": q_npz_embeddings,
+    "shard_stage_stats": q_shard_stage_stats,
+    "ranker_metrics": q_ranker_metrics,
+    "training_curve": q_training_curve,
+    "feature_importance": q_feature_importance,
+    "top_importances": q_top_importances,
+    "model_roundtrip": q_model_roundtrip,
 }
 
