@@ -30,6 +30,10 @@ from ..sources import shards as sh
 TD_CFG = Config().with_cleaning(
     max_timespent_sec=200.0, min_user_interactions=60, min_item_interactions=95,
 )
+# Smoke thresholds for the tiny sf0.001 tables used by ``entry``.
+SMOKE_CFG = Config().with_cleaning(
+    max_timespent_sec=200.0, min_user_interactions=20, min_item_interactions=5,
+)
 SAMPLE_FRACTION = 0.3
 METRIC_K = 10
 HEAD_ROWS = 1000
@@ -242,6 +246,13 @@ def q_assemble_features(spark, sf_dir):
                                      for c in d.columns]))
 
 
+def flagship(spark, sf_dir, cfg=SMOKE_CFG):
+    """The model-ready dataset (all stages up to assembly) on adapter A."""
+    st = Stage(spark, sf_dir, cfg)
+    d, _ = ds.assemble(st.inter, st.feats, st.bounds, cfg, st.vectors())
+    return d
+
+
 def q_dur_diff(spark, sf_dir):
     d, _ = _dataset(spark, sf_dir)
     return d.select(EVENT_ORDER, r6("dur_diff"))

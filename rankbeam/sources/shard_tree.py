@@ -53,3 +53,20 @@ def cached_tree(spark: SparkSession, sf_dir: str) -> str:
         _CACHE[key] = write_tree(spark, sf_dir)
     return _CACHE[key]
 
+
+
+def write_lineitem_tree(spark: SparkSession, sf_dir: str, root: str | None = None,
+                        num_files: int | None = None) -> str:
+    """Adapter B as a raw folder: one shard folder whose part files follow the
+    log order (l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_extendedprice); the job numbers rows from these file positions."""
+    root = root or scratch_path(spark, "raw-b")
+    log = ad.lineitem_log(spark, sf_dir)
+    ordered = (log.repartitionByRange(num_files, *ad.B_ORDER_KEY) if num_files
+               else log.repartitionByRange(*ad.B_ORDER_KEY)).sortWithinPartitions(*ad.B_ORDER_KEY)
+    raw_cols = [c for c in log.columns if c not in ad.B_ORDER_KEY or c == "item_id"]
+    ordered.select(*raw_cols).write.mode("overwrite").parquet(f"{root}/log/week_00.parquet")
+    ad.user_meta(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/metadata/users_metadata.parquet")
+    ad.item_meta(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/metadata/items_metadata.parquet")
+    write_npz(ad.item_vectors(spark, sf_dir), f"{root}/metadata/item_embeddings")
+    return root
