@@ -48,6 +48,22 @@ def split_col(b: Bounds) -> Column:
             .otherwise(F.lit("test"))).alias(SPLIT)
 
 
+def split_predicate(b: Bounds, splits) -> Column:
+    """Rows of the named splits as a range on ``event_order``.
+
+    Unlike a filter on the derived ``split`` label, this reaches the Parquet
+    scan (row-group / file min-max skipping on the sorted interactions).
+    """
+    eo = F.col(EVENT_ORDER)
+    parts = {"train": eo < F.lit(b.train_end),
+             "val": (eo >= F.lit(b.train_end)) & (eo < F.lit(b.val_end)),
+             "test": eo >= F.lit(b.val_end)}
+    cond = None
+    for name in ([splits] if isinstance(splits, str) else list(splits)):
+        cond = parts[name] if cond is None else cond | parts[name]
+    return cond
+
+
 def temporal_split(df: DataFrame, b: Bounds) -> DataFrame:
     return df.withColumn(SPLIT, split_col(b))
 

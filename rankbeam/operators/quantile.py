@@ -12,6 +12,7 @@ into one aggregation buffer.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,28 +30,36 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], fanout: int = 4096
     n = int(stats["n"])
     if n == 0:
         return [None for _ in qs]
-    out: list[int | None] = []
-    for q in qs:
-        r = nearest_rank(n, q)
-        lo, hi = int(stats["lo"]), int(stats["hi"])
-        while True:
+    # One job per refinement round for all targets: (target, lo, hi, rank left).
+    state = [[j, int(stats["lo"]), int(stats["hi"]), nearest_rank(n, q)] for j, q in enumerate(qs)]
+    out: list[int | None] = [None for _ in qs]
+    while state:
+        parts = []
+        for j, lo, hi, _ in state:
             width = max(1, -(-(hi - lo + 1) // fanout))
-            hist = (x.where((F.col("v") >= lo) & (F.col("v") <= hi))
-                    .groupBy(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("long").alias("b"))
-                    .count().orderBy("b").collect())
-            seen = 0
-            chosen = None
-            for row in hist:
-                if seen + row["count"] > r:
-                    chosen = int(row["b"])
+            parts.append(
+                x.where((F.col("v") >= lo) & (F.col("v") <= hi))
+                .groupBy(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("long").alias("b"))
+                .count().withColumn("t", F.lit(j)))
+        hist = reduce(DataFrame.unionByName, parts).collect()
+        by_t: dict[int, list] = {}
+        for row in hist:
+            by_t.setdefault(int(row["t"]), []).append((int(row["b"]), int(row["count"])))
+        nxt = []
+        for j, lo, hi, r in state:
+            width = max(1, -(-(hi - lo + 1) // fanout))
+            seen, chosen = 0, None
+            for b, c in sorted(by_t.get(j, [])):
+                if seen + c > r:
+                    chosen = b
                     break
-                seen += int(row["count"])
+                seen += c
             if chosen is None:  # cannot happen for 0 <= r < n
                 raise RuntimeError("rank outside the histogram")
-            r -= seen
-            lo = lo + chosen * width
-            hi = min(hi, lo + width - 1)
+            lo2 = lo + chosen * width
             if width == 1:
-                out.append(lo)
-                break
+                out[j] = lo2
+            else:
+                nxt.append([j, lo2, min(hi, lo2 + width - 1), r - seen])
+        state = nxt
     return out

@@ -113,7 +113,7 @@ class Stage:
     def scored(self, split: str | tuple[str, ...] = "val") -> DataFrame:
         """Events of a split scored by the train-window item mean label."""
         splits = (split,) if isinstance(split, str) else tuple(split)
-        ev = self.split().where(F.col(SPLIT).isin(*splits))
+        ev = ft.temporal_split(self.inter.where(ft.split_predicate(self.bounds, splits)), self.bounds)
         score = self.feats.item.select(self.cfg.columns.item_id,
                                        F.col("item_mean_label").cast("float").cast("double").alias("score"))
         return ev.join(score, self.cfg.columns.item_id, "left")
@@ -328,7 +328,7 @@ def q_metrics_by_split(spark, sf_dir):
 def q_random_baseline(spark, sf_dir):
     """Deterministic pseudo-random scores (md5 of event_order|seed)."""
     st = Stage(spark, sf_dir)
-    ev = st.split().where(F.col(SPLIT) == "val")
+    ev = ft.temporal_split(st.inter.where(ft.split_predicate(st.bounds, "val")), st.bounds)
     ev = ev.withColumn("score", fc.portable_hash_bucket(F.col(EVENT_ORDER), RANDOM_SEED, 1_000_003)
                        .cast("double"))
     out = rk.ranking_metrics(ev, ["user_id"], LABEL, "score", EVENT_ORDER, ks=(METRIC_K,),
