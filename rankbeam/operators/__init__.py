@@ -1 +1 @@
-"""rankbeam package."""
+"""rankbeam.operators."""

@@ -125,3 +125,20 @@ def head_whole_groups(ds: DataFrame, n: int, cfg: Config) -> DataFrame:
     if st["ng"] is None or st["ng"] <= 1:
         return head
     return head.where(F.col(u) != F.lit(st["last"]))
+
+
+def load_split(spark, dataset_dir: str, split: str, meta: DatasetMeta, cfg: Config,
+               max_rows: int | None = None) -> DataFrame:
+    """Features + label + group of one split; stays distributed.
+
+    The split is a partition folder, so only its files are read. With
+    ``max_rows`` the first rows by (user, event_order) are kept and the last,
+    possibly cut group is dropped (O4).
+    """
+    df = spark.read.parquet(dataset_dir).where(F.col(SPLIT) == split)
+    cols = [meta.group, meta.item_id, meta.event_order, meta.label,
+            *meta.num_features, *meta.cat_features]
+    df = df.select(*cols)
+    if max_rows:
+        df = head_whole_groups(df, int(max_rows), cfg)
+    return df

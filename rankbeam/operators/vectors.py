@@ -84,6 +84,17 @@ def attach_cosine(df: DataFrame, profiles: DataFrame, unit: DataFrame, cfg: Conf
     return j.withColumn(EMB_COS, cos.cast("float")).drop(PROFILE, VEC)
 
 
+def attach_stored_cosine(df: DataFrame, cos_table: DataFrame | None) -> DataFrame:
+    """Left join of a stored (event_order, emb_cos) table; no-op without one.
+
+    The fused path (``attach_cosine``) avoids this event-keyed shuffle; this
+    form serves a cosine table written by an earlier run (S13).
+    """
+    if cos_table is None:
+        return df
+    return df.join(cos_table.select(EVENT_ORDER, EMB_COS), EVENT_ORDER, "left")
+
+
 def profile_coverage(inter: DataFrame, profiles: DataFrame, cfg: Config) -> DataFrame:
     """Users with a profile among all users of the log."""
     c = cfg.columns

@@ -14,6 +14,7 @@ import argparse
 import json
 import os
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,7 @@ def load_inputs(spark: SparkSession, raw_dir: str, man: DataFrame, cfg: Config)
 def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
         stages=STAGES) -> RunResult:
     res = RunResult()
+    run_id = uuid.uuid4().hex[:12]
     t = time.time()
 
     def tick(name):
@@ -88,12 +90,16 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
     if "preprocess" in stages:
         inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
         sinks.write_interactions(inter, inter_path)
-        stats = cl.stage_stats(spark.read.parquet(inter_path), cfg).first().asDict()
+        stats_df = cl.stage_stats(spark.read.parquet(inter_path), cfg)
+        sinks.write_json_row(stats_df, os.path.join(out_dir, "reports", "stats"))
+        stats = spark.read.json(os.path.join(out_dir, "reports", "stats")).first().asDict()
         res.stats = {k: float(v) if v is not None else None for k, v in stats.items()}
+        _track(spark, out_dir, run_id, "preprocess", res.stats)
         tick("preprocess")
     inter = spark.read.parquet(inter_path)
     if "features" in stages or "dataset" in stages:
         res.bounds = ft.split_bounds(inter, cfg)
+        sinks.write_json_row(ft.bounds_frame(spark, res.bounds), os.path.join(out_dir, "reports", "bounds"))
         feats = ft.build_aggregates(inter, res.bounds, cfg)
         fdir = os.path.join(out_dir, "features")
         for name in ("user", "item", "author", "ua"):
@@ -107,8 +113,9 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
             written = spark.read.parquet(dpath)
             res.sizes = {r["split"]: r["n_rows"] for r in ft.split_sizes(written).collect()}
             res.meta = meta
-            with open(os.path.join(_local(out_dir), "dataset_meta.json"), "w") as fh:
-                fh.write(sinks.meta_json(meta))
+            meta_df = spark.createDataFrame([(sinks.meta_json(meta),)], "meta string")
+            sinks.write_json_row(meta_df, os.path.join(out_dir, "reports", "dataset_meta"))
+            _track(spark, out_dir, run_id, "dataset", {f"rows_{k}": v for k, v in res.sizes.items()})
             tick("dataset")
             if "train" in stages:
                 from ..operators import ranker as rkr
@@ -116,16 +123,20 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
                 fit = rkr.fit_and_evaluate(written, meta, cfg)
                 res.metrics = fit.metrics
                 rkr.save(fit.model, os.path.join(out_dir, "model"))
+                fit.importances.coalesce(1).write.mode("overwrite").option("header", True).csv(
+                    os.path.join(out_dir, "reports", "feature_importance"))
+                flat = {f"{sp}/{k}": v for sp, m in fit.metrics.items() for k, v in m.items()}
+                _track(spark, out_dir, run_id, "train", flat)
                 tick("train")
     return res
 
 
-def _local(path: str) -> str:
-    from ..session import local_fs_path
-
-    p = local_fs_path(path)
-    os.makedirs(p, exist_ok=True)
-    return p
+def _track(spark: SparkSession, out_dir: str, run_id: str, stage: str, values: dict) -> None:
+    """Tracking scalars appended to one metrics table."""
+    vals = {k: v for k, v in values.items() if isinstance(v, (int, float)) and v is not None}
+    if vals:
+        sinks.append_metrics(sinks.metrics_frame(spark, run_id, stage, vals),
+                             os.path.join(out_dir, "reports", "tracking"))
 
 
 def main(argv=None):

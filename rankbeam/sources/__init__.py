@@ -1 +1 @@
-"""rankbeam package."""
+"""rankbeam.sources."""

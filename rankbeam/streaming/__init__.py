@@ -1 +1,7 @@
-"""rankbeam package."""
+"""No stream processing.
+
+The reference job has no event-time windows, watermarks or state: its
+"streaming" is out-of-core batch execution (lazy plans written to Parquet) and
+chunked Arrow reads, both of which Spark batch execution covers. This package is
+kept empty on purpose rather than inventing operators the reference lacks.
+"""
