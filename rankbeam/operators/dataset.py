@@ -82,8 +82,8 @@ def assemble(inter: DataFrame, feats: FeatureTables, b: Bounds, cfg: Config,
     df = join_features(inter, feats, cfg)
     has_emb = False
     if vectors is not None and cfg.features.use_embeddings:
-        unit = vx.unit_vectors(vectors, cfg, inter)
         dim = vx.vector_width(vectors, cfg)
+        unit = vx.sized_vectors(vx.unit_vectors(vectors, cfg, inter), cfg, dim)
         prof = vx.user_profiles(inter, unit, b.train_end, cfg, dim)
         df = vx.attach_cosine(df, prof, unit, cfg, dim)
         has_emb = True

@@ -34,25 +34,21 @@ def feature_frame(df: DataFrame, num: list[str], cfg: Config) -> DataFrame:
     return df.select(*keep, *[_num_input(n, cfg.model.missing_value) for n in num])
 
 
-def build_pipeline(num: list[str], cat: list[str], cfg: Config, max_bins: int) -> Pipeline:
-    """T1 + T2: indexers (unseen -> extra bucket), assembler, GBT."""
+def indexer(cat: list[str]) -> StringIndexer:
+    """All categorical columns in one pass; unseen values get an extra index."""
+    return StringIndexer(inputCols=list(cat), outputCols=[f"{c}__i" for c in cat],
+                         handleInvalid="keep", stringOrderType="alphabetAsc")
+
+
+def build_tail(num: list[str], cat: list[str], cfg: Config, max_bins: int) -> list:
+    """T1 + T2: assembler and GBT after the fitted indexer."""
     m = cfg.model
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}__i", handleInvalid="keep",
-                         stringOrderType="alphabetAsc") for c in cat]
     asm = VectorAssembler(inputCols=[f"{n}__n" for n in num] + [f"{c}__i" for c in cat],
                           outputCol=FEATURES, handleInvalid="keep")
     gbt = GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION,
                        maxIter=m.max_iter, maxDepth=m.max_depth, stepSize=m.step_size,
                        subsamplingRate=m.subsampling_rate, seed=m.seed, maxBins=max_bins)
-    return Pipeline(stages=[*idx, asm, gbt])
-
-
-def category_bins(train: DataFrame, cat: list[str]) -> int:
-    """maxBins must cover the largest categorical cardinality (+ unseen bucket)."""
-    if not cat:
-        return 32
-    row = train.agg(*[F.count_distinct(c).alias(c) for c in cat]).first()
-    return max(32, max(int(row[c] or 0) for c in cat) + 2)
+    return [asm, gbt]
 
 
 @dataclass
@@ -67,8 +63,16 @@ class FitResult:
 def fit(dataset: DataFrame, meta, cfg: Config) -> PipelineModel:
     """Fit on the train split (stays distributed)."""
     train = feature_frame(dataset.where(F.col(SPLIT) == "train"), meta.num_features, cfg)
-    bins = category_bins(train, meta.cat_features)
-    return build_pipeline(meta.num_features, meta.cat_features, cfg, bins).fit(train)
+    stages = []
+    bins = 32
+    if meta.cat_features:
+        idx = indexer(meta.cat_features).fit(train)
+        stages.append(idx)
+        # maxBins must cover the largest categorical cardinality (+ unseen bucket)
+        bins = max(32, max(len(lbl) for lbl in idx.labelsArray) + 2)
+    tail = Pipeline(stages=build_tail(meta.num_features, meta.cat_features, cfg, bins))
+    fitted_tail = tail.fit(stages[0].transform(train) if stages else train)
+    return PipelineModel(stages=[*stages, *fitted_tail.stages])
 
 
 def score(model: PipelineModel, df: DataFrame, meta, cfg: Config) -> DataFrame:

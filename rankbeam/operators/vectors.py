@@ -44,6 +44,19 @@ def unit_vectors(vectors: DataFrame, cfg: Config, log: DataFrame | None = None)
     return v
 
 
+def sized_vectors(vecs: DataFrame, cfg: Config, dim: int) -> DataFrame:
+    """Broadcast a vector table only under the cell bound (rows x width).
+
+    The decision is made once per frame: a frame already counted (and
+    persisted) keeps its hint, so callers can share one normalised table.
+    """
+    if getattr(vecs, "_rb_sized", False):
+        return vecs
+    out = bounded_broadcast(vecs, cfg.scale.broadcast_max_vector_cells // max(dim, 1))
+    out._rb_sized = True
+    return out
+
+
 def user_profiles(inter: DataFrame, unit: DataFrame, train_end: int, cfg: Config,
                   dim: int) -> DataFrame:
     """A10: per user, mean of unit vectors of train positives, L2-normalised.
@@ -57,8 +70,7 @@ def user_profiles(inter: DataFrame, unit: DataFrame, train_end: int, cfg: Config
     pos = inter.where((F.col(EVENT_ORDER) < F.lit(train_end))
                       & (F.col(LABEL) >= fc.float_lit(cfg.features.profile_pos_label)))
     pairs = pos.groupBy(c.user_id, c.item_id).agg(F.count(F.lit(1)).alias("votes"))
-    vecs = bounded_broadcast(unit, cfg.scale.broadcast_max_vector_cells // max(dim, 1))
-    j = pairs.join(vecs, c.item_id, "inner")
+    j = pairs.join(sized_vectors(unit, cfg, dim), c.item_id, "inner")
     sums = [F.sum(F.col("votes") * F.try_element_at(VEC, F.lit(i + 1))).alias(f"s{i}")
             for i in range(dim)]
     agg = j.groupBy(c.user_id).agg(F.sum("votes").alias("n_votes"), *sums)
@@ -75,10 +87,8 @@ def attach_cosine(df: DataFrame, profiles: DataFrame, unit: DataFrame, cfg: Conf
     counted size is within the configured bound.
     """
     c = cfg.columns
-    max_rows = cfg.scale.broadcast_max_vector_cells // max(dim, 1)
-    prof = bounded_broadcast(profiles.select(c.user_id, PROFILE), max_rows)
-    vecs = bounded_broadcast(unit, max_rows)
-    j = df.join(prof, c.user_id, "left").join(vecs, c.item_id, "left")
+    prof = sized_vectors(profiles.select(c.user_id, PROFILE), cfg, dim)
+    j = df.join(prof, c.user_id, "left").join(sized_vectors(unit, cfg, dim), c.item_id, "left")
     cos = F.when(F.col(PROFILE).isNotNull() & F.col(VEC).isNotNull(),
                  fv.dot(F.col(PROFILE), F.col(VEC))).otherwise(F.lit(float("nan")))
     return j.withColumn(EMB_COS, cos.cast("float")).drop(PROFILE, VEC)

@@ -23,17 +23,23 @@ WEEK_US = 7 * 24 * 3600 * 1_000_000
 _CACHE: dict[tuple[str, str], str] = {}
 
 
-def week_index(ts_col: str, t0_us: int):
-    return F.floor((F.unix_micros(F.col(ts_col).cast("timestamp")) - F.lit(t0_us)) / F.lit(WEEK_US)).cast("int")
+def wall_micros(spark: SparkSession, ts_col: str):
+    """Microseconds of a wall-clock (TIMESTAMP_NTZ) value read as UTC, any session zone."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.unix_micros(F.to_utc_timestamp(F.col(ts_col).cast("timestamp"), tz))
+
+
+def week_index(spark: SparkSession, ts_col: str, t0_us: int):
+    return F.floor((wall_micros(spark, ts_col) - F.lit(t0_us)) / F.lit(WEEK_US)).cast("int")
 
 
 def write_tree(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
     root = root or scratch_path(spark, "raw")
     ev = ad.table(spark, sf_dir, "events").select("event_id", "ts")
     log = ad.events_log(spark, sf_dir)
-    t0 = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0]
+    t0 = ev.agg(F.min(wall_micros(spark, "ts"))).first()[0]
     rows = log.join(ev.select(F.col("event_id").alias(EVENT_ORDER), "ts"), EVENT_ORDER)
-    rows = rows.withColumn("_week", week_index("ts", t0))
+    rows = rows.withColumn("_week", week_index(spark, "ts", t0))
     weeks = sorted(r["_week"] for r in rows.select("_week").distinct().collect())
     raw_cols = [c for c in log.columns if c != EVENT_ORDER]
     for w in weeks:
