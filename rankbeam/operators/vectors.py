@@ -21,12 +21,14 @@ EMB_COS = "emb_cos"
 
 
 def vector_width(vectors: DataFrame, cfg: Config) -> int:
-    """Width after truncation (an action only when no truncation is set)."""
-    dim = cfg.features.embedding_dim
-    if dim:
-        return int(dim)
+    """Width after truncation: min(stored width, ``embedding_dim``).
+
+    One small action over the vector table (bounded by the item count).
+    """
     row = vectors.agg(F.max(F.size(cfg.columns.embedding)).alias("w")).first()
-    return int(row["w"] or 0)
+    w = int(row["w"] or 0)
+    dim = cfg.features.embedding_dim
+    return min(w, int(dim)) if dim else w
 
 
 def unit_vectors(vectors: DataFrame, cfg: Config, log: DataFrame | None = None) -> DataFrame:
@@ -90,7 +92,7 @@ def attach_cosine(df: DataFrame, profiles: DataFrame, unit: DataFrame, cfg: Conf
     prof = sized_vectors(profiles.select(c.user_id, PROFILE), cfg, dim)
     j = df.join(prof, c.user_id, "left").join(sized_vectors(unit, cfg, dim), c.item_id, "left")
     cos = F.when(F.col(PROFILE).isNotNull() & F.col(VEC).isNotNull(),
-                 fv.dot(F.col(PROFILE), F.col(VEC))).otherwise(F.lit(float("nan")))
+                 fv.dot_n(F.col(PROFILE), F.col(VEC), dim)).otherwise(F.lit(float("nan")))
     return j.withColumn(EMB_COS, cos.cast("float")).drop(PROFILE, VEC)
 
 

@@ -100,3 +100,17 @@ def test_id_lookup_hand_values(spark):
     q = spark.createDataFrame([(30,), (10,), (99,), (40,), (5,)], "item_id long")
     got = {r["item_id"]: r["idx"] for r in vx.id_lookup(ids, q, "item_id").collect()}
     assert got == {30: 2, 10: 0, 99: -1, 40: 3, 5: -1}
+
+
+def test_narrow_vectors_with_wide_truncation(spark, stage):
+    """Stored vectors narrower than embedding_dim (8 < 32) still give a cosine."""
+    vec = spark.createDataFrame([(1, [3.0, 4.0] + [0.0] * 6), (2, [0.0, 1.0] + [0.0] * 6)],
+                                "item_id long, embedding array<float>")
+    inter = spark.createDataFrame([(0, 7, 1, 2.0), (1, 7, 2, 0.0), (2, 7, 2, 0.0)],
+                                  "event_order long, user_id long, item_id long, label float")
+    dim = vx.vector_width(vec, stage.cfg)
+    assert dim == 8
+    unit = vx.unit_vectors(vec, stage.cfg)
+    prof = vx.user_profiles(inter, unit, 10, stage.cfg, dim)
+    got = {r["event_order"]: r["emb_cos"] for r in vx.attach_cosine(inter, prof, unit, stage.cfg, dim).collect()}
+    assert got[0] == pytest.approx(1.0) and got[1] == pytest.approx(0.8)
