@@ -2,7 +2,7 @@
 
 Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints ONE JSON line:
-{"metric": "pipeline_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
+{"metric": "job_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Input preparation (writing the raw shard folder in log order) is done first
 and reported separately as ``input_write``; it is not part of ``value``.
@@ -91,11 +91,11 @@ def main() -> None:
 
         timed("train", lambda: rkr.fit_and_evaluate(written, meta, cfg))
 
-    pipeline = sum(v for k, v in times.items() if k != "input_write")
+    total = sum(v for k, v in times.items() if k != "input_write")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
-        "metric": "pipeline_sec",
-        "value": round(pipeline, 3),
+        "metric": "job_sec",
+        "value": round(total, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(m.group(1)) if m else sf_dir,
