@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, WATCH_RATIO, Config
 from ..functions import columns as fc
+from .joins import bounded_broadcast
 
 
 def normalise_feedback(log: DataFrame, cfg: Config) -> DataFrame:
@@ -76,15 +77,18 @@ def activity_filter(df: DataFrame, cfg: Config) -> DataFrame:
 
     One round, not a fixpoint: a kept user may end below the minimum after the
     item filter. Counts use partial aggregation (map-side combine), so a hot
-    key costs one partial row per task; the semi joins get AQE's runtime
-    broadcast or skew split.
+    key costs one partial row per task. Each key set is broadcast only when its
+    counted size is within ``scale.broadcast_max_rows``; otherwise the semi
+    join shuffles and AQE splits a skewed key's partition.
     """
     c, cl = cfg.columns, cfg.cleaning
+    lim = cfg.scale.broadcast_max_rows
     users = (df.groupBy(c.user_id).count()
              .where(F.col("count") >= cl.min_user_interactions).select(c.user_id))
     items = (df.groupBy(c.item_id).count()
              .where(F.col("count") >= cl.min_item_interactions).select(c.item_id))
-    return df.join(users, c.user_id, "left_semi").join(items, c.item_id, "left_semi")
+    out = df.join(bounded_broadcast(users, lim), c.user_id, "left_semi")
+    return out.join(bounded_broadcast(items, lim), c.item_id, "left_semi")
 
 
 def add_label(df: DataFrame, cfg: Config) -> DataFrame:
@@ -117,10 +121,12 @@ def stage_stats(df: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def sort_by_order(df: DataFrame) -> DataFrame:
+def sort_by_order(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """O1: range-partition and sort by ``event_order`` before the sink.
 
     Files then carry disjoint ``event_order`` ranges, so the later train-window
     and split filters skip whole files/row groups by min/max statistics.
     """
-    return df.repartitionByRange(EVENT_ORDER).sortWithinPartitions(EVENT_ORDER)
+    ranged = (df.repartitionByRange(num_partitions, EVENT_ORDER) if num_partitions
+              else df.repartitionByRange(EVENT_ORDER))
+    return ranged.sortWithinPartitions(EVENT_ORDER)

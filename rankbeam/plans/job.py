@@ -86,10 +86,11 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
     man = prepare(spark, raw_dir, cfg)
     tick("prepare")
     inp = load_inputs(spark, raw_dir, man, cfg)
+    parts = sinks.partitions_for(cat.total_bytes(man, "interactions"))
     inter_path = os.path.join(out_dir, "interactions")
     if "preprocess" in stages:
         inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
-        sinks.write_interactions(inter, inter_path)
+        sinks.write_interactions(inter, inter_path, parts)
         stats_df = cl.stage_stats(spark.read.parquet(inter_path), cfg)
         sinks.write_json_row(stats_df, os.path.join(out_dir, "reports", "stats"))
         stats = spark.read.json(os.path.join(out_dir, "reports", "stats")).first().asDict()
@@ -109,7 +110,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
         tick("features")
         if "dataset" in stages:
             dset, meta = ds.assemble(inter, feats, res.bounds, cfg, inp.vectors)
-            dpath = sinks.write_grouped_splits(dset, cfg, os.path.join(out_dir, "dataset"))
+            dpath = sinks.write_grouped_splits(dset, cfg, os.path.join(out_dir, "dataset"), parts)
             written = spark.read.parquet(dpath)
             res.sizes = {r["split"]: r["n_rows"] for r in ft.split_sizes(written).collect()}
             res.meta = meta

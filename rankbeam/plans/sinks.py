@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import EVENT_ORDER, SPLIT, Config
+from ..operators.clean import sort_by_order
 from ..operators.dataset import grouped_layout
 from ..session import scratch_path
 
@@ -20,16 +21,26 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return path
 
 
-def write_interactions(inter: DataFrame, path: str) -> str:
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int | None, target: int = TARGET_PARTITION_BYTES) -> int | None:
+    """Range partitions so each task handles about ``target`` input bytes."""
+    if not input_bytes:
+        return None
+    return max(1, -(-int(input_bytes) // target))
+
+
+def write_interactions(inter: DataFrame, path: str, num_partitions: int | None = None) -> str:
     """S11 + O1: interactions range-partitioned and sorted by ``event_order``."""
-    ordered = inter.repartitionByRange(EVENT_ORDER).sortWithinPartitions(EVENT_ORDER)
-    return write_table(ordered, path)
+    return write_table(sort_by_order(inter, num_partitions), path)
 
 
-def write_grouped_splits(ds: DataFrame, cfg: Config, path: str | None = None) -> str:
+def write_grouped_splits(ds: DataFrame, cfg: Config, path: str | None = None,
+                         num_partitions: int | None = None) -> str:
     """S11 + O2: the dataset in one write, one folder per split, users contiguous."""
     path = path or scratch_path(ds.sparkSession, "dataset")
-    return write_table(grouped_layout(ds, cfg), path, [SPLIT])
+    return write_table(grouped_layout(ds, cfg, num_partitions), path, [SPLIT])
 
 
 def write_cosine(df: DataFrame, path: str) -> str:

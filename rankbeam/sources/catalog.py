@@ -78,7 +78,7 @@ def manifest(files: DataFrame, src: Sources = Sources()) -> DataFrame:
         df = df.where((F.col("category") != "interactions") | (F.col("ord") < int(src.max_shards)))
     if not src.use_embeddings:
         df = df.where(F.col("category") != "embeddings")
-    return df.select("category", "week", "path", "rel", "shard", "ord")
+    return df.select("category", "week", "path", "rel", "shard", "ord", "length")
 
 
 def validate(man: DataFrame, required=("interactions", "users", "items")) -> None:
@@ -89,6 +89,12 @@ def validate(man: DataFrame, required=("interactions", "users", "items")) -> Non
         raise ValueError(f"no files for categories {missing}")
 
 
+def total_bytes(man: DataFrame, category: str) -> int:
+    """Bytes of one category's files (sizes the stage partitions)."""
+    row = man.where(F.col("category") == category).agg(F.sum("length").alias("b")).first()
+    return int(row["b"] or 0)
+
+
 def paths(man: DataFrame, category: str) -> list[str]:
     """Ordered file paths of one category (one row per file)."""
     rows = man.where(F.col("category") == category).orderBy("week", "path").select("path").collect()
