@@ -133,7 +133,7 @@ pos_pairs AS (
   WHERE event_order < (SELECT train_end FROM bounds) AND label >= CAST({TD_CFG.features.profile_pos_label} AS FLOAT)
   GROUP BY user_id, item_id),
 pvotes AS (
-  SELECT user_id, sum(votes) AS n_votes FROM pos_pairs
+  SELECT user_id, CAST(sum(votes) AS BIGINT) AS n_votes FROM pos_pairs
   WHERE item_id IN (SELECT item_id FROM vec_dedup) GROUP BY user_id),
 psum AS (
   SELECT p.user_id, u.i, sum(p.votes * u.x) AS s
@@ -190,9 +190,9 @@ ranked AS (
   SELECT *, CASE WHEN y >= {float(_E.binary_threshold)} THEN 1 ELSE 0 END AS hit,
          row_number() OVER (PARTITION BY split, user_id ORDER BY score DESC NULLS LAST, event_order) - 1 AS pos,
          row_number() OVER (PARTITION BY split, user_id ORDER BY y DESC, event_order) - 1 AS ipos,
-         sum(CASE WHEN y >= {float(_E.binary_threshold)} THEN 1 ELSE 0 END) OVER (
+         CAST(sum(CASE WHEN y >= {float(_E.binary_threshold)} THEN 1 ELSE 0 END) OVER (
              PARTITION BY split, user_id ORDER BY score DESC NULLS LAST, event_order
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_hits
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_hits
   FROM scored)
 """
 

@@ -199,7 +199,7 @@ def q_user_author_features(spark, sf_dir):
 
 def q_embedding_normalise(spark, sf_dir):
     u = Stage(spark, sf_dir).unit()
-    return u.select("item_id", F.size("vec").alias("n_dims"),
+    return u.select("item_id", F.size("vec").cast("bigint").alias("n_dims"),
                     f32(fv.l2_norm(F.col("vec"))).alias("l2_norm"),
                     f32(F.col("vec")[0]).alias("e_first"))
 
