@@ -114,3 +114,19 @@ def test_narrow_vectors_with_wide_truncation(spark, stage):
     prof = vx.user_profiles(inter, unit, 10, stage.cfg, dim)
     got = {r["event_order"]: r["emb_cos"] for r in vx.attach_cosine(inter, prof, unit, stage.cfg, dim).collect()}
     assert got[0] == pytest.approx(1.0) and got[1] == pytest.approx(0.8)
+
+
+def test_stored_cosine_roundtrip(spark, stage):
+    """S13 sink + J5 join give the same column as the fused computation."""
+    from rankbeam.plans import sinks
+    from rankbeam.session import scratch_path
+
+    base = stage.inter.select(EVENT_ORDER, "user_id", "item_id")
+    fused = vx.attach_cosine(base, stage.profiles(), stage.unit(), stage.cfg, stage.dim())
+    path = sinks.write_cosine(fused, scratch_path(spark, "cos"))
+    joined = vx.attach_stored_cosine(base, spark.read.parquet(path))
+    a = {r[EVENT_ORDER]: r["emb_cos"] for r in fused.collect()}
+    b = {r[EVENT_ORDER]: r["emb_cos"] for r in joined.collect()}
+    assert a.keys() == b.keys()
+    assert all((math.isnan(a[k]) and math.isnan(b[k])) or a[k] == b[k] for k in a)
+    assert vx.attach_stored_cosine(base, None) is base
