@@ -30,18 +30,45 @@ class DatasetMeta:
     split_bounds: dict = field(default_factory=dict)
 
 
-def join_features(inter: DataFrame, feats: FeatureTables, cfg: Config) -> DataFrame:
-    """Four left joins; cold rows keep nulls and are never dropped.
-
-    User, item and author tables are broadcast when their counted size is
-    within ``scale.broadcast_max_rows``; the (user, author) table is a shuffle
-    join whose hot keys AQE splits.
+def join_features(inter: DataFrame, feats: FeatureTables, cfg: Config,
+                  profiles: DataFrame | None = None) -> DataFrame:
+    """Four left joins (plus the user profile); cold rows keep nulls.
+
+    Item and author tables are broadcast when their counted size is within
+    ``scale.broadcast_max_rows``. The user-keyed tables take one of two plans:
+
+    * small (user table within the bound): broadcast user features and
+      profiles; the (user, author) table is broadcast or shuffle-joined;
+    * large: build one table keyed by the distinct (user, author) pairs of the
+      log carrying user features, (user, author) features and the profile,
+      and join the events to it once. That is a single shuffle of the event
+      table instead of three, and a hot user is spread over its authors; only
+      a hot (user, author) pair remains for AQE's skew split.
     """
     c, lim = cfg.columns, cfg.scale.broadcast_max_rows
-    df = inter.join(bounded_broadcast(feats.user, lim), c.user_id, "left")
-    df = df.join(bounded_broadcast(feats.item, lim), c.item_id, "left")
+    user_tbl = feats.user
+    if profiles is not None:
+        user_tbl = user_tbl.join(profiles.select(c.user_id, vx.PROFILE), c.user_id, "full")
+    user_tbl = bounded_broadcast(user_tbl, lim)
+    small_users = _is_broadcast(user_tbl)
+    df = inter.join(bounded_broadcast(feats.item, lim), c.item_id, "left")
     df = df.join(bounded_broadcast(feats.author, lim), c.author_id, "left")
-    return df.join(feats.ua, [c.user_id, c.author_id], "left")
+    if small_users:
+        df = df.join(user_tbl, c.user_id, "left")
+        return df.join(bounded_broadcast(feats.ua, lim), [c.user_id, c.author_id], "left")
+    pairs = inter.select(c.user_id, c.author_id).distinct()
+    keyed = (pairs.join(feats.ua, [c.user_id, c.author_id], "left")
+             .join(user_tbl, c.user_id, "left"))
+    keyed = keyed.select(*[F.col(x).alias(f"_k_{x}") if x in (c.user_id, c.author_id) else F.col(x)
+                           for x in keyed.columns])
+    cond = ((F.col(c.user_id) == F.col(f"_k_{c.user_id}"))
+            & F.col(c.author_id).eqNullSafe(F.col(f"_k_{c.author_id}")))
+    return df.join(keyed, cond, "left").drop(f"_k_{c.user_id}", f"_k_{c.author_id}")
+
+
+def _is_broadcast(df: DataFrame) -> bool:
+    """True when ``bounded_broadcast`` chose the broadcast hint for ``df``."""
+    return bool(getattr(df, "_rb_broadcast", False))
 
 
 def dur_diff(cfg: Config):
@@ -79,14 +106,15 @@ def assemble(inter: DataFrame, feats: FeatureTables, b: Bounds, cfg: Config,
     rows, which replaces the reference's event-keyed join of a stored table.
     """
     c = cfg.columns
-    df = join_features(inter, feats, cfg)
-    has_emb = False
-    if vectors is not None and cfg.features.use_embeddings:
+    has_emb = vectors is not None and cfg.features.use_embeddings
+    prof = unit = None
+    if has_emb:
         dim = vx.vector_width(vectors, cfg)
         unit = vx.sized_vectors(vx.unit_vectors(vectors, cfg, inter), cfg, dim)
         prof = vx.user_profiles(inter, unit, b.train_end, cfg, dim)
-        df = vx.attach_cosine(df, prof, unit, cfg, dim)
-        has_emb = True
+    df = join_features(inter, feats, cfg, prof)
+    if has_emb:
+        df = vx.cosine_from_profile(df, unit, cfg, dim)
     df = df.withColumn("dur_diff", dur_diff(cfg))
     num, cat = feature_lists(df.columns, cfg, has_emb)
     df = df.select(

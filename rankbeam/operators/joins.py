@@ -18,4 +18,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True) -> Dat
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        out = F.broadcast(df)
+        out._rb_broadcast = True
+        return out
+    df._rb_broadcast = False
+    return df

@@ -107,6 +107,15 @@ def attach_stored_cosine(df: DataFrame, cos_table: DataFrame | None) -> DataFram
     return df.join(cos_table.select(EVENT_ORDER, EMB_COS), EVENT_ORDER, "left")
 
 
+def cosine_from_profile(df: DataFrame, unit: DataFrame, cfg: Config, dim: int) -> DataFrame:
+    """V1 on rows that already carry the ``profile`` column (joined by user)."""
+    c = cfg.columns
+    j = df.join(sized_vectors(unit, cfg, dim), c.item_id, "left")
+    cos = F.when(F.col(PROFILE).isNotNull() & F.col(VEC).isNotNull(),
+                 fv.dot_n(F.col(PROFILE), F.col(VEC), dim)).otherwise(F.lit(float("nan")))
+    return j.withColumn(EMB_COS, cos.cast("float")).drop(PROFILE, VEC)
+
+
 def profile_coverage(inter: DataFrame, profiles: DataFrame, cfg: Config) -> DataFrame:
     """Users with a profile among all users of the log."""
     c = cfg.columns

@@ -64,3 +64,28 @@ def test_head_whole_groups(spark):
     assert sorted(got) == [(1, e) for e in range(4)]  # user 2 cut at 2 rows: dropped whole
     one = ds.head_whole_groups(df.where(F.col("user_id") == 1), 2, cfg).count()
     assert one == 2  # a single group is kept even if cut
+
+
+def test_pair_keyed_plan_equals_broadcast_plan(spark, built):
+    """Large-user plan (one event shuffle on (user, author)) gives the same rows."""
+    from dataclasses import replace
+
+    st, _, _ = built
+    small = st.cfg
+    large = replace(st.cfg, scale=replace(st.cfg.scale, broadcast_max_rows=5,
+                                          broadcast_max_vector_cells=5 * 32))
+    a, meta = ds.assemble(st.inter, st.feats, st.bounds, small, st.vectors())
+    b, _ = ds.assemble(st.inter, st.feats, st.bounds, large, st.vectors())
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "SortMergeJoin" in plan
+    cols = a.columns
+
+    def rows(df):
+        out = {}
+        for r in df.select(*cols).collect():
+            out[r[EVENT_ORDER]] = tuple("nan" if isinstance(v, float) and v != v else v for v in r)
+        return out
+
+    ra, rb = rows(a), rows(b)
+    assert ra.keys() == rb.keys() and len(ra) == st.inter.count()
+    assert ra == rb
