@@ -87,3 +87,41 @@ def cosine_out_of_range(cos: DataFrame) -> DataFrame:
 def ratio_out_of_range(inter: DataFrame, cfg: Config) -> DataFrame:
     r = F.col(WATCH_RATIO)
     return inter.where((r < 0) | (r > F.lit(cfg.cleaning.max_watch_ratio)))
+
+
+def invariant_counts(inter: DataFrame, ds: DataFrame, meta, train_end: int, val_end: int,
+                     cfg: Config) -> DataFrame:
+    """One row of violation counts over the whole tables (all must be 0).
+
+    Each count is a distributed aggregate; nothing is collected per row.
+    """
+    eo = F.col(EVENT_ORDER)
+    bad_bounds = (((F.col(SPLIT) == "train") & (eo >= train_end))
+                  | ((F.col(SPLIT) == "val") & ((eo < train_end) | (eo >= val_end)))
+                  | ((F.col(SPLIT) == "test") & (eo < val_end)))
+    null_cat = None
+    for c in meta.cat_features:
+        cond = F.col(c).isNull()
+        null_cat = cond if null_cat is None else null_cat | cond
+    ds_counts = ds.agg(
+        F.count(F.lit(1)).alias("n_dataset_rows"),
+        F.count_distinct(EVENT_ORDER).alias("n_distinct_events"),
+        F.sum(bad_bounds.cast("long")).alias("n_bound_violations"),
+        F.sum((null_cat if null_cat is not None else F.lit(False)).cast("long")).alias("n_null_categorical"),
+    )
+    again = fc.label_expr(cfg)
+    r = F.col(WATCH_RATIO)
+    in_counts = inter.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(((F.col(LABEL) != again) | ((F.col("dislike") > 0) & (F.col(LABEL) != 0)))
+              .cast("long")).alias("n_label_mismatch"),
+        F.sum(((r < 0) | (r > F.lit(cfg.cleaning.max_watch_ratio))).cast("long")).alias("n_ratio_out_of_range"),
+    )
+    leaky = len(leaky_columns(list(meta.num_features) + list(meta.cat_features)))
+    a, b = ds_counts.first(), in_counts.first()  # one row each
+    names = ["n_rows", "n_dataset_rows", "n_distinct_events", "n_bound_violations",
+             "n_null_categorical", "n_label_mismatch", "n_ratio_out_of_range", "n_leaky_features"]
+    vals = [b["n_rows"], a["n_dataset_rows"], a["n_distinct_events"], a["n_bound_violations"],
+            a["n_null_categorical"], b["n_label_mismatch"], b["n_ratio_out_of_range"], leaky]
+    row = tuple(int(v or 0) for v in vals)
+    return inter.sparkSession.createDataFrame([row], ", ".join(f"{n} long" for n in names))

