@@ -37,7 +37,7 @@ class Inputs:
     items: DataFrame | None
     users: DataFrame | None
     vectors: DataFrame | None
-    manifest: DataFrame
+    manifest: object
 
 
 @dataclass
@@ -50,15 +50,14 @@ class RunResult:
     seconds: dict = field(default_factory=dict)
 
 
-def prepare(spark: SparkSession, raw_dir: str, cfg: Config) -> DataFrame:
-    """The manifest of the raw folder, validated."""
-    man = cat.manifest(cat.list_files(spark, raw_dir, cfg.sources), cfg.sources)
-    man = man.cache()
+def prepare(spark: SparkSession, raw_dir: str, cfg: Config) -> "cat.Listing":
+    """The manifest of the raw folder, collected once and validated."""
+    man = cat.Listing(cat.manifest(cat.list_files(spark, raw_dir, cfg.sources), cfg.sources))
     cat.validate(man)
     return man
 
 
-def load_inputs(spark: SparkSession, raw_dir: str, man: DataFrame, cfg: Config) -> Inputs:
+def load_inputs(spark: SparkSession, raw_dir: str, man, cfg: Config) -> Inputs:
     """Shards with ``event_order``, metadata, vectors."""
     c = cfg.columns
     log = sh.with_row_index(sh.scan(spark, cat.paths(man, "interactions")), raw_dir)

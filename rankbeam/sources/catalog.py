@@ -81,21 +81,48 @@ def manifest(files: DataFrame, src: Sources = Sources()) -> DataFrame:
     return df.select("category", "week", "path", "rel", "shard", "ord", "length")
 
 
-def validate(man: DataFrame, required=("interactions", "users", "items")) -> None:
+def validate(man, required=("interactions", "users", "items")) -> None:
     """Every required category has at least one file."""
-    present = {r["category"] for r in man.select("category").distinct().collect()}
+    present = (man.categories() if isinstance(man, Listing)
+               else {r["category"] for r in man.select("category").distinct().collect()})
     missing = [c for c in required if c not in present]
     if missing:
         raise ValueError(f"no files for categories {missing}")
 
 
-def total_bytes(man: DataFrame, category: str) -> int:
+def total_bytes(man, category: str) -> int:
     """Bytes of one category's files (sizes the stage partitions)."""
+    if isinstance(man, Listing):
+        return man.total_bytes(category)
     row = man.where(F.col("category") == category).agg(F.sum("length").alias("b")).first()
     return int(row["b"] or 0)
 
 
-def paths(man: DataFrame, category: str) -> list[str]:
-    """Ordered file paths of one category (one row per file)."""
+def paths(man, category: str) -> list[str]:
+    """Ordered file paths of one category.
+
+    ``man`` is the manifest DataFrame or a ``Listing`` already collected
+    (one row per file, the same list Spark's own file index keeps on the
+    driver).
+    """
+    if isinstance(man, Listing):
+        return man.paths(category)
     rows = man.where(F.col("category") == category).orderBy("week", "path").select("path").collect()
     return [r["path"] for r in rows]
+
+
+class Listing:
+    """The manifest collected once: ordered paths and bytes per category."""
+
+    def __init__(self, man: DataFrame):
+        rows = man.select("category", "week", "path", "length").collect()
+        self._rows = sorted(rows, key=lambda r: (r["category"], r["week"], r["path"]))
+
+    def paths(self, category: str) -> list[str]:
+        return [r["path"] for r in self._rows if r["category"] == category]
+
+    def total_bytes(self, category: str) -> int:
+        return sum(int(r["length"] or 0) for r in self._rows if r["category"] == category)
+
+    def categories(self) -> set[str]:
+        return {r["category"] for r in self._rows}
