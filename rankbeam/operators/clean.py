@@ -7,12 +7,12 @@ columns are pruned).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, WATCH_RATIO, Config
 from ..functions import columns as fc
-from .joins import bounded_broadcast
 
 
 def normalise_feedback(log: DataFrame, cfg: Config) -> DataFrame:
@@ -76,19 +76,34 @@ def activity_filter(df: DataFrame, cfg: Config) -> DataFrame:
     """A1 + J3: keep users/items with enough events, both counted on ``df``.
 
     One round, not a fixpoint: a kept user may end below the minimum after the
-    item filter. Counts use partial aggregation (map-side combine), so a hot
-    key costs one partial row per task. Each key set is broadcast only when its
-    counted size is within ``scale.broadcast_max_rows``; otherwise the semi
-    join shuffles and AQE splits a skewed key's partition.
+    item filter. Both counts come from ONE scan: every row emits a user key and
+    an item key, and a single partially aggregated ``groupBy(kind, key)``
+    counts them (a hot key costs one partial row per task). The surviving key
+    sets are persisted and counted once; each is broadcast only when its size
+    is within ``scale.broadcast_max_rows``, otherwise the semi join shuffles
+    and AQE splits a skewed key's partition.
     """
     c, cl = cfg.columns, cfg.cleaning
     lim = cfg.scale.broadcast_max_rows
-    users = (df.groupBy(c.user_id).count()
-             .where(F.col("count") >= cl.min_user_interactions).select(c.user_id))
-    items = (df.groupBy(c.item_id).count()
-             .where(F.col("count") >= cl.min_item_interactions).select(c.item_id))
-    out = df.join(bounded_broadcast(users, lim), c.user_id, "left_semi")
-    return out.join(bounded_broadcast(items, lim), c.item_id, "left_semi")
+    both = df.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col(c.user_id).alias("u"),
+                 F.lit(None).cast(df.schema[c.item_id].dataType).alias("i")),
+        F.struct(F.lit(1).alias("kind"), F.lit(None).cast(df.schema[c.user_id].dataType).alias("u"),
+                 F.col(c.item_id).alias("i")),
+    )).alias("k")).select("k.kind", "k.u", "k.i")
+    counts = both.groupBy("kind", "u", "i").count()
+    keep = counts.where(
+        ((F.col("kind") == 0) & (F.col("count") >= cl.min_user_interactions))
+        | ((F.col("kind") == 1) & (F.col("count") >= cl.min_item_interactions))
+    ).select("kind", "u", "i").persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["kind"]: r["n"] for r in keep.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def side(kind, key, name):
+        t = keep.where(F.col("kind") == kind).select(F.col(key).alias(name))
+        return F.broadcast(t) if sizes.get(kind, 0) <= lim else t
+
+    out = df.join(side(0, "u", c.user_id), c.user_id, "left_semi")
+    return out.join(side(1, "i", c.item_id), c.item_id, "left_semi")
 
 
 def add_label(df: DataFrame, cfg: Config) -> DataFrame:
