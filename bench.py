@@ -67,6 +67,7 @@ def main() -> None:
         feats = ft.build_aggregates(inter, bounds, cfg)
         for name in ("user", "item", "author", "ua"):
             sinks.write_table(getattr(feats, name), f"{out}/features/{name}")
+        feats.release()
         return ft.FeatureTables(*[spark.read.parquet(f"{out}/features/{n}")
                                   for n in ("user", "item", "author", "ua")])
 

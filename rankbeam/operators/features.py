@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,6 +140,12 @@ class FeatureTables:
     item: DataFrame
     author: DataFrame
     ua: DataFrame
+    partials: tuple = ()
+
+    def release(self) -> None:
+        """Drop the persisted pair partials once the tables are written."""
+        for p in self.partials:
+            p.unpersist()
 
 
 def _pair_partials(train: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
@@ -162,11 +169,14 @@ def build_aggregates(inter: DataFrame, b: Bounds, cfg: Config) -> FeatureTables:
     train = train_window(inter, b)
     fb = list(c.feedback)
     flag_sums = {f"_s_{f}": f for f in fb}
+    # Persisted: each partial feeds two tables written by separate actions.
+    # They are sized by distinct pairs, far below the event count.
     ua_p = _pair_partials(train, [c.user_id, c.author_id],
                           {"_s_wr": WATCH_RATIO, "_s_label": LABEL, "_s_ts": c.timespent,
-                           "_s_dur": c.duration, **flag_sums})
+                           "_s_dur": c.duration, **flag_sums}).persist(StorageLevel.MEMORY_AND_DISK)
     ai_p = _pair_partials(train, [c.author_id, c.item_id],
-                          {"_s_wr": WATCH_RATIO, "_s_label": LABEL, **flag_sums})
+                          {"_s_wr": WATCH_RATIO, "_s_label": LABEL, **flag_sums}
+                          ).persist(StorageLevel.MEMORY_AND_DISK)
 
     def ratio(num: str, alias: str) -> Column:
         return (F.sum(num) / F.sum("_n")).alias(alias)
@@ -192,4 +202,4 @@ def build_aggregates(inter: DataFrame, b: Bounds, cfg: Config) -> FeatureTables:
         ratio("_s_wr", "author_mean_watch_ratio"),
         *[ratio(f"_s_{f}", f"author_{f}_rate") for f in fb],
     )
-    return FeatureTables(user=user, item=item, author=author, ua=ua)
+    return FeatureTables(user=user, item=item, author=author, ua=ua, partials=(ua_p, ai_p))

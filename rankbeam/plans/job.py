@@ -104,6 +104,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
         fdir = os.path.join(out_dir, "features")
         for name in ("user", "item", "author", "ua"):
             sinks.write_table(getattr(feats, name), os.path.join(fdir, name))
+        feats.release()
         feats = ft.FeatureTables(*[spark.read.parquet(os.path.join(fdir, n))
                                    for n in ("user", "item", "author", "ua")])
         tick("features")
