@@ -74,7 +74,7 @@ def main() -> None:
     feats = timed("features", features)
 
     def dataset():
-        d, meta = ds.assemble(inter, feats, bounds, cfg, inp.vectors)
+        d, meta = ds.assemble(inter, feats, bounds, cfg, inp.vectors, layout=True)
         path = sinks.write_grouped_splits(d, cfg, f"{out}/dataset")
         return spark.read.parquet(path), meta
 

@@ -30,9 +30,41 @@ class DatasetMeta:
     split_bounds: dict = field(default_factory=dict)
 
 
-def join_features(inter: DataFrame, feats: FeatureTables, cfg: Config,
-                  profiles: DataFrame | None = None) -> DataFrame:
-    """Four left joins (plus the user profile); cold rows keep nulls.
+@dataclass
+class JoinPlan:
+    """Sized feature tables and the join strategy chosen from their counts."""
+
+    item: DataFrame
+    author: DataFrame
+    user: DataFrame
+    ua: DataFrame
+    small_users: bool
+    all_broadcast: bool
+    unit: DataFrame | None = None
+    dim: int | None = None
+
+
+def plan_joins(feats: FeatureTables, cfg: Config, profiles: DataFrame | None = None,
+               unit: DataFrame | None = None, dim: int | None = None) -> JoinPlan:
+    """Count each dimension once and decide broadcast vs shuffle per table."""
+    c, lim = cfg.columns, cfg.scale.broadcast_max_rows
+    user_tbl = feats.user
+    if profiles is not None:
+        user_tbl = user_tbl.join(profiles.select(c.user_id, vx.PROFILE), c.user_id, "full")
+    user_tbl = bounded_broadcast(user_tbl, lim)
+    item = bounded_broadcast(feats.item, lim)
+    author = bounded_broadcast(feats.author, lim)
+    small_users = _is_broadcast(user_tbl)
+    ua = bounded_broadcast(feats.ua, lim) if small_users else feats.ua
+    if unit is not None:
+        unit = vx.sized_vectors(unit, cfg, dim)
+    all_bc = (small_users and _is_broadcast(ua) and _is_broadcast(item) and _is_broadcast(author)
+              and (unit is None or _is_broadcast(unit)))
+    return JoinPlan(item, author, user_tbl, ua, small_users, all_bc, unit, dim)
+
+
+def apply_joins(base: DataFrame, plan: JoinPlan, cfg: Config) -> DataFrame:
+    """J4 (+ profile and V1 when vectors are planned); cold rows keep nulls.
 
     Item and author tables are broadcast when their counted size is within
     ``scale.broadcast_max_rows``. The user-keyed tables take one of two plans:
@@ -45,25 +77,28 @@ def join_features(inter: DataFrame, feats: FeatureTables, cfg: Config,
       table instead of three, and a hot user is spread over its authors; only
       a hot (user, author) pair remains for AQE's skew split.
     """
-    c, lim = cfg.columns, cfg.scale.broadcast_max_rows
-    user_tbl = feats.user
-    if profiles is not None:
-        user_tbl = user_tbl.join(profiles.select(c.user_id, vx.PROFILE), c.user_id, "full")
-    user_tbl = bounded_broadcast(user_tbl, lim)
-    small_users = _is_broadcast(user_tbl)
-    df = inter.join(bounded_broadcast(feats.item, lim), c.item_id, "left")
-    df = df.join(bounded_broadcast(feats.author, lim), c.author_id, "left")
-    if small_users:
-        df = df.join(user_tbl, c.user_id, "left")
-        return df.join(bounded_broadcast(feats.ua, lim), [c.user_id, c.author_id], "left")
-    pairs = inter.select(c.user_id, c.author_id).distinct()
-    keyed = (pairs.join(feats.ua, [c.user_id, c.author_id], "left")
-             .join(user_tbl, c.user_id, "left"))
-    keyed = keyed.select(*[F.col(x).alias(f"_k_{x}") if x in (c.user_id, c.author_id) else F.col(x)
-                           for x in keyed.columns])
-    cond = ((F.col(c.user_id) == F.col(f"_k_{c.user_id}"))
-            & F.col(c.author_id).eqNullSafe(F.col(f"_k_{c.author_id}")))
-    return df.join(keyed, cond, "left").drop(f"_k_{c.user_id}", f"_k_{c.author_id}")
+    c = cfg.columns
+    df = base.join(plan.item, c.item_id, "left").join(plan.author, c.author_id, "left")
+    if plan.small_users:
+        df = df.join(plan.user, c.user_id, "left").join(plan.ua, [c.user_id, c.author_id], "left")
+    else:
+        pairs = base.select(c.user_id, c.author_id).distinct()
+        keyed = (pairs.join(plan.ua, [c.user_id, c.author_id], "left")
+                 .join(plan.user, c.user_id, "left"))
+        keyed = keyed.select(*[F.col(x).alias(f"_k_{x}") if x in (c.user_id, c.author_id)
+                               else F.col(x) for x in keyed.columns])
+        cond = ((F.col(c.user_id) == F.col(f"_k_{c.user_id}"))
+                & F.col(c.author_id).eqNullSafe(F.col(f"_k_{c.author_id}")))
+        df = df.join(keyed, cond, "left").drop(f"_k_{c.user_id}", f"_k_{c.author_id}")
+    if plan.unit is not None:
+        df = vx.cosine_from_profile(df, plan.unit, cfg, plan.dim)
+    return df
+
+
+def join_features(inter: DataFrame, feats: FeatureTables, cfg: Config,
+                  profiles: DataFrame | None = None) -> DataFrame:
+    """J4 as one call: plan the joins from counted sizes, then apply them."""
+    return apply_joins(inter, plan_joins(feats, cfg, profiles), cfg)
 
 
 def _is_broadcast(df: DataFrame) -> bool:
@@ -99,34 +134,59 @@ def feature_lists(columns: list[str], cfg: Config, has_emb: bool) -> tuple[list[
 
 
 def assemble(inter: DataFrame, feats: FeatureTables, b: Bounds, cfg: Config,
-             vectors: DataFrame | None = None) -> tuple[DataFrame, DatasetMeta]:
+             vectors: DataFrame | None = None, layout: bool = False,
+             num_partitions: int | None = None) -> tuple[DataFrame, DatasetMeta]:
     """J4 + J5 + P7-P12: the model-ready table with a ``split`` column.
 
     With ``vectors`` the embedding cosine (V1) is computed inline on the event
     rows, which replaces the reference's event-keyed join of a stored table.
+
+    With ``layout`` the result is also in the O2 layout. When every join is a
+    broadcast, the narrow interaction rows are range-partitioned *before* the
+    joins (broadcast joins keep the stream side's partitioning), so the wide
+    40+ column rows are never shuffled and the range sampling pass reads only
+    the interaction columns; the rows are then sorted within their partitions
+    (no shuffle), which also gives the writer its required ordering. Otherwise
+    the joined rows are laid out after the joins.
     """
     c = cfg.columns
     has_emb = vectors is not None and cfg.features.use_embeddings
-    prof = unit = None
+    prof = unit = dim = None
     if has_emb:
         dim = vx.vector_width(vectors, cfg)
         unit = vx.sized_vectors(vx.unit_vectors(vectors, cfg, inter), cfg, dim)
         prof = vx.user_profiles(inter, unit, b.train_end, cfg, dim)
-    df = join_features(inter, feats, cfg, prof)
-    if has_emb:
-        df = vx.cosine_from_profile(df, unit, cfg, dim)
+    plan = plan_joins(feats, cfg, prof, unit, dim)
+    base = inter.withColumn(SPLIT, split_col(b))
+    early = layout and plan.all_broadcast
+    if early:
+        base = range_layout(base, cfg, num_partitions)
+    df = apply_joins(base, plan, cfg)
     df = df.withColumn("dur_diff", dur_diff(cfg))
     num, cat = feature_lists(df.columns, cfg, has_emb)
     df = df.select(
         c.user_id, c.item_id, EVENT_ORDER, LABEL,
         *[fc.lenient_float(x) for x in num], *[fc.categorical(x) for x in cat],
-        split_col(b),
+        SPLIT,
     )
+    if early:
+        df = df.sortWithinPartitions(SPLIT, c.user_id, EVENT_ORDER)
+    elif layout:
+        df = grouped_layout(df, cfg, num_partitions)
+    if layout:
+        df._rb_layout = True
     meta = DatasetMeta(LABEL, c.user_id, c.item_id, EVENT_ORDER, num, cat,
                        {"train_end": b.train_end, "val_end": b.val_end})
     return df, meta
 
 
+def range_layout(ds: DataFrame, cfg: Config, num_partitions: int | None = None) -> DataFrame:
+    """Range partitions on (split, user, event_order), not yet sorted."""
+    keys = [SPLIT, cfg.columns.user_id, EVENT_ORDER]
+    return (ds.repartitionByRange(num_partitions, *keys) if num_partitions
+            else ds.repartitionByRange(*keys))
+
+
 def grouped_layout(ds: DataFrame, cfg: Config, num_partitions: int | None = None) -> DataFrame:
     """O2: rows of one user contiguous, in ``event_order``, per split.
 
@@ -134,11 +194,8 @@ def grouped_layout(ds: DataFrame, cfg: Config, num_partitions: int | None = None
     a hot user is cut over neighbouring files (no single huge task) and stays
     one contiguous run when files are read in order.
     """
-    u = cfg.columns.user_id
-    keys = [SPLIT, u, EVENT_ORDER]
-    ranged = (ds.repartitionByRange(num_partitions, *keys) if num_partitions
-              else ds.repartitionByRange(*keys))
-    return ranged.sortWithinPartitions(SPLIT, u, EVENT_ORDER)
+    return range_layout(ds, cfg, num_partitions).sortWithinPartitions(
+        SPLIT, cfg.columns.user_id, EVENT_ORDER)
 
 
 def head_whole_groups(ds: DataFrame, n: int, cfg: Config) -> DataFrame:

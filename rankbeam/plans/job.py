@@ -109,7 +109,8 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
                                    for n in ("user", "item", "author", "ua")])
         tick("features")
         if "dataset" in stages:
-            dset, meta = ds.assemble(inter, feats, res.bounds, cfg, inp.vectors)
+            dset, meta = ds.assemble(inter, feats, res.bounds, cfg, inp.vectors, layout=True,
+                                     num_partitions=parts)
             dpath = sinks.write_grouped_splits(dset, cfg, os.path.join(out_dir, "dataset"), parts)
             written = spark.read.parquet(dpath)
             res.sizes = {r["split"]: r["n_rows"] for r in ft.split_sizes(written).collect()}

@@ -38,9 +38,13 @@ def write_interactions(inter: DataFrame, path: str, num_partitions: int | None =
 
 def write_grouped_splits(ds: DataFrame, cfg: Config, path: str | None = None,
                          num_partitions: int | None = None) -> str:
-    """S11 + O2: the dataset in one write, one folder per split, users contiguous."""
+    """S11 + O2: the dataset in one write, one folder per split, users contiguous.
+
+    A frame assembled with ``layout=True`` is already in that layout.
+    """
     path = path or scratch_path(ds.sparkSession, "dataset")
-    return write_table(grouped_layout(ds, cfg, num_partitions), path, [SPLIT])
+    laid = ds if getattr(ds, "_rb_layout", False) else grouped_layout(ds, cfg, num_partitions)
+    return write_table(laid, path, [SPLIT])
 
 
 def write_cosine(df: DataFrame, path: str) -> str:

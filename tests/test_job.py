@@ -53,6 +53,14 @@ def test_reports_written(spark, run):
     assert fi.count() == 41
 
 
+def test_dataset_layout(spark, run):
+    from rankbeam.operators import checks
+
+    cfg, out, _ = run
+    rows = checks.group_runs_per_file(spark.read.parquet(f"{out}/dataset"), cfg).collect()
+    assert rows and all(r["broken_runs"] == 0 and r["order_breaks"] == 0 for r in rows)
+
+
 def test_load_split_and_model(spark, run):
     cfg, out, res = run
     val = ds.load_split(spark, f"{out}/dataset", "val", res.meta, cfg)
