@@ -122,12 +122,22 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
             if "train" in stages:
                 from ..operators import ranker as rkr
 
-                fit = rkr.fit_and_evaluate(written, meta, cfg)
+                fit = rkr.fit_and_evaluate(written, meta, cfg, curve=True)
                 res.metrics = fit.metrics
+                rows = [(sp, k, float(v)) for sp, m in fit.metrics.items() for k, v in m.items()]
+                sinks.write_json_row(spark.createDataFrame(rows, "split string, name string, value double"),
+                                     os.path.join(out_dir, "reports", "offline_metrics"))
+                curve = [(r["iteration"], r["ndcg_at_10"], r["gauc"]) for r in fit.curve]
+                if curve:
+                    sinks.write_json_row(
+                        spark.createDataFrame(curve, "iteration int, ndcg_at_10 double, gauc double"),
+                        os.path.join(out_dir, "reports", "training_curve"))
                 rkr.save(fit.model, os.path.join(out_dir, "model"))
                 fit.importances.coalesce(1).write.mode("overwrite").option("header", True).csv(
                     os.path.join(out_dir, "reports", "feature_importance"))
                 flat = {f"{sp}/{k}": v for sp, m in fit.metrics.items() for k, v in m.items()}
+                if fit.best_iteration is not None:
+                    flat["best_iteration"] = fit.best_iteration
                 _track(spark, out_dir, run_id, "train", flat)
                 tick("train")
     return res

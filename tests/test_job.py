@@ -42,7 +42,7 @@ def test_interactions_sorted_files(spark, run):
 
 
 def test_reports_written(spark, run):
-    _, out, res = run
+    cfg, out, res = run
     bounds = spark.read.json(f"{out}/reports/bounds").first()
     assert (bounds["train_end"], bounds["val_end"]) == (res.bounds.train_end, res.bounds.val_end)
     meta = json.loads(spark.read.json(f"{out}/reports/dataset_meta").first()["meta"])
@@ -51,6 +51,10 @@ def test_reports_written(spark, run):
     assert {r["stage"] for r in track.select("stage").distinct().collect()} == {"preprocess", "dataset", "train"}
     fi = spark.read.option("header", True).csv(f"{out}/reports/feature_importance")
     assert fi.count() == 41
+    om = spark.read.json(f"{out}/reports/offline_metrics")
+    assert {r["split"] for r in om.select("split").distinct().collect()} == {"val", "test"}
+    curve = spark.read.json(f"{out}/reports/training_curve").orderBy("iteration").collect()
+    assert curve and curve[-1]["iteration"] == cfg.model.max_iter
 
 
 def test_dataset_layout(spark, run):
