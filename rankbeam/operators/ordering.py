@@ -1,4 +1,4 @@
-"""Skew-safe position within a group (W1, W2, J7, S7-style offsets).
+"""Skew-safe position within a group (W1-W3 per-row positions, J7 id index).
 
 A window ``row_number() over (partition by g order by k)`` puts every group
 into one task, so one user holding a third of the log becomes one task. Here
