@@ -55,10 +55,19 @@ def load_vectors(spark: SparkSession, emb_files: list[str], item_files: list[str
     return read_parquet_vectors(spark, files, id_col, emb_col)
 
 
-def _write_npz_partition(root: str):
-    def fn(batches):
-        import os
+def _fs_and_path(uri: str):
+    """A pyarrow filesystem for ``uri`` (file, hdfs, s3, ...) and the path in it."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
 
+def _write_npz_partition(folder: str):
+    def fn(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
@@ -70,10 +79,13 @@ def _write_npz_partition(root: str):
             return
         ids_arr = np.concatenate(ids)
         emb_arr = np.asarray([np.asarray(e, dtype=np.float32) for e in embs], dtype=np.float32)
-        os.makedirs(root, exist_ok=True)
-        path = os.path.join(root, f"part-{pid:05d}.npz")
-        with open(path, "wb") as fh:
-            np.savez(fh, item_id=ids_arr, embedding=emb_arr)
+        buf = io.BytesIO()
+        np.savez(buf, item_id=ids_arr, embedding=emb_arr)
+        fs, base = _fs_and_path(folder)
+        fs.create_dir(base, recursive=True)
+        path = f"{base.rstrip('/')}/part-{pid:05d}.npz"
+        with fs.open_output_stream(path) as out:
+            out.write(buf.getvalue())
         yield pd.DataFrame({"path": [path], "n": [len(ids_arr)]})
     return fn
 
@@ -81,10 +93,9 @@ def _write_npz_partition(root: str):
 def write_npz(vectors: DataFrame, folder: str) -> int:
     """Write (item_id, embedding) as one NPZ file per partition, from the executors.
 
-    ``folder`` must be on storage every executor can reach (a shared folder).
+    ``folder`` is a URI on storage every executor reaches (the shared folder);
+    files go through ``pyarrow.fs``, so local, HDFS and object stores work.
     """
-    from ..session import local_fs_path
-
     out = vectors.select("item_id", "embedding").mapInPandas(
-        _write_npz_partition(local_fs_path(folder)), "path string, n long")
+        _write_npz_partition(folder), "path string, n long")
     return int(out.agg(F.sum("n")).first()[0] or 0)
