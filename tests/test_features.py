@@ -152,3 +152,19 @@ def test_rolled_up_aggregates_equal_direct(spark, stage):
                     assert b[k][col] == pytest.approx(v, rel=1e-12, abs=1e-12), (name, col)
                 else:
                     assert b[k][col] == v
+
+
+def test_id_lookup_many_partitions(spark):
+    """One group spanning many range partitions: index equals the ascending rank."""
+    rng = np.random.default_rng(11)
+    ids = np.unique(rng.integers(0, 10**9, 3000))
+    q = np.concatenate([ids[::7], rng.integers(0, 10**9, 200)])
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        idf = spark.createDataFrame([(int(x),) for x in rng.permutation(ids)], "item_id long")
+        qdf = spark.createDataFrame([(int(x),) for x in np.unique(q)], "item_id long")
+        got = {r["item_id"]: r["idx"] for r in vx.id_lookup(idf, qdf, "item_id").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    pos = {int(x): i for i, x in enumerate(ids)}
+    assert got == {int(x): pos.get(int(x), -1) for x in np.unique(q)}
