@@ -36,7 +36,8 @@ def main() -> None:
     from rankbeam.sources import shard_tree
 
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="rankbeam-bench")
-    cfg = Config().with_model(max_iter=10, max_depth=5)
+    # Ranker settings of the reference's published demo run: 10 trees, depth 6.
+    cfg = Config().with_model(max_iter=10, max_depth=6)
     times: dict[str, float] = {}
 
     t = time.time()
