@@ -355,8 +355,9 @@ def _manifest(spark, sf_dir):
 
 
 def q_source_catalog(spark, sf_dir):
-    """Categories, shard folders, week numbers and their order."""
+    """Categories (validated), shard folders, week numbers and their order."""
     _, man = _manifest(spark, sf_dir)
+    cat.validate(man)
     out = man.select("category", "shard", "week").distinct()
     w = Window.partitionBy("category").orderBy("week", "shard")
     return out.withColumn("shard_ord", F.dense_rank().over(w).cast("bigint"))
@@ -384,7 +385,7 @@ def q_npz_embeddings(spark, sf_dir):
 
 
 def q_shard_stage_stats(spark, sf_dir):
-    """Preprocess from the raw folder (S1-S9 -> P1-P6, J1-J3, A1, A2)."""
+    """Preprocess from the raw folder: S1-S8 then P1-P5, J1-J3, A1, A2 (sampling off)."""
     from .job import load_inputs
 
     root, man = _manifest(spark, sf_dir)
