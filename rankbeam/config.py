@@ -109,9 +109,15 @@ class Model:
 
 @dataclass(frozen=True)
 class Scale:
-    """Size limits that decide between a broadcast and a shuffle join."""
+    """Size limits that decide between a broadcast and a shuffle join.
+
+    A side is broadcast only when its counted rows are within
+    ``broadcast_max_rows`` AND rows x estimated row width is within
+    ``broadcast_max_bytes``.
+    """
 
     broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 256 * 1024 * 1024
     # Rows of a vector table (x embedding width) that may be broadcast.
     broadcast_max_vector_cells: int = 64_000_000
 

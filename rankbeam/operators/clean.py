@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, WATCH_RATIO, Config
 from ..functions import columns as fc
+from .joins import row_bytes
 
 
 def normalise_feedback(log: DataFrame, cfg: Config) -> DataFrame:
@@ -79,9 +80,9 @@ def activity_filter(df: DataFrame, cfg: Config) -> DataFrame:
     item filter. Both counts come from ONE scan: every row emits a user key and
     an item key, and a single partially aggregated ``groupBy(kind, key)``
     counts them (a hot key costs one partial row per task). The surviving key
-    sets are persisted and counted once; each is broadcast only when its size
-    is within ``scale.broadcast_max_rows``, otherwise the semi join shuffles
-    and AQE splits a skewed key's partition.
+    sets are persisted and counted once; each is broadcast only when its rows
+    and bytes (rows x key width) are within the ``scale`` limits, otherwise the
+    semi join shuffles and AQE splits a skewed key's partition.
     """
     c, cl = cfg.columns, cfg.cleaning
     lim = cfg.scale.broadcast_max_rows
@@ -100,7 +101,9 @@ def activity_filter(df: DataFrame, cfg: Config) -> DataFrame:
 
     def side(kind, key, name):
         t = keep.where(F.col("kind") == kind).select(F.col(key).alias(name))
-        return F.broadcast(t) if sizes.get(kind, 0) <= lim else t
+        n = sizes.get(kind, 0)
+        small = n <= lim and n * row_bytes(t.schema) <= cfg.scale.broadcast_max_bytes
+        return F.broadcast(t) if small else t
 
     out = df.join(side(0, "u", c.user_id), c.user_id, "left_semi")
     return out.join(side(1, "i", c.item_id), c.item_id, "left_semi")

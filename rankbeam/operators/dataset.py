@@ -16,7 +16,7 @@ from ..config import EVENT_ORDER, LABEL, SPLIT, Config
 from ..functions import columns as fc
 from . import vectors as vx
 from .features import Bounds, FeatureTables, split_col
-from .joins import bounded_broadcast
+from .joins import sized_broadcast
 
 
 @dataclass
@@ -47,15 +47,15 @@ class JoinPlan:
 def plan_joins(feats: FeatureTables, cfg: Config, profiles: DataFrame | None = None,
                unit: DataFrame | None = None, dim: int | None = None) -> JoinPlan:
     """Count each dimension once and decide broadcast vs shuffle per table."""
-    c, lim = cfg.columns, cfg.scale.broadcast_max_rows
+    c, sc = cfg.columns, cfg.scale
     user_tbl = feats.user
     if profiles is not None:
         user_tbl = user_tbl.join(profiles.select(c.user_id, vx.PROFILE), c.user_id, "full")
-    user_tbl = bounded_broadcast(user_tbl, lim)
-    item = bounded_broadcast(feats.item, lim)
-    author = bounded_broadcast(feats.author, lim)
+    user_tbl = sized_broadcast(user_tbl, sc, dim or 64)
+    item = sized_broadcast(feats.item, sc)
+    author = sized_broadcast(feats.author, sc)
     small_users = _is_broadcast(user_tbl)
-    ua = bounded_broadcast(feats.ua, lim) if small_users else feats.ua
+    ua = sized_broadcast(feats.ua, sc) if small_users else feats.ua
     if unit is not None:
         unit = vx.sized_vectors(unit, cfg, dim)
     all_bc = (small_users and _is_broadcast(ua) and _is_broadcast(item) and _is_broadcast(author)
@@ -66,8 +66,9 @@ def plan_joins(feats: FeatureTables, cfg: Config, profiles: DataFrame | None = N
 def apply_joins(base: DataFrame, plan: JoinPlan, cfg: Config) -> DataFrame:
     """J4 (+ profile and V1 when vectors are planned); cold rows keep nulls.
 
-    Item and author tables are broadcast when their counted size is within
-    ``scale.broadcast_max_rows``. The user-keyed tables take one of two plans:
+    Item and author tables are broadcast when their counted rows and
+    estimated bytes are within the ``scale`` limits. The user-keyed tables
+    take one of two plans:
 
     * small (user table within the bound): broadcast user features and
       profiles; the (user, author) table is broadcast or shuffle-joined;

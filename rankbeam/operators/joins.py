@@ -5,22 +5,59 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Fixed sizes in bytes per value, used to estimate a row's in-memory width.
+_FIXED = {
+    T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+    T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+}
+STRING_BYTES = 20
 
-def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True) -> DataFrame:
-    """Return ``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows.
 
-    The count is an action; the frame is persisted first so the join reuses
-    the counted rows instead of recomputing them. Above the bound the frame is
-    returned as is and the planner shuffles (AQE may still pick a broadcast
-    from measured runtime sizes, and splits skewed partitions).
+def value_bytes(dt: T.DataType, array_len: int) -> int:
+    for cls, n in _FIXED.items():
+        if isinstance(dt, cls):
+            return n
+    if isinstance(dt, T.ArrayType):
+        return 16 + array_len * value_bytes(dt.elementType, array_len)
+    if isinstance(dt, T.StructType):
+        return sum(value_bytes(f.dataType, array_len) for f in dt.fields)
+    if isinstance(dt, T.DecimalType):
+        return 16
+    return STRING_BYTES
+
+
+def row_bytes(schema: T.StructType, array_len: int = 64) -> int:
+    """Estimated width of one row (arrays counted at ``array_len`` elements)."""
+    return 16 + sum(value_bytes(f.dataType, array_len) for f in schema.fields)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True,
+                      max_bytes: int | None = None, array_len: int = 64) -> DataFrame:
+    """Return ``F.broadcast(df)`` if ``df`` is within ``max_rows`` and ``max_bytes``.
+
+    The row count is an action; the frame is persisted first so the join
+    reuses the counted rows instead of recomputing them. The byte check is
+    count x estimated row width. Above either bound the frame is returned as
+    is and the planner shuffles (AQE may still pick a broadcast from measured
+    runtime sizes, and splits skewed partitions).
     """
     if persist:
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
-    if n <= max_rows:
+    fits = n <= max_rows
+    if fits and max_bytes is not None:
+        fits = n * row_bytes(df.schema, array_len) <= max_bytes
+    if fits:
         out = F.broadcast(df)
         out._rb_broadcast = True
         return out
     df._rb_broadcast = False
     return df
+
+
+def sized_broadcast(df: DataFrame, scale, array_len: int = 64) -> DataFrame:
+    """``bounded_broadcast`` with the row and byte limits of a ``Scale`` config."""
+    return bounded_broadcast(df, scale.broadcast_max_rows, max_bytes=scale.broadcast_max_bytes,
+                             array_len=array_len)

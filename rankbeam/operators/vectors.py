@@ -54,7 +54,8 @@ def sized_vectors(vecs: DataFrame, cfg: Config, dim: int) -> DataFrame:
     """
     if getattr(vecs, "_rb_sized", False):
         return vecs
-    out = bounded_broadcast(vecs, cfg.scale.broadcast_max_vector_cells // max(dim, 1))
+    out = bounded_broadcast(vecs, cfg.scale.broadcast_max_vector_cells // max(dim, 1),
+                            max_bytes=cfg.scale.broadcast_max_bytes, array_len=max(dim, 1))
     out._rb_sized = True
     return out
 

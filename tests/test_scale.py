@@ -104,3 +104,12 @@ def test_partitions_for():
 def test_cfg_is_frozen():
     with pytest.raises(Exception):
         Config().cleaning.max_timespent_sec = 1
+
+
+def test_byte_bound_blocks_wide_tables(spark):
+    from rankbeam.operators.joins import bounded_broadcast, row_bytes
+
+    wide = spark.range(100).select("id", *[F.lit(1.0).alias(f"c{i}") for i in range(40)])
+    assert row_bytes(wide.schema) == 16 + 8 + 40 * 8
+    assert getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 336), "_rb_broadcast")
+    assert not getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 335), "_rb_broadcast")
