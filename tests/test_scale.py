@@ -111,5 +111,5 @@ def test_byte_bound_blocks_wide_tables(spark):
 
     wide = spark.range(100).select("id", *[F.lit(1.0).alias(f"c{i}") for i in range(40)])
     assert row_bytes(wide.schema) == 16 + 8 + 40 * 8
-    assert getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 336), "_rb_broadcast")
-    assert not getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 335), "_rb_broadcast")
+    assert getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 344), "_rb_broadcast")
+    assert not getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 343), "_rb_broadcast")
