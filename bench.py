@@ -6,6 +6,8 @@ Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 
 Input preparation (writing the raw shard folder in log order) is done first
 and reported separately as ``input_write``; it is not part of ``value``.
+Set ``BENCH_EVENT_LOG_DIR`` to an existing scratch folder to keep Spark's
+event log (stage and task times) there.
 """
 
 from __future__ import annotations
@@ -35,7 +37,12 @@ def main() -> None:
     from rankbeam.session import local_session, scratch_path
     from rankbeam.sources import shard_tree
 
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="rankbeam-bench")
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:  # Spark event log (stage/task times) into a scratch folder
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="rankbeam-bench",
+                          extra=extra)
     # Ranker settings of the reference's published demo run: 10 trees, depth 6.
     cfg = Config().with_model(max_iter=10, max_depth=6)
     times: dict[str, float] = {}

@@ -118,3 +118,14 @@ def test_stage_stats(inter):
     s = cl.stage_stats(inter, CFG).first()
     assert s["n_rows"] == inter.count()
     assert 0 <= s["label_pos_share"] <= 1
+
+
+def test_nan_duration_dropped(spark):
+    """least(NaN, 3) is 3 in Spark: a NaN duration must fail the cleaning predicate."""
+    rows = [_row(0, 1, 10, 30.0), _row(1, 1, 11, 30.0)]
+    log = spark.createDataFrame(rows, LOG_SCHEMA)
+    items = spark.createDataFrame([(10, float("nan"), 1), (11, 60.0, 1)],
+                                  "item_id long, duration double, author_id long")
+    cfg = Config().with_cleaning(min_user_interactions=1, min_item_interactions=1)
+    out = cl.preprocess(log, items, None, cfg).collect()
+    assert [r["item_id"] for r in out] == [11]
