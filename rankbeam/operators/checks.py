@@ -125,3 +125,12 @@ def invariant_counts(inter: DataFrame, ds: DataFrame, meta, train_end: int, val_
             a["n_null_categorical"], b["n_label_mismatch"], b["n_ratio_out_of_range"], leaky]
     row = tuple(int(v or 0) for v in vals)
     return inter.sparkSession.createDataFrame([row], ", ".join(f"{n} long" for n in names))
+
+
+def duplicate_keys(dim: DataFrame, key: str) -> int:
+    """Keys that occur more than once in a dimension (they fan out in J1/J2).
+
+    The fan-out is kept, as in the reference; this reports it. One partially
+    aggregated count per key, then a count of keys above one.
+    """
+    return dim.groupBy(key).count().where(F.col("count") > 1).count()

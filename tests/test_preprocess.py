@@ -129,3 +129,14 @@ def test_nan_duration_dropped(spark):
     cfg = Config().with_cleaning(min_user_interactions=1, min_item_interactions=1)
     out = cl.preprocess(log, items, None, cfg).collect()
     assert [r["item_id"] for r in out] == [11]
+
+
+def test_duplicate_metadata_fans_out_and_is_reported(spark, log):
+    items = spark.createDataFrame([(10, 100, 1), (10, 100, 2), (11, 60, 1), (12, 45, 2)],
+                                  "item_id long, duration long, author_id long")
+    assert checks.duplicate_keys(items, "item_id") == 1
+    cfg = Config().with_cleaning(min_user_interactions=1, min_item_interactions=1)
+    norm = cl.normalise_feedback(log, cfg)
+    n10 = norm.where("item_id = 10").count()
+    out = cl.enrich(norm, items, None, cfg)
+    assert out.where("item_id = 10").count() == 2 * n10
