@@ -85,18 +85,27 @@ def ideal_rank(df: DataFrame, group_cols: list[str], label: str, tie: str,
 # ---------------------------------------------------------------------------
 
 def _partials_fn(group_cols: list[str], kmax: int):
+    """Per partition: one partial per group run, vectorised per Arrow batch.
+
+    Per batch, group runs are found from key changes; counts, hits and the sum
+    of hit positions are ``np.add.reduceat`` over the runs; the k largest
+    labels of every run come from one ``lexsort``. Python touches each run
+    once, only to slice the first-k and top-k values. The run still open at
+    the end of a batch carries over to the next batch.
+    """
+
     def fn(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         out_rows: list[dict] = []
-        state = None  # dict for the open group
+        state = None  # open group: key, n, hits, sum_pos, first (list), top (array)
 
-        def close(st):
-            top = np.sort(np.concatenate(st["top"]))[::-1][:kmax] if st["top"] else np.array([])
+        def emit(st):
             rec = dict(zip(group_cols, st["key"]))
+            top = np.sort(st["top"])[::-1][:kmax]
             rec.update({"_pid": pid, "_n": st["n"], "_hits": st["hits"], "_sum_pos": st["sum_pos"],
-                        "_first": [float(x) for x in st["first"]],
+                        "_first": [float(x) for x in st["first"][:kmax]],
                         "_top": [float(x) for x in top]})
             out_rows.append(rec)
 
@@ -111,37 +120,44 @@ def _partials_fn(group_cols: list[str], kmax: int):
             for k in keys:
                 a, b = k[1:], k[:-1]
                 brk[1:] |= ~np.asarray((a == b) | (pd.isna(a) & pd.isna(b)), dtype=bool)
-            if state is not None:
-                same = all((x == y) or (pd.isna(x) and pd.isna(y))
-                           for x, y in zip((k[0] for k in keys), state["key"]))
-                brk[0] = not same
-            else:
-                brk[0] = True
-            edges = [0] + (np.flatnonzero(brk[1:]) + 1).tolist() + [m]
-            for s, e in zip(edges[:-1], edges[1:]):
-                if brk[s]:
-                    if state is not None:
-                        close(state)
-                    state = {"key": tuple(k[s] for k in keys), "n": 0, "hits": 0, "sum_pos": 0,
-                             "first": [], "top": []}
-                n0 = state["n"]
-                r, h = rel[s:e], hit[s:e]
-                pos = n0 + np.arange(e - s, dtype=np.int64)
-                state["hits"] += int(h.sum())
-                state["sum_pos"] += int((pos * h).sum())
-                need = kmax - len(state["first"])
-                if need > 0:
-                    state["first"].extend(r[:need].tolist())
-                seg_top = r if len(r) <= kmax else np.partition(r, len(r) - kmax)[len(r) - kmax:]
-                state["top"].append(seg_top)
-                if sum(len(t) for t in state["top"]) > 4 * kmax:
-                    state["top"] = [np.sort(np.concatenate(state["top"]))[::-1][:kmax]]
-                state["n"] = n0 + (e - s)
+            cont = state is not None and all(
+                (x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip((k[0] for k in keys), state["key"]))
+            brk[0] = True
+            starts = np.flatnonzero(brk)
+            lens = np.diff(np.append(starts, m))
+            pos = np.arange(m, dtype=np.int64) - np.repeat(starts, lens)
+            if cont:
+                pos[: lens[0]] += state["n"]
+            n_run = lens.astype(np.int64)
+            hits_run = np.add.reduceat(hit, starts)
+            sump_run = np.add.reduceat(pos * hit, starts)
+            run_id = np.repeat(np.arange(len(starts)), lens)
+            order = np.lexsort((-rel, run_id))
+            rel_desc = rel[order]  # runs stay contiguous, labels descending inside
+            for r, (s0, ln) in enumerate(zip(starts.tolist(), lens.tolist())):
+                top = rel_desc[s0: s0 + min(ln, kmax)]
+                if r == 0 and cont:
+                    st = state
+                    st["n"] += int(n_run[0])
+                    st["hits"] += int(hits_run[0])
+                    st["sum_pos"] += int(sump_run[0])
+                    need = kmax - len(st["first"])
+                    if need > 0:
+                        st["first"].extend(rel[s0: s0 + min(ln, need)].tolist())
+                    st["top"] = np.concatenate([st["top"], top])
+                    if len(st["top"]) > 4 * kmax:
+                        st["top"] = np.sort(st["top"])[::-1][:kmax]
+                    continue
+                if state is not None:
+                    emit(state)
+                state = {"key": tuple(k[s0] for k in keys), "n": int(n_run[r]),
+                         "hits": int(hits_run[r]), "sum_pos": int(sump_run[r]),
+                         "first": rel[s0: s0 + min(ln, kmax)].tolist(), "top": top.copy()}
             if len(out_rows) >= 4096:
                 yield pd.DataFrame(out_rows)
                 out_rows = []
         if state is not None:
-            close(state)
+            emit(state)
         if out_rows:
             yield pd.DataFrame(out_rows)
 

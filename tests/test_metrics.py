@@ -112,3 +112,29 @@ def test_rank_and_running_hits(spark):
         for p, i in enumerate(idx):
             c += int(y[i] >= 1.0)
             assert got[i] == (p, c)
+
+
+def test_groups_straddling_arrow_batches(spark):
+    """Tiny Arrow batches: runs continue across batch boundaries in both scans."""
+    rng = np.random.default_rng(9)
+    n = 700
+    g = rng.choice([1, 2, 3, 4], n, p=[.6, .2, .1, .1]).tolist()
+    y = rng.integers(0, 4, n).astype(float).tolist()
+    s = rng.integers(0, 6, n).astype(float).tolist()
+    df = frame(spark, y, s, g)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(3, 10), num_partitions=3).first().asDict()
+        rows = rk.running_hits(df, ["g"], "y", "s", "eo", 1.0, ).select("eo", "pos", "cum_hits").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k in (3, 10):
+        for name, v in _np_reference(y, s, g, k).items():
+            assert got[name] == pytest.approx(v, abs=1e-12), (name, k)
+    pos = {r["eo"]: (r["pos"], r["cum_hits"]) for r in rows}
+    for gg in set(g):
+        idx = sorted((i for i in range(n) if g[i] == gg), key=lambda i: (-s[i], i))
+        c = 0
+        for p, i in enumerate(idx):
+            c += int(y[i] >= 1.0)
+            assert pos[i] == (p, c)
