@@ -89,7 +89,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
     inter_path = os.path.join(out_dir, "interactions")
     if "preprocess" in stages:
         inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
-        sinks.write_interactions(inter, inter_path, parts)
+        sinks.write_interactions(inter, inter_path, parts, cfg.scale.sort_interactions_globally)
         stats_df = cl.stage_stats(spark.read.parquet(inter_path), cfg)
         sinks.write_json_row(stats_df, os.path.join(out_dir, "reports", "stats"))
         stats = spark.read.json(os.path.join(out_dir, "reports", "stats")).first().asDict()

@@ -31,9 +31,17 @@ def partitions_for(input_bytes: int | None, target: int = TARGET_PARTITION_BYTES
     return max(1, -(-int(input_bytes) // target))
 
 
-def write_interactions(inter: DataFrame, path: str, num_partitions: int | None = None) -> str:
-    """S11 + O1: interactions range-partitioned and sorted by ``event_order``."""
-    return write_table(sort_by_order(inter, num_partitions), path)
+def write_interactions(inter: DataFrame, path: str, num_partitions: int | None = None,
+                       globally: bool = True) -> str:
+    """S11 + O1: interactions sorted by ``event_order``.
+
+    ``globally``: range-partitioned, so files hold disjoint, ordered ranges
+    (one shuffle plus Spark's sampling pass). Otherwise each task sorts its
+    own rows: no shuffle; files are sorted but their ranges may overlap.
+    """
+    if globally:
+        return write_table(sort_by_order(inter, num_partitions), path)
+    return write_table(inter.sortWithinPartitions(EVENT_ORDER), path)
 
 
 def write_grouped_splits(ds: DataFrame, cfg: Config, path: str | None = None,

@@ -74,3 +74,18 @@ def test_load_split_and_model(spark, run):
     model = rkr.load(f"{out}/model")
     scored = rkr.score(model, val.withColumn(SPLIT, F.lit("val")), res.meta, cfg)
     assert scored.where(F.col("prediction").isNull()).count() == 0
+
+
+def test_interactions_local_sort_option(spark, run):
+    from rankbeam.plans import sinks
+
+    _, out, _ = run
+    inter = spark.read.parquet(f"{out}/interactions")
+    path = sinks.write_interactions(inter.repartition(3), scratch_path(spark, "loc"), globally=False)
+    df = spark.read.parquet(path).select("event_order", F.col("_metadata.file_path").alias("f"),
+                                         F.col("_metadata.row_index").alias("r"))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("f").orderBy("r")
+    back = df.where(F.lag("event_order").over(w) > F.col("event_order")).count()
+    assert back == 0 and df.count() == inter.count()
