@@ -87,5 +87,6 @@ def test_interactions_local_sort_option(spark, run):
     from pyspark.sql import Window
 
     w = Window.partitionBy("f").orderBy("r")
-    back = df.where(F.lag("event_order").over(w) > F.col("event_order")).count()
+    back = (df.withColumn("prev", F.lag("event_order").over(w))
+            .where(F.col("prev") > F.col("event_order")).count())
     assert back == 0 and df.count() == inter.count()
