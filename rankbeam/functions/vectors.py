@@ -27,6 +27,8 @@ def dot_n(a: Column, b: Column, n: int) -> Column:
     interpreted). Arrays of different lengths give null, as ``dot``; positions
     past the common length contribute nothing.
     """
+    if n <= 0:
+        return F.when(F.size(a) == F.size(b), F.lit(0.0))
     terms = [F.coalesce(F.try_element_at(a, F.lit(i + 1)).cast("double")
                         * F.try_element_at(b, F.lit(i + 1)).cast("double"), F.lit(0.0))
              for i in range(n)]

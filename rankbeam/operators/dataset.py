@@ -154,8 +154,11 @@ def assemble(inter: DataFrame, feats: FeatureTables, b: Bounds, cfg: Config,
     has_emb = vectors is not None and cfg.features.use_embeddings
     prof = unit = dim = None
     if has_emb:
-        dim = vx.vector_width(vectors, cfg)
-        unit = vx.sized_vectors(vx.unit_vectors(vectors, cfg, inter), cfg, dim)
+        # Size check at the configured width, then the true width from the
+        # persisted (truncated, normalised) table: the vectors are read once.
+        unit = vx.sized_vectors(vx.unit_vectors(vectors, cfg, inter), cfg,
+                                cfg.features.embedding_dim or 64)
+        dim = vx.width_of(unit)
         prof = vx.user_profiles(inter, unit, b.train_end, cfg, dim)
     plan = plan_joins(feats, cfg, prof, unit, dim)
     base = inter.withColumn(SPLIT, split_col(b))

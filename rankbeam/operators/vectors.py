@@ -31,6 +31,12 @@ def vector_width(vectors: DataFrame, cfg: Config) -> int:
     return min(w, int(dim)) if dim else w
 
 
+def width_of(unit: DataFrame) -> int:
+    """Width of an already truncated vector table (one small aggregate)."""
+    row = unit.agg(F.max(F.size(VEC)).alias("w")).first()
+    return int(row["w"] or 0)
+
+
 def unit_vectors(vectors: DataFrame, cfg: Config, log: DataFrame | None = None) -> DataFrame:
     """P15 + P16 (+ J6 when ``log`` is given): (item_id, vec) truncated, L2-normalised.
 

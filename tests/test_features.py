@@ -168,3 +168,13 @@ def test_id_lookup_many_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     pos = {int(x): i for i, x in enumerate(ids)}
     assert got == {int(x): pos.get(int(x), -1) for x in np.unique(q)}
+
+
+def test_no_vector_for_any_item(spark, stage):
+    """Vectors exist but none for the log's items: emb_cos is NaN everywhere."""
+    from rankbeam.operators import dataset as ds
+
+    vec = spark.createDataFrame([(10**9, [1.0, 2.0])], "item_id long, embedding array<float>")
+    d, meta = ds.assemble(stage.inter, stage.feats, stage.bounds, stage.cfg, vec)
+    assert "emb_cos" in meta.num_features
+    assert d.where(~F.isnan("emb_cos")).count() == 0
