@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 PID, LPOS, LHITS, KIND = "_pid", "_lpos", "_lhits", "_kind"
 
 
@@ -117,6 +119,7 @@ def ordered_index(df: DataFrame, group_cols: list[str], order: list[Column], out
     tie-break column) for the result to be deterministic.
     """
     spark = df.sparkSession
+    ship_package(spark)
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + list(order)
     # An explicit partition count keeps AQE from coalescing this shuffle, so

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .ordering import ordered_index
 
 REL, SCORE, TIE, HIT = "_rel", "_score", "_tie", "_hit"
@@ -166,6 +167,7 @@ def _partials_fn(group_cols: list[str], kmax: int):
 
 def _partials(df: DataFrame, group_cols: list[str], kmax: int, num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
+    ship_package(spark)
     p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + _score_order()
     ranged = df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)

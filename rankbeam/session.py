@@ -57,6 +57,53 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "rankbeam", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def fs_and_path(uri: str):
+    """A pyarrow filesystem for ``uri`` (file, hdfs, s3, ...) and the path in it."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rankbeam`` importable by every Python worker (once per application).
+
+    The functions given to ``mapInPandas`` live in this package, so executors
+    must import it. The package's sources are zipped into the shared
+    checkpoint folder and registered with ``SparkContext.addPyFile``, which is
+    what ``spark-submit --py-files`` does at launch.
+    """
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_root)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, base))
+    target = scratch_path(spark, "pyfiles") + "/rankbeam.zip"
+    fs, path = fs_and_path(target)
+    fs.create_dir(os.path.dirname(path), recursive=True)
+    with fs.open_output_stream(path) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
+
+
 def local_fs_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use the path."""
     if path.startswith("file://"):

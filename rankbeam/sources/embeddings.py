@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 VEC_SCHEMA = "item_id long, embedding array<float>"
 
 
@@ -28,6 +30,7 @@ def _decode_npz(batches):
 
 def read_npz(spark: SparkSession, files: list[str]) -> DataFrame:
     """Arrays ``item_id`` and ``embedding`` of every file, concatenated."""
+    ship_package(spark)
     raw = spark.read.format("binaryFile").load(files)
     return raw.select("content").mapInPandas(_decode_npz, VEC_SCHEMA)
 
@@ -55,17 +58,6 @@ def load_vectors(spark: SparkSession, emb_files: list[str], item_files: list[str
     return read_parquet_vectors(spark, files, id_col, emb_col)
 
 
-def _fs_and_path(uri: str):
-    """A pyarrow filesystem for ``uri`` (file, hdfs, s3, ...) and the path in it."""
-    from pyarrow import fs as pafs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _write_npz_partition(folder: str):
     def fn(batches):
         from pyspark import TaskContext
@@ -81,7 +73,9 @@ def _write_npz_partition(folder: str):
         emb_arr = np.asarray([np.asarray(e, dtype=np.float32) for e in embs], dtype=np.float32)
         buf = io.BytesIO()
         np.savez(buf, item_id=ids_arr, embedding=emb_arr)
-        fs, base = _fs_and_path(folder)
+        from rankbeam.session import fs_and_path
+
+        fs, base = fs_and_path(folder)
         fs.create_dir(base, recursive=True)
         path = f"{base.rstrip('/')}/part-{pid:05d}.npz"
         with fs.open_output_stream(path) as out:
@@ -96,6 +90,7 @@ def write_npz(vectors: DataFrame, folder: str) -> int:
     ``folder`` is a URI on storage every executor reaches (the shared folder);
     files go through ``pyarrow.fs``, so local, HDFS and object stores work.
     """
+    ship_package(vectors.sparkSession)
     out = vectors.select("item_id", "embedding").mapInPandas(
         _write_npz_partition(folder), "path string, n long")
     return int(out.agg(F.sum("n")).first()[0] or 0)
