@@ -5,7 +5,7 @@ writes its product to the output folder (a lineage cut that survives lost
 executors, and the same hand-off the reference uses), and the next stage
 reads it back, so filters and column pruning still reach the Parquet scans.
 
-    spark-submit -m rankbeam.plans.job RAW_DIR OUT_DIR [--stages ...]
+    spark-submit --py-files rankbeam.zip scripts/run_job.py RAW_DIR OUT_DIR [--stages ...]
 """
 
 from __future__ import annotations
