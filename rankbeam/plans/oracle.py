@@ -124,8 +124,9 @@ vec_raw AS (
   WHERE label <> 0 AND embedding IS NOT NULL AND vec_id IN (SELECT item_id FROM inter)),
 vec_dedup AS (SELECT item_id, min(embedding) AS embedding FROM vec_raw GROUP BY item_id),
 vec_el AS (
-  SELECT item_id, i, CAST(embedding[i] AS DOUBLE) AS x
-  FROM vec_dedup, range(1, {_DIM} + 1) r(i) WHERE i <= len(embedding)),
+  SELECT item_id, i, CAST(embedding[i] AS DOUBLE) AS x FROM (
+    SELECT item_id, embedding, unnest(range(1, least(len(embedding), {_DIM}) + 1)) AS i
+    FROM vec_dedup)),
 vec_norm AS (SELECT item_id, greatest(sqrt(sum(x * x)), 1e-12) AS nrm FROM vec_el GROUP BY item_id),
 unit AS (SELECT e.item_id, e.i, e.x / n.nrm AS x FROM vec_el e JOIN vec_norm n ON e.item_id = n.item_id),
 pos_pairs AS (
