@@ -113,3 +113,22 @@ def test_byte_bound_blocks_wide_tables(spark):
     assert row_bytes(wide.schema) == 16 + 8 + 40 * 8
     assert getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 344), "_rb_broadcast")
     assert not getattr(bounded_broadcast(wide, 1000, max_bytes=100 * 343), "_rb_broadcast")
+
+
+def test_metrics_plan_is_one_pass(spark):
+    """All metrics for all k: one range exchange, one Python scan, pushed split range."""
+    path = scratch_path(spark, "onepass")
+    spark.range(0, 3000).select((F.col("id") % 40).alias("user_id"), F.col("id").alias("event_order"),
+                                (F.col("id") % 5).cast("float").alias("label"),
+                                (F.col("id") % 7).cast("double").alias("score")).write.parquet(path)
+    df = spark.read.parquet(path)
+    val = df.where(ft.split_predicate(ft.Bounds(2000, 2500), ("val", "test")))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        m = rk.ranking_metrics(val, ["user_id"], "label", "score", "event_order", ks=(5, 10, 20))
+        plan = m._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("rangepartitioning") == 1
+    assert plan.count("MapInPandas") == 1
+    assert "PushedFilters: [Or(" in plan or "GreaterThanOrEqual(event_order,2000)" in plan
