@@ -58,6 +58,7 @@ class FitResult:
     importances: DataFrame | None = None
     curve: list[dict] = field(default_factory=list)
     best_iteration: int | None = None
+    all_trees_metrics: dict = field(default_factory=dict)
 
 
 def fit(dataset: DataFrame, meta, cfg: Config) -> PipelineModel:
@@ -80,6 +81,24 @@ def score(model: PipelineModel, df: DataFrame, meta, cfg: Config) -> DataFrame:
     return model.transform(feature_frame(df, meta.num_features, cfg))
 
 
+def staged_score(model: PipelineModel, df: DataFrame, meta, cfg: Config, iterations: int) -> DataFrame:
+    """T3 at an earlier iteration: weighted sum of the first ``iterations`` trees.
+
+    Equals ``score`` when ``iterations`` is the number of trees; used to
+    score with the best iteration found on validation (T5).
+    """
+    gbt = model.stages[-1]
+    trees, weights = gbt.trees, gbt.treeWeights
+    m = max(1, min(int(iterations), len(trees)))
+    out = PipelineModel(stages=model.stages[:-1]).transform(feature_frame(df, meta.num_features, cfg))
+    for i in range(m):
+        t = trees[i]
+        t.setPredictionCol(f"_t{i}")
+        out = t.transform(out)
+    pred = sum((F.col(f"_t{i}") * F.lit(float(weights[i])) for i in range(m)), F.lit(0.0))
+    return out.withColumn(PREDICTION, pred).drop(*[f"_t{i}" for i in range(m)])
+
+
 def evaluate(scored: DataFrame, meta, cfg: Config, score_col: str = PREDICTION) -> DataFrame:
     """T4: metrics per split in one pass (split is part of the group key)."""
     return rk.ranking_metrics(scored, [meta.group], LABEL, score_col, EVENT_ORDER,
@@ -120,16 +139,30 @@ def staged_curve(model: PipelineModel, val_scored: DataFrame, meta, cfg: Config,
     return out
 
 
+def _metrics_by_split(scored: DataFrame, meta, cfg: Config) -> dict:
+    rows = evaluate(scored, meta, cfg).collect()
+    return {r[SPLIT]: {k: v for k, v in r.asDict().items() if k != SPLIT} for r in rows}
+
+
 def fit_and_evaluate(dataset: DataFrame, meta, cfg: Config, curve: bool = False) -> FitResult:
+    """T2-T6. With ``curve``, val/test are scored at the best validation
+    iteration (NDCG@10 on val, checked every ``metric_period`` trees), as a
+    learner fitted with a validation set and early stopping would be;
+    ``all_trees_metrics`` keeps the full-model figures."""
     model = fit(dataset, meta, cfg)
-    held = score(model, dataset.where(F.col(SPLIT).isin("val", "test")), meta, cfg)
-    rows = evaluate(held, meta, cfg).collect()
-    metrics = {r[SPLIT]: {k: v for k, v in r.asDict().items() if k != SPLIT} for r in rows}
-    res = FitResult(model=model, metrics=metrics, importances=importances(model, meta, dataset.sparkSession))
+    held_rows = dataset.where(F.col(SPLIT).isin("val", "test"))
+    held = score(model, held_rows, meta, cfg)
+    full = _metrics_by_split(held, meta, cfg)
+    res = FitResult(model=model, metrics=full, all_trees_metrics=full,
+                    importances=importances(model, meta, dataset.sparkSession))
     if curve:
         res.curve = staged_curve(model, held.where(F.col(SPLIT) == "val"), meta, cfg)
         best = max(res.curve, key=lambda r: r["ndcg_at_10"]) if res.curve else None
         res.best_iteration = best["iteration"] if best else None
+        n_trees = len(model.stages[-1].trees)
+        if res.best_iteration is not None and res.best_iteration < n_trees:
+            staged = staged_score(model, held_rows, meta, cfg, res.best_iteration)
+            res.metrics = _metrics_by_split(staged, meta, cfg)
     return res
 
 

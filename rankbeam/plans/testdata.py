@@ -416,11 +416,14 @@ def _fit(spark, sf_dir):
 
 
 def q_ranker_metrics(spark, sf_dir):
-    """Fit on train, score val and test, grouped metrics per split."""
+    """Fit on train, score val and test at the best validation iteration,
+    grouped metrics per split."""
     from ..operators import ranker as rkr
 
     d, meta, res = _fit(spark, sf_dir)
-    held = rkr.score(res.model, d.where(F.col(SPLIT).isin("val", "test")), meta, TD_CFG)
+    rows = d.where(F.col(SPLIT).isin("val", "test"))
+    held = (rkr.staged_score(res.model, rows, meta, TD_CFG, res.best_iteration)
+            if res.best_iteration else rkr.score(res.model, rows, meta, TD_CFG))
     return rkr.evaluate(held, meta, TD_CFG)
 
 

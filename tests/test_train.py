@@ -46,7 +46,25 @@ def test_importances_cover_all_features(fitted):
 def test_staged_curve_ends_at_model(fitted):
     _, _, _, res = fitted
     assert [r["iteration"] for r in res.curve] == [3, 6]
-    assert res.curve[-1]["ndcg_at_10"] == pytest.approx(res.metrics["val"]["ndcg_at_10"], abs=1e-12)
+    assert res.curve[-1]["ndcg_at_10"] == pytest.approx(res.all_trees_metrics["val"]["ndcg_at_10"],
+                                                        abs=1e-12)
+
+
+def test_best_iteration_scoring(fitted):
+    """Val/test are scored at the best validation iteration of the curve."""
+    _, _, _, res = fitted
+    best = max(res.curve, key=lambda r: r["ndcg_at_10"])
+    assert res.best_iteration == best["iteration"]
+    assert res.metrics["val"]["ndcg_at_10"] == pytest.approx(best["ndcg_at_10"], abs=1e-12)
+
+
+def test_staged_score_at_all_trees_equals_predict(fitted):
+    cfg, d, meta, res = fitted
+    val = d.where(F.col(SPLIT) == "val")
+    a = rkr.score(res.model, val, meta, cfg).select("event_order", F.col("prediction").alias("a"))
+    b = rkr.staged_score(res.model, val, meta, cfg, 6).select("event_order", F.col("prediction").alias("b"))
+    diff = a.join(b, "event_order").select(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
+    assert diff < 1e-9
 
 
 def test_save_and_load(spark, fitted):
