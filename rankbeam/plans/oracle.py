@@ -348,6 +348,9 @@ WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(
     q["random_baseline"] = grnd + (
         f"SELECT CAST({me[f'ndcg_at_{k}']} AS FLOAT) AS ndcg_at_{k}, CAST({me[f'map_at_{k}']} AS FLOAT) AS map_at_{k}, "
         f"CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp")
+    q["load_split"] = base + (
+        "SELECT user_id, item_id, event_order, label, COALESCE(gender, 'unknown') AS gender, "
+        "COALESCE(geo, 'unknown') AS geo FROM splitted WHERE split = 'val'")
     q["dataset_invariants"] = base + (
         "SELECT count(*) AS n_rows, count(*) AS n_dataset_rows, count(DISTINCT event_order) AS n_distinct_events, "
         "CAST(0 AS BIGINT) AS n_bound_violations, CAST(0 AS BIGINT) AS n_null_categorical, "

@@ -282,6 +282,16 @@ def q_dataset_invariants(spark, sf_dir):
     return invariant_counts(st.inter, d, meta, st.bounds.train_end, st.bounds.val_end, st.cfg)
 
 
+def q_load_split(spark, sf_dir):
+    """The dataset written per split, then the val split loaded back."""
+    from ..plans.sinks import write_grouped_splits
+
+    d, meta = _dataset(spark, sf_dir)
+    path = write_grouped_splits(d, TD_CFG)
+    val = ds.load_split(spark, path, "val", meta, TD_CFG)
+    return val.select("user_id", "item_id", EVENT_ORDER, LABEL, "gender", "geo")
+
+
 def q_head_whole_groups(spark, sf_dir):
     d, _ = _dataset(spark, sf_dir)
     train = d.where(F.col(SPLIT) == "train")
@@ -487,6 +497,7 @@ QUERIES = {
     "categorical_normalise": q_categorical_normalise,
     "grouped_split": q_grouped_split,
     "head_whole_groups": q_head_whole_groups,
+    "load_split": q_load_split,
     "dataset_invariants": q_dataset_invariants,
     "rank_in_group": q_rank_in_group,
     "running_hits": q_running_hits,
