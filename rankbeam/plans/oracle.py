@@ -296,6 +296,7 @@ FROM inter"""
     q["emb_cos"] = emb + (
         "SELECT e.event_order, CAST(CAST(c.c AS DOUBLE) AS FLOAT) AS emb_cos "
         "FROM inter e LEFT JOIN cos c ON e.event_order = c.event_order")
+    q["stored_cosine"] = q["emb_cos"]
     q["profile_coverage"] = emb + (
         "SELECT count(p.user_id) AS n_with_profile, count(*) AS n_users "
         "FROM (SELECT DISTINCT user_id FROM inter) u LEFT JOIN pvotes p ON u.user_id = p.user_id")

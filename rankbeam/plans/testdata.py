@@ -219,6 +219,19 @@ def q_emb_cos(spark, sf_dir):
                       .alias("emb_cos"))
 
 
+def q_stored_cosine(spark, sf_dir):
+    """S13 + J5: the per-event cosine written as a table, then joined back by event_order."""
+    from ..plans.sinks import write_cosine
+    from ..session import scratch_path
+
+    st = Stage(spark, sf_dir)
+    base = st.inter.select(EVENT_ORDER, "user_id", "item_id")
+    cos = vx.attach_cosine(base, st.profiles(), st.unit(), st.cfg, st.dim())
+    path = write_cosine(cos, scratch_path(spark, "cosine"))
+    out = vx.attach_stored_cosine(st.inter.select(EVENT_ORDER), spark.read.parquet(path))
+    return out.select(EVENT_ORDER, f32(fc.nan_to_null(F.col(vx.EMB_COS))).alias("emb_cos"))
+
+
 def q_profile_coverage(spark, sf_dir):
     st = Stage(spark, sf_dir)
     return vx.profile_coverage(st.inter, st.profiles(), st.cfg)
@@ -491,6 +504,7 @@ QUERIES = {
     "user_profile": q_user_profile,
     "emb_cos": q_emb_cos,
     "profile_coverage": q_profile_coverage,
+    "stored_cosine": q_stored_cosine,
     "id_lookup": q_id_lookup,
     "assemble_features": q_assemble_features,
     "dur_diff": q_dur_diff,
