@@ -11,6 +11,7 @@ from ..config import LABEL, WATCH_RATIO, Config
 
 
 def clip(c: Column, lo: float | None, hi: float | None) -> Column:
+    """``least(greatest(c, lo), hi)``; a missing bound is not applied."""
     if lo is not None:
         c = F.greatest(c, F.lit(lo))
     if hi is not None:
@@ -68,4 +69,5 @@ def categorical(name: str) -> Column:
 
 
 def nan_to_null(c: Column) -> Column:
+    """NaN -> null (for comparisons and SQL engines without NaN semantics)."""
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)

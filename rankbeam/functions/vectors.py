@@ -39,6 +39,7 @@ def dot_n(a: Column, b: Column, n: int) -> Column:
 
 
 def l2_norm(v: Column) -> Column:
+    """Euclidean norm of an array column."""
     return F.sqrt(dot(v, v))
 
 

@@ -50,6 +50,7 @@ def split_coverage(inter: DataFrame, ds: DataFrame) -> dict:
 
 
 def split_bounds_respected(ds: DataFrame, train_end: int, val_end: int) -> DataFrame:
+    """Rows whose split label disagrees with the bounds (must be empty)."""
     eo = F.col(EVENT_ORDER)
     bad = (((F.col(SPLIT) == "train") & (eo >= train_end))
            | ((F.col(SPLIT) == "val") & ((eo < train_end) | (eo >= val_end)))
@@ -58,6 +59,7 @@ def split_bounds_respected(ds: DataFrame, train_end: int, val_end: int) -> DataF
 
 
 def leaky_columns(feature_names: list[str]) -> list[str]:
+    """Features that are target signals of the current event (must be empty)."""
     return [c for c in feature_names if c in LEAKY]
 
 
@@ -68,11 +70,13 @@ def label_mismatch(inter: DataFrame, cfg: Config) -> DataFrame:
 
 
 def order_unique(inter: DataFrame) -> bool:
+    """``event_order`` has no duplicates."""
     r = inter.agg(F.count(EVENT_ORDER).alias("n"), F.count_distinct(EVENT_ORDER).alias("d")).first()
     return r["n"] == r["d"]
 
 
 def item_set_mismatch(item_features: DataFrame, train: DataFrame, cfg: Config) -> int:
+    """Items in one of (item features, train window) but not the other (must be 0)."""
     k = cfg.columns.item_id
     a = item_features.select(k).join(train.select(k).distinct(), k, "left_anti").count()
     b = train.select(k).distinct().join(item_features.select(k), k, "left_anti").count()
@@ -80,11 +84,13 @@ def item_set_mismatch(item_features: DataFrame, train: DataFrame, cfg: Config) -
 
 
 def cosine_out_of_range(cos: DataFrame) -> DataFrame:
+    """Non-NaN cosines outside [-1, 1] (must be empty)."""
     c = F.col("emb_cos")
     return cos.where(~F.isnan(c) & ((c < -1.0 - 1e-5) | (c > 1.0 + 1e-5)))
 
 
 def ratio_out_of_range(inter: DataFrame, cfg: Config) -> DataFrame:
+    """Watch ratios outside [0, max_watch_ratio] (must be empty)."""
     r = F.col(WATCH_RATIO)
     return inter.where((r < 0) | (r > F.lit(cfg.cleaning.max_watch_ratio)))
 

@@ -33,6 +33,7 @@ def split_bounds(inter: DataFrame, cfg: Config) -> Bounds:
 
 
 def bounds_frame(spark, b: Bounds) -> DataFrame:
+    """The two split bounds as a one-row frame (a report sink input)."""
     return spark.createDataFrame([(b.train_end, b.val_end)], "train_end long, val_end long")
 
 
@@ -66,6 +67,7 @@ def split_predicate(b: Bounds, splits) -> Column:
 
 
 def temporal_split(df: DataFrame, b: Bounds) -> DataFrame:
+    """Add the ``split`` label column."""
     return df.withColumn(SPLIT, split_col(b))
 
 

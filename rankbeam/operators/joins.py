@@ -16,6 +16,7 @@ STRING_BYTES = 20
 
 
 def value_bytes(dt: T.DataType, array_len: int) -> int:
+    """Estimated bytes of one value of type ``dt`` (arrays at ``array_len`` elements)."""
     for cls, n in _FIXED.items():
         if isinstance(dt, cls):
             return n

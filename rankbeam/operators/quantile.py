@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 
 def nearest_rank(n: int, q: float) -> int:
+    """0-based rank of quantile ``q`` among ``n`` values: round half up of (n - 1) q."""
     return int(math.floor((n - 1) * q + 0.5))
 
 

@@ -30,6 +30,7 @@ def _num_input(name: str, missing: float):
 
 
 def feature_frame(df: DataFrame, num: list[str], cfg: Config) -> DataFrame:
+    """Numeric features as sentinel-filled doubles (``<name>__n``), other columns kept."""
     keep = [c for c in df.columns if c not in num]
     return df.select(*keep, *[_num_input(n, cfg.model.missing_value) for n in num])
 
@@ -172,4 +173,5 @@ def save(model: PipelineModel, path: str) -> None:
 
 
 def load(path: str) -> PipelineModel:
+    """Reload a saved pipeline model."""
     return PipelineModel.load(path)

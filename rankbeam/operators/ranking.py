@@ -243,6 +243,7 @@ def group_metric_cols(k: int, thr: float, gain: str = "exp") -> dict[str, tuple[
 
 
 def gauc_cols() -> tuple[Column, Column]:
+    """M7 per group: Mann-Whitney AUC from the sum of positive positions; valid with both classes."""
     size = F.col("size").cast("double")
     p = F.col("n_pos").cast("double")
     neg = size - p

@@ -72,6 +72,7 @@ def load_inputs(spark: SparkSession, raw_dir: str, man, cfg: Config) -> Inputs:
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
         stages=STAGES) -> RunResult:
+    """Run the named stages from RAW_DIR; every stage product is written under OUT_DIR."""
     res = RunResult()
     run_id = uuid.uuid4().hex[:12]
     t = time.time()

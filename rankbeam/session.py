@@ -22,6 +22,7 @@ LOCAL_CONF = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "rankbeam", extra: dict | None = None) -> SparkSession:
+    """A local session for tests and the bench (UI off, AQE on, UTC)."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

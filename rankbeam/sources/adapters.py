@@ -17,6 +17,7 @@ from ..config import EVENT_ORDER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One provided test table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

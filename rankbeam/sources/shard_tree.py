@@ -34,6 +34,7 @@ def week_index(spark: SparkSession, ts_col: str, t0_us: int):
 
 
 def write_tree(spark: SparkSession, sf_dir: str, root: str | None = None) -> str:
+    """Write adapter A as the raw folder layout; returns its root."""
     root = root or scratch_path(spark, "raw")
     ev = ad.table(spark, sf_dir, "events").select("event_id", "ts")
     log = ad.events_log(spark, sf_dir)
@@ -54,6 +55,7 @@ def write_tree(spark: SparkSession, sf_dir: str, root: str | None = None) -> str
 
 
 def cached_tree(spark: SparkSession, sf_dir: str) -> str:
+    """``write_tree`` once per application and test-table folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = write_tree(spark, sf_dir)
