@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid
+from . import bpe, jaccard_join, langid, mixing, pii, token_store
 from .common import crc_bucket, prepare, read_table
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text of ``documents``."""
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from documents with crc32(doc_id) mod 3 not 1."""
     prepare(spark)
@@ -18,12 +30,33 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as token ids in a binary store, read back from its files."""
+    folder = token_store.fresh_folder(prepare(spark))
+    token_store.write(read_table(spark, sf_dir, "documents"), folder,
+                      tokenizer_file("word_bpe_49k.json"), end_id=1)
+    return token_store.read(spark, folder, digest=True)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 5-word shingles and a Jaccard similarity of 0.8."""
     return jaccard_join.components_of(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language_id, op7_ngram_jaccard_join)}
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded to BPE ids and decoded again."""
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"),
+                          tokenizer_file("byte_bpe_50k.json"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raked weight, inclusion probability and decision of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.mix(docs).drop("text")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pii, op3_language_id, op4_token_store, op7_ngram_jaccard_join, op8_bpe, op10_mixing)}
 
 #: DuckDB SQL of the queries that SQL can express at the size of the tables.
 ORACLE_SQL: dict[str, str] = {}
