@@ -30,7 +30,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

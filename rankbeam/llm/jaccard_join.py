@@ -12,11 +12,15 @@ The first order puts rare tokens first: a table of approximate token counts
 which many documents share leave the prefixes. Any order gives whole results;
 the counts only keep the candidates few.
 
-Large groups of copies never meet pair by pair: equal sets are one class;
-then each class is compared with the leader of every group that has the same
-smallest token under one of a few hash orders (a star per group); the candidate
-search that follows only pairs classes of different components, which is all
-that the components need.
+Large groups of copies never meet pair by pair. Equal sets are one class. Each
+class is compared with a few leaders of every group that has the same smallest
+token under one of a few hash orders (stars; the leaders are the members that
+share most smallest tokens with the others, so they stand in the middle of
+their group). The candidate search that follows only looks for links between
+the components that the stars made, which is all that components need: tokens
+in few prefixes pair their classes by a join; classes that meet in a token of
+many prefixes form a cluster, whose classes outside its largest component are
+compared, in blocks of bounded size, with all of it.
 
 Defined results: null text and text without words have an empty set, link with
 nothing and are their own component; repeated rows come back as often as they
@@ -38,9 +42,15 @@ from .common import components, prepare, slices, written
 from .shingles import mix, shingle_sets
 
 _U = np.uint64
-#: Hash orders: the first ones make the stars, the last two filter candidates.
+#: Hash orders whose smallest token is kept; the first ones also group the stars.
+SMALLEST = 32
 STAR_ORDERS = 6
+LEADERS = 4
+#: Further orders in which the prefixes of a candidate pair must meet.
 FILTER_ORDERS = 2
+#: A token in more prefixes than this makes a cluster, compared in blocks of classes.
+CLUSTER_FROM = 48
+CLUSTER_BLOCK = 256
 #: A block of verification holds about so many texts, or so many shingles.
 BLOCK_ROWS = 128
 BLOCK_SHINGLES = 400_000
@@ -57,12 +67,10 @@ def _prefix_len(n: int, percent: int) -> int:
 def _describe(docs: DataFrame, width: int) -> DataFrame:
     """One narrow row per document: set size, set fingerprint, smallest tokens."""
     def run(batches):
-        seeds = _seeds(STAR_ORDERS)
+        factors = _seeds(SMALLEST) | _U(1)
         for b in slices(batches, "text"):
             sets = shingle_sets(b.column("text"), width)
-            small = [[int(v) for v in
-                      (mix(s[None, :] ^ seeds[:, None]).min(1).view(np.int64))] if len(s) else None
-                     for s in sets]
+            small = [[int((s * f).min()) >> 24 for f in factors] if len(s) else None for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "text_hash": b.column("text_hash"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
@@ -184,7 +192,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
              .select("a", "part", "b", "text"))
     left = (blocked.select("a", "part").distinct()
             .join(texts.select(F.col("node").alias("a"), "text"), "a").select("a", "part", "text").toDF("la", "lpart", "own"))
-    seeds = _seeds(STAR_ORDERS + FILTER_ORDERS)[STAR_ORDERS:]
+    seeds = _seeds(SMALLEST + FILTER_ORDERS)[SMALLEST:]
 
     def check(key, one, many):
         own = shingle_sets(one.column("own").slice(0, 1), width)[0] if one.num_rows else None
@@ -202,6 +210,119 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             .applyInArrow(check, "a long, b long"))
 
 
+def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b, nb): every class with the leaders of its smallest-token groups."""
+    keys = classes.select("node", "n", F.posexplode("small").alias("k", "token"))
+    common = keys.groupBy("k", "token").agg(F.count("*").alias("size")).where("size > 1")
+    scored = (keys.join(common, ["k", "token"]).groupBy("node")
+              .agg(F.sum(F.log2("size")).alias("score")))
+    keys = written(keys.where(F.col("k") < STAR_ORDERS).join(scored, "node"), "star_keys")
+    rank = [F.max(F.struct((F.col("score") - F.pmod(F.xxhash64(F.lit(j), "node"), F.lit(1 + 6 * j)))
+                           .alias("s"), "node", "n")).alias(f"l{j}") for j in range(LEADERS)]
+    leaders = (keys.groupBy("k", "token").agg(F.count("*").alias("size"), *rank).where("size > 1")
+               .select("k", "token", F.explode(F.array_distinct(F.array(*[
+                   F.struct(F.col(f"l{j}.node").alias("node"), F.col(f"l{j}.n").alias("n"))
+                   for j in range(LEADERS)]))).alias("l"))
+               .select("k", "token", F.col("l.node").alias("a"), F.col("l.n").alias("an")))
+    return (keys.join(leaders, ["k", "token"]).where("node <> a")
+            .where(_sizes_fit("an", "n", percent))
+            .select("a", F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
+
+
+def _clusters(index: DataFrame) -> DataFrame:
+    """(cluster, node, comp) of the classes that meet in tokens of many prefixes."""
+    hub = index.groupBy("token").agg(F.min("node").alias("hub"))
+    met = index.join(hub, "token").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    named = components(met.where("a <> b").distinct(), "clusters")
+    return written(index.select("node", "comp").distinct().join(named, "node")
+                   .select(F.col("component").alias("cluster"), "node", "comp"), "clusters")
+
+
+def _blocks(clusters: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join different components of a cluster.
+
+    The classes outside the cluster's largest component, in blocks, meet all
+    its classes, in blocks; each pair of blocks is one bounded task that counts
+    shared shingles exactly and returns only links that join components.
+    """
+    sizes = clusters.groupBy("cluster", "comp").agg(F.count("*").alias("c"))
+    shape = (sizes.groupBy("cluster").agg(F.max(F.struct("c", "comp")).alias("top"),
+                                          F.sum("c").alias("all"))
+             .select("cluster", F.col("top.comp").alias("main"),
+                     F.ceil(F.col("all") / CLUSTER_BLOCK).cast("int").alias("na"),
+                     F.ceil((F.col("all") - F.col("top.c")) / CLUSTER_BLOCK).cast("int").alias("nl"))
+             .where("nl > 0"))
+    c = written(clusters.join(shape, "cluster"), "shapes")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    body = texts.select("node", "text")
+    rest = (c.where("comp <> main").join(body, "node")
+            .select("cluster", block("nl").alias("i"), upto("na").alias("j"), "node", "comp", "text"))
+    full = (c.join(body, "node")
+            .select("cluster", upto("nl").alias("i"), block("na").alias("j"), "node", "comp", "text")
+            .toDF("cluster2", "i2", "j2", "node", "comp", "text"))
+
+    def check(one, two):
+        links = _join_components(one, two, width, percent) if one.num_rows and two.num_rows else []
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
+                         "b": pa.array([y for _, y in links], pa.int64())})
+
+    return (rest.groupBy("cluster", "i", "j").cogroup(full.groupBy("cluster2", "i2", "j2"))
+            .applyInArrow(check, "a long, b long"))
+
+
+def _join_components(one: pa.Table, two: pa.Table, width: int, percent: int) -> list:
+    """Links between two blocks that join components not joined by earlier ones."""
+    sets = [[s for b in slices(iter(t.to_batches()), "text") for s in
+             shingle_sets(b.column("text"), width)] for t in (one, two)]
+    nodes = [t.column("node").to_pylist() for t in (one, two)]
+    comps = [t.column("comp").to_pylist() for t in (one, two)]
+    sizes = [np.array([len(s) for s in x], np.int64) for x in sets]
+    rows = [np.repeat(np.arange(len(x)), n) for x, n in zip(sets, sizes, strict=True)]
+    both = [np.concatenate(x) for x in sets]
+    shared, back = np.unique(np.concatenate(both), return_inverse=True)
+    cols = [back[:len(both[0])], back[len(both[0]):]]
+    used = np.zeros(len(shared), bool)
+    used[cols[0]] = True
+    other = np.zeros(len(shared), bool)
+    other[cols[1]] = True
+    code = np.cumsum(used & other) - 1  # only shingles of both blocks count
+    common = np.zeros((len(sets[0]), len(sets[1])), np.float32)
+    step = 4096
+    kept = []
+    for r, c in zip(rows, cols, strict=True):
+        ok = (used & other)[c]
+        r, c = r[ok], code[c[ok]]
+        order = np.argsort(c, kind="stable")
+        kept.append((r[order], c[order]))
+    for lo in range(0, int(code[-1]) + 1 if len(code) else 0, step):
+        m = []
+        for (r, c), x in zip(kept, sets, strict=True):
+            a, b = np.searchsorted(c, [lo, lo + step])
+            dense = np.zeros((len(x), step), np.float32)
+            dense[r[a:b], c[a:b] - lo] = 1
+            m.append(dense)
+        common += m[0] @ m[1].T
+    common = np.rint(common).astype(np.int64)
+    union = sizes[0][:, None] + sizes[1][None, :] - common
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero((100 * common >= percent * union) & (union > 0))),
+                    strict=True):
+        p, q = root(comps[0][i]), root(comps[1][j])
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+            out.append((nodes[0][i], nodes[1][j]))
+    return out
+
+
 def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
     spark = prepare(docs.sparkSession)
@@ -222,16 +343,8 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
              .select("node", "text"))
     texts = written(texts, "texts")
 
-    # stars: every class against the leader of its smallest-token groups
-    keys = classes.select("node", "n", F.posexplode("small").alias("k", "token"))
-    leaders = (keys.groupBy("k", "token").agg(F.min(F.struct("n", "node")).alias("lead"),
-                                              F.count("*").alias("size"))
-               .where("size > 1").select("k", "token", F.col("lead.node").alias("a"),
-                                         F.col("lead.n").alias("an")))
-    stars = (keys.join(leaders, ["k", "token"]).where("node <> a")
-             .where(_sizes_fit("an", "n", percent))
-             .select("a", F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
-    links = written(_verify(stars, texts, width, percent), "star_links")
+    # stars: every class against the leaders of its smallest-token groups
+    links = written(_verify(_star_pairs(classes, percent), texts, width, percent), "star_links")
     comp = written(components(links, "stars"), "star_components")
 
     labelled = (texts.join(comp.withColumnRenamed("component", "comp"), "node", "left")
@@ -241,15 +354,20 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     shared = spark.sparkContext.broadcast(levels)
     index = _prefix_index(labelled, width, percent, bits, shared)
     w = Window.partitionBy("token")
-    index = written(index.withColumn("lo", F.min("comp").over(w)).withColumn("hi", F.max("comp").over(w))
-                    .where("lo < hi").drop("lo", "hi"), "index")
-    x = index.select("token", F.col("node").alias("a"), F.col("comp").alias("ca"),
-                     F.col("n").alias("na"))
-    y = index.select("token", F.col("node").alias("b"), F.col("comp").alias("cb"),
-                     F.col("n").alias("nb"))
+    index = (index.withColumns({"lo": F.min("comp").over(w), "hi": F.max("comp").over(w),
+                                "met": F.count("*").over(w)})
+             .where("lo < hi").drop("lo", "hi"))
+    index = written(index, "index")
+    few = index.where(F.col("met") <= CLUSTER_FROM)
+    x = few.select("token", F.col("node").alias("a"), F.col("comp").alias("ca"),
+                   F.col("n").alias("na"))
+    y = few.select("token", F.col("node").alias("b"), F.col("comp").alias("cb"),
+                   F.col("n").alias("nb"))
     pairs = (x.join(y, "token").where("a < b and ca <> cb").where(_sizes_fit("na", "nb", percent))
              .select("a", "b", "nb").distinct())
     more = written(_verify(pairs, texts, width, percent), "links")
+    clusters = _clusters(index.where(F.col("met") > CLUSTER_FROM))
+    more = more.union(written(_blocks(clusters, texts, width, percent), "block_links"))
     final = components(links.union(more), "all")
     named = classes.select("fp", "node", "rep").join(final, "node", "left")
     named = named.select("fp", "rep", F.coalesce("component", "node").alias("component"))
