@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, langid, mixing, pii, token_store
+from . import bpe, jaccard_join, langid, mixing, mtree, neardup, pii, quality, token_store, toxicity
 from .common import crc_bucket, prepare, read_table
 
 
@@ -21,6 +21,16 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text; learned from labels whose crc32(doc_id) mod 5 is not 0."""
+    prepare(spark)
+    held = (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", held, "text")
+    labels = read_table(spark, sf_dir, "labels").where(crc_bucket(F.col("doc_id"), 5) != 0)
+    model = toxicity.fit(docs, labels, toxicity.character_model(docs))
+    return toxicity.score(docs, model).drop("text", "found")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from documents with crc32(doc_id) mod 3 not 1."""
     prepare(spark)
@@ -38,6 +48,20 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, folder, digest=True)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text; learned from labels whose crc32(doc_id) mod 4 is not 2."""
+    prepare(spark)
+    held = (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", held, "text")
+    labels = read_table(spark, sf_dir, "labels").where(crc_bucket(F.col("doc_id"), 4) != 2)
+    return quality.score(docs, quality.fit(docs, labels)).drop("text")
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector."""
+    return mtree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 5-word shingles and a Jaccard similarity of 0.8."""
     return jaccard_join.components_of(read_table(spark, sf_dir, "documents"))
@@ -49,6 +73,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           tokenizer_file("byte_bpe_50k.json"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with equal labels at cosine 0.93."""
+    return neardup.link(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raked weight, inclusion probability and decision of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
@@ -56,7 +85,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii, op3_language_id, op4_token_store, op7_ngram_jaccard_join, op8_bpe, op10_mixing)}
+    op1_pii, op2_toxicity, op3_language_id, op4_token_store, op5_quality,
+    op6_topk_search, op7_ngram_jaccard_join, op8_bpe, op9_embedding_near_dedup, op10_mixing)}
 
 #: DuckDB SQL of the queries that SQL can express at the size of the tables.
 ORACLE_SQL: dict[str, str] = {}
