@@ -210,15 +210,23 @@ def _inputs(hits: list[float]) -> tuple[float, float, float]:
 
 
 def _word_weights(n: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Lower confidence bounds of log odds of a word in toxic against other rows."""
+    """Log odds of words that stand in toxic rows more often than chance allows.
+
+    A word's count among toxic rows must be so far above their share that, by the
+    Chernoff bound, not one of all tested words would be expected there by chance;
+    its weight is the smoothed log odds, less one standard error."""
     out = {}
+    share = toxic / (toxic + clean)
+    need = np.log(max(2, sum(1 for t, _ in n.values() if t >= 3))) + 2
     for w, (t, c) in n.items():
-        if t < 3:
+        if t < 3 or t <= share * (t + c):
             continue
+        p = t / (t + c)
+        far = t * np.log(p / share) + (c * np.log((1 - p) / (1 - share)) if c else 0.0)
         odds = np.log((t + 0.5) / (toxic - t + 0.5)) - np.log((c + 0.5) / (clean - c + 0.5))
         err = np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5) + 1 / (toxic - t + 0.5) + 1 / (clean - c + 0.5))
-        if odds - 2.5 * err > 0.5:
-            out[w] = float(odds - 2.5 * err)
+        if far > need and odds > err:
+            out[w] = float(odds - err)
     return out
 
 
