@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from ..config import EVENT_ORDER, LABEL, SPLIT, WATCH_RATIO, Config
 from ..functions import columns as fc
 
-LEAKY = ("timespent", "watch_ratio", "like", "dislike", "share", "bookmark",
-         "click_on_author", "open_comments")
+
+def leaky_names(cfg: Config) -> set[str]:
+    """Columns that are target signals of the current event."""
+    c = cfg.columns
+    return {c.timespent, WATCH_RATIO, LABEL, *c.feedback}
 
 
 def group_runs_per_file(written: DataFrame, cfg: Config) -> DataFrame:
@@ -58,9 +61,10 @@ def split_bounds_respected(ds: DataFrame, train_end: int, val_end: int) -> DataF
     return ds.where(bad)
 
 
-def leaky_columns(feature_names: list[str]) -> list[str]:
+def leaky_columns(feature_names: list[str], cfg: Config) -> list[str]:
     """Features that are target signals of the current event (must be empty)."""
-    return [c for c in feature_names if c in LEAKY]
+    leaky = leaky_names(cfg)
+    return [c for c in feature_names if c in leaky]
 
 
 def label_mismatch(inter: DataFrame, cfg: Config) -> DataFrame:
@@ -123,7 +127,7 @@ def invariant_counts(inter: DataFrame, ds: DataFrame, meta, train_end: int, val_
               .cast("long")).alias("n_label_mismatch"),
         F.sum(((r < 0) | (r > F.lit(cfg.cleaning.max_watch_ratio))).cast("long")).alias("n_ratio_out_of_range"),
     )
-    leaky = len(leaky_columns(list(meta.num_features) + list(meta.cat_features)))
+    leaky = len(leaky_columns(list(meta.num_features) + list(meta.cat_features), cfg))
     a, b = ds_counts.first(), in_counts.first()  # one row each
     names = ["n_rows", "n_dataset_rows", "n_distinct_events", "n_bound_violations",
              "n_null_categorical", "n_label_mismatch", "n_ratio_out_of_range", "n_leaky_features"]

@@ -91,51 +91,6 @@ def _mean(col: str) -> Column:
     return F.avg(F.col(col).cast("double"))
 
 
-def user_features(train: DataFrame, cfg: Config) -> DataFrame:
-    """A4."""
-    c = cfg.columns
-    return train.groupBy(c.user_id).agg(
-        F.count(F.lit(1)).alias("user_n_events"),
-        _mean(WATCH_RATIO).alias("user_mean_watch_ratio"),
-        _mean(c.timespent).alias("user_mean_timespent"),
-        _mean(c.duration).alias("user_mean_duration"),
-        n_unique(c.author_id).alias("user_n_authors"),
-        *rate_cols(c.feedback, "user"),
-    )
-
-
-def item_features(train: DataFrame, cfg: Config) -> DataFrame:
-    """A5."""
-    c = cfg.columns
-    return train.groupBy(c.item_id).agg(
-        F.count(F.lit(1)).alias("item_n_views"),
-        _mean(WATCH_RATIO).alias("item_mean_watch_ratio"),
-        _mean(LABEL).alias("item_mean_label"),
-        *rate_cols(c.feedback, "item"),
-    )
-
-
-def author_features(train: DataFrame, cfg: Config) -> DataFrame:
-    """A6 (a null author forms its own group, which never joins back)."""
-    c = cfg.columns
-    return train.groupBy(c.author_id).agg(
-        F.count(F.lit(1)).alias("author_n_views"),
-        n_unique(c.item_id).alias("author_n_items"),
-        _mean(WATCH_RATIO).alias("author_mean_watch_ratio"),
-        *rate_cols(c.feedback, "author"),
-    )
-
-
-def user_author_features(train: DataFrame, cfg: Config) -> DataFrame:
-    """A7."""
-    c = cfg.columns
-    return train.groupBy(c.user_id, c.author_id).agg(
-        F.count(F.lit(1)).alias("ua_n_events"),
-        _mean(WATCH_RATIO).alias("ua_mean_watch_ratio"),
-        _mean(LABEL).alias("ua_mean_label"),
-    )
-
-
 @dataclass
 class FeatureTables:
     user: DataFrame

@@ -121,7 +121,7 @@ ua_f AS (
 EMB = f"""
 vec_raw AS (
   SELECT vec_id AS item_id, embedding FROM embeddings
-  WHERE label <> 0 AND embedding IS NOT NULL AND vec_id IN (SELECT item_id FROM inter)),
+  WHERE embedding IS NOT NULL AND vec_id IN (SELECT item_id FROM inter)),
 vec_dedup AS (SELECT item_id, min(embedding) AS embedding FROM vec_raw GROUP BY item_id),
 vec_el AS (
   SELECT item_id, i, CAST(embedding[i] AS DOUBLE) AS x FROM (
@@ -304,7 +304,7 @@ FROM inter"""
         "SELECT q.item_id, COALESCE(v.idx, -1) AS idx "
         "FROM (SELECT DISTINCT item_id FROM norm) q LEFT JOIN "
         "(SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM "
-        "(SELECT DISTINCT vec_id AS item_id FROM embeddings WHERE label <> 0)) v ON q.item_id = v.item_id")
+        "(SELECT DISTINCT vec_id AS item_id FROM embeddings)) v ON q.item_id = v.item_id")
     ds = with_(BASE, FEATS, EMB, DATASET)
     num_sel = ", ".join(r6(c, c) for c in NUM_FEATURES)
     q["assemble_features"] = ds + (
@@ -362,7 +362,7 @@ WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(
         "AS item_id, value AS timespent FROM events")
     q["meta_scan"] = base + "SELECT user_id, age, gender, geo FROM users"
     q["npz_embeddings"] = ("SELECT vec_id AS item_id, CAST(len(embedding) AS BIGINT) AS n_dims, "
-                           "CAST(embedding[1] AS FLOAT) AS e_first FROM embeddings WHERE label <> 0")
+                           "CAST(embedding[1] AS FLOAT) AS e_first FROM embeddings")
     q["shard_stage_stats"] = q["stage_stats"]
     q["source_catalog"] = """
 WITH t0 AS (SELECT min(epoch_us(ts)) AS us FROM events),

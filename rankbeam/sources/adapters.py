@@ -73,8 +73,8 @@ def user_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item vectors: ``embeddings`` rows with a non-zero label."""
-    return table(spark, sf_dir, "embeddings").where(F.col("label") != 0).select(
+    """Item vectors: every row of ``embeddings``."""
+    return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("item_id"),
         F.col("embedding"),
     )

@@ -65,17 +65,25 @@ def week_col(path_col: str = "rel"):
 def manifest(files: DataFrame, src: Sources = Sources()) -> DataFrame:
     """(category, week, path, rel, shard, ord) in temporal order.
 
-    ``ord`` is the 0-based position inside the category by (week, path).
-    ``max_shards`` keeps the first N interaction files; embeddings are
-    dropped when ``use_embeddings`` is off. The listing has one row per file,
-    so the per-category window is bounded by the file count.
+    ``ord`` is the 0-based position of the file inside the category by (week,
+    path). ``shard`` is the relative path up to and including its ``week_N``
+    component, a file or a folder of part files; without one, the file's folder.
+    ``max_shards`` keeps all files of the first N interaction shards by (week,
+    shard); embeddings are dropped when ``use_embeddings`` is off. The listing
+    has one row per file, so the per-category windows are bounded by the file
+    count.
     """
     df = categorize(files, src).withColumn("week", week_col())
-    df = df.withColumn("shard", F.regexp_replace("rel", r"/[^/]*$", ""))
+    of_week = F.regexp_extract("rel", r"^((?:[^/]*/)*?[^/]*week_\d+[^/]*)", 1)
+    df = df.withColumn("shard", F.when(of_week != "", of_week).otherwise(
+        F.regexp_replace("rel", r"/[^/]*$", "")))
     w = Window.partitionBy("category").orderBy("week", "path")
     df = df.withColumn("ord", F.row_number().over(w) - 1)
     if src.max_shards:
-        df = df.where((F.col("category") != "interactions") | (F.col("ord") < int(src.max_shards)))
+        by_shard = Window.partitionBy("category").orderBy("week", "shard")
+        df = (df.withColumn("_nth", F.dense_rank().over(by_shard))
+              .where((F.col("category") != "interactions") | (F.col("_nth") <= int(src.max_shards)))
+              .drop("_nth"))
     if not src.use_embeddings:
         df = df.where(F.col("category") != "embeddings")
     return df.select("category", "week", "path", "rel", "shard", "ord", "length")

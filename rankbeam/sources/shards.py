@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER
-from .catalog import week_col
+from .catalog import _sql_str, week_col
 
 FILE, ROW = "_file", "_row"
 
@@ -35,7 +35,7 @@ def with_row_index(df: DataFrame, root: str) -> DataFrame:
     src = df.select("*", F.col("_metadata.file_path").alias(FILE),
                     F.col("_metadata.row_index").alias(ROW))
     per_file = src.groupBy(FILE).agg(F.count(F.lit(1)).alias("_rows"))
-    rel = F.expr(f"substring({FILE}, locate('{bare}', {FILE}) + {len(bare) + 1})").alias("rel")
+    rel = F.expr(f"substring({FILE}, locate({_sql_str(bare)}, {FILE}) + {len(bare) + 1})").alias("rel")
     per_file = per_file.select(FILE, "_rows", rel).withColumn("week", week_col("rel"))
     w = Window.orderBy("week", FILE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_file.select(FILE, F.coalesce(F.sum("_rows").over(w), F.lit(0)).alias("_off"))

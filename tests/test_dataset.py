@@ -40,7 +40,7 @@ def test_groups_contiguous_per_file(built):
 def test_feature_lists_and_types(built):
     _, d, meta = built
     assert len(meta.num_features) == 36 and len(meta.cat_features) == 5
-    assert not checks.leaky_columns(meta.num_features + meta.cat_features)
+    assert not checks.leaky_columns(meta.num_features + meta.cat_features, td.TD_CFG)
     types = dict(d.dtypes)
     assert all(types[c] == "float" for c in meta.num_features)
     assert all(types[c] == "string" for c in meta.cat_features)

@@ -53,6 +53,24 @@ def test_max_shards_and_no_embeddings(spark, tmp_path):
     assert not [r for r in man if r["category"] == "embeddings"]
 
 
+def test_max_shards_keeps_whole_weeks_of_part_files(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    _touch_tree(root, [f"log/week_{w:02d}.parquet/part-{p}.parquet" for w in range(3) for p in range(4)]
+                + ["m/users.parquet", "m/items.parquet"])
+    src = Sources(max_shards=2)
+    man = cat.manifest(cat.list_files(spark, root, src), src).collect()
+    kept = [r for r in man if r["category"] == "interactions"]
+    assert len(kept) == 8
+    assert {r["shard"] for r in kept} == {"log/week_00.parquet", "log/week_01.parquet"}
+
+
+def test_row_index_under_a_root_with_a_quote(spark, tmp_path):
+    root = str(tmp_path / "it's raw")
+    spark.range(7).write.parquet(f"{root}/week_00.parquet")
+    rows = sh.with_row_index(sh.scan(spark, [f"{root}/week_00.parquet"]), root).collect()
+    assert sorted(r["event_order"] for r in rows) == list(range(7))
+
+
 def test_missing_dir_and_missing_category(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         cat.list_files(spark, str(tmp_path / "nope"))
