@@ -56,6 +56,10 @@ BLOCK_ROWS = 128
 BLOCK_SHINGLES = 400_000
 
 
+def _prefix_size(n, percent: int):
+    return n - F.floor((n * percent + 99) / 100) + 1
+
+
 def _seeds(n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 
@@ -224,9 +228,16 @@ def _star_pairs(classes: DataFrame, percent: int) -> DataFrame:
                    F.struct(F.col(f"l{j}.node").alias("node"), F.col(f"l{j}.n").alias("n"))
                    for j in range(LEADERS)]))).alias("l"))
                .select("k", "token", F.col("l.node").alias("a"), F.col("l.n").alias("an")))
-    return (keys.join(leaders, ["k", "token"]).where("node <> a")
-            .where(_sizes_fit("an", "n", percent))
-            .select("a", F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
+    pairs = (keys.join(leaders, ["k", "token"]).where("node <> a")
+             .where(_sizes_fit("an", "n", percent))
+             .select("a", F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
+    # a leader that shares few smallest tokens is hardly similar; the candidate
+    # search decides about such pairs, the stars only save it work
+    sketch = classes.select("node", "small")
+    both = (pairs.join(sketch.toDF("a", "sa"), "a").join(sketch.toDF("b", "sb"), "b")
+            .withColumn("same", F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y),
+                                                lambda x: x))))
+    return both.where(F.col("same") >= int(SMALLEST * (percent / 100) ** 2)).select("a", "b", "nb")
 
 
 def _clusters(index: DataFrame) -> DataFrame:
@@ -363,8 +374,13 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
                    F.col("n").alias("na"))
     y = few.select("token", F.col("node").alias("b"), F.col("comp").alias("cb"),
                    F.col("n").alias("nb"))
+    # With one order, what the shorter-reaching prefix holds of the other set lies in
+    # the other prefix: the overlap is at most the shared prefix tokens plus the rest.
+    rest = F.greatest(*[F.col(n) - _prefix_size(F.col(n), percent) for n in ("na", "nb")])
     pairs = (x.join(y, "token").where("a < b and ca <> cb").where(_sizes_fit("na", "nb", percent))
-             .select("a", "b", "nb").distinct())
+             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
+             .where((F.col("shared") + rest) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
+             .select("a", "b", "nb"))
     more = written(_verify(pairs, texts, width, percent), "links")
     clusters = _clusters(index.where(F.col("met") > CLUSTER_FROM))
     more = more.union(written(_blocks(clusters, texts, width, percent), "block_links"))
