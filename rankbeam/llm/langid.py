@@ -198,7 +198,7 @@ def predict(docs: DataFrame, model: LangModel, text_col: str = "text") -> DataFr
     return docs.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, scored: DataFrame, min_score: float = 0.4) -> DataFrame:
+def keep_identified(docs: DataFrame, scored: DataFrame, min_score: float = 0.3) -> DataFrame:
     """Rows of ``scored`` whose language was identified, with the columns of ``docs``.
 
     Rejected: ``und`` (no letter in it) and a winning language below ``min_score``.
