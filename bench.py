@@ -1,4 +1,5 @@
-"""Headline benchmark: the whole job on adapter B (lineitem x orders).
+"""Headline benchmark: the whole job (``job.run``, every stage with its reports, curve
+and saved model) on adapter B (lineitem x orders).
 
 Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and prints ONE JSON line:
@@ -26,14 +27,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     with_ranker = os.environ.get("BENCH_RANKER", "1") != "0"
 
-    from pyspark.sql import functions as F
-
-    from rankbeam.config import EVENT_ORDER, LABEL, SPLIT, Config
-    from rankbeam.operators import clean as cl
-    from rankbeam.operators import dataset as ds
-    from rankbeam.operators import features as ft
-    from rankbeam.operators import ranking as rk
-    from rankbeam.plans import job, sinks
+    from rankbeam.config import Config
+    from rankbeam.plans import job
     from rankbeam.session import local_session, scratch_path
     from rankbeam.sources import shard_tree
 
@@ -43,8 +38,8 @@ def main() -> None:
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="rankbeam-bench",
                           extra=extra)
-    # Ranker settings of the reference's published demo run: 10 trees, depth 6.
-    cfg = Config().with_model(max_iter=10, max_depth=6)
+    # Ranker settings of the published demo run: 10 trees, depth 6, all of them fitted.
+    cfg = Config().with_model(max_iter=10, max_depth=6, metric_period=5, early_stop=False)
     times: dict[str, float] = {}
 
     t = time.time()
@@ -52,53 +47,9 @@ def main() -> None:
     times["input_write"] = time.time() - t
     out = scratch_path(spark, "bench-out")
 
-    def timed(name, fn):
-        t0 = time.time()
-        r = fn()
-        times[name] = time.time() - t0
-        return r
-
-    man = timed("prepare", lambda: job.prepare(spark, raw, cfg))
-    inp = job.load_inputs(spark, raw, man, cfg)
-    inter_path = f"{out}/interactions"
-
-    def preprocess():
-        inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
-        sinks.write_interactions(inter, inter_path)
-        return cl.stage_stats(spark.read.parquet(inter_path), cfg).first().asDict()
-
-    stats = timed("preprocess", preprocess)
-    inter = spark.read.parquet(inter_path)
-    bounds = timed("split_bounds", lambda: ft.split_bounds(inter, cfg))
-
-    def features():
-        feats = ft.build_aggregates(inter, bounds, cfg)
-        for name in ("user", "item", "author", "ua"):
-            sinks.write_table(getattr(feats, name), f"{out}/features/{name}")
-        feats.release()
-        return ft.FeatureTables(*[spark.read.parquet(f"{out}/features/{n}")
-                                  for n in ("user", "item", "author", "ua")])
-
-    feats = timed("features", features)
-
-    def dataset():
-        d, meta = ds.assemble(inter, feats, bounds, cfg, inp.vectors, layout=True)
-        path = sinks.write_grouped_splits(d, cfg, f"{out}/dataset")
-        return spark.read.parquet(path), meta
-
-    written, meta = timed("dataset", dataset)
-    sizes = timed("split_sizes", lambda: {r[SPLIT]: r["n_rows"] for r in ft.split_sizes(written).collect()})
-
-    def evaluate():
-        held = written.where(F.col(SPLIT).isin("val", "test"))
-        return rk.ranking_metrics(held, ["user_id"], LABEL, "item_mean_label", EVENT_ORDER,
-                                  ks=cfg.eval.ks, by=[SPLIT]).collect()
-
-    timed("evaluate", evaluate)
-    if with_ranker:
-        from rankbeam.operators import ranker as rkr
-
-        timed("train", lambda: rkr.fit_and_evaluate(written, meta, cfg))
+    stages = job.STAGES if with_ranker else job.STAGES[:-1]
+    res = job.run(spark, raw, out, cfg, stages)
+    times.update(res.seconds)
 
     total = sum(v for k, v in times.items() if k != "input_write")
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -108,7 +59,7 @@ def main() -> None:
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(m.group(1)) if m else sf_dir,
-        "rows": {"interactions": int(stats["n_rows"]), **{k: int(v) for k, v in sizes.items()}},
+        "rows": {"interactions": int(res.stats["n_rows"]), **{k: int(v) for k, v in res.sizes.items()}},
     }))
     spark.stop()
 

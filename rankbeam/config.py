@@ -7,7 +7,7 @@ Defaults are the reference job's defaults (fixed values, see comments).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 EVENT_ORDER = "event_order"
 WATCH_RATIO = "watch_ratio"
@@ -98,13 +98,21 @@ class Eval:
 
 @dataclass(frozen=True)
 class Model:
-    max_iter: int = 20
-    max_depth: int = 5
-    step_size: float = 0.1
+    # Trees, depth, learning rate and curve period of the reference job.
+    max_iter: int = 2000
+    max_depth: int = 8
+    step_size: float = 0.05
+    metric_period: int = 25
     subsampling_rate: float = 1.0
     seed: int = 42
-    metric_period: int = 5
     missing_value: float = -1.0e9
+    # Fit with the validation split and stop when its error no longer falls.
+    early_stop: bool = True
+    validation_tol: float = 0.0
+    # Rows of the train split for quick runs (first whole groups); None: all.
+    max_train_rows: int | None = None
+    # The learner keeps a bin per value of a categorical column; wider columns are refused.
+    max_categories: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -126,6 +134,15 @@ class Scale:
     sort_interactions_globally: bool = True
 
 
+def _frozen(value):
+    """JSON lists and objects as the tuples that the dataclasses hold."""
+    if isinstance(value, dict):
+        return tuple((k, _frozen(v)) for k, v in value.items())
+    if isinstance(value, list):
+        return tuple(_frozen(v) for v in value)
+    return value
+
+
 @dataclass(frozen=True)
 class Config:
     columns: Columns = field(default_factory=Columns)
@@ -139,6 +156,21 @@ class Config:
     model: Model = field(default_factory=Model)
     scale: Scale = field(default_factory=Scale)
 
+    @staticmethod
+    def from_dict(values: dict) -> "Config":
+        """A config from nested plain values, e.g. of a JSON file; unknown names fail."""
+        cfg = Config()
+        for section, entries in values.items():
+            if not hasattr(cfg, section):
+                raise ValueError(f"unknown config section: {section}")
+            part = getattr(cfg, section)
+            known = {f.name for f in fields(part)}
+            unknown = set(entries) - known
+            if unknown:
+                raise ValueError(f"unknown settings in {section}: {sorted(unknown)}")
+            cfg = replace(cfg, **{section: replace(part, **{k: _frozen(v) for k, v in entries.items()})})
+        return cfg
+
     def with_cleaning(self, **kw) -> "Config":
         return replace(self, cleaning=replace(self.cleaning, **kw))
 

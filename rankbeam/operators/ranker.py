@@ -21,6 +21,7 @@ from . import ranking as rk
 
 FEATURES = "features"
 PREDICTION = "prediction"
+VALIDATION = "_is_val"
 
 
 def _num_input(name: str, missing: float):
@@ -48,7 +49,9 @@ def build_tail(num: list[str], cat: list[str], cfg: Config, max_bins: int) -> li
                           outputCol=FEATURES, handleInvalid="keep")
     gbt = GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION,
                        maxIter=m.max_iter, maxDepth=m.max_depth, stepSize=m.step_size,
-                       subsamplingRate=m.subsampling_rate, seed=m.seed, maxBins=max_bins)
+                       subsamplingRate=m.subsampling_rate, seed=m.seed, maxBins=max_bins,
+                       **({"validationIndicatorCol": VALIDATION, "validationTol": m.validation_tol}
+                          if m.early_stop else {}))
     return [asm, gbt]
 
 
@@ -63,17 +66,30 @@ class FitResult:
 
 
 def fit(dataset: DataFrame, meta, cfg: Config) -> PipelineModel:
-    """Fit on the train split (stays distributed)."""
+    """Fit on the train split (stays distributed). With ``early_stop`` the val
+    split is the learner's validation set: trees are added until its error no longer
+    falls, and the model ends at the best one."""
+    m = cfg.model
     train = feature_frame(dataset.where(F.col(SPLIT) == "train"), meta.num_features, cfg)
     stages = []
     bins = 32
     if meta.cat_features:
         idx = indexer(meta.cat_features).fit(train)
         stages.append(idx)
+        widest = max(len(lbl) for lbl in idx.labelsArray)
+        if widest > m.max_categories:
+            raise ValueError(f"a categorical feature has {widest} values; max_categories is "
+                             f"{m.max_categories}")
         # maxBins must cover the largest categorical cardinality (+ unseen bucket)
-        bins = max(32, max(len(lbl) for lbl in idx.labelsArray) + 2)
+        bins = max(32, widest + 2)
+    rows = train
+    if m.early_stop:
+        rows = feature_frame(dataset.where(F.col(SPLIT).isin("train", "val")), meta.num_features, cfg)
+        rows = rows.withColumn(VALIDATION, F.col(SPLIT) == "val")
+        if rows.where(VALIDATION).isEmpty():
+            raise ValueError("early_stop needs rows in the val split")
     tail = Pipeline(stages=build_tail(meta.num_features, meta.cat_features, cfg, bins))
-    fitted_tail = tail.fit(stages[0].transform(train) if stages else train)
+    fitted_tail = tail.fit(stages[0].transform(rows) if stages else rows)
     return PipelineModel(stages=[*stages, *fitted_tail.stages])
 
 
@@ -115,29 +131,32 @@ def importances(model: PipelineModel, meta, spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
-def staged_curve(model: PipelineModel, val_scored: DataFrame, meta, cfg: Config,
-                 k: int = 10) -> list[dict]:
-    """T5: NDCG@k on val after every ``metric_period`` trees.
+def staged_metrics(model: PipelineModel, held: DataFrame, meta, cfg: Config) -> DataFrame:
+    """T4 + T5: metrics per (split, iteration) after every ``metric_period`` trees and
+    after the last one, in one metric pass.
 
-    The staged score is the weighted sum of the first m trees' predictions
-    (equal to the model's prediction at m = all trees).
+    The staged score is the weighted sum of the first m trees' predictions (equal
+    to the model's prediction at m = all trees); the iteration is part of the
+    group key.
     """
     gbt = model.stages[-1]
     trees, weights = gbt.trees, gbt.treeWeights
-    df = val_scored
-    for i, t in enumerate(trees):
-        t.setPredictionCol(f"_t{i}")
-        df = t.transform(df)
+    df = PipelineModel(stages=model.stages[:-1]).transform(
+        feature_frame(held, meta.num_features, cfg))
     period = max(1, cfg.model.metric_period)
-    stops = sorted(set(list(range(period, len(trees) + 1, period)) + [len(trees)]))
-    out = []
-    for m in stops:
-        s = sum((F.col(f"_t{i}") * F.lit(float(weights[i])) for i in range(m)), F.lit(0.0))
-        met = rk.ranking_metrics(df.withColumn("_staged", s), [meta.group], LABEL, "_staged",
-                                 EVENT_ORDER, ks=(k,), thr=cfg.eval.binary_threshold).first()
-        out.append({"iteration": m, f"ndcg_at_{k}": float(met[f"ndcg_at_{k}"]),
-                    "gauc": float(met["gauc"])})
-    return out
+    stops = sorted({*range(period, len(trees) + 1, period), len(trees)})
+    total, stages, keep = F.lit(0.0), [], [SPLIT, meta.group, LABEL, EVENT_ORDER]
+    for i, t in enumerate(trees):
+        t.setPredictionCol("_tree")
+        df = t.transform(df).withColumn("_sum", (F.col("_sum") if i else total)
+                                        + F.col("_tree") * F.lit(float(weights[i]))).drop("_tree")
+        if i + 1 in stops:
+            df = df.withColumn(f"_s{i + 1}", F.col("_sum"))
+            stages.append(F.struct(F.lit(i + 1).alias("iteration"), F.col(f"_s{i + 1}").alias("score")))
+    staged = df.select(*dict.fromkeys(keep), F.explode(F.array(*stages)).alias("_st")).select(
+        *dict.fromkeys(keep), "_st.iteration", F.col("_st.score").alias("_staged"))
+    return rk.ranking_metrics(staged, [meta.group], LABEL, "_staged", EVENT_ORDER, ks=cfg.eval.ks,
+                              thr=cfg.eval.binary_threshold, by=[SPLIT, "iteration"])
 
 
 def _metrics_by_split(scored: DataFrame, meta, cfg: Config) -> dict:
@@ -146,24 +165,28 @@ def _metrics_by_split(scored: DataFrame, meta, cfg: Config) -> dict:
 
 
 def fit_and_evaluate(dataset: DataFrame, meta, cfg: Config, curve: bool = False) -> FitResult:
-    """T2-T6. With ``curve``, val/test are scored at the best validation
-    iteration (NDCG@10 on val, checked every ``metric_period`` trees), as a
-    learner fitted with a validation set and early stopping would be;
-    ``all_trees_metrics`` keeps the full-model figures."""
+    """T2-T6. With ``curve``, val/test metrics are those of the best validation
+    iteration (NDCG@10 on val, checked every ``metric_period`` trees), and
+    ``all_trees_metrics`` keeps the full model's; one pass gives them all."""
     model = fit(dataset, meta, cfg)
-    held_rows = dataset.where(F.col(SPLIT).isin("val", "test"))
-    held = score(model, held_rows, meta, cfg)
-    full = _metrics_by_split(held, meta, cfg)
-    res = FitResult(model=model, metrics=full, all_trees_metrics=full,
-                    importances=importances(model, meta, dataset.sparkSession))
-    if curve:
-        res.curve = staged_curve(model, held.where(F.col(SPLIT) == "val"), meta, cfg)
-        best = max(res.curve, key=lambda r: r["ndcg_at_10"]) if res.curve else None
-        res.best_iteration = best["iteration"] if best else None
-        n_trees = len(model.stages[-1].trees)
-        if res.best_iteration is not None and res.best_iteration < n_trees:
-            staged = staged_score(model, held_rows, meta, cfg, res.best_iteration)
-            res.metrics = _metrics_by_split(staged, meta, cfg)
+    held = dataset.where(F.col(SPLIT).isin("val", "test"))
+    res = FitResult(model=model, importances=importances(model, meta, dataset.sparkSession))
+    if not curve:
+        res.metrics = res.all_trees_metrics = _metrics_by_split(score(model, held, meta, cfg), meta, cfg)
+        return res
+    rows = [r.asDict() for r in staged_metrics(model, held, meta, cfg).collect()]
+
+    def at(iteration):
+        return {r[SPLIT]: {k: v for k, v in r.items() if k not in (SPLIT, "iteration")}
+                for r in rows if r["iteration"] == iteration}
+
+    n_trees = len(model.stages[-1].trees)
+    res.all_trees_metrics = res.metrics = at(n_trees)
+    res.curve = [{k: v for k, v in r.items() if k != SPLIT}
+                 for r in sorted(rows, key=lambda r: r["iteration"]) if r[SPLIT] == "val"]
+    if res.curve:
+        res.best_iteration = max(res.curve, key=lambda r: r["ndcg_at_10"])["iteration"]
+        res.metrics = at(res.best_iteration)
     return res
 
 

@@ -6,20 +6,22 @@ executors, and the same hand-off the reference uses), and the next stage
 reads it back, so filters and column pruning still reach the Parquet scans.
 
     spark-submit --py-files rankbeam.zip scripts/run_job.py RAW_DIR OUT_DIR [--stages ...]
+        [--config settings.json] [--set model.max_iter=100 ...]
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-import os
 import time
 import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from ..config import Config
+from ..config import SPLIT, Config
 from ..operators import clean as cl
 from ..operators import dataset as ds
 from ..operators import features as ft
@@ -70,77 +72,131 @@ def load_inputs(spark: SparkSession, raw_dir: str, man, cfg: Config) -> Inputs:
     return Inputs(log, items, users, vectors, man)
 
 
-def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
-        stages=STAGES) -> RunResult:
-    """Run the named stages from RAW_DIR; every stage product is written under OUT_DIR."""
-    res = RunResult()
-    run_id = uuid.uuid4().hex[:12]
-    t = time.time()
+def _read(spark: SparkSession, path: str, maker: str, reader: str = "parquet") -> DataFrame:
+    """A product of an earlier stage; a clear error when that stage has not run."""
+    try:
+        return getattr(spark.read, reader)(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            raise FileNotFoundError(f"{path} is missing: run the stage {maker!r} first") from e
+        raise
+
+
+def load_manifest(spark: SparkSession, out_dir: str) -> "cat.Listing":
+    """The manifest that ``prepare`` wrote."""
+    return cat.Listing(_read(spark, f"{out_dir}/manifest", "prepare"))
+
+
+def load_bounds(spark: SparkSession, out_dir: str) -> ft.Bounds:
+    row = _read(spark, f"{out_dir}/reports/bounds", "features", "json").first()
+    return ft.Bounds(row["train_end"], row["val_end"])
+
+
+def load_meta(spark: SparkSession, out_dir: str) -> ds.DatasetMeta:
+    row = _read(spark, f"{out_dir}/reports/dataset_meta", "dataset", "json").first()
+    return ds.DatasetMeta(**json.loads(row["meta"]))
+
+
+def run_prepare(spark, raw_dir, out_dir, cfg, res) -> dict:
+    found = cat.manifest(cat.list_files(spark, raw_dir, cfg.sources), cfg.sources)
+    sinks.write_table(found.coalesce(1), f"{out_dir}/manifest")
+    man = load_manifest(spark, out_dir)
+    cat.validate(man)
+    return {"n_shards": len(man.shards("interactions")), "n_files": len(man.paths("interactions"))}
 
-    def tick(name):
-        nonlocal t
-        now = time.time()
-        res.seconds[name] = round(now - t, 3)
-        t = now
 
-    man = prepare(spark, raw_dir, cfg)
-    tick("prepare")
+def run_preprocess(spark, raw_dir, out_dir, cfg, res) -> dict:
+    man = load_manifest(spark, out_dir)
     inp = load_inputs(spark, raw_dir, man, cfg)
-    parts = sinks.partitions_for(cat.total_bytes(man, "interactions"))
-    inter_path = os.path.join(out_dir, "interactions")
-    if "preprocess" in stages:
-        inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
-        sinks.write_interactions(inter, inter_path, parts, cfg.scale.sort_interactions_globally)
-        stats_df = cl.stage_stats(spark.read.parquet(inter_path), cfg)
-        sinks.write_json_row(stats_df, os.path.join(out_dir, "reports", "stats"))
-        stats = spark.read.json(os.path.join(out_dir, "reports", "stats")).first().asDict()
-        res.stats = {k: float(v) if v is not None else None for k, v in stats.items()}
-        _track(spark, out_dir, run_id, "preprocess", res.stats)
-        tick("preprocess")
-    inter = spark.read.parquet(inter_path)
-    if "features" in stages or "dataset" in stages:
-        res.bounds = ft.split_bounds(inter, cfg)
-        sinks.write_json_row(ft.bounds_frame(spark, res.bounds), os.path.join(out_dir, "reports", "bounds"))
-        feats = ft.build_aggregates(inter, res.bounds, cfg)
-        fdir = os.path.join(out_dir, "features")
-        for name in ("user", "item", "author", "ua"):
-            sinks.write_table(getattr(feats, name), os.path.join(fdir, name))
+    path = f"{out_dir}/interactions"
+    inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
+    sinks.write_interactions(inter, path, _parts(man), cfg.scale.sort_interactions_globally)
+    sinks.write_json_row(cl.stage_stats(spark.read.parquet(path), cfg), f"{out_dir}/reports/stats")
+    stats = spark.read.json(f"{out_dir}/reports/stats").first().asDict()
+    res.stats = {k: float(v) if v is not None else None for k, v in stats.items()}
+    return res.stats
+
+
+def run_features(spark, raw_dir, out_dir, cfg, res) -> dict:
+    inter = _read(spark, f"{out_dir}/interactions", "preprocess")
+    res.bounds = ft.split_bounds(inter, cfg)
+    sinks.write_json_row(ft.bounds_frame(spark, res.bounds), f"{out_dir}/reports/bounds")
+    feats = ft.build_aggregates(inter, res.bounds, cfg)
+    try:
+        for name in TABLES:
+            sinks.write_table(getattr(feats, name), f"{out_dir}/features/{name}")
+    finally:
         feats.release()
-        feats = ft.FeatureTables(*[spark.read.parquet(os.path.join(fdir, n))
-                                   for n in ("user", "item", "author", "ua")])
-        tick("features")
-        if "dataset" in stages:
-            dset, meta = ds.assemble(inter, feats, res.bounds, cfg, inp.vectors, layout=True,
-                                     num_partitions=parts)
-            dpath = sinks.write_grouped_splits(dset, cfg, os.path.join(out_dir, "dataset"), parts)
-            written = spark.read.parquet(dpath)
-            res.sizes = {r["split"]: r["n_rows"] for r in ft.split_sizes(written).collect()}
-            res.meta = meta
-            meta_df = spark.createDataFrame([(sinks.meta_json(meta),)], "meta string")
-            sinks.write_json_row(meta_df, os.path.join(out_dir, "reports", "dataset_meta"))
-            _track(spark, out_dir, run_id, "dataset", {f"rows_{k}": v for k, v in res.sizes.items()})
-            tick("dataset")
-            if "train" in stages:
-                from ..operators import ranker as rkr
-
-                fit = rkr.fit_and_evaluate(written, meta, cfg, curve=True)
-                res.metrics = fit.metrics
-                rows = [(sp, k, float(v)) for sp, m in fit.metrics.items() for k, v in m.items()]
-                sinks.write_json_row(spark.createDataFrame(rows, "split string, name string, value double"),
-                                     os.path.join(out_dir, "reports", "offline_metrics"))
-                curve = [(r["iteration"], r["ndcg_at_10"], r["gauc"]) for r in fit.curve]
-                if curve:
-                    sinks.write_json_row(
-                        spark.createDataFrame(curve, "iteration int, ndcg_at_10 double, gauc double"),
-                        os.path.join(out_dir, "reports", "training_curve"))
-                rkr.save(fit.model, os.path.join(out_dir, "model"))
-                fit.importances.coalesce(1).write.mode("overwrite").option("header", True).csv(
-                    os.path.join(out_dir, "reports", "feature_importance"))
-                flat = {f"{sp}/{k}": v for sp, m in fit.metrics.items() for k, v in m.items()}
-                if fit.best_iteration is not None:
-                    flat["best_iteration"] = fit.best_iteration
-                _track(spark, out_dir, run_id, "train", flat)
-                tick("train")
+    return {"emb_built": float(cfg.features.use_embeddings)}
+
+
+def run_dataset(spark, raw_dir, out_dir, cfg, res) -> dict:
+    man = load_manifest(spark, out_dir)
+    inter = _read(spark, f"{out_dir}/interactions", "preprocess")
+    res.bounds = load_bounds(spark, out_dir)
+    feats = ft.FeatureTables(*[_read(spark, f"{out_dir}/features/{n}", "features") for n in TABLES])
+    vectors = load_inputs(spark, raw_dir, man, cfg).vectors
+    parts = _parts(man)
+    dset, meta = ds.assemble(inter, feats, res.bounds, cfg, vectors, layout=True, num_partitions=parts)
+    path = sinks.write_grouped_splits(dset, cfg, f"{out_dir}/dataset", parts)
+    res.sizes = {r[SPLIT]: r["n_rows"] for r in ft.split_sizes(spark.read.parquet(path)).collect()}
+    meta.sizes = dict(res.sizes)
+    res.meta = meta
+    sinks.write_json_row(spark.createDataFrame([(sinks.meta_json(meta),)], "meta string"),
+                         f"{out_dir}/reports/dataset_meta")
+    return {f"rows_{k}": v for k, v in res.sizes.items()}
+
+
+def run_train(spark, raw_dir, out_dir, cfg, res) -> dict:
+    from ..operators import ranker as rkr
+
+    data = _read(spark, f"{out_dir}/dataset", "dataset")
+    res.meta = load_meta(spark, out_dir)
+    if cfg.model.max_train_rows:
+        train = ds.head_whole_groups(data.where(F.col(SPLIT) == "train"), cfg.model.max_train_rows, cfg)
+        data = train.unionByName(data.where(F.col(SPLIT) != "train"))
+    fit = rkr.fit_and_evaluate(data, res.meta, cfg, curve=True)
+    res.metrics = fit.metrics
+    rows = [(sp, k, float(v)) for sp, m in fit.metrics.items() for k, v in m.items()]
+    sinks.write_json_row(spark.createDataFrame(rows, "split string, name string, value double"),
+                         f"{out_dir}/reports/offline_metrics")
+    if fit.curve:
+        names = [k for k in fit.curve[0] if k != "iteration"]
+        points = [(r["iteration"], *(float(r[k]) for k in names)) for r in fit.curve]
+        schema = ", ".join(["iteration int", *[f"{k} double" for k in names]])
+        sinks.write_json_row(spark.createDataFrame(points, schema), f"{out_dir}/reports/training_curve")
+    rkr.save(fit.model, f"{out_dir}/model")
+    fit.importances.coalesce(1).write.mode("overwrite").option("header", True).csv(
+        f"{out_dir}/reports/feature_importance")
+    flat = {f"{sp}/{k}": v for sp, m in fit.metrics.items() for k, v in m.items()}
+    if fit.best_iteration is not None:
+        flat["best_iteration"] = fit.best_iteration
+    return flat
+
+
+TABLES = ("user", "item", "author", "ua")
+RUNNERS = {"prepare": run_prepare, "preprocess": run_preprocess, "features": run_features,
+           "dataset": run_dataset, "train": run_train}
+
+
+def _parts(man) -> int | None:
+    return sinks.partitions_for(cat.total_bytes(man, "interactions"))
+
+
+def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
+        stages=STAGES) -> RunResult:
+    """Run the named stages in order. Each reads what earlier stages wrote under
+    OUT_DIR, in this run or another, and fails when that is missing."""
+    unknown = [s for s in stages if s not in STAGES]
+    if unknown:
+        raise ValueError(f"unknown stages: {unknown}")
+    res = RunResult()
+    run_id = uuid.uuid4().hex[:12]
+    for name in (s for s in STAGES if s in stages):
+        t = time.time()
+        values = RUNNERS[name](spark, raw_dir, out_dir, cfg, res)
+        _track(spark, out_dir, run_id, name, values)
+        res.seconds[name] = round(time.time() - t, 3)
     return res
 
 
@@ -149,7 +205,21 @@ def _track(spark: SparkSession, out_dir: str, run_id: str, stage: str, values: d
     vals = {k: v for k, v in values.items() if isinstance(v, (int, float)) and v is not None}
     if vals:
         sinks.append_metrics(sinks.metrics_frame(spark, run_id, stage, vals),
-                             os.path.join(out_dir, "reports", "tracking"))
+                             f"{out_dir}/reports/tracking")
+
+
+def read_config(spark: SparkSession, path: str | None, overrides: list[str]) -> Config:
+    """Settings from a JSON file (any path that Spark reads) and SECTION.NAME=JSON pairs."""
+    values: dict = {}
+    if path:
+        values = json.loads(spark.read.text(path, wholetext=True).first()[0])
+    for item in overrides:
+        key, eq, raw = item.partition("=")
+        section, dot, name = key.partition(".")
+        if not eq or not dot:
+            raise ValueError(f"not SECTION.NAME=JSON: {item}")
+        values.setdefault(section, {})[name] = json.loads(raw)
+    return Config.from_dict(values)
 
 
 def main(argv=None):
@@ -157,12 +227,15 @@ def main(argv=None):
     ap.add_argument("raw_dir")
     ap.add_argument("out_dir")
     ap.add_argument("--stages", nargs="*", default=list(STAGES))
+    ap.add_argument("--config", help="JSON file of nested settings (see Config)")
+    ap.add_argument("--set", nargs="*", default=[], metavar="SECTION.NAME=JSON",
+                    help="settings that override the file's")
     a = ap.parse_args(argv)
     unknown = [s for s in a.stages if s not in STAGES]
     if unknown:
         raise SystemExit(f"unknown stages: {unknown}")
     spark = SparkSession.builder.getOrCreate()
-    r = run(spark, a.raw_dir, a.out_dir, Config(), tuple(a.stages))
+    r = run(spark, a.raw_dir, a.out_dir, read_config(spark, a.config, a.set), tuple(a.stages))
     print(json.dumps({"stats": r.stats, "sizes": r.sizes, "metrics": r.metrics,
                       "seconds": r.seconds}, default=str))
 

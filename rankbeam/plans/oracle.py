@@ -380,4 +380,32 @@ sh AS (
 SELECT category, shard, week,
        CAST(dense_rank() OVER (PARTITION BY category ORDER BY week, shard) AS BIGINT) AS shard_ord
 FROM sh"""
+    q["manifest_roundtrip"] = q["source_catalog"]
+    q["max_shards"] = """
+WITH t0 AS (SELECT min(epoch_us(ts)) AS us FROM events),
+wk AS (SELECT CAST(floor((epoch_us(ts) - (SELECT us FROM t0)) / 604800000000) AS INTEGER) AS week,
+              user_id FROM events)
+SELECT week, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM wk
+WHERE week IN (SELECT DISTINCT week FROM wk ORDER BY week LIMIT 2) GROUP BY week"""
+    q.update(_model_sql(base, allm, gby))
     return q
+
+
+def _model_sql(base: str, metrics: dict, by_split: str) -> dict[str, str]:
+    """Model queries: what any sound fit must give (counts, ranges, names, order)."""
+    model = TD_CFG.model
+    names = ", ".join(f"'{n}'" for n in NUM_FEATURES + CAT_FEATURES)
+    n_metrics = len(metrics) + 1  # and GAUC
+    steps = sorted({*range(model.metric_period, model.max_iter + 1, model.metric_period), model.max_iter})
+    return {
+        "feature_importance": f"SELECT unnest([{names}]) AS feature, TRUE AS not_negative, TRUE AS adds_to_one",
+        "top_importances": "SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS place, TRUE AS holds_the_top",
+        "model_roundtrip": base + ("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed "
+                                   "FROM splitted WHERE split = 'val'"),
+        "training_curve": f"SELECT CAST(unnest({steps}) AS INTEGER) AS iteration, TRUE AS best_is_argmax, "
+                          "TRUE AS ends_at_model",
+        "ranker_metrics": by_split + (
+            f"SELECT split, count(*) AS n_groups, CAST({n_metrics} AS BIGINT) AS n_metrics, "
+            f"CAST({n_metrics} AS BIGINT) AS n_in_range, "
+            "TRUE AS beats_random_on_val FROM grp GROUP BY split"),
+    }

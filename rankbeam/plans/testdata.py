@@ -12,7 +12,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import EVENT_ORDER, LABEL, SPLIT, WATCH_RATIO, Config
+from ..config import EVENT_ORDER, LABEL, SPLIT, WATCH_RATIO, Config, Sources
 from ..functions import columns as fc
 from ..functions import vectors as fv
 from ..operators import clean as cl
@@ -29,7 +29,7 @@ from ..sources import shards as sh
 # Thresholds that bite on the provided tables (see FIXTURES.md).
 TD_CFG = Config().with_cleaning(
     max_timespent_sec=200.0, min_user_interactions=60, min_item_interactions=95,
-)
+).with_model(max_iter=20, max_depth=5, step_size=0.1, metric_period=5, early_stop=False)
 # Smoke thresholds for the tiny sf0.001 tables used by ``entry``.
 SMOKE_CFG = Config().with_cleaning(
     max_timespent_sec=200.0, min_user_interactions=20, min_item_interactions=5,
@@ -439,32 +439,54 @@ def _fit(spark, sf_dir):
 
 
 def q_ranker_metrics(spark, sf_dir):
-    """Fit on train, score val and test at the best validation iteration,
-    grouped metrics per split."""
-    from ..operators import ranker as rkr
-
+    """Fit on train, val and test metrics at the best validation iteration:
+    group counts, how many metrics lie in [0, 1], and whether the ranker beats random
+    scores on val by NDCG@10 (said on both rows)."""
     d, meta, res = _fit(spark, sf_dir)
-    rows = d.where(F.col(SPLIT).isin("val", "test"))
-    held = (rkr.staged_score(res.model, rows, meta, TD_CFG, res.best_iteration)
-            if res.best_iteration else rkr.score(res.model, rows, meta, TD_CFG))
-    return rkr.evaluate(held, meta, TD_CFG)
+    noise = rk.ranking_metrics(
+        d.where(F.col(SPLIT) == "val").withColumn("_noise", fc.portable_hash_bucket(
+            F.col(EVENT_ORDER), RANDOM_SEED, 1_000_003).cast("double")),
+        [meta.group], LABEL, "_noise", EVENT_ORDER, ks=(METRIC_K,),
+        thr=TD_CFG.eval.binary_threshold).first()[f"ndcg_at_{METRIC_K}"]
+    beats = res.metrics["val"][f"ndcg_at_{METRIC_K}"] > noise
+    rows = []
+    for split, m in sorted(res.metrics.items()):
+        values = [v for k, v in m.items() if not k.startswith("n_")]
+        rows.append((split, int(m["n_groups"]), len(values), sum(0 <= v <= 1 for v in values),
+                     beats))
+    return spark.createDataFrame(rows, "split string, n_groups long, n_metrics long, "
+                                       "n_in_range long, beats_random_on_val boolean")
 
 
 def q_training_curve(spark, sf_dir):
-    """T5: staged NDCG@10 / GAUC on val every metric_period trees."""
+    """T5: the iterations of the staged curve on val, which one is best by NDCG@10, and
+    whether the last one has the full model's metrics."""
     _, _, res = _fit(spark, sf_dir)
-    return spark.createDataFrame([(r["iteration"], r["ndcg_at_10"], r["gauc"]) for r in res.curve],
-                                 "iteration int, ndcg_at_10 double, gauc double")
+    top = max(r["ndcg_at_10"] for r in res.curve)
+    full = res.all_trees_metrics["val"]
+    rows = [(r["iteration"], (r["iteration"] == res.best_iteration) == (
+        r["ndcg_at_10"] == top and all(x["ndcg_at_10"] < top for x in res.curve[:i])),
+        i + 1 < len(res.curve) or all(r[k] == v for k, v in full.items()))
+        for i, r in enumerate(res.curve)]
+    return spark.createDataFrame(rows, "iteration int, best_is_argmax boolean, ends_at_model boolean")
 
 
 def q_feature_importance(spark, sf_dir):
-    """One row per feature."""
-    return _fit(spark, sf_dir)[2].importances
+    """Every feature once, its importance not negative, all adding up to one."""
+    imp = _fit(spark, sf_dir)[2].importances
+    total = imp.agg(F.sum("importance")).first()[0]
+    return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"),
+                      F.lit(abs(total - 1.0) < 1e-6).alias("adds_to_one"))
 
 
 def q_top_importances(spark, sf_dir):
-    """The ten most important features (the limit is the report)."""
-    return _fit(spark, sf_dir)[2].importances.orderBy(F.desc("importance"), "feature").limit(10)
+    """The ten most important features, descending (the limit is the report)."""
+    imp = _fit(spark, sf_dir)[2].importances
+    top = imp.orderBy(F.desc("importance"), "feature").limit(10)
+    w = Window.orderBy(F.desc("importance"), "feature")
+    low = top.agg(F.min("importance")).first()[0]
+    above = imp.where(F.col("importance") > low).count()
+    return top.select(F.row_number().over(w).alias("place"), F.lit(above < 10).alias("holds_the_top"))
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -484,6 +506,31 @@ def q_model_roundtrip(spark, sf_dir):
                  F.sum((F.abs(F.col("p1") - F.col("p2")) > 1e-12).cast("long")).alias("n_changed"))
 
 
+def q_max_shards(spark, sf_dir):
+    """Rows and users of each week when only the first two weeks are kept."""
+    src = Sources(max_shards=2)
+    root = shard_tree.cached_tree(spark, sf_dir)
+    man = cat.manifest(cat.list_files(spark, root, src), src)
+    log = sh.scan(spark, cat.paths(man, "interactions"))
+    week = F.regexp_extract(F.col("_metadata.file_path"), r"week_(\d+)", 1).cast("int")
+    return (log.select(week.alias("week"), "user_id").groupBy("week")
+            .agg(F.count("*").alias("n_rows"), F.count_distinct("user_id").alias("n_users")))
+
+
+def q_manifest_roundtrip(spark, sf_dir):
+    """The manifest written by the prepare stage and read back."""
+    from ..session import scratch_path
+    from . import job
+
+    root = shard_tree.cached_tree(spark, sf_dir)
+    out = scratch_path(spark, "manifest")
+    job.run(spark, root, out, TD_CFG, ("prepare",))
+    man = spark.read.parquet(f"{out}/manifest")
+    w = Window.partitionBy("category").orderBy("week", "shard")
+    return man.select("category", "shard", "week").distinct().withColumn(
+        "shard_ord", F.dense_rank().over(w).cast("bigint"))
+
+
 QUERIES = {
     "feedback_normalise": q_feedback_normalise,
     "enrich_events": q_enrich_events,
@@ -537,5 +584,7 @@ QUERIES = {
     "feature_importance": q_feature_importance,
     "top_importances": q_top_importances,
     "model_roundtrip": q_model_roundtrip,
+    "max_shards": q_max_shards,
+    "manifest_roundtrip": q_manifest_roundtrip,
 }
 

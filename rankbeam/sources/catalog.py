@@ -123,7 +123,7 @@ class Listing:
     """The manifest collected once: ordered paths and bytes per category."""
 
     def __init__(self, man: DataFrame):
-        rows = man.select("category", "week", "path", "length").collect()
+        rows = man.select("category", "week", "path", "shard", "length").collect()
         self._rows = sorted(rows, key=lambda r: (r["category"], r["week"], r["path"]))
 
     def paths(self, category: str) -> list[str]:
@@ -132,5 +132,8 @@ class Listing:
     def total_bytes(self, category: str) -> int:
         return sum(int(r["length"] or 0) for r in self._rows if r["category"] == category)
 
+    def shards(self, category: str) -> list[str]:
+        return list(dict.fromkeys(r["shard"] for r in self._rows if r["category"] == category))
+
     def categories(self) -> set[str]:
         return {r["category"] for r in self._rows}

@@ -18,7 +18,7 @@ def test_bench_prints_one_json_line(tmp_path):
     assert len(lines) == 1, out.stdout[-2000:] + out.stderr[-2000:]
     rec = json.loads(lines[0])
     assert rec["unit"] == "sec" and rec["value"] > 0 and rec["sf"] == 0.001
-    assert {"preprocess", "features", "dataset", "evaluate"} <= set(rec["queries"])
+    assert {"prepare", "preprocess", "features", "dataset"} <= set(rec["queries"])
 
 
 def test_job_cli_rejects_unknown_stage():

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 def run(spark):
     raw = shard_tree.cached_tree(spark, SF)
     out = scratch_path(spark, "job")
-    cfg = td.SMOKE_CFG.with_model(max_iter=3, max_depth=3)
+    cfg = td.SMOKE_CFG.with_model(max_iter=3, max_depth=3, early_stop=False)
     return cfg, out, job.run(spark, raw, out, cfg)
 
 
@@ -48,7 +48,8 @@ def test_reports_written(spark, run):
     meta = json.loads(spark.read.json(f"{out}/reports/dataset_meta").first()["meta"])
     assert len(meta["num_features"]) == 36 and len(meta["cat_features"]) == 5
     track = spark.read.parquet(f"{out}/reports/tracking")
-    assert {r["stage"] for r in track.select("stage").distinct().collect()} == {"preprocess", "dataset", "train"}
+    assert {r["stage"] for r in track.select("stage").distinct().collect()} == {
+        "prepare", "preprocess", "features", "dataset", "train"}
     fi = spark.read.option("header", True).csv(f"{out}/reports/feature_importance")
     assert fi.count() == 41
     om = spark.read.json(f"{out}/reports/offline_metrics")
@@ -57,6 +58,36 @@ def test_reports_written(spark, run):
     assert curve and curve[-1]["iteration"] == cfg.model.max_iter
 
 
+def test_single_stages_read_what_earlier_ones_wrote(spark, run):
+    cfg, out, res = run
+    raw = shard_tree.cached_tree(spark, SF)
+    again = job.run(spark, raw, out, cfg, ("train",))
+    assert again.metrics == res.metrics and set(again.seconds) == {"train"}
+    assert again.meta.sizes == res.sizes
+    fresh = scratch_path(spark, "job-fresh")
+    for stage, need in (("train", "dataset"), ("dataset", "prepare"), ("preprocess", "prepare"),
+                        ("features", "preprocess")):
+        with pytest.raises(FileNotFoundError, match=need):
+            job.run(spark, raw, fresh, cfg, (stage,))
+    job.run(spark, raw, fresh, cfg, ("prepare",))
+    man = spark.read.parquet(f"{fresh}/manifest")
+    assert man.where("category = 'interactions'").count() > 0
+    with pytest.raises(ValueError):
+        job.run(spark, raw, out, cfg, ("tran",))
+
+
+def test_config_from_file_and_overrides(spark, tmp_path):
+    path = tmp_path / "c.json"
+    path.write_text(json.dumps({"model": {"max_iter": 7}, "columns": {"feedback": ["like"]},
+                                "label": {"weights": {"like": 1.5}}}))
+    cfg = job.read_config(spark, str(path), ["model.max_depth=3", "split.train_frac=0.7"])
+    assert (cfg.model.max_iter, cfg.model.max_depth, cfg.split.train_frac) == (7, 3, 0.7)
+    assert cfg.columns.feedback == ("like",) and cfg.label.weights == (("like", 1.5),)
+    for bad in (["model.trees=3"], ["nope.x=1"], ["model=3"]):
+        with pytest.raises(ValueError):
+            job.read_config(spark, None, bad)
+
+
 def test_dataset_layout(spark, run):
     from rankbeam.operators import checks
 

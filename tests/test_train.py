@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    cfg = td.TD_CFG.with_model(max_iter=6, max_depth=4, metric_period=3)
+    cfg = td.TD_CFG.with_model(max_iter=6, max_depth=4, metric_period=3, early_stop=False)
     st = td.Stage(spark, SF)
     d, meta = td.ds.assemble(st.inter, st.feats, st.bounds, cfg, st.vectors())
     d = d.cache()
@@ -76,3 +76,24 @@ def test_save_and_load(spark, fitted):
     a = rkr.score(res.model, val, meta, cfg).select("event_order", F.col("prediction").alias("a"))
     b = rkr.score(back, val, meta, cfg).select("event_order", F.col("prediction").alias("b"))
     assert a.join(b, "event_order").where(F.col("a") != F.col("b")).count() == 0
+
+
+def test_ranker_beats_random_scores(fitted):
+    from rankbeam.config import EVENT_ORDER, LABEL
+    from rankbeam.operators import ranking as rk
+
+    cfg, d, meta, res = fitted
+    val = d.where(F.col(SPLIT) == "val").withColumn("noise", F.rand(7))
+    noise = rk.ranking_metrics(val, [meta.group], LABEL, "noise", EVENT_ORDER, ks=(10,)).first()
+    assert res.metrics["val"]["ndcg_at_10"] > noise["ndcg_at_10"]
+
+
+def test_early_stop_fits_with_the_val_split(fitted):
+    cfg, d, meta, _ = fitted
+    early = cfg.with_model(max_iter=12, step_size=0.9, early_stop=True)
+    model = rkr.fit(d, meta, early)
+    assert 1 <= len(model.stages[-1].trees) <= 12
+    with pytest.raises(ValueError):
+        rkr.fit(d.where(F.col(SPLIT) == "train"), meta, early)
+    with pytest.raises(ValueError):
+        rkr.fit(d, meta, cfg.with_model(max_categories=1))
