@@ -39,7 +39,9 @@ from .common import prepare, slices
 
 SEGMENT_BYTES = 1 << 20
 LEVEL = 3
-REMEMBER = 500_000
+REMEMBER = 450_000
+#: Marks that close a word; the tokenizer cuts them from letters.
+_MARKS = ".,;:!?"
 
 
 class CachedTokenizer:
@@ -47,7 +49,10 @@ class CachedTokenizer:
 
     The tokenizer drops white space and never joins text across it, so the ids
     of a text are those of its pieces between spaces and line breaks in order.
-    Pieces met before are not encoded again; the memory is emptied when full.
+    Pieces met before are not encoded again. The memory holds two generations:
+    when the newer one is full it becomes the older, whose pieces come back when
+    met. A piece of ASCII letters and closing marks is encoded as its lower-case
+    letters and its marks, which the tokenizer cuts apart anyway.
     """
 
     def __init__(self, path: str):
@@ -56,18 +61,40 @@ class CachedTokenizer:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
+        self.encode = getattr(self.lib, "encode_batch_fast", self.lib.encode_batch)
         self.seen: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def _learn(self, pieces) -> None:
+        """Pieces that are not in ``seen``, from the older generation or the library."""
+        seen, older = self.seen, self.older
+        made, todo = [], set()
+        for p in pieces:
+            known = older.get(p)
+            if known is not None:
+                seen[p] = known
+                continue
+            head = p.rstrip(_MARKS)
+            word = head.lower() if head.isascii() and head.isalpha() else None
+            if word is None or word == p:
+                todo.add(p)
+                continue
+            made.append((p, word, p[len(head):]))
+            todo.update(x for x in (word, p[len(head):]) if x not in seen and x not in older)
+        todo = list(todo)
+        for lo in range(0, len(todo), 20_000):
+            part = todo[lo:lo + 20_000]
+            for piece, enc in zip(part, self.encode(part, add_special_tokens=False), strict=True):
+                seen[piece] = np.array(enc.ids, "<u4").tobytes()
+        for p, word, marks in made:
+            seen[p] = b"".join([seen[x] if x in seen else older[x] for x in (word, marks)])
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         if len(self.seen) > REMEMBER:
-            self.seen = {"": b""}
+            self.seen, self.older = {"": b""}, self.seen
         cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*cut).difference(self.seen)) if cut else []
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            for piece, enc in zip(part, self.lib.encode_batch(part, add_special_tokens=False),
-                                  strict=True):
-                self.seen[piece] = np.array(enc.ids, "<u4").tobytes()
+        if cut:
+            self._learn(set().union(*cut).difference(self.seen))
         get = self.seen.__getitem__
         return [b"".join(map(get, pieces)) for pieces in cut]
 
