@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, jaccard_join, langid, mixing, mtree, neardup, pii, quality, token_store, toxicity
 from .common import crc_bucket, prepare, read_table
+from .oracle import ORACLE_SQL  # noqa: F401  registered beside the queries
 
 
 def tokenizer_file(name: str) -> str:
@@ -87,6 +88,3 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_toxicity, op3_language_id, op4_token_store, op5_quality,
     op6_topk_search, op7_ngram_jaccard_join, op8_bpe, op9_embedding_near_dedup, op10_mixing)}
-
-#: DuckDB SQL of the queries that SQL can express at the size of the tables.
-ORACLE_SQL: dict[str, str] = {}

@@ -1,7 +1,6 @@
 """Text operators against plain versions, and their edge cases."""
 
 import hashlib
-import re
 import zlib
 
 import numpy as np
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rankbeam.llm import bpe, jaccard_join, langid, mixing, pii, quality, token_store, toxicity
 from rankbeam.session import scratch_path
+from tests_llm_plain import plain_components, plain_spans
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,29 +37,6 @@ def _vocab():
 
 # -- PII ---------------------------------------------------------------------------
 
-PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-         "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
-         "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
-
-
-def _luhn(s):
-    total = 0
-    for i, c in enumerate(reversed(s)):
-        d = int(c) * (1 + i % 2)
-        total += d - 9 if d > 9 else d
-    return total % 10 == 0
-
-
-def _plain_spans(text):
-    def ok(k, m):
-        digits = re.sub("[^0-9]", "", m)
-        return {"ip": lambda: all(int(p) <= 255 for p in m.split(".")),
-                "card": lambda: 13 <= len(digits) <= 19 and _luhn(digits),
-                "phone": lambda: 9 <= len(digits) <= 15}.get(k, lambda: True)()
-    return [f"{k}:{m.start()}:{m.end()}" for k, p in PLAIN.items() for m in re.finditer(p, text or "")
-            if ok(k, m.group())]
-
-
 def test_pii_base_spans_equal_plain_regexes(spark, docs, odd):
     tricky = spark.createDataFrame([
         (-1, "a@b.c_d@e.f x1.2.3.4.5.6.7.8 é😀 +1 (555) 123-4567"), (-2, "4111 1111 1111 1111"),
@@ -70,7 +47,7 @@ def test_pii_base_spans_equal_plain_regexes(spark, docs, odd):
         got = sorted((r["doc_id"] or -99, r["base_sha256"], r["n_email"] + r["n_ip"] + r["n_card"] +
                       r["n_phone"]) for r in pii.digest(pii.find(d)).collect())
         want = sorted((i, hashlib.sha256(",".join(s).encode()).hexdigest(), len(s))
-                      for i, t in texts for s in [_plain_spans(t)])
+                      for i, t in texts for s in [plain_spans(t)])
         assert got == want
 
 
@@ -118,33 +95,6 @@ def test_language_held_out_and_edges(spark, docs, odd):
 
 # -- near duplicates -------------------------------------------------------------------
 
-def _plain_components(rows):
-    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    sets = []
-    for _, t in rows:
-        w = re.findall("[^\x20\x09-\x0D]+", (t or "").translate(low))
-        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5
-                    else {tuple(w)} if w else set())
-    parent = list(range(len(rows)))
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for i in range(len(rows)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
-                a, b = root(i), root(j)
-                parent[max(a, b)] = min(a, b)
-    low_id = {}
-    for i, (d, _) in enumerate(rows):
-        if d is not None:
-            low_id[root(i)] = min(d, low_id.get(root(i), d))
-    return [(d, len(sets[i]), low_id.get(root(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)]
-
-
 def _key(x):
     return tuple((v is None, v or 0) for v in x)
 
@@ -153,7 +103,7 @@ def test_jaccard_components_equal_all_pairs(spark, docs, odd):
     for d in (docs.select("doc_id", "text"), odd):
         rows = [(r["doc_id"], r["text"]) for r in d.collect()]
         got = [tuple(r) for r in jaccard_join.components_of(d).collect()]
-        assert sorted(got, key=_key) == sorted(_plain_components(rows), key=_key)
+        assert sorted(got, key=_key) == sorted(plain_components(rows), key=_key)
     assert jaccard_join.components_of(docs.limit(0)).count() == 0
 
 
@@ -169,7 +119,7 @@ def test_jaccard_crowded_group_of_near_copies(spark):
         rows.append((i, " ".join(w)))
     d = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(tuple(r) for r in jaccard_join.components_of(d).collect())
-    assert got == sorted(_plain_components(rows))
+    assert got == sorted(plain_components(rows))
     kept = jaccard_join.keep_one(d)
     assert kept.count() == len({c for _, _, c in got})
 
