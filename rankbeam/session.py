@@ -16,7 +16,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -38,8 +38,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a folder under the system temp dir is chosen.
+    Reads ``spark.checkpoint.dir`` from the session; only when it is unset and
+    the master is local (tests) a folder under the system temp dir is chosen. A
+    machine-local folder on a cluster would give tables that no other machine
+    sees, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="rankbeam-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
