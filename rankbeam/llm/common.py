@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
-__all__ = ["components", "crc_bucket", "prepare", "read_table", "slices",
+__all__ = ["components", "crc_bucket", "discard", "prepare", "read_table", "slices",
            "text_buffers", "written"]
 
 
@@ -31,7 +31,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made, once nothing that is still to run reads them."""
+    for t in tables:
+        jvm = t.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.written_path)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_bucket(doc_id: Column, buckets: int) -> Column:
@@ -93,7 +103,8 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
         small = (large.join(low2, "a").where("b <> m")
                  .select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low2.select("a", F.col("m").alias("b"))).distinct())
-        e = written(small, f"{name}-{i}")
+        before, e = e, written(small, f"{name}-{i}")
+        discard(before)
         now = _signature(e)
         if now == seen:
             break

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, prepare, slices, written
+from .common import components, discard, prepare, slices, written
 from .shingles import mix, shingle_sets
 
 _U = np.uint64
@@ -385,6 +385,8 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     clusters = _clusters(index.where(F.col("met") > CLUSTER_FROM))
     more = more.union(written(_blocks(clusters, texts, width, percent), "block_links"))
     final = components(links.union(more), "all")
+    # what is returned reads the sets, the classes and the last component table
+    discard(texts, index, links, comp)
     named = classes.select("fp", "node", "rep").join(final, "node", "left")
     named = named.select("fp", "rep", F.coalesce("component", "node").alias("component"))
     low = named.groupBy("component").agg(F.min("rep").alias("component_id"))
