@@ -287,12 +287,10 @@ FROM inter"""
         "ua_f", ["user_id", "author_id"], ["ua_n_events", "ua_mean_watch_ratio", "ua_mean_label"])
     emb = with_(BASE, EMB)
     q["embedding_normalise"] = emb + (
-        "SELECT item_id, count(*) AS n_dims, CAST(sqrt(sum(x * x)) AS FLOAT) AS l2_norm, "
-        "CAST(max(CASE WHEN i = 1 THEN x END) AS FLOAT) AS e_first FROM unit GROUP BY item_id")
+        "SELECT item_id, i, CAST(x AS FLOAT) AS x FROM unit")
     q["user_profile"] = emb + (
-        "SELECT p.user_id, v.n_votes, CAST(max(CASE WHEN p.i = 1 THEN p.x END) AS FLOAT) AS p_first, "
-        "CAST(sqrt(sum(p.x * p.x)) AS FLOAT) AS p_norm "
-        "FROM profile p JOIN pvotes v ON p.user_id = v.user_id GROUP BY p.user_id, v.n_votes")
+        "SELECT p.user_id, v.n_votes, p.i, CAST(p.x AS FLOAT) AS x "
+        "FROM profile p JOIN pvotes v ON p.user_id = v.user_id")
     q["emb_cos"] = emb + (
         "SELECT e.event_order, CAST(CAST(c.c AS DOUBLE) AS FLOAT) AS emb_cos "
         "FROM inter e LEFT JOIN cos c ON e.event_order = c.event_order")
@@ -349,9 +347,8 @@ WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(
     q["random_baseline"] = grnd + (
         f"SELECT CAST({me[f'ndcg_at_{k}']} AS FLOAT) AS ndcg_at_{k}, CAST({me[f'map_at_{k}']} AS FLOAT) AS map_at_{k}, "
         f"CAST({GAUC} AS FLOAT) AS gauc, count(*) AS n_groups FROM grp")
-    q["load_split"] = base + (
-        "SELECT user_id, item_id, event_order, label, COALESCE(gender, 'unknown') AS gender, "
-        "COALESCE(geo, 'unknown') AS geo FROM splitted WHERE split = 'val'")
+    q["load_split"] = ds + (f"SELECT user_id, item_id, event_order, label, {num_sel}, "
+                            f"{', '.join(CAT_FEATURES)} FROM dataset WHERE split = 'val'")
     q["dataset_invariants"] = base + (
         "SELECT count(*) AS n_rows, count(*) AS n_dataset_rows, count(DISTINCT event_order) AS n_distinct_events, "
         "CAST(0 AS BIGINT) AS n_bound_violations, CAST(0 AS BIGINT) AS n_null_categorical, "
@@ -361,8 +358,9 @@ WHERE (SELECT count(DISTINCT user_id) FROM head) <= 1 OR user_id <> (SELECT max(
         "SELECT event_id AS event_order, user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) "
         "AS item_id, value AS timespent FROM events")
     q["meta_scan"] = base + "SELECT user_id, age, gender, geo FROM users"
-    q["npz_embeddings"] = ("SELECT vec_id AS item_id, CAST(len(embedding) AS BIGINT) AS n_dims, "
-                           "CAST(embedding[1] AS FLOAT) AS e_first FROM embeddings")
+    q["npz_embeddings"] = ("SELECT vec_id AS item_id, unnest(range(1, len(embedding) + 1)) AS i, "
+                           "unnest(embedding) AS x FROM embeddings")
+    q["parquet_embeddings"] = q["npz_embeddings"]
     q["shard_stage_stats"] = q["stage_stats"]
     q["source_catalog"] = """
 WITH t0 AS (SELECT min(epoch_us(ts)) AS us FROM events),

@@ -8,6 +8,8 @@ without decimal rounding ties.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -87,13 +89,22 @@ def interactions(spark: SparkSession, sf_dir: str, cfg: Config = TD_CFG) -> Data
 
 
 class Stage:
-    """Interactions (persisted once), bounds and feature tables of one run."""
+    """Interactions (persisted once), bounds and feature tables of one run.
+
+    Bounds, feature tables, vectors and profiles are made when first asked for, once.
+    """
 
     def __init__(self, spark, sf_dir, cfg=TD_CFG):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
         self.inter = interactions(spark, sf_dir, cfg).persist(StorageLevel.MEMORY_AND_DISK)
-        self.bounds = ft.split_bounds(self.inter, cfg)
-        self.feats = ft.build_aggregates(self.inter, self.bounds, cfg)
+
+    @cached_property
+    def bounds(self):
+        return ft.split_bounds(self.inter, self.cfg)
+
+    @cached_property
+    def feats(self):
+        return ft.build_aggregates(self.inter, self.bounds, self.cfg)
 
     def split(self) -> DataFrame:
         return ft.temporal_split(self.inter, self.bounds)
@@ -101,14 +112,26 @@ class Stage:
     def vectors(self) -> DataFrame:
         return ad.item_vectors(self.spark, self.sf_dir)
 
-    def unit(self) -> DataFrame:
+    @cached_property
+    def _unit(self) -> DataFrame:
         return vx.unit_vectors(self.vectors(), self.cfg, self.inter)
 
-    def dim(self) -> int:
+    @cached_property
+    def _dim(self) -> int:
         return vx.vector_width(self.vectors(), self.cfg)
 
+    @cached_property
+    def _profiles(self) -> DataFrame:
+        return vx.user_profiles(self.inter, self._unit, self.bounds.train_end, self.cfg, self._dim)
+
+    def unit(self) -> DataFrame:
+        return self._unit
+
+    def dim(self) -> int:
+        return self._dim
+
     def profiles(self) -> DataFrame:
-        return vx.user_profiles(self.inter, self.unit(), self.bounds.train_end, self.cfg, self.dim())
+        return self._profiles
 
     def scored(self, split: str | tuple[str, ...] = "val") -> DataFrame:
         """Events of a split scored by the train-window item mean label."""
@@ -198,17 +221,18 @@ def q_user_author_features(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def q_embedding_normalise(spark, sf_dir):
+    """P15 + J6: every component of every unit vector."""
     u = Stage(spark, sf_dir).unit()
-    return u.select("item_id", F.size("vec").cast("bigint").alias("n_dims"),
-                    f32(fv.l2_norm(F.col("vec"))).alias("l2_norm"),
-                    f32(F.col("vec")[0]).alias("e_first"))
+    return (u.select("item_id", F.posexplode("vec").alias("i", "x"))
+            .select("item_id", (F.col("i") + 1).cast("bigint").alias("i"), f32(F.col("x")).alias("x")))
 
 
 def q_user_profile(spark, sf_dir):
+    """P14 + A10: every component of every user profile."""
     p = Stage(spark, sf_dir).profiles()
-    return p.select("user_id", "n_votes",
-                    f32(F.col("profile")[0]).alias("p_first"),
-                    f32(fv.l2_norm(F.col("profile"))).alias("p_norm"))
+    return (p.select("user_id", "n_votes", F.posexplode("profile").alias("i", "x"))
+            .select("user_id", "n_votes", (F.col("i") + 1).cast("bigint").alias("i"),
+                    f32(F.col("x")).alias("x")))
 
 
 def q_emb_cos(spark, sf_dir):
@@ -302,7 +326,9 @@ def q_load_split(spark, sf_dir):
     d, meta = _dataset(spark, sf_dir)
     path = write_grouped_splits(d, TD_CFG)
     val = ds.load_split(spark, path, "val", meta, TD_CFG)
-    return val.select("user_id", "item_id", EVENT_ORDER, LABEL, "gender", "geo")
+    val = val.withColumn("emb_cos", fc.nan_to_null(F.col("emb_cos")))
+    return val.select(*[f32(F.col(c).cast("double")).alias(c) if c in meta.num_features else F.col(c)
+                        for c in val.columns])
 
 
 def q_head_whole_groups(spark, sf_dir):
@@ -403,8 +429,21 @@ def q_npz_embeddings(spark, sf_dir):
     """NPZ archives decoded on the executors."""
     _, man = _manifest(spark, sf_dir)
     v = emb.load_vectors(spark, cat.paths(man, "embeddings"), cat.paths(man, "items"))
-    return v.select("item_id", F.size("embedding").cast("bigint").alias("n_dims"),
-                    f32(F.col("embedding")[0]).alias("e_first"))
+    return _components(v)
+
+
+def _components(vectors: DataFrame) -> DataFrame:
+    return (vectors.select("item_id", F.posexplode("embedding").alias("i", "x"))
+            .select("item_id", (F.col("i") + 1).cast("bigint").alias("i"), f32(F.col("x")).alias("x")))
+
+
+def q_parquet_embeddings(spark, sf_dir):
+    """Item vectors from a Parquet file of the raw folder instead of an archive."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "vectors") + "/item_embeddings.parquet"
+    ad.item_vectors(spark, sf_dir).write.parquet(path)
+    return _components(emb.load_vectors(spark, [path], []))
 
 
 def q_shard_stage_stats(spark, sf_dir):
@@ -578,6 +617,7 @@ QUERIES = {
     "event_order": q_event_order,
     "meta_scan": q_meta_scan,
     "npz_embeddings": q_npz_embeddings,
+    "parquet_embeddings": q_parquet_embeddings,
     "shard_stage_stats": q_shard_stage_stats,
     "ranker_metrics": q_ranker_metrics,
     "training_curve": q_training_curve,
