@@ -17,10 +17,12 @@ def leaky_names(cfg: Config) -> set[str]:
 
 
 def group_runs_per_file(written: DataFrame, cfg: Config) -> DataFrame:
-    """Per split: rows, broken user runs and order breaks inside every file.
+    """Per split: rows, broken user runs and order breaks, inside files and across them.
 
     Reads ``_metadata`` of the written dataset; the window is per file (a file
-    is one task's output), ordered by the row position in the file.
+    is one task's output), ordered by the row position in the file. A user in
+    several files is one run only if the user ends each of them but the last and
+    begins the next in file order; every other crossing is a broken run.
     """
     u = cfg.columns.user_id
     df = written.select(SPLIT, u, EVENT_ORDER,
@@ -29,16 +31,24 @@ def group_runs_per_file(written: DataFrame, cfg: Config) -> DataFrame:
     w = Window.partitionBy("_file").orderBy("_row")
     prev_u = F.lag(u).over(w)
     prev_eo = F.lag(EVENT_ORDER).over(w)
-    df = df.select(SPLIT, u, "_file",
+    df = df.select(SPLIT, u, "_file", "_row",
                    (prev_u.isNull() | (prev_u != F.col(u))).cast("long").alias("_run_start"),
                    ((prev_u == F.col(u)) & (prev_eo > F.col(EVENT_ORDER))).cast("long").alias("_back"))
-    per_file = df.groupBy(SPLIT, "_file").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_run_start").alias("runs"),
-        F.count_distinct(u).alias("users"), F.sum("_back").alias("back"))
-    return per_file.groupBy(SPLIT).agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.col("runs") - F.col("users")).alias("broken_runs"),
-        F.sum("back").alias("order_breaks"))
+    per_user = df.groupBy(SPLIT, "_file", u).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_run_start").alias("runs"), F.sum("_back").alias("back"),
+        F.min("_row").alias("_from"), F.max("_row").alias("_to"))
+    per_file = per_user.groupBy(SPLIT, "_file").agg(
+        F.sum("n").alias("n"), F.sum("runs").alias("runs"), F.sum("back").alias("back"), F.min_by(u, "_from").alias("_first"), F.max_by(u, "_to").alias("_last"))
+    # one row per file
+    files = Window.partitionBy(SPLIT).orderBy("_file")
+    per_file = per_file.withColumn("_joined", (F.lead("_first").over(files) == F.col("_last")).cast("long"))
+    users = per_user.groupBy(SPLIT).agg(F.count_distinct(u).alias("_all_users"))
+    total = per_file.groupBy(SPLIT).agg(
+        F.sum("n").alias("n_rows"), F.sum("runs").alias("_runs"),
+        F.coalesce(F.sum("_joined"), F.lit(0)).alias("_crossings"), F.sum("back").alias("order_breaks"))
+    return total.join(users, SPLIT).select(
+        SPLIT, "n_rows", (F.col("_runs") - F.col("_crossings") - F.col("_all_users")).alias("broken_runs"),
+        "order_breaks")
 
 
 def split_coverage(inter: DataFrame, ds: DataFrame) -> dict:

@@ -121,3 +121,32 @@ def test_interactions_local_sort_option(spark, run):
     back = (df.withColumn("prev", F.lag("event_order").over(w))
             .where(F.col("prev") > F.col("event_order")).count())
     assert back == 0 and df.count() == inter.count()
+
+
+def test_layout_check_sees_broken_layouts(spark, run):
+    """Users spread over files, or interleaved in one, are broken runs; a user that ends
+    one file and begins the next is not."""
+    from rankbeam.operators import checks
+
+    cfg, out, _ = run
+    data = spark.read.parquet(f"{out}/dataset")
+
+    def broken(df, name):
+        path = scratch_path(spark, name)
+        df.write.partitionBy(SPLIT).parquet(path)
+        rows = checks.group_runs_per_file(spark.read.parquet(path), cfg).collect()
+        return sum(r["broken_runs"] for r in rows), sum(r["order_breaks"] for r in rows)
+
+    spread = data.repartition(3, "event_order").sortWithinPartitions(SPLIT, "user_id", "event_order")
+    assert broken(spread, "spread")[0] > 0
+    mixed = data.coalesce(1).sortWithinPartitions(SPLIT, "item_id")
+    assert broken(mixed, "mixed")[0] > 0
+    backwards = data.coalesce(1).sortWithinPartitions(SPLIT, "user_id", F.desc("event_order"))
+    assert broken(backwards, "backwards")[1] > 0
+    cut = spark.createDataFrame([(1, 1, "val"), (1, 2, "val")], "user_id long, event_order long, split string")
+    more = spark.createDataFrame([(1, 3, "val"), (2, 4, "val")], "user_id long, event_order long, split string")
+    path = scratch_path(spark, "cut")
+    cut.coalesce(1).write.parquet(f"{path}/a")
+    more.coalesce(1).write.parquet(f"{path}/b")
+    both = spark.read.parquet(f"{path}/a", f"{path}/b")
+    assert [r["broken_runs"] for r in checks.group_runs_per_file(both, cfg).collect()] == [0]
