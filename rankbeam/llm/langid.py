@@ -103,7 +103,7 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
         langs = tuple(r[0] for r in items.select(F.explode("by.lang").alias("lang"))
                       .distinct().orderBy("lang").collect())
         parts = [items.where(F.col("n") == n)
-                 .orderBy(F.desc("total"), "item").limit(max_grams if n else max_words).collect()
+                 .orderBy(F.desc("total"), "item").limit(max_grams if n else max_words).toArrow()
                  for n in (0, *ORDERS)]
     finally:
         items.unpersist()
@@ -113,15 +113,18 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
     blocks = []
     base = 0
     for n, part in zip((0, *ORDERS), parts, strict=True):
-        m = np.zeros((len(part), len(langs)))
-        keep = words if n == 0 else grams
-        for i, r in enumerate(part):
-            keep[r["item"]] = base + i
-            for lang, c in r["by"]:
-                m[i, at[lang]] = c
-        base += len(part)
+        size = part.num_rows
+        m = np.zeros((size, len(langs)))
+        (words if n == 0 else grams).update(
+            zip(part.column("item").to_pylist(), range(base, base + size), strict=True))
+        base += size
+        if size:
+            by = part.column("by").combine_chunks()
+            row = np.repeat(np.arange(size), by.value_lengths().to_numpy(False))
+            flat = by.flatten()
+            m[row, [at[x] for x in flat.field("lang").to_pylist()]] = flat.field("cnt").to_numpy(False)
         # log frequency in each language, add-half smoothed, then the share of each language
-        logp = np.log(m + 0.5) - np.log(m.sum(0) + 0.5 * max(1, len(part)))
+        logp = np.log(m + 0.5) - np.log(m.sum(0) + 0.5 * max(1, size))
         top = logp.max(1, keepdims=True) if len(langs) else logp
         blocks.append(logp - (top + np.log(np.exp(logp - top).sum(1, keepdims=True)))
                       if len(langs) else logp)
