@@ -4,9 +4,12 @@ Vectors with one label are compared by cosine in double precision. Equal
 vectors are one class. A neighbour graph of k edges per class starts from
 blocks of a few random-hyperplane tables and is refined by neighbours-of-
 neighbours joins: at each class its neighbours, forward and reverse, are
-compared with each other and the better pairs replace edges. A sample of
-classes is compared with all rows; while the recall of its links is below the
-goal, further tables and rounds follow.
+compared with each other and the better pairs replace edges. The number of
+tables grows with the bits of a table, so that a pair at the threshold is likely
+to share a block at any table size. A sample of classes is compared with all
+rows; while the recall of its links is below the goal, further tables and rounds
+follow. If that does not reach the goal, all classes are compared with all rows
+of their label, chunk by chunk, and the result is exact.
 
 Edges at or above the threshold are links and make components. A class whose
 list is saturated (its k-th neighbour still links) may have more links than its
@@ -39,6 +42,8 @@ ROUNDS = 3
 GOAL = 0.95
 AUDIT = 256
 EXTRA = 3
+CHUNK = 4096
+_SPAN = 1 << 30  # values of the hash that orders the classes
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -68,9 +73,23 @@ def _top(edges: DataFrame, k: int) -> DataFrame:
             .withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).drop("r"))
 
 
+def _bits(n: int) -> int:
+    """Hyperplanes that cut n classes into blocks of half the bound."""
+    return max(0, int(np.ceil(np.log2(max(1.0, n / (BLOCK / 2))))))
+
+
+def _tables(bits: int, threshold: float) -> int:
+    """Tables after which a pair at the threshold has shared a block with probability
+    GOAL; from 64 on (low thresholds) the audit decides whether more are needed."""
+    meet = (1 - np.arccos(np.clip(threshold, -1.0, 1.0)) / np.pi) ** bits
+    miss = max(1 - meet, 1e-9)
+    want = 64 if miss >= 1 else int(np.ceil(np.log(1 - GOAL) / np.log(miss)))
+    return min(64, max(TABLES, want))
+
+
 def _table(classes: DataFrame, sizes: dict, dim: int, seed: int, k: int) -> DataFrame:
     """Edges (u, v, cos) inside the blocks of one random-hyperplane table."""
-    bits = {label: max(0, int(np.ceil(np.log2(max(1.0, n / (BLOCK / 2)))))) for label, n in sizes.items()}
+    bits = {label: _bits(n) for label, n in sizes.items()}
     planes = np.random.default_rng(seed).standard_normal((dim, max([1, *bits.values()])))
 
     def place(batches):
@@ -181,25 +200,68 @@ def _count_in_blocks(members: DataFrame, classes: DataFrame, dim: int, threshold
             .groupBy("node").agg(F.sum("links").alias("links")))
 
 
-def _audit(classes: DataFrame, sample: pa.Table, dim: int, threshold: float) -> DataFrame:
-    """(node, truth): links of the sampled classes, by comparison with every class."""
+def _forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of a few true entries that connect all that the true entries do."""
+    rows, cols = hit.any(1), hit.any(0)
+    out: list[tuple[int, int]] = []
+    while rows.any():
+        front = [int(np.argmax(rows))]
+        rows[front[0]] = False
+        while front:
+            r = front.pop()
+            for c in np.flatnonzero(hit[r] & cols).tolist():
+                cols[c] = False
+                more = np.flatnonzero(hit[:, c] & rows).tolist()
+                rows[more] = False
+                out += [(r, c), *((m, c) for m in more)]
+                front += more
+    u, v = np.array(out, np.int64).reshape(-1, 2).T
+    return u, v
+
+
+def _audit(classes: DataFrame, lo: int, hi: int, dim: int, threshold: float) -> DataFrame:
+    """The classes whose hash lies in [lo, hi) compared with every class: rows (node,
+    null, links), and rows (node, other, null) of pairs that connect what is linked."""
     spark = classes.sparkSession
+    place = F.pmod(F.xxhash64("node"), F.lit(_SPAN))
+    sample = classes.where((place >= lo) & (place < hi)).select("node", "label", "vec").toArrow()
     shared = spark.sparkContext.broadcast((
-        sample.column("node").to_numpy(), np.array(sample.column("label").to_pylist()),
+        sample.column("node").to_numpy(), sample.column("label").to_numpy(),
         matrix(sample.column("vec"), dim)))
+    names = ("node", "other", "links")
 
     def run(batches):
         nodes, labels, s = shared.value
         total = np.zeros(len(nodes), np.int64)
-        for b in batches:
-            hit = s @ matrix(b.column("vec"), dim).T >= threshold
-            hit &= labels[:, None] == np.array(b.column("label").to_pylist())[None, :]
-            hit &= nodes[:, None] != b.column("node").to_numpy(False)[None, :]
-            total += hit @ b.column("mult").to_numpy(False)
-        yield pa.RecordBatch.from_pydict({"node": pa.array(nodes), "truth": pa.array(total)})
-
-    return (classes.select("node", "label", "vec", "mult").mapInArrow(run, "node long, truth long")
-            .groupBy("node").agg(F.sum("truth").alias("truth")))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                b = batch.slice(at, 1024)
+                others = b.column("node").to_numpy(False)
+                hit = s @ matrix(b.column("vec"), dim).T >= threshold
+                hit &= labels[:, None] == b.column("label").to_numpy(False)[None, :]
+                hit &= nodes[:, None] != others[None, :]
+                total += hit @ b.column("mult").to_numpy(False)
+                u, v = _forest(hit)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(nodes[u], pa.int64()), pa.array(others[v], pa.int64()),
+                    pa.nulls(len(u), pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(nodes, pa.int64()), pa.nulls(len(nodes), pa.int64()),
+            pa.array(total, pa.int64())], names=names)
+
+    return written(classes.select("node", "label", "vec", "mult").mapInArrow(
+        run, "node long, other long, links long")
+        .groupBy("node", "other").agg(F.sum("links").alias("links")), "audit")
+
+
+def _exact(unit: DataFrame, n: int, dim: int, threshold: float):
+    """((node, links), (node, component)) from comparing all classes with all classes."""
+    cuts = np.linspace(0, _SPAN, max(1, -(-n // CHUNK)) + 1).astype(np.int64).tolist()
+    parts = [_audit(unit, lo, hi, dim, threshold) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+    every = unit.sparkSession.read.schema(parts[0].schema).parquet(*[p.written_path for p in parts])
+    pairs = every.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    return (every.where("other is null and links > 0").select("node", "links"),
+            written(components(pairs, "vectors"), "vector_components"))
 
 
 def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str = "vec_id",
@@ -229,18 +291,24 @@ def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str =
         normal, "node long, label long, mult long, vec array<double>"), "unit")
     # the number of classes per label; labels are categories, a few numbers on the driver
     sizes = {r["label"]: r["n"] for r in unit.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    sample = unit.orderBy(F.xxhash64("node")).limit(AUDIT).select("node", "label", "vec").toArrow()
-    truth = written(_audit(unit, sample, dim, threshold), "audit")
+    n = sum(sizes.values())
+    truth = _audit(unit, 0, -(-_SPAN * min(n, AUDIT) // n), dim, threshold).where(
+        "other is null").select("node", F.col("links").alias("truth"))
 
+    bits = _bits(max(sizes.values()))
+    tables, rounds = _tables(bits, threshold), max(ROUNDS, -(-bits // 3))
     edges = None
     seed = 0
-    for attempt in range(1 + EXTRA):
-        for _ in range(TABLES if attempt == 0 else 1):
-            seed += 1
-            more = _table(unit, sizes, dim, seed, k)
-            edges = more if edges is None else edges.union(more)
-        edges = written(_top(edges, k), "graph")
-        for _ in range(ROUNDS if attempt == 0 else 1):
+    for attempt in range(1 + max(EXTRA, bits)):
+        todo = tables if attempt == 0 else 1
+        while todo:
+            for _ in range(min(todo, TABLES)):
+                seed += 1
+                todo -= 1
+                more = _table(unit, sizes, dim, seed, k)
+                edges = more if edges is None else edges.union(more)
+            edges = written(_top(edges, k), "graph")
+        for _ in range(rounds if attempt == 0 else 1):
             better = written(_descend(edges, unit, dim, k), "better")
             if better.isEmpty():
                 break
@@ -250,6 +318,8 @@ def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str =
             F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
         if not both[0] or (both[1] or 0) >= GOAL * both[0]:
             break
+    else:
+        found = _exact(unit, n, dim, threshold)
     links, comp = found
     named = (classes.select("label", "v", "node", "rep", "mult").join(comp, "node", "left")
              .join(links, "node", "left")

@@ -99,6 +99,35 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch):
     assert all(k == (i == c) for i, (_, c, k) in got.items())
 
 
+def _without_edges(make, keep=None):
+    """``make`` as a search that finds only the edges under ``keep``, or none."""
+    return lambda *a: make(*a).where(F.lit(False) if keep is None else keep)
+
+
+def test_near_dedup_is_exact_where_the_search_fails(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CHUNK", 64)
+    monkeypatch.setattr(neardup, "EXTRA", 1)
+    monkeypatch.setattr(neardup, "_table", _without_edges(neardup._table))
+    rng = np.random.default_rng(5)
+    x, labels = [], []
+    for g, size in enumerate([1] * 20 + [2] * 40 + [30] * 2):
+        centre = rng.standard_normal(16)
+        for _ in range(size):
+            x.append((centre + rng.standard_normal(16) * (0.0 if g % 7 == 3 else 0.12)).round(3))
+            labels.append(g % 2)
+    ids = rng.permutation(len(x) * 3)[:len(x)].tolist()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"])
+           for r in neardup.link(_frame(spark, ids, x, labels)).collect()}
+    assert got == _plain_links(ids, x, labels)
+
+
+def test_near_dedup_tables_grow_with_the_bits():
+    chance = 1 - np.arccos(0.93) / np.pi
+    for n in (10 ** 3, 10 ** 5, 10 ** 7, 10 ** 8):
+        bits = neardup._bits(n)
+        assert 1 - (1 - chance ** bits) ** neardup._tables(bits, 0.93) >= neardup.GOAL
+
+
 def test_near_dedup_edges(spark):
     rows = [(1, None, 0), (2, [], 0), (3, [0.0, 0.0], 0), (4, [1.0, None], 0), (5, [float("inf"), 1.0], 0),
             (6, [1.0, 1.0], None), (7, [1.0, 1.0], 1), (8, [1.0, 1.0], 1), (9, [2.0, 2.0], 1),
