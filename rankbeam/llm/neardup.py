@@ -11,6 +11,12 @@ rows; while the recall of its links is below the goal, further tables and rounds
 follow. If that does not reach the goal, all classes are compared with all rows
 of their label, chunk by chunk, and the result is exact.
 
+Recall is the mean, over sampled classes with a link, of the share of their linked
+classes that was found; copies do not weigh. Classes with fewer than k links and
+classes with more, which dense groups hold, must reach the goal each, so a dense
+group cannot hide lost pairs. The sample grows until it holds ``SPARSE`` classes of
+the first kind; where even the whole table does not, its comparison is the result.
+
 Edges at or above the threshold are links and make components. A class whose
 list is saturated (its k-th neighbour still links) may have more links than its
 list holds, so its list is enlarged to its whole component: the component's
@@ -42,6 +48,7 @@ ROUNDS = 3
 GOAL = 0.95
 AUDIT = 256
 EXTRA = 3
+SPARSE = 64
 CHUNK = 4096
 _SPAN = 1 << 30  # values of the hash that orders the classes
 
@@ -176,7 +183,7 @@ def _descend(edges: DataFrame, classes: DataFrame, dim: int, k: int) -> DataFram
 
 
 def _count_in_blocks(members: DataFrame, classes: DataFrame, dim: int, threshold: float) -> DataFrame:
-    """(node, links) of every class of the given components: (component, node) rows.
+    """(node, links, partners) of every class of the given components: (component, node) rows.
     Blocks of a component meet in bounded tasks; only counts come out."""
     size = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
     m = (members.join(size, "component").join(classes.select("node", "vec", "mult"), "node")
@@ -189,15 +196,16 @@ def _count_in_blocks(members: DataFrame, classes: DataFrame, dim: int, threshold
 
     def count(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
-            return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+            return pa.table({c: pa.array([], pa.int64()) for c in ("node", "links", "partners")})
         x, y = matrix(a.column("vec"), dim), matrix(b.column("vec2"), dim)
         na, nb = a.column("node").to_numpy(), b.column("node2").to_numpy()
         hit = (x @ y.T >= threshold) & (na[:, None] != nb[None, :])
-        return pa.table({"node": pa.array(na), "links": pa.array(hit @ b.column("mult").to_numpy())})
+        return pa.table({"node": pa.array(na), "links": pa.array(hit @ b.column("mult").to_numpy()),
+                         "partners": pa.array(hit.sum(1), pa.int64())})
 
     return (one.groupBy("component", "i", "j").cogroup(two.groupBy("c2", "i2", "j2"))
-            .applyInArrow(count, "node long, links long")
-            .groupBy("node").agg(F.sum("links").alias("links")))
+            .applyInArrow(count, "node long, links long, partners long")
+            .groupBy("node").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners")))
 
 
 def _forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,18 +229,19 @@ def _forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _audit(classes: DataFrame, lo: int, hi: int, dim: int, threshold: float) -> DataFrame:
     """The classes whose hash lies in [lo, hi) compared with every class: rows (node,
-    null, links), and rows (node, other, null) of pairs that connect what is linked."""
+    null, links, partners), and rows (node, other, null, null) of pairs that connect
+    what is linked. Links count rows, partners classes."""
     spark = classes.sparkSession
     place = F.pmod(F.xxhash64("node"), F.lit(_SPAN))
     sample = classes.where((place >= lo) & (place < hi)).select("node", "label", "vec").toArrow()
     shared = spark.sparkContext.broadcast((
         sample.column("node").to_numpy(), sample.column("label").to_numpy(),
         matrix(sample.column("vec"), dim)))
-    names = ("node", "other", "links")
+    names = ("node", "other", "links", "partners")
 
     def run(batches):
         nodes, labels, s = shared.value
-        total = np.zeros(len(nodes), np.int64)
+        total, partners = np.zeros((2, len(nodes)), np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 b = batch.slice(at, 1024)
@@ -241,29 +250,59 @@ def _audit(classes: DataFrame, lo: int, hi: int, dim: int, threshold: float) ->
                 hit &= labels[:, None] == b.column("label").to_numpy(False)[None, :]
                 hit &= nodes[:, None] != others[None, :]
                 total += hit @ b.column("mult").to_numpy(False)
+                partners += hit.sum(1)
                 u, v = _forest(hit)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(nodes[u], pa.int64()), pa.array(others[v], pa.int64()),
-                    pa.nulls(len(u), pa.int64())], names=names)
+                    pa.nulls(len(u), pa.int64()), pa.nulls(len(u), pa.int64())], names=names)
         yield pa.RecordBatch.from_arrays([
             pa.array(nodes, pa.int64()), pa.nulls(len(nodes), pa.int64()),
-            pa.array(total, pa.int64())], names=names)
+            pa.array(total, pa.int64()), pa.array(partners, pa.int64())], names=names)
 
     return written(classes.select("node", "label", "vec", "mult").mapInArrow(
-        run, "node long, other long, links long")
-        .groupBy("node", "other").agg(F.sum("links").alias("links")), "audit")
+        run, "node long, other long, links long, partners long")
+        .groupBy("node", "other").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners")),
+        "audit")
+
 
+def _rows(parts: list[DataFrame]) -> DataFrame:
+    """All rows of tables that ``written`` made."""
+    one = parts[0]
+    return one.sparkSession.read.schema(one.schema).parquet(*[p.written_path for p in parts])
 
-def _exact(unit: DataFrame, n: int, dim: int, threshold: float):
-    """((node, links), (node, component)) from comparing all classes with all classes."""
-    cuts = np.linspace(0, _SPAN, max(1, -(-n // CHUNK)) + 1).astype(np.int64).tolist()
-    parts = [_audit(unit, lo, hi, dim, threshold) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
-    every = unit.sparkSession.read.schema(parts[0].schema).parquet(*[p.written_path for p in parts])
+
+def _exact(unit: DataFrame, done: list[DataFrame], at: int, n: int, dim: int, threshold: float):
+    """((node, links), (node, component)) from comparing all classes with all classes;
+    ``done`` are the audits of the classes whose hash is below ``at``."""
+    cuts = np.linspace(at, _SPAN, max(1, -(-n * (_SPAN - at) // (_SPAN * CHUNK))) + 1).astype(np.int64).tolist()
+    every = _rows(done + [_audit(unit, lo, hi, dim, threshold)
+                          for lo, hi in zip(cuts[:-1], cuts[1:], strict=True) if lo < hi])
     pairs = every.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
     return (every.where("other is null and links > 0").select("node", "links"),
             written(components(pairs, "vectors"), "vector_components"))
 
 
+def _sampled(unit: DataFrame, n: int, dim: int, threshold: float, k: int) -> tuple[list[DataFrame], int]:
+    """Audits of the classes whose hash is below a bound, and that bound: enough classes
+    to hold SPARSE with a link and fewer than k linked classes, or all."""
+    parts, at, size, held = [], 0, AUDIT, 0
+    while held < SPARSE and at < _SPAN:
+        hi = min(_SPAN, at - (-_SPAN * size // n))
+        parts.append(_audit(unit, at, hi, dim, threshold))
+        held += parts[-1].where(F.col("other").isNull() & F.col("partners").between(1, k - 1)).count()
+        at, size = hi, min(4 * size, CHUNK)
+    return parts, at
+
+
+def _recalls(truth: DataFrame, links: DataFrame, k: int) -> dict[bool, float]:
+    """Mean share of a sampled class's linked classes that ``links`` has, over classes
+    with a link: of those with fewer than k (False) and of the others (True)."""
+    share = F.least(F.lit(1.0), F.coalesce("partners", F.lit(0)) / F.col("truth"))
+    got = (truth.where("truth > 0").join(links.select("node", "partners"), "node", "left")
+           .groupBy((F.col("truth") >= k).alias("dense")).agg(F.avg(share).alias("recall")).collect())
+    return {r["dense"]: r["recall"] for r in got}
+
+
 def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str = "vec_id",
          vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
@@ -292,14 +331,15 @@ def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str =
     # the number of classes per label; labels are categories, a few numbers on the driver
     sizes = {r["label"]: r["n"] for r in unit.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n = sum(sizes.values())
-    truth = _audit(unit, 0, -(-_SPAN * min(n, AUDIT) // n), dim, threshold).where(
-        "other is null").select("node", F.col("links").alias("truth"))
+    audits, at = _sampled(unit, n, dim, threshold, k)
+    truth = _rows(audits).where("other is null").select("node", F.col("partners").alias("truth"))
 
     bits = _bits(max(sizes.values()))
     tables, rounds = _tables(bits, threshold), max(ROUNDS, -(-bits // 3))
     edges = None
     seed = 0
-    for attempt in range(1 + max(EXTRA, bits)):
+    # a sample that is the whole table leaves nothing to search
+    for attempt in range(0 if at == _SPAN else 1 + max(EXTRA, bits)):
         todo = tables if attempt == 0 else 1
         while todo:
             for _ in range(min(todo, TABLES)):
@@ -314,12 +354,10 @@ def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str =
                 break
             edges = written(_top(edges.union(better), k), "graph")
         found = _links(edges, unit, dim, threshold, k)
-        both = truth.join(found[0], "node", "left").agg(
-            F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
-        if not both[0] or (both[1] or 0) >= GOAL * both[0]:
+        if all(r >= GOAL for r in _recalls(truth, found[0], k).values()):
             break
     else:
-        found = _exact(unit, n, dim, threshold)
+        found = _exact(unit, audits, at, n, dim, threshold)
     links, comp = found
     named = (classes.select("label", "v", "node", "rep", "mult").join(comp, "node", "left")
              .join(links, "node", "left")
@@ -335,7 +373,7 @@ def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str =
 
 
 def _links(edges: DataFrame, unit: DataFrame, dim: int, threshold: float, k: int):
-    """((node, links), (node, component)) from the graph's edges."""
+    """((node, links, partners), (node, component)) from the graph's edges."""
     near = edges.where(F.col("cos") >= threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
     near = written(near.union(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
                    "near")
@@ -347,5 +385,6 @@ def _links(edges: DataFrame, unit: DataFrame, dim: int, threshold: float, k: int
     dense = _count_in_blocks(members, unit, dim, threshold)
     sparse = (near.join(members.select(F.col("node").alias("a")), "a", "left_anti")
               .join(unit.select(F.col("node").alias("b"), "mult"), "b")
-              .groupBy("a").agg(F.sum("mult").alias("links")).withColumnRenamed("a", "node"))
+              .groupBy("a").agg(F.sum("mult").alias("links"), F.count("*").alias("partners"))
+              .withColumnRenamed("a", "node"))
     return written(dense.union(sparse), "link_counts"), comp

@@ -121,6 +121,39 @@ def test_near_dedup_is_exact_where_the_search_fails(spark, monkeypatch):
     assert got == _plain_links(ids, x, labels)
 
 
+def test_near_dedup_dense_group_hides_no_lost_pairs(spark, monkeypatch):
+    """A third of the classes is one dense group; the search loses the isolated pairs."""
+    for name in ("_table", "_descend"):
+        monkeypatch.setattr(neardup, name, _without_edges(getattr(neardup, name), F.col("cos") >= 0.975))
+    monkeypatch.setattr(neardup, "SPARSE", 8, raising=False)
+    rng = np.random.default_rng(6)
+    unit = rng.standard_normal((1300, 32))
+    unit /= np.sqrt((unit * unit).sum(1))[:, None]
+    x = [unit[0] + 0.01 * v for v in unit[:400]]
+    for a, b in zip(unit[400:700], unit[700:1000], strict=True):
+        b = b - (a @ b) * a
+        x += [a, 0.95 * a + np.sqrt(1 - 0.95 ** 2) * b / np.sqrt(b @ b)]
+    x += list(unit[1000:])
+    ids = rng.permutation(len(x)).tolist()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"])
+           for r in neardup.link(_frame(spark, ids, x, [0] * len(x))).collect()}
+    assert got == _plain_links(ids, x, [0] * len(x))
+
+
+def test_near_dedup_search_meets_the_goal_itself(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 64)
+    monkeypatch.setattr(neardup, "SPARSE", 8)
+    monkeypatch.setattr(neardup, "_exact", None)  # not needed
+    rng = np.random.default_rng(7)
+    x = [c + 0.12 * v for size in [1] * 150 + [3] * 60 + [12] * 10 + [150]
+         for c in [rng.standard_normal(24)] for v in rng.standard_normal((size, 24))]
+    ids = rng.permutation(len(x)).tolist()
+    want = _plain_links(ids, x, [0] * len(x))
+    got = {r["vec_id"]: r["n_links"] for r in neardup.link(_frame(spark, ids, x, [0] * len(x))).collect()}
+    both = [got[i] / n for i, (n, _) in want.items() if n]
+    assert all(got[i] <= n for i, (n, _) in want.items()) and np.mean(both) >= neardup.GOAL
+
+
 def test_near_dedup_tables_grow_with_the_bits():
     chance = 1 - np.arccos(0.93) / np.pi
     for n in (10 ** 3, 10 ** 5, 10 ** 7, 10 ** 8):
