@@ -49,6 +49,7 @@ _ENDS = re.compile(r"^(?:[^\w\s]{2,}|[^\w\s$@|+€£]+)|(?:[^\w\s]{2,}|[.,;:!?\"
 _LONG = re.compile(r"([^\W\d_])\1\1")
 # log costs of the channel's arcs
 _DROP_REPEAT, _DROP_PAIR, _LOOKALIKE, _DROP_SIGN, _DROP_OTHER, _SPACE = -0.3, -4.0, -0.7, -1.5, -3.0, -1.0
+_BREAK_SIGN = _DROP_SIGN + _SPACE / 2  # as much dearer than dropping as at a space
 _LETTER_BONUS = 2.2
 
 _CLASS = np.zeros(256, np.int64)
@@ -127,12 +128,16 @@ class Restorer:
             elif ch in LOOKALIKES:
                 arcs += [(ord(x) - 96, _LOOKALIKE + _LETTER_BONUS) for x in LOOKALIKES[ch]]
                 arcs.append((-1, _DROP_SIGN))
+                if not ch.isalnum():
+                    arcs.append((0, _BREAK_SIGN))
             elif ch == " ":
                 arcs += [(-1, _SPACE / 2), (0, _SPACE)]
             elif ch.isalpha():
                 arcs.append((27, _LETTER_BONUS))
+            elif ch.isalnum():
+                arcs.append((-1, _DROP_OTHER))
             else:
-                arcs.append((-1, _DROP_SIGN if not ch.isalnum() else _DROP_OTHER))
+                arcs += [(-1, _DROP_SIGN), (0, _BREAK_SIGN)]
             new: dict[tuple[int, int], tuple[float, tuple]] = {}
             for (x, y), (s, path) in states.items():
                 for c, cost in arcs:
@@ -167,7 +172,7 @@ class Restorer:
             return ()
         whole = tuple(w for lo in range(0, len(word), STRETCH)
                       for w in self.decode(word[lo:lo + STRETCH]).split())
-        parts = tuple(p for p in re.split(r"[\W\d_]+", word) if len(p) > 2) if len(word) < 200 else ()
+        parts = tuple(p for p in re.split(r"[\W\d_]+", word) if len(p) > 2)
         return whole + parts
 
     def words(self, text: str | None) -> set[str]:

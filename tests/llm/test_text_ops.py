@@ -255,6 +255,19 @@ def test_toxic_words_are_restored():
     r.words("a " * 100_000 + "z" * 100_000)
 
 
+def test_toxic_words_in_long_tokens_are_read():
+    counts = toxicity.trigram_counts(np.frombuffer(
+        (" the idiot was a moron and an idiot to the others in the street " * 50).encode(), np.uint8))
+    tri = counts.reshape(28, 28, 28) + 0.01
+    r = toxicity.Restorer(np.log(tri / tri.sum(2, keepdims=True)))
+    for sign in "-_./,|":
+        for fill in ("the", "街道的"):
+            token = sign.join([fill] * 30 + ["idiot"] + [fill] * 40)
+            assert "idiot" in r.words(token) and "idiot" in r.words(token * 4)
+    assert "idiot" in r.words("the-1d10t-others")
+    assert "moron" in r.words(".".join(["street"] * 30 + ["m0r0n"] + ["others"] * 30))
+
+
 def test_toxicity_finds_planted_words(spark, odd):
     rng = np.random.default_rng(1)
     words = [f"{a}{b}" for a in ("ba", "lo", "ti", "ren") for b in ("ma", "so", "nd", "el")]
