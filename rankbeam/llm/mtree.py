@@ -20,7 +20,7 @@ are not computed. Pages are visited nearest bound first. Results are exact:
 a ball is left out only when no row in it can reach the k-th result.
 
 Defined results: vectors that are null, empty or hold null or non-finite
-components take no part, as query or candidate; shorter vectors are padded with
+components and rows without an id take no part, as query or candidate; shorter vectors are padded with
 zeros; a query never meets rows with its own id; of several query rows with one
 id the smallest vector (array order) asks; repeated candidate rows each count;
 ties go to the smaller id; fewer than k candidates give them all; an empty
@@ -153,7 +153,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     rows = (vectors.where(usable(F.col(vec_col)))
             .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
-                    is_query.alias("asks")))
+                    is_query.alias("asks")).where("id is not null"))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.pow(F.floor(x.cast("double") * SCALE)
                                                                  .cast("double"), 2))
     total, dim, top = rows.agg(F.count("*"), F.max(F.size("v")), F.max(square)).first()
@@ -202,7 +202,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             pages_of, "shard int, part int, route binary, radius double, up double, "
                       "centre binary, ids binary, rows binary, dist binary"), "pages")
 
-    asks = rows.where(F.col("asks") & F.col("id").isNotNull()).groupBy("id").agg(F.min("v").alias("v"))
+    asks = rows.where(F.col("asks")).groupBy("id").agg(F.min("v").alias("v"))
     asks = written(asks, "queries")
     blocks = max(1, -(-asks.count() // QUERY_BLOCK))
     order = np.array(sorted(shape), np.int64)

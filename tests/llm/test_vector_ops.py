@@ -51,6 +51,15 @@ def test_top_k_edges(spark):
     assert sorted(got) == [(0, 1, 1, 32768), (0, 2, 1, 32768)]
 
 
+def test_top_k_rows_without_an_id_take_no_part(spark):
+    big = 2 ** 53 + 1  # not a float64
+    d = _frame(spark, [0, 7, big, None, 50, None], [[1.0, 0.0], [0.5, 0.5], [0.25, 0.0], [2.0, 2.0],
+                                                    [0.0, 1.0], [1.0, 0.0]], [0] * 6)
+    got = sorted(tuple(r) for r in mtree.top_k(d, F.col("vec_id") % 50 == 0).collect())
+    assert got == [(0, 1, 7, 32768), (0, 2, big, 16384), (0, 3, 50, 0),
+                   (50, 1, 7, 32768), (50, 2, 0, 0), (50, 3, big, 0)]
+
+
 def test_pages_hold_their_rows_and_bounds():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((700, 9)) * 100
