@@ -59,6 +59,21 @@ def test_pii_checksums_and_context(spark):
     assert got == {1: "iban:5:32", 2: "", 3: "ssn:7:18", 4: ""}
 
 
+def test_pii_ibans_before_capitals_and_digits(spark):
+    texts = {
+        1: "DE89370400440532013000 BIC COBADEFFXXX", 2: "DE89 3704 0044 0532 0130 00 Then",
+        3: "x DE89370400440532013000 GB29 NWBK 6016 1331 9268 19 REF 12", 4: "DE89370400440532013000COBADEFF",
+        5: "aDE89370400440532013000", 6: "DE89 3704 0044 0532 0130 01 BIC", 7: "MT84 MALT 0110 0001 2345 MTLC AST0 01S A",
+        8: "RE12 DE89 3704 0044 0532 0130 00", 9: "é😀 NO93 8601 1117 947 I"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("iban")]
+           for r in pii.digest(pii.find(d)).collect()}
+    assert got == {1: ["iban:0:22"], 2: ["iban:0:27"], 3: ["iban:2:24", "iban:25:52"], 4: [], 5: [], 6: [],
+                   7: ["iban:0:38"], 8: ["iban:5:32"], 9: ["iban:3:21"]}
+    out = {r["doc_id"]: r["text"] for r in pii.redact(d).collect()}
+    assert out[1] == "[IBAN] BIC COBADEFFXXX" and out[2] == "[IBAN] Then"
+
+
 def test_pii_redaction_merges_overlaps_and_keeps_rows(spark, odd):
     d = spark.createDataFrame([(1, "mail a@1.2.3.4 end", 18), (2, None, None)],
                               "doc_id long, text string, n_chars long")
