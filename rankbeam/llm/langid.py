@@ -82,28 +82,39 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
         fit_rows: int = 8_000, max_words: int = 60_000, max_grams: int = 25_000) -> LangModel:
     """Learn from labelled rows.
 
-    ``fit_rows`` bounds the sample of labelled rows (chosen by a hash of the
-    id, so it is the same sample on each run); ``max_words`` and ``max_grams``
-    (per order) bound the model's size, most frequent first. Counting is a
-    Spark aggregation; only the bounded model comes to the driver.
+    ``fit_rows`` bounds the sample of labelled rows of each language (chosen by a
+    hash of the id, so it is the same sample on each run; a smaller language is
+    read whole); ``max_words`` and ``max_grams`` (per order) bound the model's
+    size, first what has the largest share of its language. Counting is a Spark
+    aggregation; only the bounded model comes to the driver.
     """
     prepare(train.sparkSession)
     rows = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    total = rows.count()
-    if total > fit_rows:
-        cut = int((1 << 30) * fit_rows / total)
-        rows = rows.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) < cut)
-    counts = (rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
+                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)).alias("place"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    rows = rows.join(F.broadcast(sizes), "lang").where(
+        (F.col("size") <= fit_rows) | (F.col("place") < (1 << 30) * fit_rows / F.col("size")))
+    counts = (rows.select("lang", "text")
               .mapInArrow(_count, "lang string, n int, item string, cnt long")
               .groupBy("n", "item", "lang").agg(F.sum("cnt").alias("cnt")))
     items = (counts.groupBy("n", "item")
-             .agg(F.sum("cnt").alias("total"),
-                  F.collect_list(F.struct("lang", "cnt")).alias("by")).cache())
+             .agg(F.collect_list(F.struct("lang", "cnt")).alias("by")).cache())
     try:
-        langs = tuple(r[0] for r in items.select(F.explode("by.lang").alias("lang"))
-                      .distinct().orderBy("lang").collect())
+        # counts of all items by order and language: a few numbers on the driver
+        totals = {(r["n"], r["lang"]): r["total"] for r in items.select("n", F.inline("by"))
+                  .groupBy("n", "lang").agg(F.sum("cnt").alias("total")).collect()}
+        langs = tuple(sorted({lang for _, lang in totals}))
+
+        def share(n):
+            of = {lang: t for (m, lang), t in totals.items() if m == n}
+            if not of:
+                return F.lit(0.0)
+            size = F.create_map(*[F.lit(x) for pair in of.items() for x in pair])
+            return F.array_max(F.transform("by", lambda x: x["cnt"] / F.element_at(size, x["lang"])))
+
         parts = [items.where(F.col("n") == n)
-                 .orderBy(F.desc("total"), "item").limit(max_grams if n else max_words).toArrow()
+                 .orderBy(F.desc(share(n)), "item").limit(max_grams if n else max_words).toArrow()
                  for n in (0, *ORDERS)]
     finally:
         items.unpersist()

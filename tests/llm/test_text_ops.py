@@ -253,6 +253,22 @@ def test_token_store_round_trip(spark, docs, odd):
             assert len(sha) == 1
 
 
+def test_language_with_few_rows_keeps_its_words(spark):
+    rng = np.random.default_rng(4)
+
+    def text(letters, n):
+        return " ".join("".join(rng.choice(list(letters), 4)) for _ in range(n))
+
+    rows = [(i, text("abcdefgh", 200), "aa") for i in range(400)]
+    small = [(1000 + i, text("щжюяэ", 10), "bb") for i in range(2)]
+    d = spark.createDataFrame(rows + small, "doc_id long, text string, lang string")
+    model = langid.fit(d, fit_rows=20, max_words=60, max_grams=60)
+    assert model.langs == ("aa", "bb")
+    assert all(w in model.words for _, t, _ in small for w in t.split())
+    for r in langid.predict(d.where("lang = 'bb'"), model).collect():
+        assert r["lang_pred"] == "bb" and r["score"] >= 0.3
+
+
 # -- classifiers -----------------------------------------------------------------------
 
 def test_toxic_words_are_restored():
