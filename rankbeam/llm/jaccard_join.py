@@ -4,8 +4,9 @@ Two documents link when their sets of word shingles have a Jaccard similarity
 of ``percent``/100 or more. Sets that similar must share a token among the
 first ``n - ceil(J n) + 1`` tokens of each set, whatever total order the tokens
 are put in. So candidates are pairs that meet in a prefix under the first
-order, and they must meet in their prefixes under every further order before
-the sets are compared.
+order. Where pairs are verified one by one, their texts are joined and shingled,
+and they must meet in their prefixes under every further order before the whole
+sets are compared; blocks of clusters are compared without further orders.
 
 The first order puts rare tokens first: a table of approximate token counts
 (hashed buckets, counted over all documents) ranks the tokens, so that passages
