@@ -117,9 +117,90 @@ nodes AS (SELECT id FROM s),{_REACH}
 SELECT s.id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c AS component_id
 FROM s JOIN comp ON comp.id = s.id"""
 
+REPEATS = r"""
+WITH w AS (SELECT doc_id AS id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)),
+low AS (SELECT k, min(id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT id, unnest(range(i, i + 13)) AS i FROM win JOIN low USING (k) WHERE m < id),
+words AS (SELECT id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM w),
+kept AS (SELECT id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS t
+  FROM words ANTI JOIN gone USING (id, i) GROUP BY id)
+SELECT w.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (id)"""
+
+# crc32 of UTF-8 text: the table of remainders by its rule, then one step a byte.
+_CRC_TABLE = """
+crc_bits AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+    FROM crc_bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM crc_bits WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    octets = (f"list_transform(range(1, strlen({text}) + 1), lambda i: "
+              f"CAST('0x' || substr(hex(encode({text})), CAST(2 * i - 1 AS INT), 2) AS BIGINT))")
+    return (f"xor(list_reduce({octets}, lambda c, b: xor(c >> 8, crc.t[xor(c & 255, b) + 1]), 4294967295), "
+            "4294967295)")
+
+
+PERIODIC = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id AS id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    {_crc("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc),
+a AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+t AS (SELECT id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(0, n), lambda i:
+    w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) ELSE w END AS w FROM p),
+words AS (SELECT id, n, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM t),
+same AS (SELECT x.id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.id = y.id AND x.w = y.w
+  AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+isles AS (SELECT id, q, i, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS isle FROM same),
+long AS (SELECT id, q, min(i) AS s, count(*) + q AS len FROM isles GROUP BY id, q, isle
+  HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT id, s, len, min(q) AS q FROM long GROUP BY id, s, len),
+best AS (SELECT id, s, len, q, row_number() OVER (PARTITION BY id ORDER BY
+  len // q DESC, CAST(len % q AS DOUBLE) / q DESC, s, q) AS r FROM runs),
+all_runs AS (SELECT id, count(*) AS n, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS t
+  FROM runs GROUP BY id),
+gone AS (SELECT DISTINCT id, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (SELECT id, string_agg(w, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (id, i) GROUP BY id)
+SELECT t.id AS doc_id, coalesce(all_runs.n, 0) AS n_runs, CAST(s AS BIGINT) AS start, CAST(len AS BIGINT) AS length,
+  CAST(q AS BIGINT) AS period, CAST(1000 * len // q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(all_runs.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM t LEFT JOIN all_runs ON all_runs.id = t.id LEFT JOIN kept ON kept.id = t.id
+  LEFT JOIN best ON best.id = t.id AND best.r = 1"""
+
+
+def _feature_words(table: str, key: str) -> str:
+    return (f"SELECT {key}, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+            rf"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM {table}")
+
+
+RESAMPLED = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+f AS ({_feature_words("documents", "doc_id AS id")}),
+g AS ({_feature_words("benchmark", "item_id AS id")}),
+v AS (SELECT w, {_crc("w")} % 10000 AS b FROM (SELECT w FROM f UNION SELECT w FROM g), crc),
+s AS (SELECT b, count(*) AS n FROM f JOIN v USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM g JOIN v USING (w) GROUP BY b),
+gain AS (SELECT s.b, floor(1000 * ln((coalesce(t.n, 0) + 1) * ((SELECT count(*) FROM f) + 10000)
+    / ((s.n + 1) * ((SELECT count(*) FROM g) + 10000)))) AS gain FROM s LEFT JOIN t USING (b)),
+x AS (SELECT id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight
+  FROM f JOIN v USING (w) JOIN gain USING (b) GROUP BY id),
+y AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+      / 4294967296))) AS BIGINT) AS score FROM documents LEFT JOIN x ON x.id = doc_id),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM y WHERE n_features >= 20)
+SELECT y.doc_id, n_features, weight, score, r.rank FROM y LEFT JOIN r ON r.doc_id = y.doc_id
+  AND r.rank <= 10 * (SELECT count(*) FROM r) // 100"""
+
 ORACLE_SQL = {
     "op1_pii": pii_sql(),
     "op6_topk_search": TOP_K,
     "op7_ngram_jaccard_join": NEAR_TEXTS,
     "op9_embedding_near_dedup": NEAR_VECTORS,
+    "op11_substring_dedup": REPEATS,
+    "op12_periodic_runs": PERIODIC,
+    "op13_resampling": RESAMPLED,
 }

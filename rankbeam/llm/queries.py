@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, langid, mixing, mtree, neardup, pii, quality, token_store, toxicity
+from . import (bpe, jaccard_join, langid, mixing, mtree, neardup, periodic_runs, pii, quality, resampling,
+               substring_dedup, token_store, toxicity)
 from .common import crc_bucket, prepare, read_table
 from .oracle import ORACLE_SQL  # noqa: F401  registered beside the queries
 
@@ -85,6 +86,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).drop("text")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text without the words of 13-word windows that an earlier document has too."""
+    return substring_dedup.digest(substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every text, after the tail of about every tenth was made periodic."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", periodic_runs.repeat_tail(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic_runs.digest(periodic_runs.find(docs))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw of a tenth towards ``benchmark``."""
+    return resampling.resample(read_table(spark, sf_dir, "documents"),
+                               read_table(spark, sf_dir, "benchmark")).drop("n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_toxicity, op3_language_id, op4_token_store, op5_quality,
-    op6_topk_search, op7_ngram_jaccard_join, op8_bpe, op9_embedding_near_dedup, op10_mixing)}
+    op6_topk_search, op7_ngram_jaccard_join, op8_bpe, op9_embedding_near_dedup, op10_mixing,
+    op11_substring_dedup, op12_periodic_runs, op13_resampling)}

@@ -50,12 +50,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, index of its document) in text order."""
+def word_hashes(raw: np.ndarray, off: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, index of its document) in text order; ``fold`` lower-cases A-Z."""
     n = len(raw)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    low = _LOWER[raw]
+    low = _LOWER[raw] if fold else raw
     word = ~_SPACE[low]
     edge = np.zeros(n, bool)  # first byte of each document
     starts_at = off[:-1][off[:-1] < n]
@@ -73,6 +73,16 @@ def word_hashes(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h, np.searchsorted(off, a, "right") - 1
 
 
+def window_hashes(h: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
+    """Hash of the ``width`` words from every position; positions with fewer words left are absent."""
+    out = np.zeros(max(0, len(h) - width + 1), np.uint64)
+    with np.errstate(over="ignore"):
+        by = mix(np.arange(1, width + 1, dtype=np.uint64) * _BASE + _U(seed) * _M2) | _U(1)
+        for k in range(width):
+            out += h[k:k + len(out)] * by[k]
+        return mix(out)
+
+
 def shingle_sets(col: pa.Array, width: int = 5) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles."""
     raw, off, _ = text_buffers(col)
