@@ -45,8 +45,8 @@ from .shingles import mix, window_hashes, word_hashes
 WIDTH = 13
 # The difference cover {1, 2, 4} modulo 7.
 PERIOD, COVER = 7, (1, 2, 4)
-#: Text of a block, and text whose anchors and windows share a bucket, in bytes.
-BLOCK_BYTES, BUCKET_BYTES = 2 << 20, 48 << 20
+#: Text of a block, text whose anchors and windows share a bucket, in bytes; least buckets.
+BLOCK_BYTES, BUCKET_BYTES, LEAST_BUCKETS = 2 << 20, 128 << 20, 24
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                     ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -247,12 +247,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     with a smaller doc_id are removed. Two scans: one adds the bytes up, one deals blocks."""
     if width < PERIOD + 2:
         raise ValueError(f"width must be at least {PERIOD + 2}")
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(4 * tasks, -(-total // BLOCK_BYTES))
-    buckets = max(2 * tasks, -(-total // BUCKET_BYTES))
+    blocks, buckets = max(1, -(-total // BLOCK_BYTES)), max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
     block = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(blocks))
     # One exchange of the texts that all three passes over the blocks reuse.
     dealt = docs.select(block.alias("block"), "doc_id", "text").repartition("block")

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_every_operator_has_one_query():
     names = sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(ORACLE_SQL) <= set(QUERIES) and set(ORACLE_SQL) <= set(entry.oracle_sql())
 
