@@ -94,6 +94,8 @@ class Split:
 class Eval:
     ks: tuple[int, ...] = (5, 10, 20)
     binary_threshold: float = 1.0
+    # Metric that chooses the best iteration; None: NDCG at 10, or at the largest of ks.
+    best_by: str | None = None
 
 
 @dataclass(frozen=True)
@@ -106,9 +108,17 @@ class Model:
     subsampling_rate: float = 1.0
     seed: int = 42
     missing_value: float = -1.0e9
-    # Fit with the validation split and stop when its error no longer falls.
+    # "lambdarank" (pairwise gradients weighted by NDCG, per user) or "pointwise" (squared error).
+    loss: str = "lambdarank"
+    # Stop after ``patience`` trees without a better val metric and end the model at the best one.
     early_stop: bool = True
-    validation_tol: float = 0.0
+    patience: int = 100
+    # Pairs need one row among the first ``truncation`` of its list; lists have at most ``list_rows``.
+    truncation: int = 20
+    list_rows: int = 2000
+    # Rows a leaf needs at least; trees between two written states of the scores.
+    min_leaf_rows: int = 20
+    trees_per_state: int = 50
     # Rows of the train split for quick runs (first whole groups); None: all.
     max_train_rows: int | None = None
     # The learner keeps a bin per value of a categorical column; wider columns are refused.

@@ -7,13 +7,12 @@ columns are pruned).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, WATCH_RATIO, Config
 from ..functions import columns as fc
-from .joins import row_bytes
+from .joins import hold, row_bytes
 
 
 def normalise_feedback(log: DataFrame, cfg: Config) -> DataFrame:
@@ -73,40 +72,39 @@ def add_watch_ratio(df: DataFrame, cfg: Config) -> DataFrame:
     return df.withColumn(WATCH_RATIO, fc.watch_ratio(cfg))
 
 
-def activity_filter(df: DataFrame, cfg: Config) -> DataFrame:
-    """A1 + J3: keep users/items with enough events, both counted on ``df``.
+def activity_filter(df: DataFrame, cfg: Config, counted: DataFrame | None = None) -> DataFrame:
+    """A1 + J3: keep users/items with enough events, both counted on ``counted`` (default
+    ``df``), which must have the same rows and may have fewer columns or joins.
 
     One round, not a fixpoint: a kept user may end below the minimum after the
-    item filter. Both counts come from ONE scan: every row emits a user key and
-    an item key, and a single partially aggregated ``groupBy(kind, key)``
-    counts them (a hot key costs one partial row per task). The surviving key
-    sets are persisted and counted once; each is broadcast only when its rows
-    and bytes (rows x key width) are within the ``scale`` limits, otherwise the
-    semi join shuffles and AQE splits a skewed key's partition.
+    item filter. Both counts come from one scan with ``GROUPING SETS ((user),
+    (item))``, aggregated within the tasks first (a hot key costs one partial row
+    per task). The surviving key sets are counted once; each is broadcast only
+    when its rows and bytes (rows x key width) are within the ``scale`` limits,
+    otherwise the semi join shuffles and AQE splits a skewed key's partition.
     """
     c, cl = cfg.columns, cfg.cleaning
     lim = cfg.scale.broadcast_max_rows
-    both = df.select(F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col(c.user_id).alias("u"),
-                 F.lit(None).cast(df.schema[c.item_id].dataType).alias("i")),
-        F.struct(F.lit(1).alias("kind"), F.lit(None).cast(df.schema[c.user_id].dataType).alias("u"),
-                 F.col(c.item_id).alias("i")),
-    )).alias("k")).select("k.kind", "k.u", "k.i")
-    counts = both.groupBy("kind", "u", "i").count()
-    keep = counts.where(
-        ((F.col("kind") == 0) & (F.col("count") >= cl.min_user_interactions))
-        | ((F.col("kind") == 1) & (F.col("count") >= cl.min_item_interactions))
-    ).select("kind", "u", "i").persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["kind"]: r["n"] for r in keep.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    def side(kind, key, name):
-        t = keep.where(F.col("kind") == kind).select(F.col(key).alias(name))
+    u, i = F.col(c.user_id), F.col(c.item_id)
+    counts = (counted if counted is not None else df).groupingSets([[u], [i]], u, i).agg(
+        F.grouping(c.user_id).alias("_kind"), F.count(F.lit(1)).alias("_n"))
+    least = F.when(F.col("_kind") == 0, cl.min_user_interactions).otherwise(cl.min_item_interactions)
+    keep = hold(counts.where(F.col("_n") >= least))
+    sizes = {r["_kind"]: r["n"] for r in keep.groupBy("_kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def side(kind, name):
+        t = keep.where(F.col("_kind") == kind).select(name)
         n = sizes.get(kind, 0)
         small = n <= lim and n * row_bytes(t.schema) <= cfg.scale.broadcast_max_bytes
         return F.broadcast(t) if small else t
 
-    out = df.join(side(0, "u", c.user_id), c.user_id, "left_semi")
-    return out.join(side(1, "i", c.item_id), c.item_id, "left_semi")
+    out = df.join(side(0, c.user_id), c.user_id, "left_semi")
+    return out.join(side(1, c.item_id), c.item_id, "left_semi")
+
+
+def unique_key(meta: DataFrame, key: str) -> bool:
+    """No two rows share a non-null key: a left join with ``meta`` keeps every row once."""
+    return meta.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").isEmpty()
 
 
 def add_label(df: DataFrame, cfg: Config) -> DataFrame:
@@ -116,14 +114,25 @@ def add_label(df: DataFrame, cfg: Config) -> DataFrame:
 
 def preprocess(log: DataFrame, items: DataFrame | None, users: DataFrame | None,
                cfg: Config) -> DataFrame:
-    """Whole preprocess stage: the interactions table, lazily."""
+    """Whole preprocess stage: the interactions table, lazily.
+
+    When no two user rows share an id, the user columns neither add nor drop rows, so the
+    activity counts are taken before they are joined, and only kept rows are joined.
+    """
+    late = users is not None and unique_key(users, cfg.columns.user_id)
     df = normalise_feedback(log, cfg)
-    df = enrich(df, items, users, cfg)
+    df = enrich(df, items, None if late else users, cfg)
     df = sample_users(df, cfg)
     df = clean(df, cfg)
     df = add_watch_ratio(df, cfg)
     df = activity_filter(df, cfg)
-    return add_label(df, cfg)
+    df = add_label(df, cfg)
+    if not late:
+        return df
+    keep = [x for x in (cfg.columns.user_id, *cfg.columns.user_static) if x in users.columns]
+    made = [c for c in (WATCH_RATIO, LABEL) if c in df.columns]
+    joined = df.join(users.select(*keep), cfg.columns.user_id, "left")
+    return joined.select(*[c for c in joined.columns if c not in made], *made)
 
 
 def stage_stats(df: DataFrame, cfg: Config) -> DataFrame:

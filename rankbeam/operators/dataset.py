@@ -17,6 +17,8 @@ from ..functions import columns as fc
 from . import vectors as vx
 from .features import Bounds, FeatureTables, split_col
 from .joins import sized_broadcast
+from .ordering import cut_hot_groups
+from .quantile import exact_ranks
 
 
 @dataclass
@@ -214,18 +216,44 @@ def grouped_layout(ds: DataFrame, cfg: Config, num_partitions: int | None = None
         SPLIT, cfg.columns.user_id, EVENT_ORDER)
 
 
-def head_whole_groups(ds: DataFrame, n: int, cfg: Config) -> DataFrame:
+def head_whole_groups(ds: DataFrame, n: int, cfg: Config, piece_rows: int = 100_000) -> DataFrame:
     """First ``n`` rows by (user, event_order); drop the last, maybe cut group.
 
-    ``limit`` is the feature here (quick-run cap of the reference); Spark runs
-    it as a per-partition top-n merge, so at most ``n`` rows move.
+    A prefix sum without a sort of the rows: rows per user, their sums per ordered piece of
+    the users, then the counts of the one piece that holds row ``n`` (at most about
+    ``piece_rows`` users come to the driver). The result is a plain filter by the user found.
     """
     u = cfg.columns.user_id
-    head = ds.orderBy(u, EVENT_ORDER).limit(int(n))
-    st = head.agg(F.max(u).alias("last"), F.count_distinct(u).alias("ng")).first()
-    if st["ng"] is None or st["ng"] <= 1:
-        return head
-    return head.where(F.col(u) != F.lit(st["last"]))
+    counts = ds.where(F.col(u).isNotNull()).groupBy(u).agg(F.count(F.lit(1)).alias("_n"))
+    cut, pieces = cut_hot_groups(counts, [], [(u, True)], piece_rows)
+    left, earlier, here = int(n), 0, cut
+    if pieces:
+        sums = cut.groupBy(*pieces).agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("users")).collect()
+        # A piece that was not cut again has null in the later columns.
+        sums.sort(key=lambda r: tuple(-1 if r[p] is None else r[p] for p in pieces))
+        for r in sums[:-1]:
+            if r["n"] >= left:
+                break
+            left, earlier = left - r["n"], earlier + r["users"]
+        else:
+            r = sums[-1]
+        for p in pieces:
+            here = here.where(F.col(p).eqNullSafe(F.lit(r[p])))
+    users = sorted((r[u], r["_n"]) for r in here.select(u, "_n").collect())
+    if not users:
+        return ds.where(F.lit(False))
+    at, upto = 0, users[0][1]
+    while upto < left and at + 1 < len(users):
+        at += 1
+        upto += users[at][1]
+    last = F.lit(users[at][0])
+    if earlier + at > 0:
+        return ds.where(F.col(u) < last)
+    one = ds.where(F.col(u) == last)
+    if upto <= left:
+        return one
+    end = exact_ranks(one, EVENT_ORDER, [left - 1])[0]
+    return one.where(F.col(EVENT_ORDER) <= end)
 
 
 def load_split(spark, dataset_dir: str, split: str, meta: DatasetMeta, cfg: Config,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +18,28 @@ _FIXED = {
 STRING_BYTES = 20
 
 
+_HELD: list[list[DataFrame]] = []
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """``df`` persisted; the innermost ``releasing`` block unpersists it at its end."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if _HELD:
+        _HELD[-1].append(df)
+    return df
+
+
+@contextmanager
+def releasing() -> Iterator[None]:
+    """Unpersist what ``hold`` persisted inside, e.g. when a stage has written its product."""
+    _HELD.append([])
+    try:
+        yield
+    finally:
+        for df in _HELD.pop():
+            df.unpersist()
+
+
 def value_bytes(dt: T.DataType, array_len: int) -> int:
     """Estimated bytes of one value of type ``dt`` (arrays at ``array_len`` elements)."""
     for cls, n in _FIXED.items():
@@ -45,7 +70,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True,
     runtime sizes, and splits skewed partitions).
     """
     if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = hold(df)
     n = df.count()
     fits = n <= max_rows
     if fits and max_bytes is not None:

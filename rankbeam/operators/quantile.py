@@ -1,20 +1,19 @@
 """A3: exact nearest-rank quantiles of an integer column, no global sort.
 
 The value at 0-based rank ``r = round_half_up((n - 1) * q)`` is found by
-histogram refinement: each round counts rows per bucket of a value range
-(one partially aggregated job, at most ``fanout`` result rows), keeps the
-bucket holding rank ``r`` and narrows the range to it, until buckets are one
-value wide. Each round reads only the column, with the range filter pushed to
-the scan. ``percentile_disc`` would instead gather all values of the column
-into one aggregation buffer.
+histogram refinement: each round counts rows per bucket of a value range, keeps
+the bucket holding rank ``r`` and narrows the range to it, until buckets are one
+value wide. All targets share a round: their ranges are equal or disjoint, so a
+row belongs to at most one of them, and one partially aggregated scan counts
+every range. The range filter is pushed to the scan. ``percentile_disc`` would
+instead gather all values of the column into one aggregation buffer.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,44 +22,63 @@ def nearest_rank(n: int, q: float) -> int:
     return int(math.floor((n - 1) * q + 0.5))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float], fanout: int = 4096) -> list[int | None]:
-    """Values of integer column ``col`` at nearest-rank quantiles ``qs``."""
+def histogram(x: DataFrame, ranges: list[tuple[int, int]], fanout: int) -> DataFrame:
+    """Rows of ``x.v`` per (range number, bucket of that range): one scan for all ranges."""
+    inside = [(F.col("v") >= lo) & (F.col("v") <= hi) for lo, hi in ranges]
+    tag: Column | None = None
+    bucket: Column | None = None
+    for i, (lo, hi) in enumerate(ranges):
+        b = F.floor((F.col("v") - F.lit(lo)) / F.lit(_width(lo, hi, fanout))).cast("long")
+        tag = F.when(inside[i], F.lit(i)) if tag is None else tag.when(inside[i], F.lit(i))
+        bucket = F.when(inside[i], b) if bucket is None else bucket.when(inside[i], b)
+    some = inside[0]
+    for cond in inside[1:]:
+        some = some | cond
+    return x.where(some).groupBy(tag.alias("t"), bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _width(lo: int, hi: int, fanout: int) -> int:
+    return max(1, -(-(hi - lo + 1) // fanout))
+
+
+def exact_ranks(df: DataFrame, col: str, ranks, fanout: int = 4096) -> list[int | None]:
+    """Values of integer column ``col`` at 0-based ranks; ``ranks`` is a list or a function of
+    the number of non-null values. None for every rank of an empty column."""
     x = df.select(F.col(col).cast("long").alias("v")).where(F.col("v").isNotNull())
     stats = x.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
                   F.max("v").alias("hi")).first()
     n = int(stats["n"])
+    wanted = ranks(n) if callable(ranks) else ranks
     if n == 0:
-        return [None for _ in qs]
-    # One job per refinement round for all targets: (target, lo, hi, rank left).
-    state = [[j, int(stats["lo"]), int(stats["hi"]), nearest_rank(n, q)] for j, q in enumerate(qs)]
-    out: list[int | None] = [None for _ in qs]
+        return [None for _ in wanted]
+    # (target, its range, rank inside the range)
+    state = [(j, (int(stats["lo"]), int(stats["hi"])), r) for j, r in enumerate(wanted)]
+    out: list[int | None] = [None for _ in wanted]
     while state:
-        parts = []
-        for j, lo, hi, _ in state:
-            width = max(1, -(-(hi - lo + 1) // fanout))
-            parts.append(
-                x.where((F.col("v") >= lo) & (F.col("v") <= hi))
-                .groupBy(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)).cast("long").alias("b"))
-                .count().withColumn("t", F.lit(j)))
-        hist = reduce(DataFrame.unionByName, parts).collect()
-        by_t: dict[int, list] = {}
-        for row in hist:
-            by_t.setdefault(int(row["t"]), []).append((int(row["b"]), int(row["count"])))
-        nxt = []
-        for j, lo, hi, r in state:
-            width = max(1, -(-(hi - lo + 1) // fanout))
+        ranges = sorted({span for _, span, _ in state})
+        counts: dict[int, list] = {}
+        for row in histogram(x, ranges, fanout).collect():
+            counts.setdefault(row["t"], []).append((row["b"], row["n"]))
+        narrowed = []
+        for j, (lo, hi), r in state:
+            width = _width(lo, hi, fanout)
             seen, chosen = 0, None
-            for b, c in sorted(by_t.get(j, [])):
+            for b, c in sorted(counts.get(ranges.index((lo, hi)), [])):
                 if seen + c > r:
                     chosen = b
                     break
                 seen += c
-            if chosen is None:  # cannot happen for 0 <= r < n
+            if chosen is None:
                 raise RuntimeError("rank outside the histogram")
-            lo2 = lo + chosen * width
+            low = lo + chosen * width
             if width == 1:
-                out[j] = lo2
+                out[j] = low
             else:
-                nxt.append([j, lo2, min(hi, lo2 + width - 1), r - seen])
-        state = nxt
+                narrowed.append((j, (low, min(hi, low + width - 1)), r - seen))
+        state = narrowed
     return out
+
+
+def exact_quantiles(df: DataFrame, col: str, qs: list[float], fanout: int = 4096) -> list[int | None]:
+    """Values of integer column ``col`` at nearest-rank quantiles ``qs``."""
+    return exact_ranks(df, col, lambda n: [nearest_rank(n, q) for q in qs], fanout)

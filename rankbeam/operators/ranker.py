@@ -1,8 +1,12 @@
-"""Fit and score a boosted-tree ranker with MLlib, evaluate by split.
+"""Fit and score a boosted-tree ranker, evaluate by split.
+
+The ranking loss (``lambdarank``, the default) boosts MLlib regression trees on
+pairwise gradients: rows of one user that are ranked in the wrong order push
+each other by the NDCG that swapping them would change. Each round fits one
+``DecisionTreeRegressor`` to gradient / curvature with the curvature as row
+weight, so a leaf's mean is its Newton step. The result is an ordinary MLlib
+ensemble. ``pointwise`` is MLlib's ``GBTRegressor`` on the graded label.
 
-The reference fits a listwise learner on one machine; here MLlib's
-``GBTRegressor`` trains distributed on the graded label (pointwise stand-in,
-so scores are not comparable with the reference's published quality).
 Evaluation uses the one-pass grouped metrics of ``ranking``.
 """
 
@@ -10,18 +14,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, SPLIT, Config
+from ..session import scratch_path, ship_package
 from . import ranking as rk
+from . import trees as tr
 
 FEATURES = "features"
 PREDICTION = "prediction"
-VALIDATION = "_is_val"
+LIST, BASE, TARGET, WEIGHT = "_list", "_base", "_target", "_weight"
+LOSSES = ("lambdarank", "pointwise")
 
 
 def _num_input(name: str, missing: float):
@@ -42,17 +53,19 @@ def indexer(cat: list[str]) -> StringIndexer:
                          handleInvalid="keep", stringOrderType="alphabetAsc")
 
 
-def build_tail(num: list[str], cat: list[str], cfg: Config, max_bins: int) -> list:
-    """T1 + T2: assembler and GBT after the fitted indexer."""
-    m = cfg.model
-    asm = VectorAssembler(inputCols=[f"{n}__n" for n in num] + [f"{c}__i" for c in cat],
-                          outputCol=FEATURES, handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION,
-                       maxIter=m.max_iter, maxDepth=m.max_depth, stepSize=m.step_size,
-                       subsamplingRate=m.subsampling_rate, seed=m.seed, maxBins=max_bins,
-                       **({"validationIndicatorCol": VALIDATION, "validationTol": m.validation_tol}
-                          if m.early_stop else {}))
-    return [asm, gbt]
+def assembler(num: list[str], cat: list[str]) -> VectorAssembler:
+    return VectorAssembler(inputCols=[f"{n}__n" for n in num] + [f"{c}__i" for c in cat],
+                           outputCol=FEATURES, handleInvalid="keep")
+
+
+def best_metric(cfg: Config) -> str:
+    """The metric that chooses the best iteration, checked against ``eval.ks``."""
+    e = cfg.eval
+    known = {f"{m}_at_{k}" for m in rk.METRICS for k in e.ks} | {"gauc"}
+    name = e.best_by or (f"ndcg_at_{10 if 10 in e.ks else max(e.ks)}")
+    if name not in known:
+        raise ValueError(f"eval.best_by is {name}; with these eval.ks it may be one of {sorted(known)}")
+    return name
 
 
 @dataclass
@@ -66,10 +79,12 @@ class FitResult:
 
 
 def fit(dataset: DataFrame, meta, cfg: Config) -> PipelineModel:
-    """Fit on the train split (stays distributed). With ``early_stop`` the val
-    split is the learner's validation set: trees are added until its error no longer
-    falls, and the model ends at the best one."""
+    """T1 + T2 on the train split; stays distributed. With ``early_stop`` the val split is
+    scored every ``metric_period`` trees and the model ends at the best of them."""
     m = cfg.model
+    if m.loss not in LOSSES:
+        raise ValueError(f"model.loss is {m.loss}; it may be one of {LOSSES}")
+    by = best_metric(cfg)
     train = feature_frame(dataset.where(F.col(SPLIT) == "train"), meta.num_features, cfg)
     stages = []
     bins = 32
@@ -82,15 +97,216 @@ def fit(dataset: DataFrame, meta, cfg: Config) -> PipelineModel:
                              f"{m.max_categories}")
         # maxBins must cover the largest categorical cardinality (+ unseen bucket)
         bins = max(32, widest + 2)
-    rows = train
+    stages.append(assembler(meta.num_features, meta.cat_features))
+    wanted = ["train", "val"] if m.early_stop else ["train"]
+    rows = feature_frame(dataset.where(F.col(SPLIT).isin(wanted)), meta.num_features, cfg)
+    if m.early_stop and rows.where(F.col(SPLIT) == "val").isEmpty():
+        raise ValueError("early_stop needs rows in the val split")
+    vectors = PipelineModel(stages=stages).transform(rows).select(SPLIT, meta.group, EVENT_ORDER, LABEL, FEATURES)
+    if m.loss == "lambdarank":
+        return PipelineModel(stages=[*stages, _boost(vectors, meta, cfg, bins, by)])
+    gbt = GBTRegressor(featuresCol=FEATURES, labelCol=LABEL, predictionCol=PREDICTION, maxIter=m.max_iter,
+                       maxDepth=m.max_depth, stepSize=m.step_size, subsamplingRate=m.subsampling_rate,
+                       seed=m.seed, maxBins=bins).fit(vectors.where(F.col(SPLIT) == "train"))
     if m.early_stop:
-        rows = feature_frame(dataset.where(F.col(SPLIT).isin("train", "val")), meta.num_features, cfg)
-        rows = rows.withColumn(VALIDATION, F.col(SPLIT) == "val")
-        if rows.where(VALIDATION).isEmpty():
-            raise ValueError("early_stop needs rows in the val split")
-    tail = Pipeline(stages=build_tail(meta.num_features, meta.cat_features, cfg, bins))
-    fitted_tail = tail.fit(stages[0].transform(rows) if stages else rows)
-    return PipelineModel(stages=[*stages, *fitted_tail.stages])
+        best = _best_of(vectors, tr.of_model(gbt), meta, cfg, by)
+        gbt = _ensemble(vectors, [gbt._java_obj.trees()[i] for i in range(best)], gbt.treeWeights[:best])
+    return PipelineModel(stages=[*stages, gbt])
+
+
+def _best_of(vectors: DataFrame, trees: tr.FlatTrees, meta, cfg: Config, by: str) -> int:
+    """The first iteration with the highest val metric, at every ``metric_period``."""
+    val = tr.with_array(vectors.where(F.col(SPLIT) == "val"), FEATURES)
+    rows = _stage_metrics(val, trees, meta, cfg).collect()
+    return min(rows, key=lambda r: (-r[by], r["iteration"]))["iteration"]
+
+
+def _ensemble(vectors: DataFrame, java_trees: list, weights: list[float]) -> GBTRegressionModel:
+    """MLlib's ensemble model of fitted trees."""
+    sc = vectors.sparkSession.sparkContext
+    array = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(java_trees))
+    doubles = sc._gateway.new_array(sc._jvm.double, len(java_trees))
+    for i, (tree, w) in enumerate(zip(java_trees, weights, strict=True)):
+        array[i], doubles[i] = tree, float(w)
+    uid = f"GBTRegressor_{java_trees[0].uid()}"
+    model = GBTRegressionModel(sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, array, doubles))
+    return model.setFeaturesCol(FEATURES).setPredictionCol(PREDICTION)
+
+
+# ---------------------------------------------------------------------------
+# Boosting on pairwise gradients
+# ---------------------------------------------------------------------------
+
+def lists(rows: DataFrame, group: str, list_rows: int) -> DataFrame:
+    """Add the list that a row is ranked in: its user, and for users with more than
+    ``list_rows`` rows one of several parts of about that size, drawn by ``event_order``. A
+    user that holds a third of the log is many lists over many tasks."""
+    parts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(list_rows)).alias("_parts")).where("_parts > 1")
+    named = rows.join(parts.withColumnRenamed(group, "_user"), F.col(group) == F.col("_user"), "left").drop("_user")
+    part = F.pmod(F.xxhash64(EVENT_ORDER), F.coalesce("_parts", F.lit(1)))
+    return named.withColumn(LIST, F.xxhash64(group, part)).drop("_parts")
+
+
+def gradients(score: np.ndarray, label: np.ndarray, owner: np.ndarray, truncation: int,
+              rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of every row from the pairs of its list that hold one of the
+    list's first ``truncation`` rows by score (ties in random order). A pair of different
+    labels weighs the change of NDCG when its rows swap places."""
+    order = np.lexsort((rng.random(len(score)), -score, owner))
+    s, y, g = score[order], label[order], owner[order]
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    size = np.diff(np.r_[first, len(g)])
+    pos = np.arange(len(g)) - np.repeat(first, size)
+    gain, discount = np.exp2(y) - 1, 1 / np.log2(pos + 2)
+    best = np.lexsort((-gain, g))  # lists stay in place, gains falling inside
+    ideal = np.add.reduceat(np.where(pos < truncation, gain[best] * discount, 0.0), first)
+    scale = np.repeat(np.divide(1.0, ideal, out=np.zeros_like(ideal), where=ideal > 0), size)
+    grad, curve = np.zeros(len(s)), np.zeros(len(s))
+    for r in range(truncation):
+        some = size > r
+        if not some.any():
+            break
+        rows = np.flatnonzero(np.repeat(some, size) & (pos > r))  # each pair once: below the top row
+        top = (rows - pos[rows]) + r
+        sign = np.sign(y[top] - y[rows])
+        push = 1 / (1 + np.exp(np.clip(sign * (s[top] - s[rows]), -50, 50)))
+        weight = np.abs(gain[top] - gain[rows]) * np.abs(discount[top] - discount[rows]) * scale[rows]
+        step, bend = sign * push * weight, np.abs(sign) * push * (1 - push) * weight
+        grad[rows] -= step
+        curve[rows] += bend
+        grad += np.bincount(top, step, len(s))
+        curve += np.bincount(top, bend, len(s))
+    out = np.empty((2, len(s)))
+    out[:, order] = grad, curve
+    return out[0], out[1]
+
+
+def _whole_lists(batches, column: str):
+    """Batches cut so that the rows of a list, which follow each other, stay together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = batch.column(column).to_numpy()
+        cut = len(ids) - int(np.argmax(ids[::-1] != ids[-1])) if (ids != ids[-1]).any() else 0
+        if held and cut == 0 and held[-1].column(column)[-1].as_py() != ids[0]:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        if cut:
+            held.append(batch.slice(0, cut))
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _with_gradients(base: DataFrame, since: tr.FlatTrees | None, truncation: int, seed: int) -> DataFrame:
+    shared = base.sparkSession.sparkContext.broadcast(since)
+
+    def fn(batches):
+        from pyspark import TaskContext
+
+        rng = np.random.default_rng((seed, TaskContext.get().partitionId()))
+        for table in _whole_lists(batches, LIST):
+            col = table.column(tr.X).chunk(0)
+            score = table.column(BASE).to_numpy()
+            if shared.value is not None:
+                score = score + _total(shared.value, tr.matrix(col))
+            label = table.column(LABEL).to_numpy().astype(np.float64)
+            grad, curve = gradients(score, label, table.column(LIST).to_numpy(), truncation, rng)
+            some = np.flatnonzero(curve > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(grad[some] / curve[some]), pa.array(curve[some]),
+                                              col.take(pa.array(some))], [TARGET, WEIGHT, tr.X])
+
+    return base.select(LIST, LABEL, BASE, tr.X).mapInArrow(fn, f"{TARGET} double, {WEIGHT} double, {tr.X} array<double>")
+
+
+def _total(trees: tr.FlatTrees, x: np.ndarray) -> np.ndarray:
+    return next(total for _, total in trees.staged(np.ascontiguousarray(x), [len(trees)]))
+
+
+def _rescored(base: DataFrame, since: tr.FlatTrees) -> DataFrame:
+    """``base`` with the trees ``since`` its last state added to the score."""
+    shared = base.sparkSession.sparkContext.broadcast(since)
+
+    def fn(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = tr.matrix(batch.column(tr.X))
+                at = batch.schema.get_field_index(BASE)
+                score = batch.column(at).to_numpy() + _total(shared.value, x)
+                yield batch.set_column(at, BASE, pa.array(score))
+
+    return base.mapInArrow(fn, base.schema)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """A state of the boosting rows in the shared folder: no lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, "boosting")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _discard(df: DataFrame) -> None:
+    """Delete the files of a written state."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _boost(vectors: DataFrame, meta, cfg: Config, bins: int, by: str) -> GBTRegressionModel:
+    """One regression tree a round on the gradients at the current scores.
+
+    The rows (features as one array, list, label, score) are written once, the rows of a
+    list together; a round reads them, adds the trees since the last written state, and
+    computes gradients list by list. After ``trees_per_state`` rounds the scores are written
+    anew, so neither plans nor rounds grow with the number of trees.
+    """
+    m, spark = cfg.model, vectors.sparkSession
+    ship_package(spark)
+    about = vectors.schema[FEATURES].metadata
+    rows = tr.with_array(lists(vectors, meta.group, m.list_rows), FEATURES).withColumn(BASE, F.lit(0.0)).select(
+        SPLIT, LIST, meta.group, EVENT_ORDER, F.col(LABEL).cast("double").alias(LABEL), BASE, tr.X)
+    base = _written(rows.repartition(SPLIT, LIST).sortWithinPartitions(SPLIT, LIST))
+    learner = DecisionTreeRegressor(featuresCol=FEATURES, labelCol=TARGET, weightCol=WEIGHT, maxDepth=m.max_depth,
+                                    maxBins=bins, minInstancesPerNode=m.min_leaf_rows, seed=m.seed)
+    fitted, printed, since = [], [], 0
+    best, best_at = -1.0, 0
+    for round_ in range(1, m.max_iter + 1):
+        flat = tr.flatten(printed[since:], [m.step_size] * (len(printed) - since)) if since < len(printed) else None
+        grads = _with_gradients(base.where(F.col(SPLIT) == "train"), flat, m.truncation, m.seed * 100_003 + round_)
+        if m.subsampling_rate < 1:
+            grads = grads.sample(m.subsampling_rate, seed=m.seed + round_)
+        ready = grads.select(TARGET, WEIGHT, array_to_vector(tr.X).alias(FEATURES, metadata=about)).persist(
+            StorageLevel.MEMORY_AND_DISK)  # the learner reads them three times
+        try:
+            if round_ == 1 and ready.isEmpty():  # no list has two labels: nothing to rank
+                break
+            tree = learner.fit(ready)
+        finally:
+            ready.unpersist()
+        fitted.append(tree)
+        printed.append(tree.toDebugString)
+        if m.early_stop and (round_ % max(1, m.metric_period) == 0 or round_ == m.max_iter):
+            flat = tr.flatten(printed[since:], [m.step_size] * (len(printed) - since))
+            val = _rescored(base.where(F.col(SPLIT) == "val"), flat)
+            now = rk.ranking_metrics(val, [meta.group], LABEL, BASE, EVENT_ORDER, ks=cfg.eval.ks,
+                                     thr=cfg.eval.binary_threshold).first()[by]
+            if now > best:
+                best, best_at = now, round_
+            elif round_ - best_at >= m.patience:
+                break
+        if round_ - since >= m.trees_per_state and round_ < m.max_iter:
+            flat = tr.flatten(printed[since:], [m.step_size] * (len(printed) - since))
+            before, base, since = base, _written(_rescored(base, flat)), round_
+            _discard(before)
+    _discard(base)
+    if not fitted:
+        raise ValueError("no user has train rows of two labels: nothing to rank")
+    n = best_at if m.early_stop and best_at else len(fitted)
+    return _ensemble(vectors, [tree._java_obj for tree in fitted[:n]], [m.step_size] * n)
 
 
 def score(model: PipelineModel, df: DataFrame, meta, cfg: Config) -> DataFrame:
@@ -104,16 +320,10 @@ def staged_score(model: PipelineModel, df: DataFrame, meta, cfg: Config, iterati
     Equals ``score`` when ``iterations`` is the number of trees; used to
     score with the best iteration found on validation (T5).
     """
-    gbt = model.stages[-1]
-    trees, weights = gbt.trees, gbt.treeWeights
-    m = max(1, min(int(iterations), len(trees)))
-    out = PipelineModel(stages=model.stages[:-1]).transform(feature_frame(df, meta.num_features, cfg))
-    for i in range(m):
-        t = trees[i]
-        t.setPredictionCol(f"_t{i}")
-        out = t.transform(out)
-    pred = sum((F.col(f"_t{i}") * F.lit(float(weights[i])) for i in range(m)), F.lit(0.0))
-    return out.withColumn(PREDICTION, pred).drop(*[f"_t{i}" for i in range(m)])
+    trees = tr.of_model(model.stages[-1])
+    rows = feature_frame(df, meta.num_features, cfg)
+    x = tr.with_array(PipelineModel(stages=model.stages[:-1]).transform(rows), FEATURES)
+    return tr.staged_scores(x, trees, rows.columns, [max(1, min(int(iterations), len(trees)))], PREDICTION, None)
 
 
 def evaluate(scored: DataFrame, meta, cfg: Config, score_col: str = PREDICTION) -> DataFrame:
@@ -127,7 +337,8 @@ def importances(model: PipelineModel, meta, spark) -> DataFrame:
     gbt = model.stages[-1]
     names = list(meta.num_features) + list(meta.cat_features)
     vals = gbt.featureImportances.toArray().tolist()
-    rows = [(n, float(v)) for n, v in zip(names, vals)]
+    vals += [0.0] * (len(names) - len(vals))  # it ends at the last feature that a tree uses
+    rows = [(n, float(v)) for n, v in zip(names, vals, strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
 
 
@@ -137,24 +348,16 @@ def staged_metrics(model: PipelineModel, held: DataFrame, meta, cfg: Config) ->
 
     The staged score is the weighted sum of the first m trees' predictions (equal
     to the model's prediction at m = all trees); the iteration is part of the
-    group key.
+    group key. The plan does not grow with the trees.
     """
-    gbt = model.stages[-1]
-    trees, weights = gbt.trees, gbt.treeWeights
-    df = PipelineModel(stages=model.stages[:-1]).transform(
-        feature_frame(held, meta.num_features, cfg))
+    rows = PipelineModel(stages=model.stages[:-1]).transform(feature_frame(held, meta.num_features, cfg))
+    return _stage_metrics(tr.with_array(rows, FEATURES), tr.of_model(model.stages[-1]), meta, cfg)
+
+
+def _stage_metrics(x: DataFrame, trees: tr.FlatTrees, meta, cfg: Config) -> DataFrame:
     period = max(1, cfg.model.metric_period)
     stops = sorted({*range(period, len(trees) + 1, period), len(trees)})
-    total, stages, keep = F.lit(0.0), [], [SPLIT, meta.group, LABEL, EVENT_ORDER]
-    for i, t in enumerate(trees):
-        t.setPredictionCol("_tree")
-        df = t.transform(df).withColumn("_sum", (F.col("_sum") if i else total)
-                                        + F.col("_tree") * F.lit(float(weights[i]))).drop("_tree")
-        if i + 1 in stops:
-            df = df.withColumn(f"_s{i + 1}", F.col("_sum"))
-            stages.append(F.struct(F.lit(i + 1).alias("iteration"), F.col(f"_s{i + 1}").alias("score")))
-    staged = df.select(*dict.fromkeys(keep), F.explode(F.array(*stages)).alias("_st")).select(
-        *dict.fromkeys(keep), "_st.iteration", F.col("_st.score").alias("_staged"))
+    staged = tr.staged_scores(x, trees, list(dict.fromkeys([SPLIT, meta.group, LABEL, EVENT_ORDER])), stops, "_staged")
     return rk.ranking_metrics(staged, [meta.group], LABEL, "_staged", EVENT_ORDER, ks=cfg.eval.ks,
                               thr=cfg.eval.binary_threshold, by=[SPLIT, "iteration"])
 
@@ -166,8 +369,9 @@ def _metrics_by_split(scored: DataFrame, meta, cfg: Config) -> dict:
 
 def fit_and_evaluate(dataset: DataFrame, meta, cfg: Config, curve: bool = False) -> FitResult:
     """T2-T6. With ``curve``, val/test metrics are those of the best validation
-    iteration (NDCG@10 on val, checked every ``metric_period`` trees), and
+    iteration (``eval.best_by`` on val, checked every ``metric_period`` trees), and
     ``all_trees_metrics`` keeps the full model's; one pass gives them all."""
+    by = best_metric(cfg)  # before the fit: a wrong name fails at once
     model = fit(dataset, meta, cfg)
     held = dataset.where(F.col(SPLIT).isin("val", "test"))
     res = FitResult(model=model, importances=importances(model, meta, dataset.sparkSession))
@@ -185,7 +389,7 @@ def fit_and_evaluate(dataset: DataFrame, meta, cfg: Config, curve: bool = False)
     res.curve = [{k: v for k, v in r.items() if k != SPLIT}
                  for r in sorted(rows, key=lambda r: r["iteration"]) if r[SPLIT] == "val"]
     if res.curve:
-        res.best_iteration = max(res.curve, key=lambda r: r["ndcg_at_10"])["iteration"]
+        res.best_iteration = max(res.curve, key=lambda r: r[by])["iteration"]
         res.metrics = at(res.best_iteration)
     return res
 

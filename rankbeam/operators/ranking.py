@@ -2,15 +2,16 @@
 
 One pass computes every metric for every k:
 
-1. rows are range-partitioned and sorted on ``(group, score desc nulls last,
-   tie)``; a hot group is spread over many partitions;
-2. each partition emits one partial per group it holds (``mapInPandas``):
-   rows, hits, sum of local positions of hits, the labels of its first
-   ``kmax`` rows and its ``kmax`` largest labels;
-3. partials are combined per group (at most one per partition the group
-   touches): offsets by a window over partition ids, first-k labels by
-   concatenation in partition order, ideal top-k by merging the per-partition
-   top-k lists (top-k of a union is the top-k of the top-k's);
+1. groups above ``hot_rows`` rows are cut into ordered pieces by score
+   (``ordering.cut_hot_groups``); all other groups are one piece;
+2. per piece, a window gives the position by (score desc nulls last, tie) and
+   another the rank of the label; one aggregate keeps rows, hits, the sum of
+   the hits' positions, the labels of the first ``kmax`` positions and the
+   ``kmax`` largest labels (lists of at most ``kmax``);
+3. pieces of one group are combined: offsets by a window over pieces, first
+   labels by concatenation in piece order, ideal top-k by merging the pieces'
+   (top-k of a union is the top-k of the top-k's); without hot groups there is
+   nothing to combine and the rows are shuffled once;
 4. per-group metrics are array expressions over at most ``kmax`` values, then
    one global average per metric.
 
@@ -23,14 +24,10 @@ with no qualifying group is 0.0.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ship_package
-from .ordering import ordered_index
+from .ordering import HOT_ROWS, cut_hot_groups, order_by, ordered_index
 
 REL, SCORE, TIE, HIT = "_rel", "_score", "_tie", "_hit"
 METRICS = ("ndcg", "map", "mrr", "hitrate", "recall", "precision")
@@ -48,8 +45,7 @@ def _prep(df: DataFrame, group_cols: list[str], label: str, score: str, tie: str
                      (F.col(label).cast("double") >= F.lit(float(thr))).cast("int").alias(HIT))
 
 
-def _score_order() -> list[Column]:
-    return [F.col(SCORE).desc_nulls_last(), F.col(TIE).asc_nulls_last()]
+_BY_SCORE = [(SCORE, False), (TIE, True)]
 
 
 # ---------------------------------------------------------------------------
@@ -57,147 +53,62 @@ def _score_order() -> list[Column]:
 # ---------------------------------------------------------------------------
 
 def rank_in_group(df: DataFrame, group_cols: list[str], score: str, tie: str,
-                  out_col: str = "pos") -> DataFrame:
+                  out_col: str = "pos", hot_rows: int = HOT_ROWS) -> DataFrame:
     """0-based position by score desc (NaN last), ties by ``tie`` asc."""
     tmp = df.withColumn(SCORE, _score_col(score))
-    return ordered_index(tmp, group_cols, [F.col(SCORE).desc_nulls_last(), F.col(tie).asc_nulls_last()],
-                         out_col).drop(SCORE)
+    return ordered_index(tmp, group_cols, [(SCORE, False), (tie, True)], out_col, hot_rows=hot_rows).drop(SCORE)
 
 
 def running_hits(df: DataFrame, group_cols: list[str], label: str, score: str, tie: str,
-                 thr: float, pos_col: str = "pos", cum_col: str = "cum_hits") -> DataFrame:
+                 thr: float, pos_col: str = "pos", cum_col: str = "cum_hits",
+                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Hits (label >= thr) up to and including each row in score order."""
     tmp = df.withColumn(SCORE, _score_col(score)).withColumn(
         HIT, (F.col(label).cast("double") >= F.lit(float(thr))).cast("int"))
-    out = ordered_index(tmp, group_cols, [F.col(SCORE).desc_nulls_last(), F.col(tie).asc_nulls_last()],
-                        pos_col, hit_col=HIT, cum_col=cum_col)
+    out = ordered_index(tmp, group_cols, [(SCORE, False), (tie, True)], pos_col, hit_col=HIT,
+                        cum_col=cum_col, hot_rows=hot_rows)
     return out.drop(SCORE, HIT)
 
 
 def ideal_rank(df: DataFrame, group_cols: list[str], label: str, tie: str,
-               out_col: str = "ideal_pos") -> DataFrame:
+               out_col: str = "ideal_pos", hot_rows: int = HOT_ROWS) -> DataFrame:
     """0-based position by relevance desc within the group."""
-    return ordered_index(df, group_cols, [F.col(label).desc_nulls_last(), F.col(tie).asc_nulls_last()],
-                         out_col)
+    return ordered_index(df, group_cols, [(label, False), (tie, True)], out_col, hot_rows=hot_rows)
 
 
 # ---------------------------------------------------------------------------
-# One-pass partials
+# One pass per piece
 # ---------------------------------------------------------------------------
 
-def _partials_fn(group_cols: list[str], kmax: int):
-    """Per partition: one partial per group run, vectorised per Arrow batch.
-
-    Per batch, group runs are found from key changes; counts, hits and the sum
-    of hit positions are ``np.add.reduceat`` over the runs; the k largest
-    labels of every run come from one ``lexsort``. Python touches each run
-    once, only to slice the first-k and top-k values. The run still open at
-    the end of a batch carries over to the next batch.
-    """
-
-    def fn(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        out_rows: list[dict] = []
-        state = None  # open group: key, n, hits, sum_pos, first (list), top (array)
-
-        def emit(st):
-            rec = dict(zip(group_cols, st["key"]))
-            top = np.sort(st["top"])[::-1][:kmax]
-            rec.update({"_pid": pid, "_n": st["n"], "_hits": st["hits"], "_sum_pos": st["sum_pos"],
-                        "_first": [float(x) for x in st["first"][:kmax]],
-                        "_top": [float(x) for x in top]})
-            out_rows.append(rec)
-
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            keys = [pdf[g].to_numpy() for g in group_cols]
-            rel = pdf[REL].to_numpy(dtype=np.float64)
-            hit = pdf[HIT].to_numpy(dtype=np.int64)
-            brk = np.zeros(m, dtype=bool)
-            for k in keys:
-                a, b = k[1:], k[:-1]
-                brk[1:] |= ~np.asarray((a == b) | (pd.isna(a) & pd.isna(b)), dtype=bool)
-            cont = state is not None and all(
-                (x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip((k[0] for k in keys), state["key"]))
-            brk[0] = True
-            starts = np.flatnonzero(brk)
-            lens = np.diff(np.append(starts, m))
-            pos = np.arange(m, dtype=np.int64) - np.repeat(starts, lens)
-            if cont:
-                pos[: lens[0]] += state["n"]
-            n_run = lens.astype(np.int64)
-            hits_run = np.add.reduceat(hit, starts)
-            sump_run = np.add.reduceat(pos * hit, starts)
-            run_id = np.repeat(np.arange(len(starts)), lens)
-            order = np.lexsort((-rel, run_id))
-            rel_desc = rel[order]  # runs stay contiguous, labels descending inside
-            for r, (s0, ln) in enumerate(zip(starts.tolist(), lens.tolist())):
-                top = rel_desc[s0: s0 + min(ln, kmax)]
-                if r == 0 and cont:
-                    st = state
-                    st["n"] += int(n_run[0])
-                    st["hits"] += int(hits_run[0])
-                    st["sum_pos"] += int(sump_run[0])
-                    need = kmax - len(st["first"])
-                    if need > 0:
-                        st["first"].extend(rel[s0: s0 + min(ln, need)].tolist())
-                    st["top"] = np.concatenate([st["top"], top])
-                    if len(st["top"]) > 4 * kmax:
-                        st["top"] = np.sort(st["top"])[::-1][:kmax]
-                    continue
-                if state is not None:
-                    emit(state)
-                state = {"key": tuple(k[s0] for k in keys), "n": int(n_run[r]),
-                         "hits": int(hits_run[r]), "sum_pos": int(sump_run[r]),
-                         "first": rel[s0: s0 + min(ln, kmax)].tolist(), "top": top.copy()}
-            if len(out_rows) >= 4096:
-                yield pd.DataFrame(out_rows)
-                out_rows = []
-        if state is not None:
-            emit(state)
-        if out_rows:
-            yield pd.DataFrame(out_rows)
-
-    return fn
-
-
-def _partials(df: DataFrame, group_cols: list[str], kmax: int, num_partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    ship_package(spark)
-    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(g).asc_nulls_first() for g in group_cols] + _score_order()
-    ranged = df.repartitionByRange(p, *keys).sortWithinPartitions(*keys)
-    schema = T.StructType(
-        [T.StructField(g, df.schema[g].dataType, True) for g in group_cols]
-        + [T.StructField("_pid", T.IntegerType()), T.StructField("_n", T.LongType()),
-           T.StructField("_hits", T.LongType()), T.StructField("_sum_pos", T.LongType()),
-           T.StructField("_first", T.ArrayType(T.DoubleType())),
-           T.StructField("_top", T.ArrayType(T.DoubleType()))])
-    return ranged.mapInPandas(_partials_fn(group_cols, kmax), schema)
-
-
 def group_stats(df: DataFrame, group_cols: list[str], label: str, score: str, tie: str,
-                kmax: int, thr: float = 1.0, num_partitions: int | None = None) -> DataFrame:
+                kmax: int, thr: float = 1.0, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per group: size, n_pos, sum of positions of positives, first-k and ideal top-k labels."""
-    prep = _prep(df, group_cols, label, score, tie, thr)
-    parts = _partials(prep, group_cols, kmax, num_partitions)
-    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0)))
-    w = w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    parts = parts.withColumn("_sp", F.col("_sum_pos") + F.col("_off") * F.col("_hits"))
-    g = parts.groupBy(*group_cols).agg(
-        F.sum("_n").alias("size"), F.sum("_hits").alias("n_pos"), F.sum("_sp").alias("sum_pos"),
-        F.array_sort(F.collect_list(F.struct("_pid", "_first"))).alias("_firsts"),
-        F.flatten(F.collect_list("_top")).alias("_tops"),
-    )
-    first = F.slice(F.flatten(F.transform("_firsts", lambda x: x["_first"])), 1, kmax)
-    ideal = F.slice(F.sort_array(F.col("_tops"), asc=False), 1, kmax)
-    return g.select(*group_cols, "size", "n_pos", "sum_pos", first.alias("first_rel"),
-                    ideal.alias("ideal_rel"))
+    prep, pieces = cut_hot_groups(_prep(df, group_cols, label, score, tie, thr), group_cols,
+                                  _BY_SCORE, hot_rows)
+    keys = [*group_cols, *pieces]
+    part = Window.partitionBy(*(keys or [F.lit(0)]))
+    rows = (prep.withColumn("_pos", F.row_number().over(part.orderBy(*order_by(_BY_SCORE))).cast("long") - 1)
+            .withColumn("_best", F.row_number().over(part.orderBy(F.col(REL).desc_nulls_last()))))
+    parts = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(HIT).cast("long")).alias("_hits"),
+        F.sum(F.col("_pos") * F.col(HIT)).alias("_sum_pos"),
+        F.collect_list(F.when(F.col("_pos") < kmax, F.struct("_pos", REL))).alias("_first"),
+        F.collect_list(F.when(F.col("_best") <= kmax, F.col(REL))).alias("_top"))
+    if pieces:
+        w = Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy(
+            *[F.col(p).asc_nulls_first() for p in pieces]).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_n").over(w), F.lit(0))
+        parts = parts.withColumn("_before", before).groupBy(*group_cols).agg(
+            F.sum("_n").alias("_n"), F.sum("_hits").alias("_hits"),
+            F.sum(F.col("_sum_pos") + F.col("_before") * F.col("_hits")).alias("_sum_pos"),
+            F.flatten(F.collect_list(F.when(F.col("_before") < kmax, F.transform("_first", lambda x: F.struct(
+                (x["_pos"] + F.col("_before")).alias("_pos"), x[REL].alias(REL)))))).alias("_first"),
+            F.flatten(F.collect_list("_top")).alias("_top"))
+    first = F.slice(F.transform(F.array_sort("_first"), lambda x: x[REL]), 1, kmax)
+    ideal = F.slice(F.sort_array("_top", asc=False), 1, kmax)
+    return parts.select(*group_cols, F.col("_n").alias("size"), F.col("_hits").alias("n_pos"),
+                        F.col("_sum_pos").alias("sum_pos"), first.alias("first_rel"),
+                        ideal.alias("ideal_rel"))
 
 
 # ---------------------------------------------------------------------------
@@ -258,7 +169,7 @@ def _avg_valid(value: Column, valid: Column) -> Column:
 
 def ranking_metrics(df: DataFrame, group_cols: list[str], label: str, score: str, tie: str,
                     ks=(5, 10, 20), thr: float = 1.0, by: list[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """M8: all metrics for all ``ks`` plus ``gauc`` and ``n_groups``, one row per ``by``.
 
     ``by`` (e.g. ``["split"]``) evaluates several slices in the same pass; the
@@ -266,7 +177,7 @@ def ranking_metrics(df: DataFrame, group_cols: list[str], label: str, score: str
     """
     by = list(by or [])
     keys = by + [g for g in group_cols if g not in by]
-    gs = group_stats(df, keys, label, score, tie, max(ks), thr, num_partitions)
+    gs = group_stats(df, keys, label, score, tie, max(ks), thr, hot_rows)
     aggs = []
     for k in ks:
         cols = group_metric_cols(k, thr)
@@ -281,9 +192,9 @@ def ranking_metrics(df: DataFrame, group_cols: list[str], label: str, score: str
 
 def single_metric(df: DataFrame, metric: str, group_cols: list[str], label: str, score: str,
                   tie: str, k: int | None = None, thr: float = 1.0, gain: str = "exp",
-                  num_partitions: int | None = None) -> DataFrame:
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """M1-M7 one at a time (``metric`` in METRICS or ``gauc``)."""
-    gs = group_stats(df, group_cols, label, score, tie, k or 1, thr, num_partitions)
+    gs = group_stats(df, group_cols, label, score, tie, k or 1, thr, hot_rows)
     if metric == "gauc":
         v, ok = gauc_cols()
         return gs.agg(_avg_valid(v, ok).alias("gauc"))

@@ -134,10 +134,10 @@ def profile_coverage(inter: DataFrame, profiles: DataFrame, cfg: Config) -> Data
 def id_lookup(sorted_ids: DataFrame, query: DataFrame, id_col: str) -> DataFrame:
     """Position of each query id in the ascending id list, -1 if absent.
 
-    The position is a distributed ordered index (range partitioning plus
-    per-partition offsets), then a left equi join; no sorted array is
-    gathered anywhere.
+    The position is a distributed ordered index (a long list is cut into
+    ordered pieces), then a left equi join; no sorted array is gathered
+    anywhere.
     """
-    idx = ordered_index(sorted_ids.select(id_col).distinct(), [], [F.col(id_col).asc()], "idx")
+    idx = ordered_index(sorted_ids.select(id_col).distinct(), [], [(id_col, True)], "idx")
     return (query.join(idx, id_col, "left")
             .withColumn("idx", F.coalesce(F.col("idx"), F.lit(-1).cast("long"))))

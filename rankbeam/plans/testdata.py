@@ -31,7 +31,7 @@ from ..sources import shards as sh
 # Thresholds that bite on the provided tables (see FIXTURES.md).
 TD_CFG = Config().with_cleaning(
     max_timespent_sec=200.0, min_user_interactions=60, min_item_interactions=95,
-).with_model(max_iter=20, max_depth=5, step_size=0.1, metric_period=5, early_stop=False)
+).with_model(loss="pointwise", max_iter=20, max_depth=5, step_size=0.1, metric_period=5, early_stop=False)
 # Smoke thresholds for the tiny sf0.001 tables used by ``entry``.
 SMOKE_CFG = Config().with_cleaning(
     max_timespent_sec=200.0, min_user_interactions=20, min_item_interactions=5,

@@ -1,7 +1,9 @@
 """Item vectors from NPZ archives or Parquet list columns.
 
-NPZ files are read with ``binaryFile`` and decoded per file on the executors
-(``mapInPandas`` + ``numpy.load``), never on the driver.
+NPZ archives are read by row ranges on the executors (``npz``, a Spark data
+source), never on the driver. Where only Spark can open the files (a scheme
+that ``pyarrow.fs`` does not know), each is one ``binaryFile`` row of at most
+2 GB instead.
 """
 
 from __future__ import annotations
@@ -11,10 +13,12 @@ import warnings
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import fs_and_path, ship_package
+from . import npz
 
 VEC_SCHEMA = "item_id long, embedding array<float>"
 
@@ -30,9 +34,14 @@ def _decode_npz(batches):
 
 def read_npz(spark: SparkSession, files: list[str]) -> DataFrame:
     """Arrays ``item_id`` and ``embedding`` of every file, concatenated."""
-    ship_package(spark)
-    raw = spark.read.format("binaryFile").load(files)
-    return raw.select("content").mapInPandas(_decode_npz, VEC_SCHEMA)
+    try:
+        for f in files:
+            fs_and_path(f)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        ship_package(spark)
+        raw = spark.read.format("binaryFile").load(files)
+        return raw.select("content").mapInPandas(_decode_npz, VEC_SCHEMA)
+    return npz.read(spark, files)
 
 
 def read_parquet_vectors(spark: SparkSession, files: list[str], id_col: str = "item_id",
@@ -73,8 +82,6 @@ def _write_npz_partition(folder: str):
         emb_arr = np.asarray([np.asarray(e, dtype=np.float32) for e in embs], dtype=np.float32)
         buf = io.BytesIO()
         np.savez(buf, item_id=ids_arr, embedding=emb_arr)
-        from rankbeam.session import fs_and_path
-
         fs, base = fs_and_path(folder)
         fs.create_dir(base, recursive=True)
         path = f"{base.rstrip('/')}/part-{pid:05d}.npz"

@@ -1,4 +1,4 @@
-"""Ranking metrics against hand values (the reference's unit constants)."""
+"""Ranking metrics against hand values."""
 
 import math
 
@@ -14,23 +14,24 @@ def frame(spark, y, s, g):
     return spark.createDataFrame(rows, "g long, y double, s double, eo long")
 
 
-def metric(spark, name, y, s, g, k=None, parts=None, gain="exp"):
+def metric(spark, name, y, s, g, k=None, hot=10**6, gain="exp"):
     df = frame(spark, y, s, g)
-    out = rk.single_metric(df, name, ["g"], "y", "s", "eo", k=k, num_partitions=parts, gain=gain)
+    out = rk.single_metric(df, name, ["g"], "y", "s", "eo", k=k, hot_rows=hot, gain=gain)
     return out.first()[0]
 
 
-@pytest.mark.parametrize("parts", [1, 3, 8])
-def test_hand_values(spark, parts):
-    assert metric(spark, "ndcg", [3, 2, 1, 0], [.9, .7, .5, .1], [0] * 4, k=4, parts=parts) == pytest.approx(1.0)
-    assert metric(spark, "mrr", [0, 1, 0, 1, 0], [.9, .8, .1, .9, .5], [0, 0, 0, 1, 1], k=5, parts=parts) == pytest.approx(0.75)
-    assert metric(spark, "map", [1, 0, 1], [.9, .8, .7], [0, 0, 0], k=3, parts=parts) == pytest.approx(5 / 6)
+# Small rankings and their metrics.
+@pytest.mark.parametrize("hot", [10**6, 2])
+def test_hand_values(spark, hot):
+    assert metric(spark, "ndcg", [3, 2, 1, 0], [.9, .7, .5, .1], [0] * 4, k=4, hot=hot) == pytest.approx(1.0)
+    assert metric(spark, "mrr", [0, 1, 0, 1, 0], [.9, .8, .1, .9, .5], [0, 0, 0, 1, 1], k=5, hot=hot) == pytest.approx(0.75)
+    assert metric(spark, "map", [1, 0, 1], [.9, .8, .7], [0, 0, 0], k=3, hot=hot) == pytest.approx(5 / 6)
     y, s, g = [1, 0, 1, 0, 0, 1], [.9, .8, .1, .9, .8, .1], [0, 0, 0, 1, 1, 1]
-    assert metric(spark, "hitrate", y, s, g, k=2, parts=parts) == pytest.approx(0.5)
-    assert metric(spark, "recall", y, s, g, k=2, parts=parts) == pytest.approx(0.25)
-    assert metric(spark, "precision", y, s, g, k=2, parts=parts) == pytest.approx(0.25)
-    assert metric(spark, "gauc", [1, 0, 0, 1], [.9, .1, .1, .9], [0, 0, 1, 1], parts=parts) == pytest.approx(1.0)
-    assert metric(spark, "gauc", [1, 0, 0, 1], [.1, .9, .9, .1], [0, 0, 1, 1], parts=parts) == pytest.approx(0.0)
+    assert metric(spark, "hitrate", y, s, g, k=2, hot=hot) == pytest.approx(0.5)
+    assert metric(spark, "recall", y, s, g, k=2, hot=hot) == pytest.approx(0.25)
+    assert metric(spark, "precision", y, s, g, k=2, hot=hot) == pytest.approx(0.25)
+    assert metric(spark, "gauc", [1, 0, 0, 1], [.9, .1, .1, .9], [0, 0, 1, 1], hot=hot) == pytest.approx(1.0)
+    assert metric(spark, "gauc", [1, 0, 0, 1], [.1, .9, .9, .1], [0, 0, 1, 1], hot=hot) == pytest.approx(0.0)
 
 
 def test_group_without_positive_excluded(spark):
@@ -78,8 +79,8 @@ def _np_reference(y, s, g, k, thr=1.0):
     return out
 
 
-@pytest.mark.parametrize("parts", [1, 5, 16])
-def test_all_metrics_brute_force(spark, parts):
+@pytest.mark.parametrize("hot", [10**6, 100])
+def test_all_metrics_brute_force(spark, hot):
     rng = np.random.default_rng(3)
     n = 600
     g = rng.choice([1, 2, 3, 4, 5, 6], n, p=[.5, .2, .1, .1, .05, .05]).tolist()  # one hot group
@@ -88,7 +89,7 @@ def test_all_metrics_brute_force(spark, parts):
     s[5] = float("nan")
     s[17] = float("nan")
     df = frame(spark, y, s, g)
-    got = rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(3, 10), num_partitions=parts).first().asDict()
+    got = rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(3, 10), hot_rows=hot).first().asDict()
     for k in (3, 10):
         exp = _np_reference(y, s, g, k)
         for name, v in exp.items():
@@ -114,20 +115,16 @@ def test_rank_and_running_hits(spark):
             assert got[i] == (p, c)
 
 
-def test_groups_straddling_arrow_batches(spark):
-    """Tiny Arrow batches: runs continue across batch boundaries in both scans."""
+def test_hot_groups_cut_in_many_pieces(spark):
+    """Pieces of a few rows: positions and hits carry over from one piece to the next."""
     rng = np.random.default_rng(9)
     n = 700
     g = rng.choice([1, 2, 3, 4], n, p=[.6, .2, .1, .1]).tolist()
     y = rng.integers(0, 4, n).astype(float).tolist()
     s = rng.integers(0, 6, n).astype(float).tolist()
     df = frame(spark, y, s, g)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        got = rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(3, 10), num_partitions=3).first().asDict()
-        rows = rk.running_hits(df, ["g"], "y", "s", "eo", 1.0, ).select("eo", "pos", "cum_hits").collect()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(3, 10), hot_rows=20).first().asDict()
+    rows = rk.running_hits(df, ["g"], "y", "s", "eo", 1.0, hot_rows=20).select("eo", "pos", "cum_hits").collect()
     for k in (3, 10):
         for name, v in _np_reference(y, s, g, k).items():
             assert got[name] == pytest.approx(v, abs=1e-12), (name, k)

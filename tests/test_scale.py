@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankbeam.config import Config
 from rankbeam.operators import features as ft
 from rankbeam.operators import ranking as rk
-from rankbeam.operators.ordering import ordered_index
+from rankbeam.operators.ordering import cut_hot_groups, ordered_index
 from rankbeam.plans import sinks
 from rankbeam.session import scratch_path
 
@@ -22,31 +22,46 @@ def _hot(spark, n=4000, hot_share=0.5, seed=1):
     return spark.createDataFrame(rows, "g long, y double, s double, eo long")
 
 
-def test_hot_group_spans_partitions(spark):
+def test_hot_group_is_cut_into_pieces(spark):
     df = _hot(spark)
-    ranged = df.repartitionByRange(8, F.col("g").asc(), F.col("s").desc(), F.col("eo").asc())
-    per = (ranged.where(F.col("g") == 0).groupBy(F.spark_partition_id().alias("p")).count().collect())
-    hot_rows = df.where(F.col("g") == 0).count()
-    assert len(per) >= 3 and max(r["count"] for r in per) < 0.6 * hot_rows
-
-
-def test_positions_independent_of_partitioning(spark):
+    cut, pieces = cut_hot_groups(df, ["g"], [("s", False), ("eo", True)], hot_rows=100)
+    assert pieces and cut.where("g <> 0 and _piece0 is not null").count() == 0
+    assert cut.groupBy("g", *pieces).count().agg(F.max("count")).first()[0] <= 100
+
+
+@pytest.mark.parametrize("column", ["eo", "s", "flat", "word", "day", "gone"])
+def test_pieces_follow_the_order(spark, column):
+    """One value for all rows, strings with a common start, dates, nulls and NaN."""
+    df = _hot(spark, n=600).selectExpr(
+        "g", "eo", "s", "1.5 as flat", "concat('prefix', lpad(eo % 40, 2, '0')) as word",
+        "date_add(date'2024-01-01', cast(eo % 50 as int)) as day",
+        "case when eo % 3 = 0 then null when eo % 3 = 1 then double('nan') else s end as gone")
+    for up in (True, False):
+        order = [(column, up), ("eo", True)]
+        plain = ordered_index(df, ["g"], order, "pos").select("eo", "pos")
+        cut = ordered_index(df, ["g"], order, "pos", hot_rows=100).select("eo", F.col("pos").alias("cut"))
+        assert plain.join(cut, "eo").where("pos = cut").count() == 600
+
+
+def test_positions_independent_of_pieces(spark):
     df = _hot(spark, n=1500)
     ref = None
-    for p in (1, 3, 8, 17):
+    for hot in (10**6, 300, 50):
         got = sorted((r["eo"], r["pos"]) for r in ordered_index(
-            df, ["g"], [F.col("s").desc(), F.col("eo").asc()], "pos", num_partitions=p).collect())
+            df, ["g"], [("s", False), ("eo", True)], "pos", hot_rows=hot).collect())
         ref = ref or got
         assert got == ref
     # positions of the hot group are 0..n-1
     hot = sorted(p for e, p in ref if e in {r["eo"] for r in df.where("g = 0").collect()})
     assert hot == list(range(len(hot)))
+    whole = ordered_index(df, [], [("eo", True)], "pos", hot_rows=100)
+    assert whole.where("pos <> eo").count() == 0 and whole.columns == [*df.columns, "pos"]
 
 
-def test_metrics_independent_of_partitioning(spark):
+def test_metrics_independent_of_pieces(spark):
     df = _hot(spark, n=2000)
-    vals = [rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(5, 10), num_partitions=p).first().asDict()
-            for p in (1, 4, 13)]
+    vals = [rk.ranking_metrics(df, ["g"], "y", "s", "eo", ks=(5, 10), hot_rows=hot).first().asDict()
+            for hot in (10**6, 100)]
     for v in vals[1:]:
         for k in v:
             assert v[k] == pytest.approx(vals[0][k], abs=1e-12)
@@ -116,7 +131,7 @@ def test_byte_bound_blocks_wide_tables(spark):
 
 
 def test_metrics_plan_is_one_pass(spark):
-    """All metrics for all k: one range exchange, one Python scan, pushed split range."""
+    """All metrics for all k: one exchange of the rows, no Python, pushed split range."""
     path = scratch_path(spark, "onepass")
     spark.range(0, 3000).select((F.col("id") % 40).alias("user_id"), F.col("id").alias("event_order"),
                                 (F.col("id") % 5).cast("float").alias("label"),
@@ -129,6 +144,6 @@ def test_metrics_plan_is_one_pass(spark):
         plan = m._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert plan.count("rangepartitioning") == 1
-    assert plan.count("MapInPandas") == 1
+    assert plan.count("hashpartitioning") == 1
+    assert "Pandas" not in plan and "Python" not in plan and "InMemoryTableScan" not in plan
     assert "PushedFilters: [Or(" in plan or "GreaterThanOrEqual(event_order,2000)" in plan

@@ -10,6 +10,7 @@ from rankbeam.config import Sources
 from rankbeam.session import local_fs_path, scratch_path
 from rankbeam.sources import catalog as cat
 from rankbeam.sources import embeddings as emb
+from rankbeam.sources import npz
 from rankbeam.sources import shard_tree
 from rankbeam.sources import shards as sh
 
@@ -136,3 +137,34 @@ def test_parquet_vectors_fallback(spark):
     spark.createDataFrame([(1, 5)], "item_id long, duration long").write.parquet(f"{root}/plain.parquet")
     with pytest.warns(UserWarning):
         assert emb.read_parquet_vectors(spark, [f"{root}/plain.parquet"]) is None
+
+
+@pytest.mark.parametrize("write", [np.savez, np.savez_compressed])
+def test_one_archive_is_several_tasks(spark, tmp_path, write):
+    """Row ranges of a stored archive; a compressed one is a single task of the same rows."""
+    ids, x = np.arange(1000) * 7 - 50, np.random.default_rng(1).standard_normal((1000, 6))
+    write(tmp_path / "a.npz", item_id=ids.astype(np.int32), embedding=x)
+    np.savez(tmp_path / "none.npz", item_id=np.zeros(0, np.int64), embedding=np.zeros((0, 6), np.float32))
+    df = npz.read(spark, [str(tmp_path / "a.npz"), str(tmp_path / "none.npz")], partition_bytes=10_000)
+    assert df.rdd.getNumPartitions() == (5 if write is np.savez else 1)
+    got = {r["item_id"]: r["embedding"] for r in df.collect()}
+    assert sorted(got) == sorted(ids.tolist())
+    assert all(np.array_equal(np.float32(got[int(i)]), np.float32(v)) for i, v in zip(ids, x, strict=True))
+    assert npz.read(spark, []).count() == 0
+
+
+def test_archive_slices_stay_small(tmp_path, monkeypatch):
+    monkeypatch.setattr(npz, "SLICE_BYTES", 240)
+    x = np.arange(600, dtype=np.float32).reshape(100, 6)
+    np.savez(tmp_path / "a.npz", item_id=np.arange(100), embedding=x)
+    parts = list(npz.NpzReader([str(tmp_path / "a.npz")], 1 << 20).read(npz.Rows(str(tmp_path / "a.npz"), 5, 98)))
+    assert max(p.num_rows for p in parts) == 10 and sum(p.num_rows for p in parts) == 93
+    assert parts[0].column(0)[0].as_py() == 5
+
+
+def test_archives_that_are_not_read(tmp_path):
+    np.savez(tmp_path / "f.npz", item_id=np.arange(3), embedding=np.asfortranarray(np.ones((3, 2))))
+    np.savez(tmp_path / "n.npz", item_id=np.arange(2), embedding=np.ones((3, 2)))
+    for name, why in (("f", "column order"), ("n", "belong")):
+        with pytest.raises(ValueError, match=why):
+            npz.NpzReader([str(tmp_path / f"{name}.npz")], 100).partitions()
