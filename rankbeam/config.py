@@ -138,6 +138,8 @@ class Scale:
     broadcast_max_bytes: int = 256 * 1024 * 1024
     # Rows of a vector table (x embedding width) that may be broadcast.
     broadcast_max_vector_cells: int = 64_000_000
+    # Rows of one key that a single task of a shuffle join holds; hotter keys are dealt over several.
+    hot_key_rows: int = 1_000_000
     # O1: globally sort the interactions sink by event_order (one range
     # shuffle, as the reference's sorted output). False sorts each task's
     # rows only: no shuffle, files still sorted, coarser min/max pruning.

@@ -51,6 +51,22 @@ def group_runs_per_file(written: DataFrame, cfg: Config) -> DataFrame:
         "order_breaks")
 
 
+def sorted_files(written: DataFrame) -> DataFrame:
+    """O1 read back: rows, range of ``event_order``, files that overlap the file before them,
+    rows that stand before a smaller one in their file."""
+    rows = written.select(EVENT_ORDER, F.col("_metadata.file_path").alias("_file"),
+                          F.col("_metadata.row_index").alias("_row"))
+    back = F.lag(EVENT_ORDER).over(Window.partitionBy("_file").orderBy("_row")) > F.col(EVENT_ORDER)
+    files = rows.withColumn("_back", back.cast("long")).groupBy("_file").agg(
+        F.count(F.lit(1)).alias("n"), F.min(EVENT_ORDER).alias("lo"), F.max(EVENT_ORDER).alias("hi"),
+        F.coalesce(F.sum("_back"), F.lit(0)).alias("back"))
+    # one row per file
+    over = F.max("hi").over(Window.orderBy("lo", "_file").rowsBetween(Window.unboundedPreceding, -1)) >= F.col("lo")
+    return files.withColumn("over", over.cast("long")).agg(
+        F.sum("n").alias("n_rows"), F.min("lo").alias("first"), F.max("hi").alias("last"),
+        F.coalesce(F.sum("over"), F.lit(0)).alias("n_overlaps"), F.sum("back").alias("n_unsorted"))
+
+
 def split_coverage(inter: DataFrame, ds: DataFrame) -> dict:
     """Splits cover all events and are disjoint."""
     total = inter.count()

@@ -135,17 +135,23 @@ def preprocess(log: DataFrame, items: DataFrame | None, users: DataFrame | None,
     return joined.select(*[c for c in joined.columns if c not in made], *made)
 
 
+def row_stats() -> list:
+    """The part of A2 that one pass over the rows gives without a shuffle."""
+    return [F.count(F.lit(1)).alias("n_rows"),
+            F.avg(F.col(LABEL).cast("double")).alias("label_mean"),
+            F.avg((F.col(LABEL) >= fc.float_lit(1.0)).cast("double")).alias("label_pos_share"),
+            F.avg(F.col(WATCH_RATIO).cast("double")).alias("watch_ratio_mean")]
+
+
+def key_counts(cfg: Config) -> list:
+    """The part of A2 that counts users and items exactly."""
+    c = cfg.columns
+    return [F.count_distinct(c.user_id).alias("n_users"), F.count_distinct(c.item_id).alias("n_items")]
+
+
 def stage_stats(df: DataFrame, cfg: Config) -> DataFrame:
     """A2: one-row statistics of the interactions table (exact distincts)."""
-    c = cfg.columns
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct(c.user_id).alias("n_users"),
-        F.count_distinct(c.item_id).alias("n_items"),
-        F.avg(F.col(LABEL).cast("double")).alias("label_mean"),
-        F.avg((F.col(LABEL) >= fc.float_lit(1.0)).cast("double")).alias("label_pos_share"),
-        F.avg(F.col(WATCH_RATIO).cast("double")).alias("watch_ratio_mean"),
-    )
+    return df.agg(*row_stats(), *key_counts(cfg))
 
 
 def sort_by_order(df: DataFrame, num_partitions: int | None = None) -> DataFrame:

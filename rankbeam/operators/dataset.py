@@ -16,7 +16,7 @@ from ..config import EVENT_ORDER, LABEL, SPLIT, Config
 from ..functions import columns as fc
 from . import vectors as vx
 from .features import Bounds, FeatureTables, split_col
-from .joins import sized_broadcast
+from .joins import sized_broadcast, skew_join
 from .ordering import cut_hot_groups
 from .quantile import exact_ranks
 
@@ -48,17 +48,19 @@ class JoinPlan:
 
 
 def plan_joins(feats: FeatureTables, cfg: Config, profiles: DataFrame | None = None,
-               unit: DataFrame | None = None, dim: int | None = None) -> JoinPlan:
-    """Count each dimension once and decide broadcast vs shuffle per table."""
+               unit: DataFrame | None = None, dim: int | None = None, written: bool = False) -> JoinPlan:
+    """Count each dimension once and decide broadcast vs shuffle per table. ``written``
+    feature tables are counted from their files and need not be persisted."""
     c, sc = cfg.columns, cfg.scale
+    keep = not written
     user_tbl = feats.user
     if profiles is not None:
         user_tbl = user_tbl.join(profiles.select(c.user_id, vx.PROFILE), c.user_id, "full")
-    user_tbl = sized_broadcast(user_tbl, sc, dim or 64)
-    item = sized_broadcast(feats.item, sc)
-    author = sized_broadcast(feats.author, sc)
+    user_tbl = sized_broadcast(user_tbl, sc, dim or 64, persist=keep or profiles is not None)
+    item = sized_broadcast(feats.item, sc, persist=keep)
+    author = sized_broadcast(feats.author, sc, persist=keep)
     small_users = _is_broadcast(user_tbl)
-    ua = sized_broadcast(feats.ua, sc) if small_users else feats.ua
+    ua = sized_broadcast(feats.ua, sc, persist=keep) if small_users else feats.ua
     if unit is not None:
         unit = vx.sized_vectors(unit, cfg, dim)
     all_bc = (small_users and _is_broadcast(ua) and _is_broadcast(item) and _is_broadcast(author)
@@ -78,22 +80,26 @@ def apply_joins(base: DataFrame, plan: JoinPlan, cfg: Config) -> DataFrame:
     * large: build one table keyed by the distinct (user, author) pairs of the
       log carrying user features, (user, author) features and the profile,
       and join the events to it once. That is a single shuffle of the event
-      table instead of three, and a hot user is spread over its authors; only
-      a hot (user, author) pair remains for AQE's skew split.
+      table instead of three.
+
+    Shuffle joins of the events deal hot keys (measured; null authors are one of
+    them) over several tasks (``joins.skew_join``).
     """
     c = cfg.columns
-    df = base.join(plan.item, c.item_id, "left").join(plan.author, c.author_id, "left")
+
+    def attach(df, dim, keys, null_safe=()):
+        if _is_broadcast(dim):
+            return df.join(dim, keys, "left")
+        return skew_join(df, dim, keys, EVENT_ORDER, null_safe, cfg.scale.hot_key_rows)
+
+    df = attach(attach(base, plan.item, [c.item_id]), plan.author, [c.author_id])
     if plan.small_users:
-        df = df.join(plan.user, c.user_id, "left").join(plan.ua, [c.user_id, c.author_id], "left")
+        df = attach(df.join(plan.user, c.user_id, "left"), plan.ua, [c.user_id, c.author_id])
     else:
         pairs = base.select(c.user_id, c.author_id).distinct()
         keyed = (pairs.join(plan.ua, [c.user_id, c.author_id], "left")
                  .join(plan.user, c.user_id, "left"))
-        keyed = keyed.select(*[F.col(x).alias(f"_k_{x}") if x in (c.user_id, c.author_id)
-                               else F.col(x) for x in keyed.columns])
-        cond = ((F.col(c.user_id) == F.col(f"_k_{c.user_id}"))
-                & F.col(c.author_id).eqNullSafe(F.col(f"_k_{c.author_id}")))
-        df = df.join(keyed, cond, "left").drop(f"_k_{c.user_id}", f"_k_{c.author_id}")
+        df = attach(df, keyed, [c.user_id, c.author_id], (c.author_id,))
     if plan.unit is not None:
         df = vx.cosine_from_profile(df, plan.unit, cfg, plan.dim)
     return df
@@ -150,7 +156,7 @@ def feature_lists(columns: list[str], cfg: Config, has_emb: bool) -> tuple[list[
 
 def assemble(inter: DataFrame, feats: FeatureTables, b: Bounds, cfg: Config,
              vectors: DataFrame | None = None, layout: bool = False,
-             num_partitions: int | None = None) -> tuple[DataFrame, DatasetMeta]:
+             num_partitions: int | None = None, written: bool = False) -> tuple[DataFrame, DatasetMeta]:
     """J4 + J5 + P7-P12: the model-ready table with a ``split`` column.
 
     With ``vectors`` the embedding cosine (V1) is computed inline on the event
@@ -174,7 +180,7 @@ def assemble(inter: DataFrame, feats: FeatureTables, b: Bounds, cfg: Config,
                                 cfg.features.embedding_dim or 64)
         dim = vx.width_of(unit)
         prof = vx.user_profiles(inter, unit, b.train_end, cfg, dim)
-    plan = plan_joins(feats, cfg, prof, unit, dim)
+    plan = plan_joins(feats, cfg, prof, unit, dim, written)
     base = inter.withColumn(SPLIT, split_col(b))
     early = layout and plan.all_broadcast
     if early:

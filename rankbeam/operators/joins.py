@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,7 +83,45 @@ def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True,
     return df
 
 
-def sized_broadcast(df: DataFrame, scale, array_len: int = 64) -> DataFrame:
+def sized_broadcast(df: DataFrame, scale, array_len: int = 64, persist: bool = True) -> DataFrame:
     """``bounded_broadcast`` with the row and byte limits of a ``Scale`` config."""
-    return bounded_broadcast(df, scale.broadcast_max_rows, max_bytes=scale.broadcast_max_bytes,
-                             array_len=array_len)
+    return bounded_broadcast(df, scale.broadcast_max_rows, persist, scale.broadcast_max_bytes, array_len)
+
+
+#: Rows of one join key that a single task joins.
+HOT_KEY_ROWS = 1_000_000
+
+
+def _same(keys: list[str], right: list[str], null_safe) -> Column:
+    cond = F.lit(True)
+    for a, b in zip(keys, right, strict=True):
+        cond = cond & (F.col(a).eqNullSafe(F.col(b)) if a in null_safe else F.col(a) == F.col(b))
+    return cond
+
+
+def skew_join(df: DataFrame, dim: DataFrame, keys: list[str], spread: str, null_safe: tuple[str, ...] = (),
+              hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Left join with a table that has one row a key, for keys of any frequency.
+
+    Keys with more than ``hot_rows`` rows are measured first; null, which matches nothing
+    unless its column is ``null_safe``, is a key like the others. There are at most rows /
+    ``hot_rows`` of them, so they come to the driver. A hot key's rows are dealt into parts
+    by a hash of the column ``spread``, and its one row of ``dim`` is repeated for each part.
+    """
+    names = [f"_d{i}" for i in range(len(keys))]
+    dim = dim.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
+                     *[c for c in dim.columns if c not in keys])
+    hot = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).alias("_parts")).where("_parts > 1").collect()
+    if not hot:
+        return df.join(dim, _same(keys, names, null_safe), "left").drop(*names)
+    held = T.StructType([T.StructField(f"_h{i}", df.schema[k].dataType) for i, k in enumerate(keys)]
+                        + [T.StructField("_parts", T.LongType())])
+    parts = F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in hot], held))
+    own = [f"_h{i}" for i in range(len(keys))]
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.col("_parts")), F.lit(0).cast("long"))
+    left = df.join(parts, _same(keys, own, keys), "left").withColumn("_salt", salt).drop(*own, "_parts")
+    right = dim.join(parts, _same(names, own, names), "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1).cast("long")) - 1))).drop(
+        *own, "_parts")
+    cond = _same(keys, names, null_safe) & (F.col("_salt") == F.col("_part"))
+    return left.join(right, cond, "left").drop(*names, "_salt", "_part")

@@ -17,7 +17,7 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -25,6 +25,8 @@ from ..config import SPLIT, Config
 from ..operators import clean as cl
 from ..operators import dataset as ds
 from ..operators import features as ft
+from ..operators.joins import releasing
+from ..operators.vectors import EMB_COS
 from ..sources import catalog as cat
 from ..sources import embeddings as emb
 from ..sources import shards as sh
@@ -65,11 +67,15 @@ def load_inputs(spark: SparkSession, raw_dir: str, man, cfg: Config) -> Inputs:
     log = sh.with_row_index(sh.scan(spark, cat.paths(man, "interactions")), raw_dir)
     items = sh.scan_meta(spark, cat.paths(man, "items"), [c.item_id, c.duration, c.author_id])
     users = sh.scan_meta(spark, cat.paths(man, "users"), [c.user_id, *c.user_static])
-    vectors = None
-    if cfg.features.use_embeddings:
-        vectors = emb.load_vectors(spark, cat.paths(man, "embeddings"), cat.paths(man, "items"),
-                                   c.item_id, c.embedding)
-    return Inputs(log, items, users, vectors, man)
+    return Inputs(log, items, users, load_vectors(spark, man, cfg), man)
+
+
+def load_vectors(spark: SparkSession, man, cfg: Config) -> DataFrame | None:
+    """The vectors alone; None without them or when they are switched off."""
+    if not cfg.features.use_embeddings:
+        return None
+    return emb.load_vectors(spark, cat.paths(man, "embeddings"), cat.paths(man, "items"),
+                            cfg.columns.item_id, cfg.columns.embedding)
 
 
 def _read(spark: SparkSession, path: str, maker: str, reader: str = "parquet") -> DataFrame:
@@ -110,10 +116,13 @@ def run_preprocess(spark, raw_dir, out_dir, cfg, res) -> dict:
     inp = load_inputs(spark, raw_dir, man, cfg)
     path = f"{out_dir}/interactions"
     inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
-    sinks.write_interactions(inter, path, _parts(man), cfg.scale.sort_interactions_globally)
-    sinks.write_json_row(cl.stage_stats(spark.read.parquet(path), cfg), f"{out_dir}/reports/stats")
-    stats = spark.read.json(f"{out_dir}/reports/stats").first().asDict()
+    seen = Observation()
+    sinks.write_interactions(inter, path, _parts(man), cfg.scale.sort_interactions_globally, seen)
+    # Rows and means come from the write; the exact key counts read two columns of it.
+    stats = seen.get | spark.read.parquet(path).agg(*cl.key_counts(cfg)).first().asDict()
     res.stats = {k: float(v) if v is not None else None for k, v in stats.items()}
+    kinds = ", ".join(f"{k} {'long' if k.startswith('n_') else 'double'}" for k in stats)
+    sinks.write_json_row(spark.createDataFrame([tuple(stats.values())], kinds), f"{out_dir}/reports/stats")
     return res.stats
 
 
@@ -127,7 +136,7 @@ def run_features(spark, raw_dir, out_dir, cfg, res) -> dict:
             sinks.write_table(getattr(feats, name), f"{out_dir}/features/{name}")
     finally:
         feats.release()
-    return {"emb_built": float(cfg.features.use_embeddings)}
+    return {f"rows_{name}": spark.read.parquet(f"{out_dir}/features/{name}").count() for name in TABLES}
 
 
 def run_dataset(spark, raw_dir, out_dir, cfg, res) -> dict:
@@ -135,16 +144,16 @@ def run_dataset(spark, raw_dir, out_dir, cfg, res) -> dict:
     inter = _read(spark, f"{out_dir}/interactions", "preprocess")
     res.bounds = load_bounds(spark, out_dir)
     feats = ft.FeatureTables(*[_read(spark, f"{out_dir}/features/{n}", "features") for n in TABLES])
-    vectors = load_inputs(spark, raw_dir, man, cfg).vectors
-    parts = _parts(man)
-    dset, meta = ds.assemble(inter, feats, res.bounds, cfg, vectors, layout=True, num_partitions=parts)
-    path = sinks.write_grouped_splits(dset, cfg, f"{out_dir}/dataset", parts)
-    res.sizes = {r[SPLIT]: r["n_rows"] for r in ft.split_sizes(spark.read.parquet(path)).collect()}
+    parts, seen = _parts(man), Observation()
+    dset, meta = ds.assemble(inter, feats, res.bounds, cfg, load_vectors(spark, man, cfg), layout=True,
+                             num_partitions=parts, written=True)
+    sinks.write_grouped_splits(dset, cfg, f"{out_dir}/dataset", parts, seen)
+    res.sizes = {split: n for split, n in seen.get.items() if n}
     meta.sizes = dict(res.sizes)
     res.meta = meta
     sinks.write_json_row(spark.createDataFrame([(sinks.meta_json(meta),)], "meta string"),
                          f"{out_dir}/reports/dataset_meta")
-    return {f"rows_{k}": v for k, v in res.sizes.items()}
+    return {f"rows_{k}": v for k, v in res.sizes.items()} | {"emb_built": float(EMB_COS in meta.num_features)}
 
 
 def run_train(spark, raw_dir, out_dir, cfg, res) -> dict:
@@ -194,7 +203,8 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),
     run_id = uuid.uuid4().hex[:12]
     for name in (s for s in STAGES if s in stages):
         t = time.time()
-        values = RUNNERS[name](spark, raw_dir, out_dir, cfg, res)
+        with releasing():  # what the stage persisted goes when its product is written
+            values = RUNNERS[name](spark, raw_dir, out_dir, cfg, res)
         _track(spark, out_dir, run_id, name, values)
         res.seconds[name] = round(time.time() - t, 3)
     return res

@@ -7,7 +7,7 @@ so every oracle starts from the same adapter projection as the Spark side.
 
 from __future__ import annotations
 
-from .testdata import HEAD_ROWS, METRIC_K, TD_CFG
+from .testdata import HEAD_ROWS, HOT_AUTHOR, METRIC_K, TD_CFG
 
 _C = TD_CFG.cleaning
 _L = TD_CFG.label
@@ -385,10 +385,49 @@ wk AS (SELECT CAST(floor((epoch_us(ts) - (SELECT us FROM t0)) / 604800000000) AS
               user_id FROM events)
 SELECT week, count(*) AS n_rows, count(DISTINCT user_id) AS n_users FROM wk
 WHERE week IN (SELECT DISTINCT week FROM wk ORDER BY week LIMIT 2) GROUP BY week"""
+    skewed = BASE.replace("p_brand AS author_id", f"CASE WHEN p_partkey % 3 = 0 THEN '{HOT_AUTHOR}' "
+                          "WHEN p_partkey % 7 <> 1 THEN p_brand END AS author_id")
+    q["assemble_features_skewed"] = q["assemble_features"].replace(BASE.strip(), skewed.strip())
+    q["interactions_layout"] = base + (
+        "SELECT count(*) AS n_rows, min(event_order) AS first, max(event_order) AS last, "
+        "CAST(0 AS BIGINT) AS n_overlaps, CAST(0 AS BIGINT) AS n_unsorted FROM inter")
+    q.update(_report_sql(base, feats))
     q.update(_model_sql(base, allm, gby))
     return q
 
 
+def _report_sql(base: str, feats: str) -> dict[str, str]:
+    """Reports of the job's stages: S14 and S15."""
+    fixed = [("role", "label", "label", -1), ("role", "group", "user_id", -1), ("role", "item_id", "item_id", -1),
+             ("role", "event_order", "event_order", -1)]
+    fixed += [("numeric", n, "", k) for k, n in enumerate(NUM_FEATURES)]
+    fixed += [("categorical", n, "", k) for k, n in enumerate(CAT_FEATURES)]
+    values = ", ".join(f"('{a}', '{b}', '{c}', CAST({v} AS BIGINT))" for a, b, c, v in fixed)
+    stats = {"n_rows": "count(*)", "n_users": "count(DISTINCT user_id)", "n_items": "count(DISTINCT item_id)",
+             "label_mean": "avg(CAST(label AS DOUBLE))",
+             "label_pos_share": "avg(CAST(label >= CAST(1.0 AS FLOAT) AS DOUBLE))",
+             "watch_ratio_mean": "avg(CAST(watch_ratio AS DOUBLE))"}
+    tracked = " UNION ALL ".join(f"SELECT 'preprocess' AS stage, '{n}' AS name, CAST({e} AS FLOAT) AS value FROM inter"
+                                 for n, e in stats.items())
+    tables = " ".join(f"UNION ALL SELECT 'features', 'rows_{t}', CAST(count(*) AS FLOAT) FROM {t}_f"
+                      for t in ("user", "item", "author", "ua"))
+    weeks = ("SELECT count(DISTINCT floor((epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) / 604800000000)) "
+             "FROM events")
+    return {
+        "dataset_meta": base + f"""
+SELECT * FROM (VALUES {values}) v(kind, name, text, value)
+UNION ALL SELECT 'size', split, '', count(*) FROM splitted GROUP BY split
+UNION ALL SELECT 'bound', 'train_end', '', train_end FROM bounds
+UNION ALL SELECT 'bound', 'val_end', '', val_end FROM bounds""",
+        "tracking_scalars": feats + f"""
+{tracked}
+{tables}
+UNION ALL SELECT 'prepare', 'n_shards', CAST(({weeks}) AS FLOAT)
+UNION ALL SELECT 'dataset', 'rows_' || split, CAST(count(*) AS FLOAT) FROM splitted GROUP BY split
+UNION ALL SELECT 'dataset', 'emb_built', CAST(1 AS FLOAT)""",
+    }
+
+
 def _model_sql(base: str, metrics: dict, by_split: str) -> dict[str, str]:
     """Model queries: what any sound fit must give (counts, ranges, names, order)."""
     model = TD_CFG.model

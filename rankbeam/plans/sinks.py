@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..config import EVENT_ORDER, SPLIT, Config
-from ..operators.clean import sort_by_order
+from ..config import EVENT_ORDER, SPLIT, SPLITS, Config
+from ..operators.clean import row_stats, sort_by_order
 from ..operators.dataset import grouped_layout
 from ..session import scratch_path
 
@@ -32,26 +33,31 @@ def partitions_for(input_bytes: int | None, target: int = TARGET_PARTITION_BYTES
 
 
 def write_interactions(inter: DataFrame, path: str, num_partitions: int | None = None,
-                       globally: bool = True) -> str:
+                       globally: bool = True, seen: Observation | None = None) -> str:
     """S11 + O1: interactions sorted by ``event_order``.
 
     ``globally``: range-partitioned, so files hold disjoint, ordered ranges
     (one shuffle plus Spark's sampling pass). Otherwise each task sorts its
-    own rows: no shuffle; files are sorted but their ranges may overlap.
+    own rows: no shuffle; files are sorted but their ranges may overlap. ``seen``
+    takes the statistics (A2) of the rows as they are written.
     """
-    if globally:
-        return write_table(sort_by_order(inter, num_partitions), path)
-    return write_table(inter.sortWithinPartitions(EVENT_ORDER), path)
+    laid = sort_by_order(inter, num_partitions) if globally else inter.sortWithinPartitions(EVENT_ORDER)
+    if seen is not None:  # after the range shuffle, whose sampling pass also runs what is below it
+        laid = laid.observe(seen, *row_stats())
+    return write_table(laid, path)
 
 
 def write_grouped_splits(ds: DataFrame, cfg: Config, path: str | None = None,
-                         num_partitions: int | None = None) -> str:
+                         num_partitions: int | None = None, seen: Observation | None = None) -> str:
     """S11 + O2: the dataset in one write, one folder per split, users contiguous.
 
-    A frame assembled with ``layout=True`` is already in that layout.
+    A frame assembled with ``layout=True`` is already in that layout. ``seen`` takes the
+    rows per split (A11) as they are written.
     """
     path = path or scratch_path(ds.sparkSession, "dataset")
     laid = ds if getattr(ds, "_rb_layout", False) else grouped_layout(ds, cfg, num_partitions)
+    if seen is not None:
+        laid = laid.observe(seen, *[F.count_if(F.col(SPLIT) == s).alias(s) for s in SPLITS])
     return write_table(laid, path, [SPLIT])
 
 

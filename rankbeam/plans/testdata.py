@@ -8,6 +8,7 @@ without decimal rounding ties.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -39,7 +40,10 @@ SMOKE_CFG = Config().with_cleaning(
 SAMPLE_FRACTION = 0.3
 METRIC_K = 10
 HEAD_ROWS = 1000
+# The skewed author of one query, and the rows from which its keys count as hot.
+HOT_AUTHOR, HOT_KEY_ROWS = "Brand#00", 200
 RANDOM_SEED = 42
+LAYOUT_FILES = 7
 
 FLAGS = list(TD_CFG.columns.feedback)
 
@@ -80,10 +84,10 @@ def cleaned(spark, sf_dir, cfg=TD_CFG):
     return cl.add_watch_ratio(cl.clean(enriched(spark, sf_dir, cfg), cfg), cfg)
 
 
-def interactions(spark: SparkSession, sf_dir: str, cfg: Config = TD_CFG) -> DataFrame:
+def interactions(spark: SparkSession, sf_dir: str, cfg: Config = TD_CFG, items: DataFrame | None = None) -> DataFrame:
     """The preprocess stage on adapter A (lazy)."""
     return cl.preprocess(
-        ad.events_log(spark, sf_dir), ad.item_meta(spark, sf_dir),
+        ad.events_log(spark, sf_dir), items if items is not None else ad.item_meta(spark, sf_dir),
         ad.user_meta(spark, sf_dir), cfg,
     )
 
@@ -94,9 +98,9 @@ class Stage:
     Bounds, feature tables, vectors and profiles are made when first asked for, once.
     """
 
-    def __init__(self, spark, sf_dir, cfg=TD_CFG):
+    def __init__(self, spark, sf_dir, cfg=TD_CFG, items=None):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
-        self.inter = interactions(spark, sf_dir, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        self.inter = interactions(spark, sf_dir, cfg, items).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def bounds(self):
@@ -277,7 +281,20 @@ def _dataset(spark, sf_dir):
 
 
 def q_assemble_features(spark, sf_dir):
-    d, meta = _dataset(spark, sf_dir)
+    return _features_of(*_dataset(spark, sf_dir))
+
+
+def q_assemble_features_skewed(spark, sf_dir):
+    """J4 by shuffle joins alone: one author holds about a third of the log, others are null."""
+    cfg = replace(TD_CFG, scale=replace(TD_CFG.scale, broadcast_max_rows=0, hot_key_rows=HOT_KEY_ROWS))
+    i = F.col("item_id")
+    items = ad.item_meta(spark, sf_dir).withColumn("author_id", F.when(i % 3 == 0, HOT_AUTHOR).when(
+        i % 7 != 1, F.col("author_id")))
+    st = Stage(spark, sf_dir, cfg, items)
+    return _features_of(*ds.assemble(st.inter, st.feats, st.bounds, cfg, st.vectors()))
+
+
+def _features_of(d, meta):
     d = d.withColumn("emb_cos", fc.nan_to_null(F.col("emb_cos")))
     return _f32_doubles(d.select(*[F.col(c).cast("double") if c in meta.num_features else F.col(c)
                                      for c in d.columns]))
@@ -570,7 +587,52 @@ def q_manifest_roundtrip(spark, sf_dir):
         "shard_ord", F.dense_rank().over(w).cast("bigint"))
 
 
+def q_interactions_layout(spark, sf_dir):
+    """O1: the interactions sink read back: rows, range, files whose range overlaps an
+    earlier file's, rows out of order in their file."""
+    from ..operators.checks import sorted_files
+    from ..session import scratch_path
+    from .sinks import write_interactions
+
+    path = write_interactions(Stage(spark, sf_dir).inter, scratch_path(spark, "interactions"), LAYOUT_FILES)
+    return sorted_files(spark.read.parquet(path))
+
+
+def _job(spark, sf_dir) -> str:
+    """The job from raw shards to the dataset; its output folder."""
+    from ..session import scratch_path
+    from . import job
+
+    out = scratch_path(spark, "job")
+    job.run(spark, shard_tree.cached_tree(spark, sf_dir), out, TD_CFG, job.STAGES[:-1])
+    return out
+
+
+def q_dataset_meta(spark, sf_dir):
+    """The dataset stage's report as rows: names with their places, sizes, bounds."""
+    from .job import load_meta
+
+    m = load_meta(spark, _job(spark, sf_dir))
+    rows = [("role", n, getattr(m, n), None) for n in ("label", "group", "item_id", "event_order")]
+    rows += [(kind, n, None, k) for kind, names in (("numeric", m.num_features), ("categorical", m.cat_features))
+             for k, n in enumerate(names)]
+    rows += [(kind, n, None, v) for kind, got in (("size", m.sizes), ("bound", m.split_bounds))
+             for n, v in got.items()]
+    return spark.createDataFrame(rows, "kind string, name string, text string, value long").select(
+        "kind", "name", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("value", F.lit(-1)).alias("value"))
+
+
+def q_tracking_scalars(spark, sf_dir):
+    """The scalars that the stages tracked."""
+    rows = spark.read.parquet(f"{_job(spark, sf_dir)}/reports/tracking")
+    return rows.where("name <> 'n_files'").select("stage", "name", f32(F.col("value")).alias("value"))
+
+
 QUERIES = {
+    "interactions_layout": q_interactions_layout,
+    "dataset_meta": q_dataset_meta,
+    "tracking_scalars": q_tracking_scalars,
+    "assemble_features_skewed": q_assemble_features_skewed,
     "feedback_normalise": q_feedback_normalise,
     "enrich_events": q_enrich_events,
     "clean_events": q_clean_events,

@@ -1,11 +1,13 @@
 """Dataset assembly: split partition, bounds, layout, types, cold rows."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankbeam.config import EVENT_ORDER, SPLIT
+from rankbeam.config import EVENT_ORDER, SPLIT, Config
 from rankbeam.operators import checks
 from rankbeam.operators import dataset as ds
+from rankbeam.operators.joins import skew_join
 from rankbeam.plans import sinks
 from rankbeam.plans import testdata as td
 
@@ -89,3 +91,41 @@ def test_pair_keyed_plan_equals_broadcast_plan(spark, built):
     ra, rb = rows(a), rows(b)
     assert ra.keys() == rb.keys() and len(ra) == st.inter.count()
     assert ra == rb
+
+
+@pytest.mark.parametrize("kind", ["number", "text"])
+def test_head_whole_groups_equals_sorting(spark, kind):
+    """Every cut, users in one piece and in many; no global limit in the plan."""
+    rng = np.random.default_rng(3)
+    users = np.sort(rng.choice(40, 300, p=np.r_[0.4, np.full(39, 0.6 / 39)]))
+    rows = [(int(u) if kind == "number" else f"user{u:03d}", int(e)) for u, e in zip(users, rng.permutation(300))]
+    df = spark.createDataFrame(rows, f"user_id {'long' if kind == 'number' else 'string'}, event_order long")
+    rows.sort()
+    for n in (1, 60, 299, 300, 900):
+        head = rows[:n]
+        groups = {u for u, _ in head}
+        want = [r for r in head if len(groups) == 1 or r[0] != head[-1][0]]
+        for piece in (10**6, 9):
+            out = ds.head_whole_groups(df, n, Config(), piece)
+            assert sorted(tuple(r) for r in out.collect()) == want, (n, piece)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "SinglePartition" not in plan
+    assert ds.head_whole_groups(df.limit(0), 5, Config()).count() == 0
+
+
+def test_skew_join_equals_the_plain_join(spark):
+    """A key with a third of all rows, null keys that match or do not, keys without a row."""
+    df = spark.range(900).select(
+        F.col("id").alias("eo"), F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 5 != 0, F.col("id") % 50).alias("a"),
+        (F.col("id") % 4).alias("u"))
+    dim = spark.createDataFrame([(u, a, u * 100 + (a or 0)) for u in range(3) for a in [*range(40), None]],
+                                "u long, a long, v long")
+    for safe in ((), ("a",)):
+        want = df.join(dim.withColumnsRenamed({"u": "u2", "a": "a2"}),
+                       (F.col("u") == F.col("u2")) & (F.col("a").eqNullSafe(F.col("a2")) if safe else
+                                                      F.col("a") == F.col("a2")), "left").select("eo", "a", "u", "v")
+        for hot in (10**6, 20):
+            got = skew_join(df, dim, ["u", "a"], "eo", safe, hot)
+            assert got.columns == ["eo", "a", "u", "v"] and got.exceptAll(want).isEmpty() and got.count() == 900
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "_part" in plan

@@ -11,6 +11,7 @@ from rankbeam.operators import checks
 from rankbeam.operators import features as ft
 from rankbeam.operators import vectors as vx
 from rankbeam.operators.quantile import exact_quantiles, nearest_rank
+from rankbeam.session import scratch_path
 from rankbeam.plans import testdata as td
 
 SF = "/root/testdata/sf0.01"
@@ -228,3 +229,15 @@ def test_no_vector_for_any_item(spark, stage):
     d, meta = ds.assemble(stage.inter, stage.feats, stage.bounds, stage.cfg, vec)
     assert "emb_cos" in meta.num_features
     assert d.where(~F.isnan("emb_cos")).count() == 0
+
+
+def test_quantile_round_is_one_scan(spark):
+    """All targets of a round, their ranges equal or apart, share one scan."""
+    from rankbeam.operators.quantile import exact_ranks, histogram
+
+    path = scratch_path(spark, "ranks")
+    spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")).write.parquet(path)
+    x = spark.read.parquet(path)
+    plan = histogram(x, [(0, 99), (500, 600), (900, 999)], 8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan
+    assert exact_ranks(x, "v", [0, 1, 499, 998, 999], fanout=5) == [0, 1, 499, 998, 999]

@@ -1,6 +1,7 @@
 """The whole job from a raw folder: stages, sinks, reports, reload."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 def run(spark):
     raw = shard_tree.cached_tree(spark, SF)
     out = scratch_path(spark, "job")
-    cfg = td.SMOKE_CFG.with_model(max_iter=3, max_depth=3, early_stop=False)
+    cfg = td.SMOKE_CFG.with_model(loss="pointwise", max_iter=3, max_depth=3, early_stop=False)
     return cfg, out, job.run(spark, raw, out, cfg)
 
 
@@ -150,3 +151,29 @@ def test_layout_check_sees_broken_layouts(spark, run):
     more.coalesce(1).write.parquet(f"{path}/b")
     both = spark.read.parquet(f"{path}/a", f"{path}/b")
     assert [r["broken_runs"] for r in checks.group_runs_per_file(both, cfg).collect()] == [0]
+
+
+def test_stages_leave_nothing_persisted(spark, tmp_path):
+    """Everything that a stage persists is released when its product is written; the
+    embedding scalar is the outcome, not the setting."""
+    raw = shard_tree.cached_tree(spark, SF)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    out = scratch_path(spark, "job")
+    cfg = td.SMOKE_CFG.with_model(loss="lambdarank", max_iter=2, max_depth=2, early_stop=False)
+    res = job.run(spark, raw, out, cfg)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert res.metrics["val"] and (res.meta.num_features[-1] == "emb_cos")
+    tracked = {(r["stage"], r["name"]): r["value"] for r in spark.read.parquet(f"{out}/reports/tracking").collect()}
+    assert tracked["dataset", "emb_built"] == 1.0 and tracked["features", "rows_user"] > 0
+    assert tracked["preprocess", "n_rows"] == spark.read.parquet(f"{out}/interactions").count()
+    none = job.run_dataset(spark, raw, out, replace(cfg, features=replace(cfg.features, use_embeddings=False)),
+                           job.RunResult())
+    assert none["emb_built"] == 0.0
+
+
+def test_cut_points_of_the_metric_are_free(spark, run):
+    """eval.ks without 10: the best iteration is chosen by the largest."""
+    cfg, out, _ = run
+    res = job.RunResult()
+    job.run_train(spark, None, out, replace(cfg, eval=replace(cfg.eval, ks=(5, 20))), res)
+    assert "ndcg_at_20" in res.metrics["val"] and "ndcg_at_10" not in res.metrics["val"]

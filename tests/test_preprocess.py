@@ -140,3 +140,25 @@ def test_duplicate_metadata_fans_out_and_is_reported(spark, log):
     n10 = norm.where("item_id = 10").count()
     out = cl.enrich(norm, items, None, cfg)
     assert out.where("item_id = 10").count() == 2 * n10
+
+
+def test_activity_counts_by_grouping_sets(log):
+    plan = cl.activity_filter(log.na.drop(subset=["user_id", "item_id"]), CFG)._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert "Generate" not in text and "Expand" in text
+
+
+def test_user_columns_join_late_only_when_ids_are_unique(spark, log, items):
+    """Repeated user rows multiply events before they are counted, as the joins would."""
+    users = spark.createDataFrame([(1, 20, "m", "x"), (2, 30, "f", "y"), (3, 40, "m", "z")],
+                                  "user_id long, age long, gender string, geo string")
+    twice = users.unionAll(users.where("user_id = 3"))
+    assert cl.unique_key(users, "user_id") and not cl.unique_key(twice, "user_id")
+    one, two = (cl.preprocess(log, items, u, CFG) for u in (users, twice))
+    assert sorted(one.columns) == sorted(two.columns)
+    n = {r["user_id"]: r["count"] for r in one.groupBy("user_id").count().collect()}
+    m = {r["user_id"]: r["count"] for r in two.groupBy("user_id").count().collect()}
+    assert m[3] == 2 * n[3] and m[1] == n[1]
+    early = cl.add_label(cl.activity_filter(cl.add_watch_ratio(cl.clean(cl.enrich(
+        cl.normalise_feedback(log, CFG), items, users, CFG), CFG), CFG), CFG), CFG)
+    assert one.select(*sorted(one.columns)).exceptAll(early.select(*sorted(one.columns))).isEmpty()

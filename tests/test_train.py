@@ -92,9 +92,11 @@ def test_ranker_beats_random_scores(fitted):
     from rankbeam.operators import ranking as rk
 
     cfg, d, meta, res = fitted
-    val = d.where(F.col(SPLIT) == "val").withColumn("noise", F.rand(7))
-    noise = rk.ranking_metrics(val, [meta.group], LABEL, "noise", EVENT_ORDER, ks=(10,)).first()
-    assert res.metrics["val"]["ndcg_at_10"] > noise["ndcg_at_10"]
+    # One random order of 110 short lists is within 0.02 of any other: the mean of eight.
+    val = d.where(F.col(SPLIT) == "val").withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    val = val.withColumn("noise", F.xxhash64("event_order", "seed").cast("double"))
+    noise = rk.ranking_metrics(val, [meta.group], LABEL, "noise", EVENT_ORDER, ks=(10,), by=["seed"])
+    assert res.metrics["val"]["ndcg_at_10"] > noise.agg(F.avg("ndcg_at_10")).first()[0]
 
 
 def test_early_stop_fits_with_the_val_split(fitted):
@@ -187,10 +189,10 @@ def test_ranking_fit_is_better_than_the_pointwise_fit(spark, fitted):
     cfg = fitted[0].with_model(max_iter=5, max_depth=2, metric_period=5, min_leaf_rows=1)
     rng = np.random.default_rng(2)
     rows = []
-    for i in range(1600):
-        user, x, noise = i % 40, rng.random(), rng.random()
-        label = float(np.clip(round(user / 10 + 1.5 * x + 0.3 * rng.standard_normal()), 0, 5))
-        rows.append((user, i, i, label, user / 40, x, noise, ("train", "train", "val", "test")[i // 40 % 4]))
+    for i in range(2400):
+        user, x, noise = i % 10, rng.random(), rng.random()
+        label = float(np.clip(round(user / 10 * 4 + x + 0.2 * rng.standard_normal()), 0, 5))
+        rows.append((user, i, i, label, user / 10, x, noise, ("train", "train", "val", "test")[i // 10 % 4]))
     d = spark.createDataFrame(rows, "user_id long, item_id long, event_order long, label double, bias double, "
                                     "x double, noise double, split string")
     meta = DatasetMeta("label", "user_id", "item_id", "event_order", ["bias", "x", "noise"], [])
