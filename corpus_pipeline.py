@@ -15,7 +15,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     from the documents whose crc32(doc_id) mod 3 is not 1."""
     prepare(spark)
     model = langid.fit(docs.where(crc_bucket(F.col("doc_id"), 3) != 1))
-    return langid.keep_identified(docs, langid.predict(docs, model))
+    return langid.drop_unidentified(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path, ship_package
 
-__all__ = ["components", "crc_bucket", "discard", "prepare", "read_table", "slices",
-           "text_buffers", "written"]
+__all__ = ["components", "crc_bucket", "discard", "prepare", "read_table", "shield",
+           "slices", "text_buffers", "written"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -44,6 +44,23 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shield(docs: DataFrame, reserved: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns of ``reserved`` names, or of names that begin with ``__``,
+    renamed; and a function that selects all columns of ``docs`` again, by their own names.
+    What runs in between may add columns of the reserved names."""
+    taken = {c.lower() for c in docs.columns}
+    names = {}
+    for i, c in enumerate(docs.columns):
+        if c.lower() in reserved or c.startswith("__"):
+            new = f"held_{i}"
+            while new in taken:
+                new += "_"
+            names[c] = new
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    hidden = docs.select(*[x.alias(names.get(c, c)) for c, x in zip(docs.columns, own, strict=True)])
+    return hidden, lambda df: df.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def crc_bucket(doc_id: Column, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(buckets)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, discard, prepare, slices, written
+from .common import components, discard, prepare, shield, slices, written
 from .shingles import mix, shingle_sets
 
 _U = np.uint64
@@ -55,6 +55,8 @@ CLUSTER_BLOCK = 256
 #: A block of verification holds about so many texts, or so many shingles.
 BLOCK_ROWS = 128
 BLOCK_SHINGLES = 400_000
+#: Bytes of text hashed at once; hashing holds some fifty times that.
+SLICE = 1 << 20
 
 
 def _prefix_size(n, percent: int):
@@ -73,7 +75,7 @@ def _describe(docs: DataFrame, width: int) -> DataFrame:
     """One narrow row per document: set size, set fingerprint, smallest tokens."""
     def run(batches):
         factors = _seeds(SMALLEST) | _U(1)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b.column("text"), width)
             small = [[int((s * f).min()) >> 24 for f in factors] if len(s) else None for s in sets]
             yield pa.RecordBatch.from_pydict({
@@ -99,7 +101,7 @@ def _token_levels(texts: DataFrame, width: int, total: int):
 
     def count(batches):
         counts = np.zeros(1 << bits, np.uint16)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b.column("text"), width)
             if sum(map(len, sets)):
                 at = (np.concatenate(sets) >> _U(64 - bits)).astype(np.int64)
@@ -141,7 +143,7 @@ def _rare_first(tokens: np.ndarray, k: int, bits: int, levels: np.ndarray) -> np
 def _prefix_index(texts: DataFrame, width: int, percent: int, bits: int, shared) -> DataFrame:
     def run(batches):
         levels = shared.value
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b.column("text"), width)
             picks = [_rare_first(s, _prefix_len(len(s), percent), bits, levels) for s in sets]
             sizes = np.array([len(p) for p in picks], np.int64)
@@ -202,7 +204,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     def check(key, one, many):
         own = shingle_sets(one.column("own").slice(0, 1), width)[0] if one.num_rows else None
         hits = set()
-        for batch in slices(iter(many.to_batches()), "text", 2 << 20):
+        for batch in slices(iter(many.to_batches()), "text", SLICE):
             ids = batch.column("b").to_pylist()
             for node, s in zip(ids, shingle_sets(batch.column("text"), width), strict=True):
                 if own is not None and len(own) and len(s) and _meets(own, s, percent, seeds) \
@@ -285,7 +287,7 @@ def _blocks(clusters: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 def _join_components(one: pa.Table, two: pa.Table, width: int, percent: int) -> list:
     """Links between two blocks that join components not joined by earlier ones."""
-    sets = [[s for b in slices(iter(t.to_batches()), "text") for s in
+    sets = [[s for b in slices(iter(t.to_batches()), "text", SLICE) for s in
              shingle_sets(b.column("text"), width)] for t in (one, two)]
     nodes = [t.column("node").to_pylist() for t in (one, two)]
     comps = [t.column("comp").to_pylist() for t in (one, two)]
@@ -409,6 +411,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     Rows whose id is null are kept (they cannot be named); of several rows with
     the component's id the one with the smallest text hash stays, once.
     """
+    docs, restore = shield(docs, ())
     comps = components_of(docs, width, percent)
     keep = comps.where("doc_id = component_id").select("doc_id").distinct()
     ids = F.col("doc_id")
@@ -422,5 +425,5 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     repeated = (once.join(firsts, "doc_id").where("__h = __m")
                 .drop("__m", "__c").dropDuplicates(["doc_id"]))
     cols = [F.col(f"`{c}`") for c in docs.columns]
-    return (single.select(*cols).union(repeated.select(*cols))
-            .union(marked.where(ids.isNull()).select(*cols)))
+    return restore(single.select(*cols).union(repeated.select(*cols))
+                   .union(marked.where(ids.isNull()).select(*cols)))

@@ -8,7 +8,10 @@ character says nothing. A document's score adds up its words.
 Defined results: null text, empty text and text without a letter give ``und``
 with score 0; a tie goes to the language that sorts first; repeated rows are
 scored alike; an empty training set makes every text ``und``; an empty table
-gives no rows. Columns besides the named ones pass untouched.
+gives no rows. Texts of any length are read whole; a null id changes nothing but
+that the row is in no sample of a large language. ``predict`` replaces columns
+called ``lang_pred`` and ``score``; ``drop_unidentified`` leaves all columns as
+they are.
 """
 
 from __future__ import annotations
@@ -25,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare
+from .common import prepare, shield, slices
 
 ORDERS = (5, 4, 3, 2, 1)
 UND = "und"
+#: Bytes of text that a worker turns into strings at once.
+SLICE = 1 << 20
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -52,30 +57,32 @@ def _grams(word: str, n: int) -> list[str]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts (lang, n, item, cnt); n is 0 for words. Grams are cut from
     distinct words, weighted by the word's count."""
-    words: Counter = Counter()
+    words: dict[str, Counter] = {}
 
-    def flush():
-        counts: Counter = Counter()
-        for (lang, word), c in words.items():
-            counts[lang, 0, word] += c
+    def rows(lang, n, counts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(counts), pa.string()), pa.array(np.full(len(counts), n, np.int32)),
+             pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+            ["lang", "n", "item", "cnt"])
+
+    def flush():  # one language and order at a time: a fraction of all grams is held
+        for lang, seen in words.items():
+            yield rows(lang, 0, seen)
             for n in ORDERS:
-                for g in _grams(word, n):
-                    counts[lang, n, g] += c
-        keys = list(counts)
+                counts: Counter = Counter()
+                for word, c in seen.items():
+                    for g in _grams(word, n):
+                        counts[g] += c
+                yield rows(lang, n, counts)
         words.clear()
-        return pa.RecordBatch.from_pydict({
-            "lang": [k[0] for k in keys], "n": pa.array([k[1] for k in keys], pa.int32()),
-            "item": [k[2] for k in keys], "cnt": pa.array(list(counts.values()), pa.int64())})
 
-    for batch in batches:
+    for batch in slices(batches, "text", SLICE):
         for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(),
                               strict=True):
-            for word in _WORD.findall(text.lower()):
-                words[lang, word] += 1
-            if len(words) > 50_000:
-                yield flush()
-    if words:
-        yield flush()
+            words.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+        if sum(map(len, words.values())) > 50_000:
+            yield from flush()
+    yield from flush()
 
 
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
@@ -202,7 +209,7 @@ def predict(docs: DataFrame, model: LangModel, text_col: str = "text") -> DataFr
 
     def run(batches):
         score = _Scorer(shared.value)
-        for b in batches:
+        for b in slices(batches, text_col, SLICE):
             got = [score(t) for t in b.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([g[0] for g in got], pa.string()),
@@ -221,6 +228,13 @@ def keep_identified(docs: DataFrame, scored: DataFrame, min_score: float = 0.3)
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
+def drop_unidentified(docs: DataFrame, model: LangModel, min_score: float = 0.3) -> DataFrame:
+    """``docs`` without the rows that ``keep_identified`` rejects; all columns, also those called
+    ``lang_pred`` or ``score``, stay as they are."""
+    hidden, restore = shield(docs, ("lang_pred", "score"))
+    return restore(keep_identified(hidden, predict(hidden, model), min_score))
+
+
 def brute_force(model: LangModel, texts: list[str | None]) -> pd.DataFrame:
     """Plain per-word sums, for tests."""
     out = []

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, written
+from .common import prepare, shield, written
 
 DIMS = ("source", "lang", "topic")
 #: The largest cell table that is raked on the driver and broadcast.
@@ -208,6 +208,6 @@ def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | float] | No
 
 
 def keep_mixed(docs: DataFrame, targets=None, budget: float = 0.5) -> DataFrame:
-    """The sampled rows of ``docs``, with its columns."""
-    mixed = mix(docs, targets, budget)
-    return mixed.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The sampled rows of ``docs``; all its columns, whatever their names, stay as they are."""
+    hidden, restore = shield(docs, ("topic_found", "tokens", "weight", "prob", "kept"))
+    return restore(mix(hidden, targets, budget).where("kept"))

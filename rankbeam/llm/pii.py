@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shield
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "ssn")
 ACCEPT = 60
@@ -236,7 +238,9 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by ``[KIND]``; overlapping spans merge into
     the first one's. ``chars_col``, if there, is the new text's length in code
-    points for the rows that changed. Columns and rows stay as they are."""
+    points for the rows that changed. All other columns, whatever their names, and all
+    rows stay as they are."""
+    docs, restore = shield(docs, ("spans",))
     cols = docs.columns
     found = find(docs, text_col)
     t = F.col(f"`{text_col}`")
@@ -273,4 +277,4 @@ def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars")
                        .otherwise(F.col(f"`{c}`")).alias(c))
         else:
             out.append(F.col(f"`{c}`"))
-    return found.select(*out)
+    return restore(found.select(*out))

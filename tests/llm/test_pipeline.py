@@ -134,3 +134,18 @@ def test_pii_of_pipeline_leaves_no_base_span(spark):
     out = pii.redact(docs)
     assert pii.find(out).where("size(spans) > 0").count() == 0
     assert out.where("n_chars <> length(text)").count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns called like what the stages add: values, types and order stay."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).withColumns({
+        "score": F.concat(F.lit("s"), "doc_id"), "tokens": F.array("doc_id"), "kept": F.lit("yes"),
+        "weight": F.col("doc_id") * 2, "spans": F.struct("doc_id"), "Lang_Pred": F.lit(None).cast("date"),
+        "__h": F.lit("hash"), "__t": F.col("doc_id") % 3, "held_7": F.lit(1.5), "prob": F.lit(True)})
+    extra = [c for c in docs.columns if c not in ("text", "n_chars")]
+    before = {r["doc_id"]: tuple(r[c] for c in extra) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and [t for _, t in out.dtypes] == [t for _, t in docs.dtypes], name
+        rows = out.collect()
+        assert rows and all(before[r["doc_id"]] == tuple(r[c] for c in extra) for r in rows), name
