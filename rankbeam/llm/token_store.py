@@ -26,6 +26,7 @@ store and no rows. Other columns are not stored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import zlib
 
 import numpy as np
@@ -41,7 +42,7 @@ SEGMENT_BYTES = 1 << 20
 LEVEL = 3
 REMEMBER = 450_000
 #: Marks that close a word; the tokenizer cuts them from letters.
-_MARKS = ".,;:!?"
+_MARKS = b".,;:!?"
 
 
 class CachedTokenizer:
@@ -51,8 +52,9 @@ class CachedTokenizer:
     of a text are those of its pieces between spaces and line breaks in order.
     Pieces met before are not encoded again. The memory holds two generations:
     when the newer one is full it becomes the older, whose pieces come back when
-    met. A piece of ASCII letters and closing marks is encoded as its lower-case
-    letters and its marks, which the tokenizer cuts apart anyway.
+    met. A piece of letters and closing marks is encoded as its letters (ASCII ones
+    in lower case) and its marks, which the tokenizer cuts apart anyway. Unknown
+    pieces are encoded as one spaced text and told apart by their offsets.
     """
 
     def __init__(self, path: str):
@@ -61,9 +63,8 @@ class CachedTokenizer:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
-        self.encode = getattr(self.lib, "encode_batch_fast", self.lib.encode_batch)
-        self.seen: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
+        self.seen: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
 
     def _learn(self, pieces) -> None:
         """Pieces that are not in ``seen``, from the older generation or the library."""
@@ -75,28 +76,54 @@ class CachedTokenizer:
                 seen[p] = known
                 continue
             head = p.rstrip(_MARKS)
-            word = head.lower() if head.isascii() and head.isalpha() else None
+            word = None
+            if head.isalpha():  # of bytes: ASCII letters
+                word = head.lower()
+            elif len(head) < len(p) and head.decode().lower().isalpha():
+                word = head  # letters stay letters in lower case, so the cut holds
             if word is None or word == p:
                 todo.add(p)
                 continue
             made.append((p, word, p[len(head):]))
             todo.update(x for x in (word, p[len(head):]) if x not in seen and x not in older)
         todo = list(todo)
-        for lo in range(0, len(todo), 20_000):
-            part = todo[lo:lo + 20_000]
-            for piece, enc in zip(part, self.encode(part, add_special_tokens=False), strict=True):
-                seen[piece] = np.array(enc.ids, "<u4").tobytes()
+        for lo in range(0, len(todo), 2_000):
+            part = todo[lo:lo + 2_000]
+            seen.update(zip(part, self._encode([p.decode() for p in part]), strict=True))
         for p, word, marks in made:
             seen[p] = b"".join([seen[x] if x in seen else older[x] for x in (word, marks)])
 
-    def batch(self, texts: list[str | None]) -> list[bytes]:
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        enc = self.lib.encode(" ".join(pieces), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(p) + 1 for p in pieces[:-1])])
+        tokens = np.array([start for start, _ in enc.offsets], np.int64)
+        cut = 4 * np.append(np.searchsorted(tokens, starts), len(tokens))
+        raw = np.array(enc.ids, "<u4").tobytes()
+        return [raw[a:b] for a, b in itertools.pairwise(cut.tolist())]
+
+    def batch(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each UTF-8 text. One look-up a piece; what is not remembered is
+        learned for all texts together, and only the texts that miss it look again."""
         if len(self.seen) > REMEMBER:
-            self.seen, self.older = {"": b""}, self.seen
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if cut:
-            self._learn(set().union(*cut).difference(self.seen))
-        get = self.seen.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+            self.seen, self.older = {b"": b""}, self.seen
+        out: list[bytes | None] = []
+        missed: list[tuple[int, list[bytes]]] = []
+        new: set[bytes] = set()
+        get = self.seen.get
+        for t in texts:
+            pieces = (t or b"").replace(b"\n", b" ").split(b" ")
+            ids = list(map(get, pieces))
+            if None in ids:
+                missed.append((len(out), pieces))
+                new.update(p for p, x in zip(pieces, ids, strict=True) if x is None)
+                out.append(None)
+            else:
+                out.append(b"".join(ids))
+        self._learn(new)
+        known = self.seen.__getitem__
+        for at, pieces in missed:
+            out[at] = b"".join(map(known, pieces))
+        return out
 
 
 _TOKENIZERS: dict[str, CachedTokenizer] = {}
@@ -129,7 +156,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int | None, sample_rows
         tok = tokenizer(path)
         for b in slices(batches, "text"):
             yield pa.RecordBatch.from_pydict({"ids": pa.array(
-                [x + _end(end_id) for x in tok.batch(b.column("text").to_pylist())], pa.binary())})
+                [x + _end(end_id) for x in tok.batch(b.column("text").cast(pa.binary()).to_pylist())], pa.binary())})
 
     got = rows.select("text").mapInArrow(run, "ids binary").withColumn("n", F.length("ids"))
     samples, held = [], 0
@@ -190,7 +217,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int | None = None,
         for b in slices(batches, "text"):
             held = sum(map(len, frames))
             for doc, arr in zip(b.column("doc_id").to_pylist(),
-                                tok.batch(b.column("text").to_pylist()), strict=True):
+                                tok.batch(b.column("text").cast(pa.binary()).to_pylist()), strict=True):
                 full = arr + tail
                 frame = pack.compress(full)
                 if frames and held + len(frame) > SEGMENT_BYTES:
