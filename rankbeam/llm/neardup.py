@@ -6,16 +6,17 @@ blocks of a few random-hyperplane tables and is refined by neighbours-of-
 neighbours joins: at each class its neighbours, forward and reverse, are
 compared with each other and the better pairs replace edges. The number of
 tables grows with the bits of a table, so that a pair at the threshold is likely
-to share a block at any table size. A sample of classes is compared with all
-rows; while the recall of its links is below the goal, further tables and rounds
-follow. If that does not reach the goal, all classes are compared with all rows
-of their label, chunk by chunk, and the result is exact.
+to share a block at any table size. The search runs at every size; a table whose labels
+have at most ``BLOCK`` classes each is one block a label. A sample of classes is
+compared with all rows; while the recall of its links is below the goal, further
+tables and rounds follow. Only if that does not reach the goal are all classes
+compared with all rows of their label, chunk by chunk, and the result is exact.
 
 Recall is the mean, over sampled classes with a link, of the share of their linked
 classes that was found; copies do not weigh. Classes with fewer than k links and
 classes with more, which dense groups hold, must reach the goal each, so a dense
 group cannot hide lost pairs. The sample grows until it holds ``SPARSE`` classes of
-the first kind; where even the whole table does not, its comparison is the result.
+the first kind or ``SAMPLE`` classes; recall is judged by what it then holds.
 
 Edges at or above the threshold are links and make components. A class whose
 list is saturated (its k-th neighbour still links) may have more links than its
@@ -33,12 +34,14 @@ are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, prepare, written
+from .common import components, discard, prepare, written
 from .vectors import lists, matrix, usable
 
 K = 8
@@ -49,6 +52,7 @@ GOAL = 0.95
 AUDIT = 256
 EXTRA = 3
 SPARSE = 64
+SAMPLE = 16_384
 CHUNK = 4096
 _SPAN = 1 << 30  # values of the hash that orders the classes
 
@@ -284,10 +288,11 @@ def _exact(unit: DataFrame, done: list[DataFrame], at: int, n: int, dim: int, th
 
 def _sampled(unit: DataFrame, n: int, dim: int, threshold: float, k: int) -> tuple[list[DataFrame], int]:
     """Audits of the classes whose hash is below a bound, and that bound: enough classes
-    to hold SPARSE with a link and fewer than k linked classes, or all."""
+    to hold SPARSE with a link and fewer than k linked classes, at most about SAMPLE."""
     parts, at, size, held = [], 0, AUDIT, 0
-    while held < SPARSE and at < _SPAN:
-        hi = min(_SPAN, at - (-_SPAN * size // n))
+    end = min(_SPAN, -(-_SPAN * SAMPLE // n))
+    while held < SPARSE and at < end:
+        hi = min(end, at - (-_SPAN * size // n))
         parts.append(_audit(unit, at, hi, dim, threshold))
         held += parts[-1].where(F.col("other").isNull() & F.col("partners").between(1, k - 1)).count()
         at, size = hi, min(4 * size, CHUNK)
@@ -338,21 +343,23 @@ def link(vectors: DataFrame, threshold: float = 0.93, k: int = K, id_col: str =
     tables, rounds = _tables(bits, threshold), max(ROUNDS, -(-bits // 3))
     edges = None
     seed = 0
-    # a sample that is the whole table leaves nothing to search
-    for attempt in range(0 if at == _SPAN else 1 + max(EXTRA, bits)):
+    for attempt in range(1 + max(EXTRA, bits)):
         todo = tables if attempt == 0 else 1
         while todo:
+            before, made = edges, []
             for _ in range(min(todo, TABLES)):
                 seed += 1
                 todo -= 1
-                more = _table(unit, sizes, dim, seed, k)
-                edges = more if edges is None else edges.union(more)
-            edges = written(_top(edges, k), "graph")
+                made.append(_table(unit, sizes, dim, seed, k))
+            edges = written(_top(reduce(DataFrame.union, ([before] if before else []) + made), k), "graph")
+            discard(*([before] if before else []))
         for _ in range(rounds if attempt == 0 else 1):
             better = written(_descend(edges, unit, dim, k), "better")
             if better.isEmpty():
+                discard(better)
                 break
-            edges = written(_top(edges.union(better), k), "graph")
+            before, edges = edges, written(_top(edges.union(better), k), "graph")
+            discard(before, better)
         found = _links(edges, unit, dim, threshold, k)
         if all(r >= GOAL for r in _recalls(truth, found[0], k).values()):
             break

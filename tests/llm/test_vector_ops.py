@@ -189,3 +189,22 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(40)} | {300: 300, 301: 300}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_dedup_searches_small_tables_too(spark, monkeypatch):
+    """The given table: tables and neighbour rounds make the result, not the exact comparison."""
+    calls = {"table": 0, "descend": 0}
+    table, descend = neardup._table, neardup._descend
+
+    def counted(name, real):
+        def fn(*args):
+            calls[name] += 1
+            return real(*args)
+        return fn
+
+    monkeypatch.setattr(neardup, "_table", counted("table", table))
+    monkeypatch.setattr(neardup, "_descend", counted("descend", descend))
+    monkeypatch.setattr(neardup, "_exact", lambda *a: pytest.fail("compared all classes"))
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    assert neardup.link(vectors).count() == vectors.count()
+    assert calls["table"] >= neardup.TABLES and calls["descend"] >= 1
