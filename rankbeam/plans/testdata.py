@@ -514,6 +514,23 @@ def q_ranker_metrics(spark, sf_dir):
                                        "n_in_range long, beats_random_on_val boolean")
 
 
+def q_ranking_fit(spark, sf_dir):
+    """The ranking loss on the train split: users ranked, trees, and whether the lists it
+    was fitted on are ordered better than at random (val labels of these tables are noise)."""
+    from ..operators import ranker as rkr
+
+    cfg = TD_CFG.with_model(loss="lambdarank", max_iter=4, max_depth=4)
+    d, meta = _dataset(spark, sf_dir)
+    model = rkr.fit(d, meta, cfg)
+    train = rkr.score(model, d.where(F.col(SPLIT) == "train"), meta, cfg).withColumn(
+        "_noise", fc.portable_hash_bucket(F.col(EVENT_ORDER), RANDOM_SEED, 1_000_003).cast("double"))
+    got, noise = (rk.ranking_metrics(train, [meta.group], LABEL, by, EVENT_ORDER, ks=(METRIC_K,),
+                                     thr=cfg.eval.binary_threshold) for by in ("prediction", "_noise"))
+    return got.crossJoin(noise.select(F.col(f"ndcg_at_{METRIC_K}").alias("_random"))).select(  # one row each
+        "n_groups", F.lit(len(model.stages[-1].trees)).cast("long").alias("n_trees"),
+        (F.col(f"ndcg_at_{METRIC_K}") > F.col("_random")).alias("beats_random_on_train"))
+
+
 def q_training_curve(spark, sf_dir):
     """T5: the iterations of the staged curve on val, which one is best by NDCG@10, and
     whether the last one has the full model's metrics."""
@@ -682,6 +699,7 @@ QUERIES = {
     "parquet_embeddings": q_parquet_embeddings,
     "shard_stage_stats": q_shard_stage_stats,
     "ranker_metrics": q_ranker_metrics,
+    "ranking_fit": q_ranking_fit,
     "training_curve": q_training_curve,
     "feature_importance": q_feature_importance,
     "top_importances": q_top_importances,
