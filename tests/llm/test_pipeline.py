@@ -121,6 +121,9 @@ def test_query_columns(spark, name):
         "op3": "doc_id held_out lang_pred score", "op4": "doc_id start n_tokens ids_crc32",
         "op5": "doc_id held_out score predicted", "op6": "query_id rank vec_id score",
         "op8": "doc_id n_tokens ids_sha256 decoded_sha256", "op10": "doc_id source lang weight prob kept",
+        "op11": "doc_id n_words n_removed kept_sha256",
+        "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+        "op13": "doc_id n_features weight score rank",
     }[name.split("_")[0]]
     df = QUERIES[name](spark, SF)
     assert set(need.split()) <= set(df.columns)
