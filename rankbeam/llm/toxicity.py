@@ -16,9 +16,11 @@ model counts every document, and every document is scored.
 Defined results: null text is empty text; a text without a weighted word gets
 the model's base score, an empty one too; without labels of both classes all
 scores are the share of toxic labels (0 when there are none); repeated rows
-are scored alike; texts of any length are read whole (a spaced run is decoded
-in stretches of 400 characters); an empty table gives no rows; other columns
-pass untouched (columns named like the outputs are replaced).
+are scored alike; texts of any length are read whole, in time that grows with
+their length (a long token or spaced run is one lattice; what all its open
+readings agree on is written out and forgotten); a word with a doubled letter
+is read as it stands and as its lattice says; an empty table gives no rows;
+other columns pass untouched (columns named like the outputs are replaced).
 """
 
 from __future__ import annotations
@@ -42,11 +44,15 @@ LOOKALIKES = {
     "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e",
     "£": "l", "¡": "i", "§": "s",
 }
-STRETCH = 400
+#: Characters after which the agreed part of a long token's readings is written out.
+SETTLE = 4096
 _LETTERS = 28  # boundary, a to z, any other letter
 _SPACED = re.compile(r"(?<!\S)\S(?: {1,2}\S){2,}(?!\S)")
-_ENDS = re.compile(r"^(?:[^\w\s]{2,}|[^\w\s$@|+€£]+)|(?:[^\w\s]{2,}|[.,;:!?\"')\]}*#%&>-]+)$")
+# A single sign that stays at the start, and one that goes at the end.
+_STAYS_FIRST = frozenset("$@|+€£")
+_GOES_LAST = frozenset(".,;:!?\"')]}*#%&>-")
 _LONG = re.compile(r"([^\W\d_])\1\1")
+_DOUBLED = re.compile(r"([a-z])\1")
 # log costs of the channel's arcs
 _DROP_REPEAT, _DROP_PAIR, _LOOKALIKE, _DROP_SIGN, _DROP_OTHER, _SPACE = -0.3, -4.0, -0.7, -1.5, -3.0, -1.0
 _BREAK_SIGN = _DROP_SIGN + _SPACE / 2  # as much dearer than dropping as at a space
@@ -66,6 +72,48 @@ def _fold(text: str) -> str:
                    if not unicodedata.combining(c))
 
 
+def _sign(c: str) -> bool:
+    return not (c.isalnum() or c == "_" or c.isspace())
+
+
+def _strip_signs(word: str) -> str:
+    """``word`` without the signs around it: runs of two or more, and single ones that
+    stand for no letter there."""
+    lo, hi = 0, len(word)
+    while lo < hi and _sign(word[lo]):
+        lo += 1
+    if lo == 1 and word[0] in _STAYS_FIRST:
+        lo = 0
+    while hi > lo and _sign(word[hi - 1]):
+        hi -= 1
+    if len(word) - hi == 1 and word[-1] not in _GOES_LAST:
+        hi += 1
+    return word[lo:hi]
+
+
+def _settled(states: dict) -> tuple[list[int], dict]:
+    """The classes that the readings of all states begin with, and the states without them."""
+    tails = []
+    for _, path in states.values():
+        nodes = []
+        while path:
+            nodes.append(path)
+            path = path[0]
+        tails.append(nodes[::-1])
+    same = 0
+    for nodes in zip(*tails, strict=False):
+        if any(x[1] != nodes[0][1] for x in nodes):
+            break
+        same += 1
+    rest = {}
+    for (key, (cost, _)), nodes in zip(states.items(), tails, strict=True):
+        path: tuple = ()
+        for _, c in nodes[same:]:
+            path = (path, c)
+        rest[key] = (cost, path)
+    return [c for _, c in tails[0][:same]], rest
+
+
 def trigram_counts(raw: np.ndarray) -> np.ndarray:
     """Counts of (letter before last, last letter, letter) over UTF-8 bytes; a word
     begins after two boundaries and ends with one."""
@@ -114,17 +162,19 @@ class Restorer:
     def decode(self, token: str) -> str:
         """The best reading of a token's lattice; readings may hold word breaks."""
         lm = self.lm
+        long = {m.group(1) for m in _LONG.finditer(token)}
         states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         run = 0
         before = ""
-        for ch in token:
+        done: list[int] = []
+        for at, ch in enumerate(token, 1):
             run = run + 1 if ch == before else 1
             before = ch
             arcs: list[tuple[int, float]] = []   # emitted class, cost; -1 drops
             if "a" <= ch <= "z":
                 arcs.append((ord(ch) - 96, _LETTER_BONUS))
                 if run > 1:
-                    arcs.append((-1, _DROP_PAIR if run == 2 and ch * 3 not in token else _DROP_REPEAT))
+                    arcs.append((-1, _DROP_REPEAT if ch in long or run > 2 else _DROP_PAIR))
             elif ch in LOOKALIKES:
                 arcs += [(ord(x) - 96, _LOOKALIKE + _LETTER_BONUS) for x in LOOKALIKES[ch]]
                 arcs.append((-1, _DROP_SIGN))
@@ -151,27 +201,24 @@ class Restorer:
                     if key not in new or t > new[key][0]:
                         new[key] = (t, p)
             states = new or states
+            if at % SETTLE == 0:
+                agreed, states = _settled(states)
+                done += agreed
         _, (_, path) = max(states.items(), key=lambda kv: (
             kv[1][0] + (lm[kv[0][0]][kv[0][1]][0] if kv[0][1] else 0.0), kv[0]))
         out = []
         while path:
             path, c = path
-            out.append(" " if c == 0 else "~" if c == 27 else chr(96 + c))
-        return "".join(reversed(out))
+            out.append(c)
+        return "".join(" " if c == 0 else "~" if c == 27 else chr(96 + c) for c in done + out[::-1])
 
     def _token(self, token: str) -> tuple[str, ...]:
-        word = _fold(token)
-        if word.isalpha() and not _LONG.search(word):
-            return (word,)
-        word = _ENDS.sub("", word)
-        if not word:
-            return ()
+        word = _strip_signs(_fold(token))
         if word.isalpha() and not _LONG.search(word):
-            return (word,)
+            return (word, *self.decode(word).split()) if _DOUBLED.search(word) else (word,)
         if not any(c.isalpha() for c in word):
             return ()
-        whole = tuple(w for lo in range(0, len(word), STRETCH)
-                      for w in self.decode(word[lo:lo + STRETCH]).split())
+        whole = tuple(self.decode(word).split())
         parts = tuple(p for p in re.split(r"[\W\d_]+", word) if len(p) > 2)
         return whole + parts
 
@@ -191,8 +238,7 @@ class Restorer:
         for m in _SPACED.finditer(text):
             run = _fold(m.group())
             if sum(c.isalpha() for c in run) >= 2:
-                for lo in range(0, len(run), STRETCH):
-                    out.update(self.decode(run[lo:lo + STRETCH]).split())
+                out.update(self.decode(run).split())
         return out
 
 

@@ -1,6 +1,8 @@
 """Text operators against plain versions, and their edge cases."""
 
 import hashlib
+import itertools
+import time
 import zlib
 
 import numpy as np
@@ -299,6 +301,88 @@ def test_toxic_words_in_long_tokens_are_read():
     assert "moron" in r.words(".".join(["street"] * 30 + ["m0r0n"] + ["others"] * 30))
 
 
+def _restorer():
+    counts = toxicity.trigram_counts(np.frombuffer(
+        (" the idiot was a moron and an idiot to the others in the street " * 50).encode(), np.uint8))
+    tri = counts.reshape(28, 28, 28) + 0.01
+    return toxicity.Restorer(np.log(tri / tri.sum(2, keepdims=True)))
+
+
+def test_toxic_words_around_every_border_are_read(monkeypatch):
+    r = _restorer()
+    for n in range(380, 420):
+        assert "idiot" in r.words("the-" * (n // 4) + "x" * (n % 4) + "-1d10t-others")
+        assert "idiot" in r.words("t h e  " * (n // 7) + "s " * (n % 7) + " i d i o t  w a s")
+    texts = ["the-" * 40 + "1d10t-m0r0n" * 9, "t h e  m o r o n  " * 12, "iddioott" * 30, "the.idi.ot" * 20]
+    whole = [r.decode(t) for t in texts]
+    for settle in (1, 2, 7, 64):
+        monkeypatch.setattr(toxicity, "SETTLE", settle)
+        assert [_restorer().decode(t) for t in texts] == whole
+
+
+def test_toxic_words_with_doubled_letters_are_read():
+    r = _restorer()
+    assert {"iddiot", "idiot"} <= r.words("an iddiot")
+    assert "street" in r.words("street") and "idiot" in r.words("idiott!")
+
+
+def test_signs_cost_time_linear_in_their_number():
+    r = _restorer()
+    start = time.perf_counter()
+    assert r.words("a" + "-" * 300_000 + "a") is not None
+    assert r.words("-" * 500_000) == set() and "idiot" in r.words("*" * 200_000 + "idiot" + "!" * 200_000)
+    assert time.perf_counter() - start < 20
+
+
+def test_lattice_reading_is_the_best_of_all():
+    """Every path through the lattice of short tokens, scored one by one."""
+    r = _restorer()
+
+    def arcs(token, at):
+        ch = token[at]
+        run = 1
+        while at - run >= 0 and token[at - run] == ch:
+            run += 1
+        if "a" <= ch <= "z":
+            yield ord(ch) - 96, toxicity._LETTER_BONUS
+            if run > 1:
+                yield -1, (toxicity._DROP_PAIR if run == 2 and ch * 3 not in token
+                           else toxicity._DROP_REPEAT)
+        elif ch in toxicity.LOOKALIKES:
+            for x in toxicity.LOOKALIKES[ch]:
+                yield ord(x) - 96, toxicity._LOOKALIKE + toxicity._LETTER_BONUS
+            yield -1, toxicity._DROP_SIGN
+            if not ch.isalnum():
+                yield 0, toxicity._BREAK_SIGN
+        elif ch == " ":
+            yield -1, toxicity._SPACE / 2
+            yield 0, toxicity._SPACE
+        else:
+            yield -1, toxicity._DROP_SIGN
+            yield 0, toxicity._BREAK_SIGN
+
+    def best(token):
+        top = -1e18
+        for path in itertools.product(*(list(arcs(token, i)) for i in range(len(token)))):
+            x = y = 0
+            total = 0.0
+            for c, cost in path:
+                if c == 0 and y == 0:
+                    break
+                total += cost
+                if c >= 0:
+                    total += r.lm[x][y][c]
+                    x, y = (0, 0) if c == 0 else (y, c)
+            else:
+                total += r.lm[x][y][0] if y else 0.0
+                if total > top:
+                    top, text = total, "".join(" " if c == 0 else chr(96 + c) for c, _ in path if c >= 0)
+        return text
+
+    for token in ("1d10t", "m0r.0n", "i d i o t", "idd1ott", "!d!ot", "the-m0ron", "str33t", "ooottt", "a-1-b"):
+        assert r.decode(token).strip() == best(token).strip(), token
+
+
 def test_toxicity_finds_planted_words(spark, odd):
     rng = np.random.default_rng(1)
     words = [f"{a}{b}" for a in ("ba", "lo", "ti", "ren") for b in ("ma", "so", "nd", "el")]
@@ -322,6 +406,7 @@ def test_toxicity_finds_planted_words(spark, odd):
     assert toxicity.score(odd, none).where("score <> 0").count() == 0
     empty = toxicity.character_model(d.limit(0))
     assert np.isfinite(empty).all()
+    assert toxicity.score(d.limit(0), model).count() == 0
 
 
 def test_quality_ranks_and_edges(spark, docs, odd):
