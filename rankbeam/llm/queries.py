@@ -18,6 +18,12 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _held_out(buckets: int, which: int):
+    """Is crc32(doc_id) modulo ``buckets`` the held-out remainder? False for a null id,
+    whose row is not learned from either."""
+    return F.coalesce(crc_bucket(F.col("doc_id"), buckets) == which, F.lit(False)).alias("held_out")
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``."""
     return pii.digest(pii.find(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
@@ -26,8 +32,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text; learned from labels whose crc32(doc_id) mod 5 is not 0."""
     prepare(spark)
-    held = (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", held, "text")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", _held_out(5, 0), "text")
     labels = read_table(spark, sf_dir, "labels").where(crc_bucket(F.col("doc_id"), 5) != 0)
     model = toxicity.fit(docs, labels, toxicity.character_model(docs))
     return toxicity.score(docs, model).drop("text", "found")
@@ -36,10 +41,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned from documents with crc32(doc_id) mod 3 not 1."""
     prepare(spark)
-    docs = read_table(spark, sf_dir, "documents").withColumn(
-        "held_out", crc_bucket(F.col("doc_id"), 3) == 1)
-    model = langid.fit(docs.where("not held_out"))
-    return langid.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(crc_bucket(F.col("doc_id"), 3) != 1))
+    return langid.predict(docs.select("doc_id", _held_out(3, 1), "text"), model).drop("text")
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,8 +57,7 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text; learned from labels whose crc32(doc_id) mod 4 is not 2."""
     prepare(spark)
-    held = (crc_bucket(F.col("doc_id"), 4) == 2).alias("held_out")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", held, "text")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", _held_out(4, 2), "text")
     labels = read_table(spark, sf_dir, "labels").where(crc_bucket(F.col("doc_id"), 4) != 2)
     return quality.score(docs, quality.fit(docs, labels)).drop("text")
 
