@@ -20,8 +20,10 @@ are not computed. Pages are visited nearest bound first. Results are exact:
 a ball is left out only when no row in it can reach the k-th result.
 
 Defined results: vectors that are null, empty or hold null or non-finite
-components and rows without an id take no part, as query or candidate; shorter vectors are padded with
-zeros; a query never meets rows with its own id; of several query rows with one
+components and rows without an id take no part, as query or candidate, nor do vectors
+with a component of 1e150 or more in size, whose squares a double does not hold;
+scores are exact integers, beyond the range of a long its nearest end; shorter
+vectors are padded with zeros; a query never meets rows with its own id; of several query rows with one
 id the smallest vector (array order) asks; repeated candidate rows each count;
 ties go to the smaller id; fewer than k candidates give them all; an empty
 table, or one without queries, gives no rows; other columns are ignored.
@@ -57,6 +59,27 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d2, 0))
 
 
+def _products(rows: np.ndarray, q: np.ndarray, top: float) -> list[int]:
+    """Exact inner products of integer rows with ``q``; no squared norm is above ``top``."""
+    if top < 2.0 ** 52:  # every partial sum is a whole double
+        return (rows @ q).astype(np.int64).tolist()
+    if top < 2.0 ** 62:
+        return (rows.astype(np.int64) @ q.astype(np.int64)).tolist()
+    whole = [int(v) for v in q.tolist()]
+    return [min(max(sum(int(v) * w for v, w in zip(r, whole, strict=True)), -2 ** 63), 2 ** 63 - 1)
+            for r in rows.tolist()]
+
+
+def _square(vec: str) -> Column:
+    """Squared norm of a vector's integers; doubles from 2**53 on are whole already."""
+    def add(a, x):
+        v = x.cast("double") * SCALE
+        v = F.when(F.abs(v) < 2.0 ** 53, F.floor(v).cast("double")).otherwise(v)
+        return a + v * v
+
+    return F.aggregate(vec, F.lit(0.0), add)
+
+
 def _slack(top: float) -> float:
     """Rounding of a distance between rows of squared norm ``top``; bounds are
     loosened by it."""
@@ -111,7 +134,7 @@ def search_shard(pages: list[dict], route: np.ndarray, qids: np.ndarray, q: np.n
             continue
         d = _distances(lifted[i:i + 1], centres[open_])[0]
         low = np.maximum(0, d - radius[open_])
-        best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
+        best: list[tuple[int, int]] = []  # (-score, id)
         for at in np.argsort(low, kind="stable"):
             if low[at] > tau + slack:
                 break
@@ -120,16 +143,12 @@ def search_shard(pages: list[dict], route: np.ndarray, qids: np.ndarray, q: np.n
                                   & (page["ids"] != qids[i]))
             if not len(keep):
                 continue
-            s = page["rows"][keep, :-1] @ q[i]
-            best_s = np.concatenate([best_s, s])
-            best_i = np.concatenate([best_i, page["ids"][keep]])
-            if len(best_s) > k:
-                order = np.lexsort((best_i, -best_s))[:k]
-                best_s, best_i = best_s[order], best_i[order]
-            if len(best_s) == k:
-                tau = min(tau, float(np.sqrt(max(0.0, norms[i] + top - 2 * best_s.min()))))
-        out += [(i, int(v), int(round(s))) for s, v in zip(best_s.tolist(), best_i.tolist(),
-                                                           strict=True)]
+            scores = _products(page["rows"][keep, :-1], q[i], top)
+            best += zip([-v for v in scores], page["ids"][keep].tolist(), strict=True)
+            best = sorted(best)[:k]
+            if len(best) == k:
+                tau = min(tau, float(np.sqrt(max(0.0, norms[i] + top + 2.0 * best[-1][0]))))
+        out += [(i, v, -s) for s, v in best]
     return out
 
 
@@ -154,9 +173,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     rows = (vectors.where(usable(F.col(vec_col)))
             .select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"),
                     is_query.alias("asks")).where("id is not null"))
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.pow(F.floor(x.cast("double") * SCALE)
-                                                                 .cast("double"), 2))
-    total, dim, top = rows.agg(F.count("*"), F.max(F.size("v")), F.max(square)).first()
+    rows = rows.where(~F.exists("v", lambda x: F.abs(x.cast("double")) >= 1e150))
+    total, dim, top = rows.agg(F.count("*"), F.max(F.size("v")), F.max(_square("v"))).first()
     if not total:
         return none
     routes = min(MAX_ROUTES, max(1, -(-total // SHARD_ROWS)))
@@ -204,13 +222,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
 
     asks = rows.where(F.col("asks")).groupBy("id").agg(F.min("v").alias("v"))
     asks = written(asks, "queries")
-    blocks = max(1, -(-asks.count() // QUERY_BLOCK))
     order = np.array(sorted(shape), np.int64)
     radius = np.array([shape[s]["radius"] for s in order.tolist()])
 
-    def plan(home: bool):
-        """Rows (shard, part, id, q, bound): shards that a query must visit. Its home
-        shard has the nearest ball; the others are those that its bound reaches."""
+    def plan(home: bool, brief: bool = False):
+        """Rows (shard, id, q, bound), or the shard alone: shards that a query must visit.
+        Its home shard has the nearest ball; the others are those that its bound reaches."""
         def run(batches):
             c = shared.value[order]
             for b in batches:
@@ -227,18 +244,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                     reach[np.arange(len(q)), first] = False
                     qi, si = np.nonzero(reach)
                     bound = bound[qi]
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(order[si].astype(np.int32)),
-                    "id": pa.array(b.column("id").to_numpy(False)[qi]), "q": lists(q[qi]),
-                    "bound": pa.array(bound)})
+                goal = pa.array(order[si].astype(np.int32))
+                yield pa.RecordBatch.from_pydict({"shard": goal} if brief else {
+                    "shard": goal, "id": pa.array(b.column("id").to_numpy(False)[qi]),
+                    "q": lists(q[qi]), "bound": pa.array(bound)})
         return run
 
     def visit(queries: DataFrame, home: bool) -> DataFrame:
+        """Results of ``queries`` in the shards that they reach; a page is sent once for
+        every block of queries that reaches its shard, and not where none does."""
+        # at most MAX_ROUTES rows
+        blocks = {r["shard"]: -(-r["count"] // QUERY_BLOCK) for r in
+                  queries.mapInArrow(plan(home, True), "shard int").groupBy("shard").count().collect()}
+        if not blocks:
+            return none.drop("rank")
         hops = queries.mapInArrow(plan(home), "shard int, id long, q array<double>, bound double")
-        block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-        hops = hops.withColumn("block", block).withColumn(
+        pick = F.element_at(F.create_map(*[F.lit(v) for s in blocks for v in (s, blocks[s])]), F.col("shard"))
+        hops = hops.withColumn("block", F.pmod(F.xxhash64("id"), pick).cast("int")).withColumn(
             "part", F.explode(F.sequence(F.lit(0), split - 1)))
-        held = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        held = (pages.where(F.col("shard").isin(list(blocks)))
+                .withColumn("block", F.explode(F.sequence(F.lit(0), pick - 1))))
         held = held.withColumnsRenamed({"shard": "s2", "part": "p2", "block": "b2"})
 
         def find(one, two):
@@ -259,12 +284,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     first = written(visit(asks, True).withColumn("rank", F.row_number().over(w))
                     .where(F.col("rank") <= k), "home_results")
-    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.pow(F.floor(x.cast("double") * SCALE)
-                                                               .cast("double"), 2))
     kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), "score")
     bounded = asks.join(kth, "id", "left").withColumn("bound", F.when(
         F.col("score").isNull(), F.lit(float("inf"))).otherwise(
-        F.sqrt(F.greatest(F.lit(0.0), norm + F.lit(float(top)) - 2 * F.col("score"))))).drop("score")
+        F.sqrt(F.greatest(F.lit(0.0), _square("v") + F.lit(float(top)) - 2 * F.col("score").cast("double")))))
+    bounded = written(bounded.drop("score"), "bounded")
     rest = visit(bounded, False)
     both = first.drop("rank").union(rest)
     return (both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -60,6 +60,32 @@ def test_top_k_rows_without_an_id_take_no_part(spark):
                    (50, 1, 7, 32768), (50, 2, 0, 0), (50, 3, big, 0)]
 
 
+@pytest.mark.parametrize("scale", [1e6, 1e8, 1e12, 1e30])
+def test_top_k_of_large_components_is_exact(spark, scale):
+    rng = np.random.default_rng(4)
+    x = [[scale * (i % 2 + 1), (2 * c + 1) / 256, 3.0] for i, c in enumerate(rng.integers(0, 9, 40).tolist())]
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    q = [[int(np.floor(256 * a)) for a in v] for v in x]
+    want = []
+    for i in (0, 20):
+        s = sorted((-min(sum(a * b for a, b in zip(q[i], q[j], strict=True)), 2 ** 63 - 1), j)
+                   for j in range(40) if j != i)[:5]
+        want += [(i, r + 1, j, -v) for r, (v, j) in enumerate(s)]
+    got = mtree.top_k(d, F.col("vec_id") % 20 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_top_k_sends_pages_only_where_queries_reach(spark, monkeypatch):
+    monkeypatch.setattr(mtree, "SHARD_ROWS", 32)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(6)
+    spots = rng.standard_normal((8, 6)) * 50
+    x = np.concatenate([s + rng.standard_normal((40, 6)) * 0.1 for s in spots]).round(3)
+    ids = np.arange(320)
+    got = mtree.top_k(_frame(spark, ids, x, [0] * 320), F.col("vec_id").between(0, 20))
+    assert sorted(tuple(r) for r in got.collect()) == _plain_top(ids, x, 5, lambda i: i <= 20)
+
+
 def test_pages_hold_their_rows_and_bounds():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((700, 9)) * 100
