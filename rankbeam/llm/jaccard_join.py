@@ -4,9 +4,11 @@ Two documents link when their sets of word shingles have a Jaccard similarity
 of ``percent``/100 or more. Sets that similar must share a token among the
 first ``n - ceil(J n) + 1`` tokens of each set, whatever total order the tokens
 are put in. So candidates are pairs that meet in a prefix under the first
-order. Where pairs are verified one by one, their texts are joined and shingled,
-and they must meet in their prefixes under every further order before the whole
-sets are compared; blocks of clusters are compared without further orders.
+order and in their prefixes under every further order: one pass over the texts
+writes each class's prefixes under all orders, the pairs that the first order
+proposes are joined to the prefixes of the others, and only pairs that meet in
+all of them have their texts joined and their whole sets compared. Blocks of
+clusters are filtered by the same further orders before their sets are counted.
 
 The first order puts rare tokens first: a table of approximate token counts
 (hashed buckets, counted over all documents) ranks the tokens, so that passages
@@ -140,24 +142,50 @@ def _rare_first(tokens: np.ndarray, k: int, bits: int, levels: np.ndarray) -> np
     return tokens[np.argsort(level, kind="stable")[:k]]
 
 
-def _prefix_index(texts: DataFrame, width: int, percent: int, bits: int, shared) -> DataFrame:
+def _further(tokens: np.ndarray, k: int, seed: np.uint64) -> np.ndarray:
+    """The first ``k`` tokens under one hash order, as the upper 32 bits of their place in it."""
+    return (np.partition(mix(tokens ^ seed), k - 1)[:k] >> _U(32)).astype(np.uint32).view(np.int32)
+
+
+def _order_seeds() -> np.ndarray:
+    return _seeds(SMALLEST + FILTER_ORDERS)[SMALLEST:]
+
+
+def _prefixes(texts: DataFrame, width: int, percent: int, bits: int, shared) -> DataFrame:
+    """(node, comp, n, tokens, o0, o1, ...): the prefixes of every class under all orders."""
     def run(batches):
         levels = shared.value
         for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b.column("text"), width)
-            picks = [_rare_first(s, _prefix_len(len(s), percent), bits, levels) for s in sets]
-            sizes = np.array([len(p) for p in picks], np.int64)
-            if not sizes.sum():
-                continue
+            ks = [_prefix_len(len(s), percent) if len(s) else 0 for s in sets]
+            off = pa.array(np.concatenate([[0], np.cumsum(ks)]).astype(np.int32))
+
+            def cut(kind, first, sets=sets, ks=ks, off=off):
+                picks = [first(s, k) for s, k in zip(sets, ks, strict=True) if k]
+                flat = np.concatenate(picks) if picks else np.zeros(0, kind)
+                return pa.ListArray.from_arrays(off, pa.array(flat.view(kind)))
+
             yield pa.RecordBatch.from_pydict({
-                "token": pa.array(np.concatenate(picks).view(np.int64), pa.int64()),
-                "node": pa.array(np.repeat(b.column("node").to_numpy(False), sizes), pa.int64()),
-                "comp": pa.array(np.repeat(b.column("comp").to_numpy(False), sizes), pa.int64()),
-                "n": pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), sizes),
-                              pa.int32())})
+                "node": b.column("node"), "comp": b.column("comp"),
+                "n": pa.array([len(s) for s in sets], pa.int32()),
+                "tokens": cut(np.int64, lambda s, k: _rare_first(s, k, bits, levels)),
+                **{f"o{i}": cut(np.int32, lambda s, k, seed=seed: _further(s, k, seed))
+                   for i, seed in enumerate(_order_seeds())}})
 
+    orders = "".join(f", o{i} array<int>" for i in range(FILTER_ORDERS))
     return texts.select("node", "comp", "text").mapInArrow(
-        run, "token long, node long, comp long, n int")
+        run, f"node long, comp long, n int, tokens array<long>{orders}")
+
+
+def _intersect(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose prefixes meet under every further order; reads no text."""
+    names = [f"o{i}" for i in range(FILTER_ORDERS)]
+    for end in ("a", "b"):
+        pairs = pairs.join(prefixes.select(F.col("node").alias(end), *[
+            F.col(o).alias(f"{end}_{o}") for o in names]), end)
+    for o in names:
+        pairs = pairs.where(F.arrays_overlap(f"a_{o}", f"b_{o}"))
+    return pairs.drop(*[f"{end}_{o}" for end in ("a", "b") for o in names])
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -182,8 +210,10 @@ def _meets(a: np.ndarray, b: np.ndarray, percent: int, seeds: np.ndarray) -> boo
     return True
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link. Texts of ``b`` are streamed past their ``a``.
+def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int,
+            filtered: bool = False) -> DataFrame:
+    """The pairs (a, b) that link. Texts of ``b`` are streamed past their ``a``;
+    unless they are ``filtered`` already, the further orders are tested first.
 
     A node with many pairs is split into blocks, each with its own copy of the
     node's text, so no task gathers more than one block.
@@ -199,7 +229,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
              .select("a", "part", "b", "text"))
     left = (blocked.select("a", "part").distinct()
             .join(texts.select(F.col("node").alias("a"), "text"), "a").select("a", "part", "text").toDF("la", "lpart", "own"))
-    seeds = _seeds(SMALLEST + FILTER_ORDERS)[SMALLEST:]
+    seeds = _order_seeds()[:0] if filtered else _order_seeds()
 
     def check(key, one, many):
         own = shingle_sets(one.column("own").slice(0, 1), width)[0] if one.num_rows else None
@@ -285,40 +315,54 @@ def _blocks(clusters: DataFrame, texts: DataFrame, width: int, percent: int) ->
             .applyInArrow(check, "a long, b long"))
 
 
-def _join_components(one: pa.Table, two: pa.Table, width: int, percent: int) -> list:
-    """Links between two blocks that join components not joined by earlier ones."""
-    sets = [[s for b in slices(iter(t.to_batches()), "text", SLICE) for s in
-             shingle_sets(b.column("text"), width)] for t in (one, two)]
-    nodes = [t.column("node").to_pylist() for t in (one, two)]
-    comps = [t.column("comp").to_pylist() for t in (one, two)]
-    sizes = [np.array([len(s) for s in x], np.int64) for x in sets]
-    rows = [np.repeat(np.arange(len(x)), n) for x, n in zip(sets, sizes, strict=True)]
-    both = [np.concatenate(x) for x in sets]
+def _common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``one`` shares with each of ``two``."""
+    out = np.zeros((len(one), len(two)), np.float32)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (one, two)]
+    both = [np.concatenate(x) for x in (one, two)]
     shared, back = np.unique(np.concatenate(both), return_inverse=True)
     cols = [back[:len(both[0])], back[len(both[0]):]]
-    used = np.zeros(len(shared), bool)
-    used[cols[0]] = True
-    other = np.zeros(len(shared), bool)
-    other[cols[1]] = True
-    code = np.cumsum(used & other) - 1  # only shingles of both blocks count
-    common = np.zeros((len(sets[0]), len(sets[1])), np.float32)
-    step = 4096
+    used = np.zeros((2, len(shared)), bool)
+    used[0, cols[0]] = used[1, cols[1]] = True
+    meets = used.all(0)  # only elements of both sides count
+    code = np.cumsum(meets) - 1
     kept = []
     for r, c in zip(rows, cols, strict=True):
-        ok = (used & other)[c]
-        r, c = r[ok], code[c[ok]]
+        r, c = r[meets[c]], code[c[meets[c]]]
         order = np.argsort(c, kind="stable")
         kept.append((r[order], c[order]))
-    for lo in range(0, int(code[-1]) + 1 if len(code) else 0, step):
+    step = 4096
+    for lo in range(0, int(meets.sum()), step):
         m = []
-        for (r, c), x in zip(kept, sets, strict=True):
+        for (r, c), x in zip(kept, (one, two), strict=True):
             a, b = np.searchsorted(c, [lo, lo + step])
             dense = np.zeros((len(x), step), np.float32)
             dense[r[a:b], c[a:b] - lo] = 1
             m.append(dense)
-        common += m[0] @ m[1].T
-    common = np.rint(common).astype(np.int64)
+        out += m[0] @ m[1].T
+    return np.rint(out).astype(np.int64)
+
+
+def _join_components(one: pa.Table, two: pa.Table, width: int, percent: int) -> list:
+    """Links between two blocks that join components not joined by earlier ones."""
+    sets = [[s for b in slices(iter(t.to_batches()), "text", SLICE) for s in
+             shingle_sets(b.column("text"), width)] for t in (one, two)]
+    nodes = [t.column("node").to_pylist() for t in (one, two)]
+    comps = [t.column("comp").to_pylist() for t in (one, two)]
+    sizes = [np.array([len(s) for s in x], np.int64) for x in sets]
+    small, large = (f(sizes[0][:, None], sizes[1][None, :]) for f in (np.minimum, np.maximum))
+    maybe = (small * 100 >= large * percent) & (small > 0)
+    for seed in _order_seeds():  # every further order takes pairs away
+        short = [[_further(s, _prefix_len(len(s), percent), seed) if len(s) else s.astype(np.int32)
+                  for s in x] for x in sets]
+        maybe &= _common(*short) > 0
+    i, j = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+    if not len(i):
+        return []
+    common = np.zeros(maybe.shape, np.int64)
+    common[np.ix_(i, j)] = _common([sets[0][x] for x in i], [sets[1][x] for x in j])
     union = sizes[0][:, None] + sizes[1][None, :] - common
+    hits = maybe & (100 * common >= percent * union)
     parent: dict = {}
 
     def root(x):
@@ -328,8 +372,7 @@ def _join_components(one: pa.Table, two: pa.Table, width: int, percent: int) ->
         return x
 
     out = []
-    for i, j in zip(*(x.tolist() for x in np.nonzero((100 * common >= percent * union) & (union > 0))),
-                    strict=True):
+    for i, j in zip(*(x.tolist() for x in np.nonzero(hits)), strict=True):
         p, q = root(comps[0][i]), root(comps[1][j])
         if p != q:
             parent[max(p, q)] = min(p, q)
@@ -366,7 +409,8 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
     total = classes.agg(F.sum("n")).first()[0] or 0
     bits, levels = _token_levels(texts, width, total)
     shared = spark.sparkContext.broadcast(levels)
-    index = _prefix_index(labelled, width, percent, bits, shared)
+    prefixes = written(_prefixes(labelled, width, percent, bits, shared), "prefixes")
+    index = prefixes.select(F.explode("tokens").alias("token"), "node", "comp", "n")
     w = Window.partitionBy("token")
     index = (index.withColumns({"lo": F.min("comp").over(w), "hi": F.max("comp").over(w),
                                 "met": F.count("*").over(w)})
@@ -384,7 +428,9 @@ def components_of(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFra
              .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("shared"))
              .where((F.col("shared") + rest) * (100 + percent) >= (F.col("na") + F.col("nb")) * percent)
              .select("a", "b", "nb"))
-    more = written(_verify(pairs, texts, width, percent), "links")
+    pairs = _intersect(pairs, prefixes)
+    more = written(_verify(pairs, texts, width, percent, filtered=True), "links")
+    discard(prefixes)
     clusters = _clusters(index.where(F.col("met") > CLUSTER_FROM))
     more = more.union(written(_blocks(clusters, texts, width, percent), "block_links"))
     final = components(links.union(more), "all")

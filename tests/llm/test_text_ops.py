@@ -141,6 +141,40 @@ def test_jaccard_crowded_group_of_near_copies(spark):
     assert kept.count() == len({c for _, _, c in got})
 
 
+def test_jaccard_orders_are_intersected_before_texts_are_read(spark):
+    """Pairs that share their 3 rarest of 20 shingles meet in the first order's prefixes;
+    those that do not meet under both hash orders go without a look at a text."""
+    import pyarrow as pa
+
+    texts = []
+    for p in range(60):
+        same = [f"s{p}x{i}" for i in range(7)]
+        texts += [" ".join(same + [f"u{p}y{side}z{i}" for i in range(17)]) for side in (0, 1)]
+    sets = jaccard_join.shingle_sets(pa.array(texts))
+    levels = np.ones(1 << 16, np.uint8)
+    for x, y in zip(sets[::2], sets[1::2], strict=True):
+        levels[(np.intersect1d(x, y) >> np.uint64(48)).astype(np.int64)] = 0
+    shared = spark.sparkContext.broadcast(levels)
+    d = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "node long, comp long, text string")
+    prefixes = jaccard_join._prefixes(d, 5, 80, 16, shared)
+    index = {r["node"]: set(r["tokens"]) for r in prefixes.collect()}
+    assert all(len(v) == 5 for v in index.values())
+    assert all(len(index[i] & index[i + 1]) >= 2 for i in range(0, 120, 2))
+    pairs = spark.createDataFrame([(i, i + 1, 20) for i in range(0, 120, 2)], "a long, b long, nb int")
+    got = {r["a"] for r in jaccard_join._intersect(pairs, prefixes).collect()}
+    seeds = jaccard_join._order_seeds()
+    want = {i for i in range(0, 120, 2) if jaccard_join._meets(sets[i], sets[i + 1], 80, seeds)}
+    assert got == want and len(got) < 30
+    plan = jaccard_join._intersect(pairs, prefixes)._jdf.queryExecution().analyzed().toString()
+    assert "text" not in plan.split("MapInArrow")[0]
+
+
+def test_jaccard_common_counts():
+    rng = np.random.default_rng(3)
+    a, b = ([np.unique(rng.integers(0, 6000, rng.integers(0, 900))) for _ in range(12)] for _ in range(2))
+    assert jaccard_join._common(a, b).tolist() == [[len(np.intersect1d(x, y)) for y in b] for x in a]
+
+
 def test_jaccard_block_links_join_components():
     import pyarrow as pa
 
