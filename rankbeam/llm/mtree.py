@@ -59,15 +59,15 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d2, 0))
 
 
-def _products(rows: np.ndarray, q: np.ndarray, top: float) -> list[int]:
+def _products(rows: np.ndarray, q: np.ndarray, top: float) -> np.ndarray:
     """Exact inner products of integer rows with ``q``; no squared norm is above ``top``."""
     if top < 2.0 ** 52:  # every partial sum is a whole double
-        return (rows @ q).astype(np.int64).tolist()
+        return (rows @ q).astype(np.int64)
     if top < 2.0 ** 62:
-        return (rows.astype(np.int64) @ q.astype(np.int64)).tolist()
+        return rows.astype(np.int64) @ q.astype(np.int64)
     whole = [int(v) for v in q.tolist()]
-    return [min(max(sum(int(v) * w for v, w in zip(r, whole, strict=True)), -2 ** 63), 2 ** 63 - 1)
-            for r in rows.tolist()]
+    sums = [sum(int(v) * w for v, w in zip(r, whole, strict=True)) for r in rows.tolist()]
+    return np.array([min(max(v, -2 ** 63), 2 ** 63 - 1) for v in sums], np.int64)
 
 
 def _square(vec: str) -> Column:
@@ -144,7 +144,9 @@ def search_shard(pages: list[dict], route: np.ndarray, qids: np.ndarray, q: np.n
             if not len(keep):
                 continue
             scores = _products(page["rows"][keep, :-1], q[i], top)
-            best += zip([-v for v in scores], page["ids"][keep].tolist(), strict=True)
+            if len(best) == k:  # only scores that reach the k-th so far
+                keep, scores = (x[scores >= -best[-1][0]] for x in (keep, scores))
+            best += [(-v, at_id) for v, at_id in zip(scores.tolist(), page["ids"][keep].tolist(), strict=True)]
             best = sorted(best)[:k]
             if len(best) == k:
                 tau = min(tau, float(np.sqrt(max(0.0, norms[i] + top + 2.0 * best[-1][0]))))
