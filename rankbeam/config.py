@@ -131,11 +131,12 @@ class Scale:
 
     A side is broadcast only when its counted rows are within
     ``broadcast_max_rows`` AND rows x estimated row width is within
-    ``broadcast_max_bytes``.
+    ``broadcast_max_bytes``. A broadcast passes through the driver and takes there
+    up to seven times its estimated bytes (hash table and page grow by doubling).
     """
 
     broadcast_max_rows: int = 2_000_000
-    broadcast_max_bytes: int = 256 * 1024 * 1024
+    broadcast_max_bytes: int = 8 * 1024 * 1024
     # Rows of a vector table (x embedding width) that may be broadcast.
     broadcast_max_vector_cells: int = 64_000_000
     # Rows of one key that a single task of a shuffle join holds; hotter keys are dealt over several.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVENT_ORDER, LABEL, WATCH_RATIO, Config
 from ..functions import columns as fc
-from .joins import hold, row_bytes
+from .joins import hold, row_bytes, shuffled_if_large
 
 
 def normalise_feedback(log: DataFrame, cfg: Config) -> DataFrame:
@@ -34,17 +34,17 @@ def enrich(log: DataFrame, items: DataFrame | None, users: DataFrame | None,
     """J1 + J2: left joins with item and user metadata (duplicates fan out).
 
     The dimensions are joined by key; the planner broadcasts them when their
-    measured size is small (AQE) and shuffles otherwise.
+    measured size is small (AQE). Above the ``scale`` limits they are shuffled.
     """
     c = cfg.columns
     if items is not None:
         keep = [x for x in (c.item_id, c.duration, c.author_id) if x in items.columns]
-        log = log.join(items.select(*keep), c.item_id, "left")
+        log = log.join(shuffled_if_large(items.select(*keep), cfg.scale), c.item_id, "left")
     elif c.duration not in log.columns:
         raise ValueError("no item metadata and no duration column in the log")
     if users is not None:
         keep = [x for x in (c.user_id, *c.user_static) if x in users.columns]
-        log = log.join(users.select(*keep), c.user_id, "left")
+        log = log.join(shuffled_if_large(users.select(*keep), cfg.scale), c.user_id, "left")
     return log
 
 
@@ -96,7 +96,7 @@ def activity_filter(df: DataFrame, cfg: Config, counted: DataFrame | None = None
         t = keep.where(F.col("_kind") == kind).select(name)
         n = sizes.get(kind, 0)
         small = n <= lim and n * row_bytes(t.schema) <= cfg.scale.broadcast_max_bytes
-        return F.broadcast(t) if small else t
+        return F.broadcast(t) if small else t.hint("merge")
 
     out = df.join(side(0, c.user_id), c.user_id, "left_semi")
     return out.join(side(1, c.item_id), c.item_id, "left_semi")
@@ -131,7 +131,7 @@ def preprocess(log: DataFrame, items: DataFrame | None, users: DataFrame | None,
         return df
     keep = [x for x in (cfg.columns.user_id, *cfg.columns.user_static) if x in users.columns]
     made = [c for c in (WATCH_RATIO, LABEL) if c in df.columns]
-    joined = df.join(users.select(*keep), cfg.columns.user_id, "left")
+    joined = df.join(shuffled_if_large(users.select(*keep), cfg.scale), cfg.columns.user_id, "left")
     return joined.select(*[c for c in joined.columns if c not in made], *made)
 
 

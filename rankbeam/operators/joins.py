@@ -65,9 +65,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True,
 
     The row count is an action; the frame is persisted first so the join
     reuses the counted rows instead of recomputing them. The byte check is
-    count x estimated row width. Above either bound the frame is returned as
-    is and the planner shuffles (AQE may still pick a broadcast from measured
-    runtime sizes, and splits skewed partitions).
+    count x estimated row width. Above either bound the frame asks for a shuffle
+    join: the planner's own sizes are compressed ones, many times below what a
+    broadcast holds (AQE still splits skewed partitions).
     """
     if persist:
         df = hold(df)
@@ -79,8 +79,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int, persist: bool = True,
         out = F.broadcast(df)
         out._rb_broadcast = True
         return out
-    df._rb_broadcast = False
-    return df
+    out = df.hint("merge")
+    out._rb_broadcast = False
+    return out
+
+
+def shuffled_if_large(df: DataFrame, scale) -> DataFrame:
+    """``df`` as is within the limits of a ``Scale`` config, the planner's choice; above them
+    it asks for a shuffle join. For tables read from files, whose rows are counted from footers."""
+    n = df.count()
+    small = n <= scale.broadcast_max_rows and n * row_bytes(df.schema) <= scale.broadcast_max_bytes
+    return df if small else df.hint("merge")
 
 
 def sized_broadcast(df: DataFrame, scale, array_len: int = 64, persist: bool = True) -> DataFrame:

@@ -92,15 +92,28 @@ def interactions(spark: SparkSession, sf_dir: str, cfg: Config = TD_CFG, items:
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A stage's product written to the shared folder and read back, as the job hands it on.
+
+    A persisted frame is not found again where a join has it on both sides (the right side's
+    columns are renamed), so each such place would run the stage and its broadcasts anew.
+    """
+    from ..plans.sinks import write_table
+    from ..session import scratch_path
+
+    spark = df.sparkSession
+    return spark.read.schema(df.schema).parquet(write_table(df, scratch_path(spark, name)))
+
+
 class Stage:
-    """Interactions (persisted once), bounds and feature tables of one run.
+    """Interactions (written once), bounds and feature tables of one run.
 
     Bounds, feature tables, vectors and profiles are made when first asked for, once.
     """
 
     def __init__(self, spark, sf_dir, cfg=TD_CFG, items=None):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
-        self.inter = interactions(spark, sf_dir, cfg, items).persist(StorageLevel.MEMORY_AND_DISK)
+        self.inter = stored(interactions(spark, sf_dir, cfg, items), "stage")
 
     @cached_property
     def bounds(self):
