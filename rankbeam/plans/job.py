@@ -117,7 +117,8 @@ def run_preprocess(spark, raw_dir, out_dir, cfg, res) -> dict:
     path = f"{out_dir}/interactions"
     inter = cl.preprocess(inp.log, inp.items, inp.users, cfg)
     seen = Observation()
-    sinks.write_interactions(inter, path, _parts(man), cfg.scale.sort_interactions_globally, seen)
+    parts = _parts(man, sh.scan(spark, cat.paths(man, "interactions")))
+    sinks.write_interactions(inter, path, parts, cfg.scale.sort_interactions_globally, seen)
     # Rows and means come from the write; the exact key counts read two columns of it.
     stats = seen.get | spark.read.parquet(path).agg(*cl.key_counts(cfg)).first().asDict()
     res.stats = {k: float(v) if v is not None else None for k, v in stats.items()}
@@ -144,7 +145,7 @@ def run_dataset(spark, raw_dir, out_dir, cfg, res) -> dict:
     inter = _read(spark, f"{out_dir}/interactions", "preprocess")
     res.bounds = load_bounds(spark, out_dir)
     feats = ft.FeatureTables(*[_read(spark, f"{out_dir}/features/{n}", "features") for n in TABLES])
-    parts, seen = _parts(man), Observation()
+    parts, seen = _parts(man, inter), Observation()
     dset, meta = ds.assemble(inter, feats, res.bounds, cfg, load_vectors(spark, man, cfg), layout=True,
                              num_partitions=parts, written=True)
     sinks.write_grouped_splits(dset, cfg, f"{out_dir}/dataset", parts, seen)
@@ -188,8 +189,9 @@ RUNNERS = {"prepare": run_prepare, "preprocess": run_preprocess, "features": run
            "dataset": run_dataset, "train": run_train}
 
 
-def _parts(man) -> int | None:
-    return sinks.partitions_for(cat.total_bytes(man, "interactions"))
+def _parts(man, table: DataFrame) -> int:
+    """Partitions of a sorted sink by the rows of ``table`` (counted from its footers)."""
+    return sinks.sorted_partitions(cat.total_bytes(man, "interactions"), table.count())
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, cfg: Config = Config(),

@@ -32,6 +32,16 @@ def partitions_for(input_bytes: int | None, target: int = TARGET_PARTITION_BYTES
     return max(1, -(-int(input_bytes) // target))
 
 
+#: Rows that one task sorts before it writes them.
+TARGET_PARTITION_ROWS = 250_000
+
+
+def sorted_partitions(input_bytes: int | None, rows: int) -> int:
+    """Range partitions of a sorted sink: few bytes of input may be many rows, and the written
+    rows are wider than the input's."""
+    return max(partitions_for(input_bytes) or 1, -(-int(rows) // TARGET_PARTITION_ROWS))
+
+
 def write_interactions(inter: DataFrame, path: str, num_partitions: int | None = None,
                        globally: bool = True, seen: Observation | None = None) -> str:
     """S11 + O1: interactions sorted by ``event_order``.

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..config import EVENT_ORDER
+from ..config import EVENT_ORDER, Config
+from ..operators.joins import shuffled_if_large
 from ..session import scratch_path
 from . import adapters as ad
 from .embeddings import write_npz
@@ -39,7 +40,8 @@ def write_tree(spark: SparkSession, sf_dir: str, root: str | None = None) -> str
     ev = ad.table(spark, sf_dir, "events").select("event_id", "ts")
     log = ad.events_log(spark, sf_dir)
     t0 = ev.agg(F.min(wall_micros(spark, "ts"))).first()[0]
-    rows = log.join(ev.select(F.col("event_id").alias(EVENT_ORDER), "ts"), EVENT_ORDER)
+    times = shuffled_if_large(ev.select(F.col("event_id").alias(EVENT_ORDER), "ts"), Config().scale)
+    rows = log.join(times, EVENT_ORDER)
     rows = rows.withColumn("_week", week_index(spark, "ts", t0))
     weeks = sorted(r["_week"] for r in rows.select("_week").distinct().collect())
     raw_cols = [c for c in log.columns if c != EVENT_ORDER]
