@@ -534,6 +534,7 @@ def q_ranking_fit(spark, sf_dir):
 
     cfg = TD_CFG.with_model(loss="lambdarank", max_iter=4, max_depth=4)
     d, meta = _dataset(spark, sf_dir)
+    d = stored(d, "fit")
     model = rkr.fit(d, meta, cfg)
     train = rkr.score(model, d.where(F.col(SPLIT) == "train"), meta, cfg).withColumn(
         "_noise", fc.portable_hash_bucket(F.col(EVENT_ORDER), RANDOM_SEED, 1_000_003).cast("double"))
