@@ -25,105 +25,149 @@ store and no rows. Other columns are not stored.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import itertools
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .bpe import _byte_alphabet
 from .common import prepare, slices
 
 SEGMENT_BYTES = 1 << 20
 LEVEL = 3
 REMEMBER = 450_000
+#: Words that the library's model gets as one text.
+WORDS = 100
 #: Marks that close a word; the tokenizer cuts them from letters.
-_MARKS = b".,;:!?"
+_MARKS = ".,;:!?"
+#: Letters that NFC leaves as they are and whose lower case does not depend on their
+#: neighbours (Latin without capital dotted I, Cyrillic; not Greek).
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0400-\u045f"
+#: The tokenizer's cut of such letters and printable ASCII; other characters match nothing.
+_CUT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+").findall
+#: The character of each byte in the vocabulary; the space stays, to part words.
+_BYTE_CHARS = "".join(c if b != 0x20 else " " for c, b in
+                      sorted(_byte_alphabet().items(), key=lambda x: x[1]))
 
 
 class CachedTokenizer:
-    """The tokenizers library behind a memory of white-space separated pieces.
+    """The tokenizers library behind a memory of white-space separated pieces, for files
+    of one kind: lower-cased, byte-level, words closed by ``</w>``.
 
     The tokenizer drops white space and never joins text across it, so the ids
     of a text are those of its pieces between spaces and line breaks in order.
     Pieces met before are not encoded again. The memory holds two generations:
     when the newer one is full it becomes the older, whose pieces come back when
-    met. A piece of letters and closing marks is encoded as its letters (ASCII ones
-    in lower case) and its marks, which the tokenizer cuts apart anyway. Unknown
-    pieces are encoded as one spaced text and told apart by their offsets.
+    met. An unknown piece of printable ASCII and ``_LETTERS`` is lowered and cut
+    here as the tokenizer does it, and its parts go to the library's model, many
+    as one spaced text, told apart by the ids that end a word. Other unknown
+    pieces go through the whole tokenizer, as one spaced text too, told apart by
+    their offsets; marks that close a word of letters are cut off first.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
+        self.words = Tokenizer(self.lib.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocab = self.lib.get_vocab()
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.seen: dict[bytes, bytes] = {b"": b""}
         self.older: dict[bytes, bytes] = {}
 
-    def _learn(self, pieces) -> None:
+    def _learn(self, pieces: list[bytes]) -> None:
         """Pieces that are not in ``seen``, from the older generation or the library."""
         seen, older = self.seen, self.older
-        made, todo = [], set()
+        made, parts, odd = [], set(), set()
         for p in pieces:
             known = older.get(p)
             if known is not None:
                 seen[p] = known
-                continue
-            head = p.rstrip(_MARKS)
-            word = None
-            if head.isalpha():  # of bytes: ASCII letters
-                word = head.lower()
-            elif len(head) < len(p) and head.decode().lower().isalpha():
-                word = head  # letters stay letters in lower case, so the cut holds
-            if word is None or word == p:
-                todo.add(p)
-                continue
-            made.append((p, word, p[len(head):]))
-            todo.update(x for x in (word, p[len(head):]) if x not in seen and x not in older)
-        todo = list(todo)
-        for lo in range(0, len(todo), 2_000):
-            part = todo[lo:lo + 2_000]
-            seen.update(zip(part, self._encode([p.decode() for p in part]), strict=True))
-        for p, word, marks in made:
-            seen[p] = b"".join([seen[x] if x in seen else older[x] for x in (word, marks)])
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        enc = self.lib.encode(" ".join(pieces), add_special_tokens=False)
-        starts = np.cumsum([0, *(len(p) + 1 for p in pieces[:-1])])
+            elif p.isalpha():  # of bytes: ASCII letters
+                word = p.lower()
+                parts.add(word)
+                if word != p:
+                    made.append((p, [word]))
+            else:
+                text = p.decode()
+                low = text.lower()
+                cut = _CUT(low)
+                if len("".join(cut)) == len(low) and "<|" not in low:
+                    cut = [x.encode() for x in cut]
+                    parts.update(cut)
+                    if cut != [p]:
+                        made.append((p, cut))
+                    continue
+                head = text.rstrip(_MARKS)
+                if len(head) < len(text) and head.lower().isalpha():
+                    cut = [head.encode(), text[len(head):].encode()]
+                    odd.update(cut)  # letters stay letters in lower case, so the cut holds
+                    made.append((p, cut))
+                else:
+                    odd.add(p)
+        for todo, encode, step in ((parts, self._encode_words, 20_000), (odd, self._encode, 2_000)):
+            new = []
+            for x in todo:
+                if x not in seen:
+                    known = older.get(x)
+                    if known is None:
+                        new.append(x)
+                    else:
+                        seen[x] = known
+            for lo in range(0, len(new), step):
+                some = new[lo:lo + step]
+                seen.update(zip(some, encode(some), strict=True))
+        for p, cut in made:
+            seen[p] = b"".join([seen[x] for x in cut])
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        texts = [codecs.charmap_decode(b" ".join(words[lo:lo + WORDS]), "strict", _BYTE_CHARS)[0]
+                 for lo in range(0, len(words), WORDS)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in
+                              self.words.encode_batch_fast(texts, add_special_tokens=False)])
+        raw, ends = ids.tobytes(), 4 * (np.flatnonzero(self.closes[ids]) + 1)
+        return [raw[a:b] for a, b in itertools.pairwise([0, *ends.tolist()])]
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+        text = [p.decode() for p in pieces]
+        enc = self.lib.encode(" ".join(text), add_special_tokens=False)
+        starts = np.cumsum([0, *(len(p) + 1 for p in text[:-1])])
         tokens = np.array([start for start, _ in enc.offsets], np.int64)
         cut = 4 * np.append(np.searchsorted(tokens, starts), len(tokens))
         raw = np.array(enc.ids, "<u4").tobytes()
         return [raw[a:b] for a, b in itertools.pairwise(cut.tolist())]
 
-    def batch(self, texts: list[bytes | None]) -> list[bytes]:
-        """The ids of each UTF-8 text. One look-up a piece; what is not remembered is
-        learned for all texts together, and only the texts that miss it look again."""
+    def batch(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text. Arrow cuts the texts and numbers their pieces; each
+        different piece is looked up once, and what is not remembered is learned."""
         if len(self.seen) > REMEMBER:
             self.seen, self.older = {b"": b""}, self.seen
-        out: list[bytes | None] = []
-        missed: list[tuple[int, list[bytes]]] = []
-        new: set[bytes] = set()
-        get = self.seen.get
-        for t in texts:
-            pieces = (t or b"").replace(b"\n", b" ").split(b" ")
-            ids = list(map(get, pieces))
-            if None in ids:
-                missed.append((len(out), pieces))
-                new.update(p for p, x in zip(pieces, ids, strict=True) if x is None)
-                out.append(None)
-            else:
-                out.append(b"".join(ids))
-        self._learn(new)
-        known = self.seen.__getitem__
-        for at, pieces in missed:
-            out[at] = b"".join(map(known, pieces))
-        return out
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.binary()), b""), "\n", " "), " ")
+        numbered = cut.flatten().dictionary_encode()
+        pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.seen.get, pieces))
+        gaps = [i for i, x in enumerate(ids) if x is None]
+        self._learn([pieces[i] for i in gaps])
+        for i in gaps:
+            ids[i] = self.seen[pieces[i]]
+        # 64-bit offsets: the ids of one long text may pass 2 GB
+        ids = pa.array(ids, pa.large_binary()).take(numbered.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[cut.offsets.to_numpy()]
+        raw = ids.buffers()[2] or pa.py_buffer(b"")  # none where all are empty
+        return [raw[a:b].to_pybytes() for a, b in itertools.pairwise(ends.tolist())]
 
 
 _TOKENIZERS: dict[str, CachedTokenizer] = {}
@@ -156,7 +200,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int | None, sample_rows
         tok = tokenizer(path)
         for b in slices(batches, "text"):
             yield pa.RecordBatch.from_pydict({"ids": pa.array(
-                [x + _end(end_id) for x in tok.batch(b.column("text").cast(pa.binary()).to_pylist())], pa.binary())})
+                [x + _end(end_id) for x in tok.batch(b.column("text"))], pa.binary())})
 
     got = rows.select("text").mapInArrow(run, "ids binary").withColumn("n", F.length("ids"))
     samples, held = [], 0
@@ -217,7 +261,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int | None = None,
         for b in slices(batches, "text"):
             held = sum(map(len, frames))
             for doc, arr in zip(b.column("doc_id").to_pylist(),
-                                tok.batch(b.column("text").cast(pa.binary()).to_pylist()), strict=True):
+                                tok.batch(b.column("text")), strict=True):
                 full = arr + tail
                 frame = pack.compress(full)
                 if frames and held + len(frame) > SEGMENT_BYTES:

@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -289,6 +290,35 @@ def test_token_store_round_trip(spark, docs, odd):
             assert len(sha) == 1
 
 
+def test_token_store_cuts_plain_pieces_as_the_tokenizer_does():
+    path = _vocab()("word_bpe_49k.json")
+    tok = token_store.CachedTokenizer(path)
+    whole: list[bytes] = []
+    encode = tok._encode
+    tok._encode = lambda pieces: whole.extend(pieces) or encode(pieces)
+    plain = [c for c in map(chr, range(0x21, 0x10000)) if not 0xd800 <= ord(c) < 0xe000
+             and len("".join(token_store._CUT(c.lower()))) == len(c.lower())]
+    assert len(plain) > 94 + 62 + 127 + 96
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(plain, rng.integers(1, 9))).replace("<|", "") for _ in range(4_000)]
+    texts = [" ".join(plain), " ".join(f"ab{c}cd{c}{c}9" for c in plain).replace("<|", "<"), "\n".join(words),
+             "it's WE'LL !'s ''s x''ve' 'tis d'd 1,234.56 $9.99%%% a--b... \"Straße\", ÇA-ET-LÀ l'été привет, Ёж!",
+             "", None, " \n ", "K" + "ab" * 3_000]
+    odd = ["<|startoftext|> a<|ENDOFTEXT|>b <|endoftext|>, h\u0331 H\u0331. A\u030angstro\u0308m! \u212bK \u017f\u0149\u0130i",
+           "ΟΔΟΣ, ὈΔΥΣΣΕΎΣ. Ωmega\tx\u00a0y\x1cz\x85 中文，日本 “quoted” don’t x² ½ ªº µ ñandú\u00ad €5 😀"]
+    want = [tok.lib.encode(t or "", add_special_tokens=False).ids for t in texts + odd]
+    for _ in range(2):  # learned, then remembered
+        got = tok.batch(pa.array([None, *texts, None], pa.string())[1:-1])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want[:len(texts)]
+        assert whole == []  # only the model is needed, not the whole tokenizer
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in tok.batch(pa.array(odd))] == want[len(texts):]
+        assert whole
+        tok.older, tok.seen = tok.seen, {b"": b""}
+    assert tok.batch(pa.array([None, None], pa.string())) == [b"", b""]
+    assert tok.batch(pa.array([""])) == [b""]
+
+
 def test_language_with_few_rows_keeps_its_words(spark):
     rng = np.random.default_rng(4)
 
