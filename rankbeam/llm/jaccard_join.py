@@ -10,9 +10,9 @@ proposes are joined to the prefixes of the others, and only pairs that meet in
 all of them have their texts joined and their whole sets compared. Blocks of
 clusters are filtered by the same further orders before their sets are counted.
 
-The first order puts rare tokens first: a table of approximate token counts
-(hashed buckets, counted over all documents) ranks the tokens, so that passages
-which many documents share leave the prefixes. Any order gives whole results;
+The first order puts rare tokens first: a table of token counts (hashed buckets
+that hold the level of their most frequent token, counted over all documents)
+ranks the tokens, so that passages which many documents share leave the prefixes. Any order gives whole results;
 the counts only keep the candidates few.
 
 Large groups of copies never meet pair by pair. Equal sets are one class. Each
@@ -57,6 +57,11 @@ CLUSTER_BLOCK = 256
 #: A block of verification holds about so many texts, or so many shingles.
 BLOCK_ROWS = 128
 BLOCK_SHINGLES = 400_000
+#: Tokens are counted in parts of about so many, by 24 bits of their hash within a part;
+#: a task packs its tokens when it holds so many.
+PART_TOKENS = 1 << 20
+CELL_BITS = 24
+HELD_TOKENS = 4 << 20
 #: Bytes of text hashed at once; hashing holds some fifty times that.
 SLICE = 1 << 20
 
@@ -91,49 +96,79 @@ def _describe(docs: DataFrame, width: int) -> DataFrame:
         run, "doc_id long, text_hash long, n long, fp binary, small array<long>")
 
 
-def _token_levels(texts: DataFrame, width: int, total: int):
-    """log2 of the bucketed token counts over all classes, as one byte per bucket.
+def _pack(cells: np.ndarray) -> bytes:
+    """Sorted numbers below 2**24 as compressed byte planes of their differences."""
+    steps = np.diff(cells, prepend=cells.dtype.type(0)).astype("<u4")
+    return pa.compress(steps.view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpack(raw: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(raw, 3 * n, "zstd", asbytes=True), np.uint8).reshape(3, n)
+    steps = np.zeros((n, 4), np.uint8)
+    steps[:, :3] = planes.T
+    return np.cumsum(steps.view("<u4")[:, 0], dtype=np.uint32)
+
 
-    The number of buckets follows the number of tokens (an eighth of it), from
-    2**16 to 2**25; at most 32 MB come to the driver and go out again.
+def _token_levels(texts: DataFrame, width: int, total: int):
+    """log2 of the token counts over all classes, as one byte per bucket of tokens.
+
+    Tokens are counted by ``part_bits`` + 24 bits of their hash, some sixteen such cells
+    for each token of the table at every size, so counts of different tokens hardly
+    mix; a bucket has the level of its most frequent cell. The number of buckets
+    follows the number of tokens (an eighth of it), from 2**16 to 2**25; at most 32 MB
+    come to the driver and go out again. Tokens travel to their part as packed cells,
+    about two bytes each.
     """
     bits = min(25, max(16, (max(1, total) // 8).bit_length()))
-    block_bits = min(bits, 16)
-    spark = texts.sparkSession
+    part_bits = min(bits, (max(0, total) // PART_TOKENS).bit_length())
+    key_bits, own_bits = part_bits + CELL_BITS, bits - part_bits
 
     def count(batches):
-        counts = np.zeros(1 << bits, np.uint16)
+        held, size = [], 0
+
+        def packed():
+            keys = np.concatenate(held)
+            keys.sort()
+            at = np.searchsorted(keys, np.arange((1 << part_bits) + 1, dtype=np.uint64) << _U(CELL_BITS))
+            cells = (keys & _U((1 << CELL_BITS) - 1)).astype(np.uint32)
+            used = np.flatnonzero(np.diff(at))
+            for lo in range(0, len(used), 256):
+                some = used[lo:lo + 256]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(some, pa.int32()), "n": pa.array(np.diff(at)[some], pa.int32()),
+                    "cells": pa.array([_pack(cells[at[i]:at[i + 1]]) for i in some], pa.binary())})
+
         for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b.column("text"), width)
-            if sum(map(len, sets)):
-                at = (np.concatenate(sets) >> _U(64 - bits)).astype(np.int64)
-                where, more = np.unique(at, return_counts=True)
-                counts[where] = np.minimum(counts[where].astype(np.int64) + more, 65_535)
-        blocks = counts.reshape(-1, 1 << block_bits)
-        used = [i for i in range(len(blocks)) if blocks[i].any()]
-        for lo in range(0, len(used), 16):
-            yield pa.RecordBatch.from_pydict({
-                "block": pa.array(used[lo:lo + 16], pa.int32()),
-                "counts": pa.array([blocks[i].tobytes() for i in used[lo:lo + 16]], pa.binary())})
+            held += [s >> _U(64 - key_bits) for s in sets if len(s)]
+            size += sum(map(len, sets))
+            if size >= HELD_TOKENS:
+                yield from packed()
+                held, size = [], 0
+        if held:
+            yield from packed()
 
     def add(key, group):
-        total_counts = np.zeros(1 << block_bits, np.int64)
-        for raw in group.column("counts").to_pylist():
-            total_counts += np.frombuffer(raw, np.uint16)
-        level = np.log2(np.maximum(total_counts, 1)).astype(np.uint8)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()),
+        cells = np.concatenate([_unpack(raw, n) for raw, n in zip(
+            group.column("cells").to_pylist(), group.column("n").to_pylist(), strict=True)])
+        cells, counts = np.unique(cells, return_counts=True)
+        cells, counts = cells[counts > 1], counts[counts > 1]
+        level = np.zeros(1 << own_bits, np.uint8)
+        np.maximum.at(level, cells >> np.uint32(CELL_BITS - own_bits), np.log2(counts).astype(np.uint8))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()),
                          "level": pa.array([level.tobytes()], pa.binary())})
 
-    few = max(2, spark.sparkContext.defaultParallelism)
-    rows = (texts.select("text").coalesce(few).mapInArrow(count, "block int, counts binary")
-            .groupBy("block").applyInArrow(add, "block int, level binary"))
-    levels = np.zeros((1 << bits >> block_bits, 1 << block_bits), np.uint8)
+    rows = written(texts.select("text").mapInArrow(count, "part int, n int, cells binary")
+                   .groupBy("part").applyInArrow(add, "part int, level binary"), "levels")
+    levels = np.zeros((1 << part_bits, 1 << own_bits), np.uint8)
     for r in rows.toLocalIterator():
-        levels[r["block"]] = np.frombuffer(r["level"], np.uint8)
+        levels[r["part"]] = np.frombuffer(r["level"], np.uint8)
+    discard(rows)
     levels = levels.reshape(-1)
-    # up to twice the mean of a bucket is noise: one level
-    floor = int(np.log2(max(2.0, 2.0 * total / len(levels))))
-    return bits, np.maximum(levels, floor)
+    # rare tokens share the buckets of frequent ones: these are an eighth of the buckets at most
+    above = np.cumsum(np.bincount(levels, minlength=65)[::-1])[::-1]
+    levels[levels < max(1, int(np.argmax(above <= len(levels) / 8)))] = 0
+    return bits, levels
 
 
 def _rare_first(tokens: np.ndarray, k: int, bits: int, levels: np.ndarray) -> np.ndarray:

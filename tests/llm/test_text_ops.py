@@ -170,6 +170,47 @@ def test_jaccard_orders_are_intersected_before_texts_are_read(spark):
     assert "text" not in plan.split("MapInArrow")[0]
 
 
+def test_jaccard_token_levels_tell_frequent_tokens_from_crowded_buckets(spark):
+    """15 tokens a bucket, as in a table of some 2 GB: words of 12 texts still leave the prefixes."""
+    texts = [" ".join([f"w{i}x{j}" for j in range(4000)] + [f"shared{j}" for j in range(40) if j % 20 == i % 20])
+             for i in range(240)]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    own = np.concatenate(jaccard_join.shingle_sets(pa.array(
+        [" ".join(f"w{i}x{j}" for j in range(4000)) for i in range(240)]), 1))
+    shared = jaccard_join.shingle_sets(pa.array([" ".join(f"shared{j}" for j in range(40))]), 1)[0]
+    bits, levels = jaccard_join._token_levels(d, 1, 0)
+    assert bits == 16 and len(levels) == 1 << 16
+    at = lambda x: levels[(x >> np.uint64(64 - bits)).astype(np.int64)]
+    assert at(shared).min() >= 3 and (at(own) == 0).mean() > 0.99
+    for s in jaccard_join.shingle_sets(pa.array(texts[:20]), 1):
+        assert not np.isin(jaccard_join._rare_first(s, 800, bits, levels), shared).any()
+
+
+@pytest.mark.parametrize("total", [0, 5 << 20])
+def test_jaccard_token_levels_equal_plain_counts(spark, total):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"v{k}" for k in rng.zipf(1.3, 60) % 5000) for _ in range(300)] + ["", None]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    bits, levels = jaccard_join._token_levels(d, 2, total)
+    key = (total >> 20).bit_length() + 24
+    cells, counts = np.unique(np.concatenate(jaccard_join.shingle_sets(pa.array(texts), 2)) >> np.uint64(64 - key),
+                              return_counts=True)
+    want = np.zeros(1 << bits, np.uint8)
+    np.maximum.at(want, cells >> np.uint64(key - bits), np.log2(counts).astype(np.uint8))
+    assert levels.tolist() == want.tolist() and levels.max() > 3
+    none = jaccard_join._token_levels(d.limit(0), 2, total)[1]
+    assert len(none) == 1 << bits and not none.any()
+
+
+def test_jaccard_packed_cells():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3000):
+        cells = np.sort(rng.integers(0, 1 << 24, n).astype(np.uint32))
+        assert (jaccard_join._unpack(jaccard_join._pack(cells), n) == cells).all()
+    edge = np.array([0, 0, (1 << 24) - 1], np.uint32)
+    assert (jaccard_join._unpack(jaccard_join._pack(edge), 3) == edge).all()
+
+
 def test_jaccard_common_counts():
     rng = np.random.default_rng(3)
     a, b = ([np.unique(rng.integers(0, 6000, rng.integers(0, 900))) for _ in range(12)] for _ in range(2))
